@@ -25,7 +25,7 @@ def split_literal(c: str | Column, sep: str) -> Column:
 
 def parent_folder(path: str | Column) -> Column:
     """The second-to-last ``/`` component, e.g. the class folder of a document."""
-    return F.element_at(split_literal(path, "/"), -2)
+    return F.try_element_at(split_literal(path, "/"), F.lit(-2))
 
 
 def year_from_text(c: str | Column, missing: int = 1900) -> Column:

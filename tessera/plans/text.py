@@ -1 +1,125 @@
-"""placeholder"""
+"""Text queries over ``documents`` and ``pages``."""
+
+from __future__ import annotations
+
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
+
+from tessera.functions.stopwords import sql_list
+from tessera.functions.strings import WORD_PATTERN, parent_folder
+from tessera.operators import text
+from tessera.plans.registry import register
+from tessera.sources.tables import load
+
+_TOKENS = f"regexp_extract_all(lower(text), '{WORD_PATTERN}')"
+_STOP = sql_list()
+_KEPT_TOKENS_SQL = f"""
+    toks AS (SELECT doc_id, unnest({_TOKENS}) AS term FROM documents),
+    kept AS (SELECT doc_id, term FROM toks WHERE term NOT IN ({_STOP})),
+    tf AS (SELECT term, count(*) AS n FROM kept GROUP BY term)"""
+
+
+def _filtered(spark, sf_dir):
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    return text.remove_stop_words(text.tokenize(docs, "text", "words"), "words", "filtered")
+
+
+@register(
+    "token_counts",
+    sql=f"SELECT doc_id, CAST(len({_TOKENS}) AS INTEGER) AS n_tokens FROM documents",
+)
+def token_counts(spark, sf_dir):
+    """Words per document."""
+    docs = text.tokenize(load(spark, sf_dir, "documents").select("doc_id", "text"), "text", "words")
+    return docs.select("doc_id", F.size("words").cast("int").alias("n_tokens"))
+
+
+@register(
+    "stopword_filtered",
+    sql=f"""
+    SELECT doc_id, CAST(len({_TOKENS}) AS INTEGER) AS n_tokens,
+           CAST(len(list_filter({_TOKENS}, lambda t: NOT list_contains([{_STOP}], t))) AS INTEGER) AS n_kept
+    FROM documents""",
+)
+def stopword_filtered(spark, sf_dir):
+    """Words per document before and after removing English stop words."""
+    f = _filtered(spark, sf_dir)
+    return f.select("doc_id", F.size("words").cast("int").alias("n_tokens"), F.size("filtered").cast("int").alias("n_kept"))
+
+
+@register("term_frequency", sql=f"WITH {_KEPT_TOKENS_SQL} SELECT term, n FROM tf")
+def term_frequency(spark, sf_dir):
+    """Occurrences of every kept term over the corpus."""
+    return text.term_frequency(_filtered(spark, sf_dir), "filtered")
+
+
+@register("rarest_terms", sql=f"WITH {_KEPT_TOKENS_SQL} SELECT term, n FROM tf ORDER BY n, term LIMIT 20")
+def rarest_terms(spark, sf_dir):
+    """The 20 least frequent kept terms."""
+    return text.rarest_terms(text.term_frequency(_filtered(spark, sf_dir), "filtered"), 20)
+
+
+@register(
+    "rare_word_filter",
+    sql=f"""
+    WITH {_KEPT_TOKENS_SQL},
+    rare AS (SELECT term FROM tf ORDER BY n, term LIMIT 20)
+    SELECT d.doc_id,
+           CAST(count(k.term) FILTER (WHERE k.term NOT IN (SELECT term FROM rare)) AS INTEGER) AS n_kept
+    FROM documents d LEFT JOIN kept k ON d.doc_id = k.doc_id
+    GROUP BY d.doc_id""",
+)
+def rare_word_filter(spark, sf_dir):
+    """Kept words per document once the 20 rarest terms are dropped too."""
+    f = _filtered(spark, sf_dir)
+    rare = text.rarest_terms(text.term_frequency(f, "filtered"), 20)
+    out = text.drop_terms(f, "filtered", rare, out="kept")
+    return out.select("doc_id", F.size("kept").cast("int").alias("n_kept"))
+
+
+@register(
+    "doc_class_sizes",
+    sql="""
+    SELECT 'documents' AS kind, source AS doc_class, count(*) AS n FROM documents GROUP BY source
+    UNION ALL
+    SELECT 'pages', string_split(url, '/')[-2], count(*) FROM pages GROUP BY string_split(url, '/')[-2]""",
+)
+def doc_class_sizes(spark, sf_dir):
+    """Documents per class (the source; for pages the URL's parent folder)."""
+    docs = load(spark, sf_dir, "documents").groupBy(F.col("source").alias("doc_class")).agg(F.count(F.lit(1)).alias("n"))
+    pages = (
+        load(spark, sf_dir, "pages")
+        .groupBy(parent_folder("url").alias("doc_class"))
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    return docs.select(F.lit("documents").alias("kind"), "doc_class", "n").unionByName(
+        pages.select(F.lit("pages").alias("kind"), "doc_class", "n")
+    ).orderBy("n", "kind", "doc_class")
+
+
+@register("stem_conflation")
+def stem_conflation(spark, sf_dir):
+    """Each distinct kept term and its Porter stem (the vocabulary shrinks to the
+    distinct stems)."""
+    return text.stem_vocabulary(_filtered(spark, sf_dir), "filtered")
+
+
+def _w2v(spark, sf_dir):
+    f = _filtered(spark, sf_dir)
+    return text.word2vec(f, "filtered", vector_size=10, min_count=0, seed=42), f
+
+
+@register("word_vectors")
+def word_vectors(spark, sf_dir):
+    """Word2Vec (10 dimensions) over the kept words; ``(word, vector as text)``."""
+    model, _ = _w2v(spark, sf_dir)
+    v = text.word_vectors(model)
+    return v.select("word", F.array_join(F.transform(vector_to_array("vector"), lambda x: F.format_number(x, 6)), ",").alias("vector"))
+
+
+@register("synonyms")
+def synonyms(spark, sf_dir):
+    """The ten words nearest (cosine) to the most frequent kept word."""
+    model, f = _w2v(spark, sf_dir)
+    top_word = text.term_frequency(f, "filtered").orderBy(F.desc("n"), "term").limit(1).agg(F.first("term")).scalar()
+    return text.nearest_words(text.word_vectors(model), top_word, 10).select("word", "similarity")

@@ -1 +1,89 @@
-"""placeholder"""
+"""Stream queries (ST01-ST10): the events table replayed through a file stream.
+
+Purchases are events: ``user_id`` is the user, ``event_type`` the product and ``value``
+the price.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tessera.plans.registry import r6, register
+from tessera.sources.tables import load
+from tessera.streaming import streams
+
+
+def _purchases(spark, sf_dir):
+    ev = load(spark, sf_dir, "events")
+    return ev.select(F.col("user_id").alias("user"), F.col("event_type").alias("product"), F.col("value").alias("price"))
+
+
+@register(
+    "purchase_summary",
+    sql="""
+    SELECT count(*) AS n_purchases, count(DISTINCT user_id) AS unique_users, round(sum(value), 6) AS revenue
+    FROM events""",
+)
+def purchase_summary(spark, sf_dir):
+    """ST04a-c: the per-batch metrics, over the whole table as one batch."""
+    m = streams.purchase_metrics(_purchases(spark, sf_dir))
+    return m.select("n_purchases", "unique_users", r6("revenue").alias("revenue"))
+
+
+@register(
+    "products_by_popularity",
+    sql="SELECT event_type AS product, count(*) AS n FROM events GROUP BY event_type ORDER BY n DESC, product",
+)
+def products_by_popularity(spark, sf_dir):
+    """ST04d O04: purchases per product, most popular first."""
+    return streams.products_by_popularity(_purchases(spark, sf_dir))
+
+
+def _event_stream(spark, sf_dir):
+    path = f"{sf_dir.rstrip('/')}/events.parquet"
+    schema = spark.read.parquet(path).schema
+    return streams.line_stream(spark, streams.exact_file_glob(path), fmt="parquet", schema=schema, max_files_per_trigger=1)
+
+
+@register(
+    "revenue_per_user",
+    sql="SELECT user_id, count(*) AS n_purchases, round(sum(value), 6) AS revenue FROM events GROUP BY user_id",
+)
+def revenue_per_user(spark, sf_dir):
+    """ST05 A17 ST01 ST10 S14: running purchases and revenue per user, kept in the state
+    store of a stream over the events file; the result is the state after the last batch."""
+    base = streams.scratch_dir(spark, "revenue_per_user")
+    events = _event_stream(spark, sf_dir).select("user_id", "value")
+    q = streams.start_running_totals(
+        events, "user_id", "value", f"{base}/out", f"{base}/checkpoint", trigger={"availableNow": True}
+    )
+    q.awaitTermination()
+    state = streams.latest_state(spark, f"{base}/out", "user_id")
+    return state.select("user_id", "n_purchases", r6("revenue").alias("revenue"))
+
+
+def labelled_lines(events):
+    """``label<TAB>features`` text lines built from events (value ~ hour, minute, k)."""
+    k = F.get_json_object("props", "$.k")
+    feats = F.concat_ws(",", F.hour("ts").cast("string"), F.minute("ts").cast("string"), F.coalesce(k, F.lit("0")))
+    return events.select(F.concat(F.col("value").cast("string"), F.lit("\t"), feats).alias("value"))
+
+
+@register("batch_regression")
+def batch_regression(spark, sf_dir):
+    """ST03 ST06-ST09 S12 S13: parse labelled lines from the stream, fit a regression on each
+    batch, log (samples, running total, in-sample RMSE) per batch, save the model once the
+    running total reaches the threshold."""
+    base = streams.scratch_dir(spark, "batch_regression")
+    lines = labelled_lines(_event_stream(spark, sf_dir))
+    parsed = streams.parse_labelled(lines)
+    sink = streams.regression_sink(f"{base}/metrics", f"{base}/model", save_after=1000)
+    q = (
+        parsed.writeStream.option("checkpointLocation", f"{base}/checkpoint")
+        .foreachBatch(sink)
+        .trigger(availableNow=True)
+        .start()
+    )
+    q.awaitTermination()
+    m = spark.read.parquet(f"{base}/metrics")
+    return m.select("batch_id", "samples", "total_samples", r6("rmse").alias("rmse"), "saved")

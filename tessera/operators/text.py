@@ -39,9 +39,22 @@ def remove_stop_words(df: DataFrame, words_col: str, out: str = "filtered", stop
     return remover.transform(df)
 
 
-def term_frequency(df: DataFrame, words_col: str, term: str = "term", name: str = "n") -> DataFrame:
-    """Occurrences per term over the corpus."""
-    return df.select(F.explode(words_col).alias(term)).groupBy(term).agg(F.count(F.lit(1)).alias(name))
+def corpus_terms(df: DataFrame, text_col: str, keys=(), stop_words=ENGLISH_STOP_WORDS, term: str = "term") -> DataFrame:
+    """One row per kept token occurrence: ``(*keys, term)``.
+
+    The token expression is exploded directly and stop words are dropped afterwards by a
+    hash-set ``isin``: exploding a materialised array column instead makes the generated
+    code copy the whole array for every output row, quadratic in document length.
+    """
+    out = df.select(*keys, F.explode(tokens(text_col)).alias(term))
+    if stop_words:
+        out = out.where(~F.col(term).isin(list(stop_words)))
+    return out
+
+
+def term_frequency(terms: DataFrame, term: str = "term", name: str = "n") -> DataFrame:
+    """Occurrences per term over the corpus (partial aggregation before the shuffle)."""
+    return terms.groupBy(term).agg(F.count(F.lit(1)).alias(name))
 
 
 def rarest_terms(freq: DataFrame, k: int = 20, term: str = "term", name: str = "n") -> DataFrame:
@@ -66,10 +79,10 @@ def _porter_stem(words: pd.Series) -> pd.Series:
     return words.map(porter.stem)
 
 
-def stem_vocabulary(df: DataFrame, words_col: str, term: str = "term") -> DataFrame:
-    """``(term, stem)`` for each distinct term (stemmed once per term, Arrow batches)."""
-    vocab = df.select(F.explode(words_col).alias(term)).distinct()
-    return vocab.select(term, _porter_stem(F.col(term)).alias("stem"))
+def stem_vocabulary(terms: DataFrame, term: str = "term") -> DataFrame:
+    """``(term, stem)`` for each distinct term of :func:`corpus_terms` (stemmed once per
+    term, in Arrow batches)."""
+    return terms.select(term).distinct().select(term, _porter_stem(F.col(term)).alias("stem"))
 
 
 def stem_tokens(df: DataFrame, key: str, words_col: str, out: str = "stemmed") -> DataFrame:
@@ -78,8 +91,8 @@ def stem_tokens(df: DataFrame, key: str, words_col: str, out: str = "stemmed") -
     Tokens are exploded with their position, joined to ``(term, stem)`` and regrouped by
     ``key`` in position order. ``key`` must identify a row.
     """
-    stems = stem_vocabulary(df, words_col)
     exploded = df.select(key, F.posexplode(words_col).alias("pos", "term"))
+    stems = stem_vocabulary(exploded)
     joined = exploded.join(bounded_broadcast(stems, MAX_BROADCAST_VOCAB), "term")
     regrouped = joined.groupBy(key).agg(
         F.transform(F.array_sort(F.collect_list(F.struct("pos", "stem"))), lambda s: s["stem"]).alias(out)

@@ -18,9 +18,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions import dates
-from tessera.functions.stopwords import ENGLISH_STOP_WORDS
 from tessera.functions.strings import tokens
-from tessera.operators import clusters, models, splits
+from tessera.operators import clusters, models, splits, text
 from tessera.plans.registry import r6, register
 from tessera.sources.tables import load
 
@@ -125,7 +124,7 @@ _ROW_KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 
 
 def demand_table(spark, sf_dir) -> DataFrame:
-    li = load(spark, sf_dir, "lineitem")
+    li = load(spark, sf_dir, "lineitem", spread=True)
     return li.select(
         *_ROW_KEYS,
         "l_returnflag",
@@ -246,20 +245,16 @@ def linreg_simple(spark, sf_dir):
 
 # ---- classification -----------------------------------------------------------------------
 
-_STOP = list(ENGLISH_STOP_WORDS)
-
-
 def page_table(spark, sf_dir) -> DataFrame:
-    d = load(spark, sf_dir, "documents").select("doc_id", "text", "source", "n_chars")
+    d = load(spark, sf_dir, "documents", spread=True).select("doc_id", "text", "source", "n_chars")
     lab = load(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("double").alias("label"))
-    words = tokens("text")
-    kept = F.filter(words, lambda w: ~F.array_contains(F.array(*[F.lit(s) for s in _STOP]), w))
-    return d.join(lab, "doc_id").select(
+    words = text.remove_stop_words(d.join(lab, "doc_id").withColumn("words", tokens("text")), "words", "kept")
+    return words.select(
         "doc_id",
         "source",
         F.col("n_chars").cast("double").alias("n_chars"),
-        F.size(words).cast("double").alias("n_tokens"),
-        F.size(kept).cast("double").alias("n_kept"),
+        F.size("words").cast("double").alias("n_tokens"),
+        F.size("kept").cast("double").alias("n_kept"),
         "label",
         splits.hash_split(d, ["doc_id"]).alias("part"),
     )
@@ -275,7 +270,8 @@ def _page_stages():
 
 
 def _classify(spark, sf_dir, name, est):
-    train, test = _split(page_table(spark, sf_dir))
+    # The feature table is read by several fits and every optimizer iteration
+    train, test = _split(page_table(spark, sf_dir).persist())
     _, pred = models.fit_and_score(_page_stages() + [est], train, test)
     rows = [
         models.metric_row(name, "accuracy", models.accuracy(pred), "accuracy"),

@@ -19,9 +19,16 @@ _KEPT_TOKENS_SQL = f"""
     tf AS (SELECT term, count(*) AS n FROM kept GROUP BY term)"""
 
 
+def _docs(spark, sf_dir):
+    return load(spark, sf_dir, "documents", spread=True).select("doc_id", "text")
+
+
 def _filtered(spark, sf_dir):
-    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
-    return text.remove_stop_words(text.tokenize(docs, "text", "words"), "words", "filtered")
+    return text.remove_stop_words(text.tokenize(_docs(spark, sf_dir), "text", "words"), "words", "filtered")
+
+
+def _terms(spark, sf_dir):
+    return text.corpus_terms(_docs(spark, sf_dir), "text")
 
 
 @register(
@@ -30,7 +37,7 @@ def _filtered(spark, sf_dir):
 )
 def token_counts(spark, sf_dir):
     """Words per document."""
-    docs = text.tokenize(load(spark, sf_dir, "documents").select("doc_id", "text"), "text", "words")
+    docs = text.tokenize(_docs(spark, sf_dir), "text", "words")
     return docs.select("doc_id", F.size("words").cast("int").alias("n_tokens"))
 
 
@@ -50,13 +57,13 @@ def stopword_filtered(spark, sf_dir):
 @register("term_frequency", sql=f"WITH {_KEPT_TOKENS_SQL} SELECT term, n FROM tf")
 def term_frequency(spark, sf_dir):
     """Occurrences of every kept term over the corpus."""
-    return text.term_frequency(_filtered(spark, sf_dir), "filtered")
+    return text.term_frequency(_terms(spark, sf_dir))
 
 
 @register("rarest_terms", sql=f"WITH {_KEPT_TOKENS_SQL} SELECT term, n FROM tf ORDER BY n, term LIMIT 20")
 def rarest_terms(spark, sf_dir):
     """The 20 least frequent kept terms."""
-    return text.rarest_terms(text.term_frequency(_filtered(spark, sf_dir), "filtered"), 20)
+    return text.rarest_terms(text.term_frequency(_terms(spark, sf_dir)), 20)
 
 
 @register(
@@ -72,7 +79,7 @@ def rarest_terms(spark, sf_dir):
 def rare_word_filter(spark, sf_dir):
     """Kept words per document once the 20 rarest terms are dropped too."""
     f = _filtered(spark, sf_dir)
-    rare = text.rarest_terms(text.term_frequency(f, "filtered"), 20)
+    rare = text.rarest_terms(text.term_frequency(_terms(spark, sf_dir)), 20)
     out = text.drop_terms(f, "filtered", rare, out="kept")
     return out.select("doc_id", F.size("kept").cast("int").alias("n_kept"))
 
@@ -101,7 +108,7 @@ def doc_class_sizes(spark, sf_dir):
 def stem_conflation(spark, sf_dir):
     """Each distinct kept term and its Porter stem (the vocabulary shrinks to the
     distinct stems)."""
-    return text.stem_vocabulary(_filtered(spark, sf_dir), "filtered")
+    return text.stem_vocabulary(_terms(spark, sf_dir))
 
 
 def _w2v(spark, sf_dir):
@@ -120,6 +127,6 @@ def word_vectors(spark, sf_dir):
 @register("synonyms")
 def synonyms(spark, sf_dir):
     """The ten words nearest (cosine) to the most frequent kept word."""
-    model, f = _w2v(spark, sf_dir)
-    top_word = text.term_frequency(f, "filtered").orderBy(F.desc("n"), "term").limit(1).agg(F.first("term")).scalar()
+    model, _ = _w2v(spark, sf_dir)
+    top_word = text.term_frequency(_terms(spark, sf_dir)).orderBy(F.desc("n"), "term").limit(1).agg(F.first("term")).scalar()
     return text.nearest_words(text.word_vectors(model), top_word, 10).select("word", "similarity")

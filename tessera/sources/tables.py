@@ -10,11 +10,23 @@ TABLES = (
 ).split()
 
 
-def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Lazily scan one table. Column pruning and filters reach the parquet scan later."""
+def load(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    """Lazily scan one table. Column pruning and filters still reach the parquet scan.
+
+    With ``spread``, a scan that yields fewer splits than the session has task slots (one
+    large file with one row group, as in small test data) is dealt round-robin over all
+    slots, so per-row work (tokenizing, model features) does not run in one task. Filters
+    and projections are pushed below that exchange. A table stored as many files or row
+    groups already has enough splits and is read as is.
+    """
     if name not in TABLES:
         raise KeyError(f"unknown table {name!r}")
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    if spread:
+        slots = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < slots:
+            df = df.repartition(slots)
+    return df
 
 
 def load_all(spark: SparkSession, sf_dir: str, names=TABLES) -> dict[str, DataFrame]:

@@ -18,6 +18,13 @@ def test_tokenize_and_stop_words(spark):
     assert got[3] == []
 
 
+def test_corpus_terms_equal_filtered_arrays(spark):
+    f = text.remove_stop_words(text.tokenize(_docs(spark), "text"), "words")
+    from_arrays = sorted(r[0] for r in f.select(F.explode("filtered")).collect())
+    direct = sorted(r.term for r in text.corpus_terms(_docs(spark), "text").collect())
+    assert from_arrays == direct
+
+
 def test_tokenizer_stage_matches_function(spark):
     docs = _docs(spark)
     a = {r.doc_id: r.words for r in text.tokenize(docs, "text").collect()}
@@ -27,7 +34,8 @@ def test_tokenizer_stage_matches_function(spark):
 
 def test_rare_terms_and_drop(spark):
     f = text.remove_stop_words(text.tokenize(_docs(spark), "text"), "words")
-    tf = text.term_frequency(f, "filtered")
+    tf = text.term_frequency(text.corpus_terms(_docs(spark), "text"))
+    assert dict(tf.collect())["robots"] == 2
     rare = text.rarest_terms(tf, 2)
     assert [r.term for r in rare.collect()] == ["end", "rare"]
     kept = text.drop_terms(f, "filtered", rare, out="kept")
@@ -36,7 +44,7 @@ def test_rare_terms_and_drop(spark):
 
 def test_stems_conflate_vocabulary(spark):
     f = text.remove_stop_words(text.tokenize(_docs(spark), "text"), "words")
-    stems = {r.term: r.stem for r in text.stem_vocabulary(f, "filtered").collect()}
+    stems = {r.term: r.stem for r in text.stem_vocabulary(text.corpus_terms(_docs(spark), "text")).collect()}
     assert stems["robots"] == "robot" and stems["running"] == "run"
     assert len(set(stems.values())) < len(stems)
     out = text.stem_tokens(f, "doc_id", "filtered")

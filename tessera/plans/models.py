@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions import dates
 from tessera.functions.strings import tokens
-from tessera.operators import clusters, models, splits, text
+from tessera.operators import clusters, models, profile, splits, text
 from tessera.plans.registry import r6, register
 from tessera.sources.tables import load
 
@@ -36,6 +36,46 @@ def ratings(spark, sf_dir) -> DataFrame:
     )
 
 
+_RATINGS_SQL = """
+    r AS (SELECT CAST(o.o_custkey AS INTEGER) AS "user", CAST(l.l_partkey AS INTEGER) AS item,
+                 CAST(floor(avg(l.l_quantity) / 10.01) + 1 AS FLOAT) AS rating
+          FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+          GROUP BY o.o_custkey, l.l_partkey)"""
+
+
+@register("ratings_table", sql=f'WITH {_RATINGS_SQL} SELECT "user", item, rating FROM r')
+def ratings_table(spark, sf_dir):
+    """The ALS input: one rating per (customer, part) pair, from the mean quantity."""
+    return ratings(spark, sf_dir)
+
+
+@register(
+    "rating_distribution",
+    sql=f"WITH {_RATINGS_SQL} SELECT rating, count(*) AS n FROM r GROUP BY rating ORDER BY rating",
+)
+def rating_distribution(spark, sf_dir):
+    """A05 on the ratings: how many ratings of each value."""
+    return ratings(spark, sf_dir).groupBy("rating").agg(F.count(F.lit(1)).alias("n")).orderBy("rating")
+
+
+@register(
+    "ratings_per_user",
+    sql=f"""
+    WITH {_RATINGS_SQL}, u AS (SELECT "user", count(*) AS n FROM r GROUP BY "user")
+    SELECT count(*) AS n_users, min(n) AS min_n, max(n) AS max_n, round(median(n), 6) AS median_n,
+           round(avg(n), 6) AS mean_n
+    FROM u""",
+)
+def ratings_per_user(spark, sf_dir):
+    """Ratings per user (no group kept), then their min, max, exact median, mean."""
+    per_user = ratings(spark, sf_dir).groupBy("user").agg(F.count(F.lit(1)).alias("n"))
+    median_n = profile.median(per_user, "n", "median_n").select(r6("median_n")).scalar()
+    stats = per_user.agg(
+        F.count(F.lit(1)).alias("n_users"), F.min("n").alias("min_n"), F.max("n").alias("max_n"), r6(F.avg("n")).alias("mean_n")
+    )
+    return stats.select("n_users", "min_n", "max_n", median_n.alias("median_n"), "mean_n")
+
+
 @register("als_factors")
 def als_factors(spark, sf_dir):
     """ALS (rank 10, 5 iterations, reg 0.01) and the mean of every user's
@@ -232,7 +272,7 @@ def regression_compare(spark, sf_dir):
 )
 def linreg_simple(spark, sf_dir):
     """One-feature least squares (no regularisation) and its in-sample RMSE."""
-    li = load(spark, sf_dir, "lineitem").select("l_quantity", F.col("l_extendedprice").alias("label"))
+    li = load(spark, sf_dir, "lineitem", spread=True).select("l_quantity", F.col("l_extendedprice").alias("label"))
     data = VectorAssembler(inputCols=["l_quantity"], outputCol="features").transform(li)
     model = models.linear_regression(reg=0.0, elastic_net=0.0, max_iter=100).setSolver("normal").fit(data)
     err = models.rmse(model.transform(data))

@@ -237,6 +237,12 @@ def flags_to_names(spark, sf_dir):
 BASE_YEAR = 2002
 
 
+def _day_month_year(ts):
+    """``dd-MM-yyyy`` text from date parts: no formatter per row, no time-zone cast."""
+    two = lambda c: F.lpad(c.cast("string"), 2, "0")
+    return F.concat_ws("-", two(F.dayofmonth(ts)), two(F.month(ts)), F.lpad(F.year(ts).cast("string"), 4, "0"))
+
+
 @register(
     "year_from_text",
     sql=f"""
@@ -258,7 +264,7 @@ def year_from_text(spark, sf_dir):
     text = (
         F.when(F.col("o_orderpriority") == "5-LOW", F.lit(""))
         .when(F.col("o_orderstatus") == "P", F.lit("unknown"))
-        .otherwise(F.date_format("o_orderdate", "dd-MM-yyyy"))
+        .otherwise(_day_month_year("o_orderdate"))
     )
     y = o.select("o_orderkey", strings.year_from_text(text).alias("year"))
     known_mean = y.where(F.col("year") != 1900).agg(F.avg("year")).scalar()

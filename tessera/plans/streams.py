@@ -62,6 +62,31 @@ def revenue_per_user(spark, sf_dir):
     return state.select("user_id", "n_purchases", r6("revenue").alias("revenue"))
 
 
+@register(
+    "purchase_metrics_stream",
+    sql="""
+    SELECT CAST(0 AS BIGINT) AS batch_id, count(*) AS n_purchases, count(DISTINCT user_id) AS unique_users,
+           round(sum(value), 6) AS revenue
+    FROM events""",
+)
+def purchase_metrics_stream(spark, sf_dir):
+    """ST04a-c ST09 S13: per-batch purchase metrics written by ``foreachBatch`` to a table
+    keyed by batch id (the events file arrives as one batch)."""
+    base = streams.scratch_dir(spark, "purchase_metrics")
+    events = _event_stream(spark, sf_dir).select(
+        F.col("user_id").alias("user"), F.col("event_type").alias("product"), F.col("value").alias("price")
+    )
+    q = (
+        events.writeStream.option("checkpointLocation", f"{base}/checkpoint")
+        .foreachBatch(streams.metrics_sink(f"{base}/metrics"))
+        .trigger(availableNow=True)
+        .start()
+    )
+    q.awaitTermination()
+    m = spark.read.parquet(f"{base}/metrics")
+    return m.select(F.col("batch_id").cast("long").alias("batch_id"), "n_purchases", "unique_users", r6("revenue").alias("revenue"))
+
+
 def labelled_lines(events):
     """``label<TAB>features`` text lines built from events (value ~ hour, minute, k)."""
     k = F.get_json_object("props", "$.k")

@@ -34,7 +34,7 @@ def weighted_recall(df: DataFrame, label: str = "label", prediction: str = "pred
     per_class = df.groupBy(label).agg(
         F.count(F.lit(1)).alias("n_c"), F.sum((F.col(label) == F.col(prediction)).cast("double")).alias("tp")
     )
-    return per_class.agg((F.sum("tp") / F.sum("n_c")).alias("weighted_recall"))
+    return per_class.agg(F.try_divide(F.sum("tp"), F.sum("n_c")).alias("weighted_recall"))
 
 
 def rmse(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:

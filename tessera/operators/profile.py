@@ -24,7 +24,7 @@ def table_counts(df: DataFrame, distinct_cols: Sequence[str], ratio_of: str | No
     aggs += [F.countDistinct(c).alias(f"n_distinct_{c}") for c in distinct_cols]
     out = df.agg(*aggs)
     if ratio_of is not None:
-        out = out.withColumn(f"rows_per_{ratio_of}", F.col("n_rows") / F.col(f"n_distinct_{ratio_of}"))
+        out = out.withColumn(f"rows_per_{ratio_of}", F.try_divide(F.col("n_rows"), F.col(f"n_distinct_{ratio_of}")))
     return out
 
 
@@ -109,5 +109,5 @@ def histogram(df: DataFrame, col: str, bins: int = 20, density: bool = False) ->
         )
     )
     if density:
-        out = out.withColumn("density", F.col("n") / (total * width))
+        out = out.withColumn("density", F.try_divide(F.col("n"), total * width))
     return out

@@ -18,7 +18,7 @@ from pyspark.sql.types import StringType
 from tessera.functions import porter
 from tessera.functions.stopwords import ENGLISH_STOP_WORDS
 from tessera.functions.strings import WORD_PATTERN, tokens
-from tessera.operators.joins import bounded_broadcast
+from tessera.operators.joins import bounded_broadcast, fits
 
 MAX_BROADCAST_VOCAB = 2_000_000
 
@@ -62,16 +62,41 @@ def rarest_terms(freq: DataFrame, k: int = 20, term: str = "term", name: str = "
     return freq.orderBy(name, term).limit(k)
 
 
-def drop_terms(df: DataFrame, words_col: str, terms: DataFrame, term: str = "term", out: str | None = None) -> DataFrame:
+MAX_INLINE_TERMS = 10_000
+
+
+def drop_terms(
+    df: DataFrame,
+    words_col: str,
+    terms: DataFrame,
+    term: str = "term",
+    out: str | None = None,
+    key: str | None = None,
+    max_inline: int = MAX_INLINE_TERMS,
+) -> DataFrame:
     """Remove every occurrence of the listed terms from each token array.
 
-    ``terms`` must be a short list (e.g. :func:`rarest_terms`): it is folded into one array
-    by a scalar subquery, evaluated once, and tested per token in the JVM.
+    A short list (checked: at most ``max_inline`` rows, e.g. :func:`rarest_terms`) is folded
+    into one array by a scalar subquery, evaluated once, and tested per token in the JVM.
+    A longer list is applied by an anti-join on the exploded tokens, which are regrouped
+    per ``key`` (a row identifier, required then) in their original order.
     """
-    listed = terms.agg(F.collect_list(term)).scalar()
-    with_list = df.withColumn("_listed", listed)  # subqueries may not sit inside a lambda
-    kept = F.filter(F.col(words_col), lambda w: ~F.array_contains(F.col("_listed"), w))
-    return with_list.withColumn(out or words_col, kept).drop("_listed")
+    out = out or words_col
+    if fits(terms, max_inline):
+        listed = terms.agg(F.collect_list(term)).scalar()
+        with_list = df.withColumn("_listed", listed)  # subqueries may not sit inside a lambda
+        kept = F.filter(F.col(words_col), lambda w: ~F.array_contains(F.col("_listed"), w))
+        return with_list.withColumn(out, kept).drop("_listed")
+    if key is None:
+        raise ValueError("a term list this long is applied by a join: pass key= (a row id)")
+    exploded = df.select(key, F.posexplode(words_col).alias("_pos", "_term"))
+    kept = exploded.join(terms.select(F.col(term).alias("_term")), "_term", "left_anti")
+    regrouped = kept.groupBy(key).agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("_pos", "_term"))), lambda s: s["_term"]).alias("_kept")
+    )
+    empty = F.array().cast("array<string>")
+    joined = df.join(regrouped, key, "left").withColumn("_kept", F.coalesce("_kept", empty))
+    return joined.drop(out).withColumnRenamed("_kept", out) if out in df.columns else joined.withColumnRenamed("_kept", out)
 
 
 @F.pandas_udf(StringType())
@@ -124,6 +149,6 @@ def nearest_words(vectors: DataFrame, word: str | Column, k: int = 10) -> DataFr
     v = v.where(F.col("word") != word).withColumn("_t", target)  # subqueries may not sit inside a lambda
     dot = F.aggregate(F.zip_with("v", "_t", lambda a, b: a * b), F.lit(0.0), lambda acc, x: acc + x)
     norm = lambda a: F.sqrt(F.aggregate(F.transform(a, lambda x: x * x), F.lit(0.0), lambda acc, x: acc + x))
-    sims = v.select("word", (dot / (norm(F.col("v")) * norm(F.col("_t")))).alias("cos"))
+    sims = v.select("word", F.try_divide(dot, norm(F.col("v")) * norm(F.col("_t"))).alias("cos"))
     top = sims.orderBy(F.desc("cos"), "word").limit(k)
     return top.select("word", F.format_number("cos", 5).alias("similarity"), "cos")

@@ -111,6 +111,13 @@ def stem_conflation(spark, sf_dir):
     return text.stem_vocabulary(_terms(spark, sf_dir))
 
 
+@register("stem_vocab_sizes")
+def stem_vocab_sizes(spark, sf_dir):
+    """Distinct kept terms before and after stemming (the conflation the source reports)."""
+    stems = text.stem_vocabulary(_terms(spark, sf_dir))
+    return stems.agg(F.count(F.lit(1)).alias("n_terms"), F.countDistinct("stem").alias("n_stems"))
+
+
 def _w2v(spark, sf_dir):
     f = _filtered(spark, sf_dir)
     return text.word2vec(f, "filtered", vector_size=10, min_count=0, seed=42), f

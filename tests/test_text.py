@@ -68,3 +68,12 @@ def test_word2vec_vectors(spark):
     model = text.word2vec(f, "filtered", vector_size=4, seed=1)
     v = text.word_vectors(model)
     assert v.count() == f.select(F.explode("filtered")).distinct().count()
+
+
+def test_drop_terms_join_path_equals_inline_path(spark):
+    f = text.remove_stop_words(text.tokenize(_docs(spark), "text"), "words")
+    listed = spark.createDataFrame([("robots",), ("end",)], "term string")
+    inline = {r.doc_id: r.kept for r in text.drop_terms(f, "filtered", listed, out="kept").collect()}
+    joined = {r.doc_id: r.kept for r in text.drop_terms(f, "filtered", listed, out="kept", key="doc_id", max_inline=1).collect()}
+    assert inline == joined
+    assert joined[1] == ["robot", "running", "run"] and joined[3] == []

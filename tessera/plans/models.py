@@ -95,7 +95,7 @@ def _embeddings(spark, sf_dir):
 
 
 def _assign(spark, sf_dir, fit):
-    e = _embeddings(spark, sf_dir)
+    e = _embeddings(spark, sf_dir).persist()  # P14: read by every k-means iteration
     model = fit(e, k=5, seed=1, features="features", prediction="cluster")
     assigned = model.transform(e).select("vec_id", F.col("cluster").alias("prediction"), "arr")
     centres = models.centre_table(model, spark)
@@ -202,6 +202,7 @@ def _score(name, pred, label="label") -> DataFrame:
 
 
 def _split(df):
+    df = df.persist()  # P14: read by every fit and every optimizer iteration
     return df.where(F.col("part") == "train"), df.where(F.col("part") == "test")
 
 
@@ -273,7 +274,7 @@ def regression_compare(spark, sf_dir):
 def linreg_simple(spark, sf_dir):
     """One-feature least squares (no regularisation) and its in-sample RMSE."""
     li = load(spark, sf_dir, "lineitem", spread=True).select("l_quantity", F.col("l_extendedprice").alias("label"))
-    data = VectorAssembler(inputCols=["l_quantity"], outputCol="features").transform(li)
+    data = VectorAssembler(inputCols=["l_quantity"], outputCol="features").transform(li).persist()  # P14
     model = models.linear_regression(reg=0.0, elastic_net=0.0, max_iter=100).setSolver("normal").fit(data)
     err = models.rmse(model.transform(data))
     return err.select(
@@ -311,7 +312,7 @@ def _page_stages():
 
 def _classify(spark, sf_dir, name, est):
     # The feature table is read by several fits and every optimizer iteration
-    train, test = _split(page_table(spark, sf_dir).persist())
+    train, test = _split(page_table(spark, sf_dir))
     _, pred = models.fit_and_score(_page_stages() + [est], train, test)
     rows = [
         models.metric_row(name, "accuracy", models.accuracy(pred), "accuracy"),

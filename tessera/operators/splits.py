@@ -13,8 +13,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.operators.joins import bounded_broadcast
 from tessera.operators.positions import global_index
 
+MAX_BROADCAST_KEYS = 2_000_000
+
 
 def hash_split(df: DataFrame, keys: Sequence[str], train_share: int = 8, buckets: int = 10, seed: int = 42) -> Column:
     """L20, partition-independent: ``'train'`` when ``pmod(xxhash64(seed, keys), buckets) < train_share``.
@@ -43,9 +46,11 @@ def positional_folds(df: DataFrame, order: Sequence[str], k: int = 5, fold_col:
 def ordinal_within(df: DataFrame, key: str, order: Sequence[str], name: str = "ordinal") -> DataFrame:
     """1-based ordinal of each row inside its ``key`` in ``order`` (skew-safe)."""
     indexed = global_index(df, [key, *order], "_gpos")
-    starts = indexed.groupBy(key).agg(F.min("_gpos").alias("_start"))
+    starts = indexed.groupBy(key).agg(F.min("_gpos").alias("_start"))  # one row per key
+    # A small key table is broadcast, so rows of a hot key are never shuffled by key; a large
+    # one is joined by shuffle, where AQE splits a hot key's partition.
     return (
-        indexed.join(starts, key)
+        indexed.join(bounded_broadcast(starts, MAX_BROADCAST_KEYS), key)
         .withColumn(name, (F.col("_gpos") - F.col("_start") + 1).cast("long"))
         .drop("_gpos", "_start")
     )

@@ -90,7 +90,8 @@ def drop_terms(
     if key is None:
         raise ValueError("a term list this long is applied by a join: pass key= (a row id)")
     exploded = df.select(key, F.posexplode(words_col).alias("_pos", "_term"))
-    kept = exploded.join(terms.select(F.col(term).alias("_term")), "_term", "left_anti")
+    listed = bounded_broadcast(terms.select(F.col(term).alias("_term")), MAX_BROADCAST_VOCAB)
+    kept = exploded.join(listed, "_term", "left_anti")  # hot terms: broadcast, or AQE skew split
     regrouped = kept.groupBy(key).agg(
         F.transform(F.array_sort(F.collect_list(F.struct("_pos", "_term"))), lambda s: s["_term"]).alias("_kept")
     )

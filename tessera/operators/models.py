@@ -59,12 +59,25 @@ def evaluate_regressor(pred: DataFrame, metric: str = "rmse") -> float:
 
 
 def als(
-    ratings: DataFrame, user: str, item: str, rating: str, rank: int = 10, max_iter: int = 5, reg: float = 0.01, seed: int = 42
+    ratings: DataFrame,
+    user: str,
+    item: str,
+    rating: str,
+    rank: int = 10,
+    max_iter: int = 5,
+    reg: float = 0.01,
+    seed: int = 42,
+    blocks: int | None = None,
 ):
-    """Explicit-feedback ALS; unseen users/items are dropped at prediction time."""
+    """Explicit-feedback ALS; unseen users/items are dropped at prediction time.
+
+    User and item blocks default to the session's parallelism (one block per task slot)
+    rather than a fixed 10, so the factor updates spread over the whole cluster.
+    """
+    blocks = blocks or ratings.sparkSession.sparkContext.defaultParallelism
     est = ALS(
         rank=rank, maxIter=max_iter, regParam=reg, userCol=user, itemCol=item, ratingCol=rating,
-        coldStartStrategy="drop", seed=seed,
+        coldStartStrategy="drop", seed=seed, numUserBlocks=blocks, numItemBlocks=blocks,
     )
     return est.fit(ratings)
 

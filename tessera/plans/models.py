@@ -80,7 +80,7 @@ def ratings_per_user(spark, sf_dir):
 def als_factors(spark, sf_dir):
     """ALS (rank 10, 5 iterations, reg 0.01) and the mean of every user's
     and item's factor vector."""
-    model = models.als(ratings(spark, sf_dir), "user", "item", "rating")
+    model = models.als(ratings(spark, sf_dir).persist(), "user", "item", "rating")  # P14
     return models.factor_means(model).select("kind", "id", r6("f_mean").alias("f_mean"))
 
 

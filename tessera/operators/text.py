@@ -34,9 +34,18 @@ def tokenizer_stage(text_col: str, out: str = "words") -> RegexTokenizer:
 
 
 def remove_stop_words(df: DataFrame, words_col: str, out: str = "filtered", stop_words=ENGLISH_STOP_WORDS) -> DataFrame:
-    """``StopWordsRemover`` (hash-set lookup in the JVM) with the English list."""
-    remover = StopWordsRemover(inputCol=words_col, outputCol=out, stopWords=list(stop_words), caseSensitive=False)
-    return remover.transform(df)
+    """Drop stop words (case-insensitive), keeping order and repeats.
+
+    A built-in ``filter`` with a hash-set ``isin``: same result as ``StopWordsRemover`` with
+    ``caseSensitive=False``, without converting each array to and from JVM objects.
+    """
+    listed = [w.lower() for w in stop_words]
+    return df.withColumn(out, F.filter(F.col(words_col), lambda w: ~F.lower(w).isin(listed)))
+
+
+def stop_words_stage(words_col: str, out: str = "filtered", stop_words=ENGLISH_STOP_WORDS) -> StopWordsRemover:
+    """M10 as an ML stage for pipelines."""
+    return StopWordsRemover(inputCol=words_col, outputCol=out, stopWords=list(stop_words), caseSensitive=False)
 
 
 def corpus_terms(df: DataFrame, text_col: str, keys=(), stop_words=ENGLISH_STOP_WORDS, term: str = "term") -> DataFrame:

@@ -77,3 +77,10 @@ def test_drop_terms_join_path_equals_inline_path(spark):
     joined = {r.doc_id: r.kept for r in text.drop_terms(f, "filtered", listed, out="kept", key="doc_id", max_inline=1).collect()}
     assert inline == joined
     assert joined[1] == ["robot", "running", "run"] and joined[3] == []
+
+
+def test_stop_word_filter_equals_ml_stage(spark):
+    docs = spark.createDataFrame([(1, ["The", "robot", "and", "THE", "robots", "it's"])], "doc_id long, words array<string>")
+    ours = text.remove_stop_words(docs, "words").first().filtered
+    ml = text.stop_words_stage("words").transform(docs).first().filtered
+    assert ours == ml == ["robot", "robots"]

@@ -27,9 +27,17 @@ _LOCAL_MASK = (1 << _LOCAL_BITS) - 1
 
 
 def sorted_checkpoint(df: DataFrame, order: Sequence[str | Column]) -> DataFrame:
-    """Range-partition and sort ``df``, then cut lineage in the shared checkpoint folder."""
+    """Range-partition and sort ``df``, then cut lineage in the shared checkpoint folder.
+
+    The input is held (memory and disk) only while the sort's range sampling and the
+    checkpoint write both read it, so it is computed once, then released.
+    """
     ensure_checkpoint_dir(df.sparkSession)
-    return df.orderBy(*order).checkpoint(eager=True)
+    held = df.persist()
+    try:
+        return held.orderBy(*order).checkpoint(eager=True)
+    finally:
+        held.unpersist()
 
 
 def _partition_offsets(sizes: DataFrame, size_col: str) -> DataFrame:
@@ -99,8 +107,8 @@ def exact_quantile(df: DataFrame, col: str, q: float = 0.5, alias: str | None =
         raise ValueError("q must be in [0, 1]")
     alias = alias or f"q_{col}"
     counts = df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_c"))
-    n = counts.agg(F.sum("_c")).scalar()
     cum = running_total(counts, [col], "_c", "_cum")
+    n = cum.agg(F.max("_cum")).scalar()  # from the checkpoint: the data is not read again
     p = F.lit(q) * (n - 1)
     first = F.col("_cum") - F.col("_c")  # 0-based rank of the first copy of this value
     marked = cum.select(

@@ -28,9 +28,10 @@ def table_counts(df: DataFrame, distinct_cols: Sequence[str], ratio_of: str | No
     return out
 
 
-def distinct_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Distinct rows of the given columns."""
-    return df.select(*cols).distinct()
+def distinct_values(df: DataFrame, cols: Sequence[str], sort: bool = False) -> DataFrame:
+    """Distinct rows of the given columns (sorted by them with ``sort``, D03)."""
+    out = df.select(*cols).distinct()
+    return out.orderBy(*cols) if sort else out
 
 
 def count_by(df: DataFrame, keys: Sequence[str], name: str = "n") -> DataFrame:

@@ -64,10 +64,10 @@ def table_counts(spark, sf_dir):
     return out.withColumn("rows_per_l_orderkey", r6("rows_per_l_orderkey"))
 
 
-@register("distinct_values", sql="SELECT DISTINCT p_brand, p_type FROM part")
+@register("distinct_values", sql="SELECT DISTINCT p_brand, p_type FROM part ORDER BY p_brand, p_type")
 def distinct_values(spark, sf_dir):
     """A02 U02."""
-    return profile.distinct_values(load(spark, sf_dir, "part"), ["p_brand", "p_type"])
+    return profile.distinct_values(load(spark, sf_dir, "part"), ["p_brand", "p_type"], sort=True)
 
 
 @register(

@@ -21,23 +21,23 @@ def _write(path, lines, encoding="utf-8"):
 @pytest.fixture(scope="module")
 def movie_files():
     d = tempfile.mkdtemp(prefix="tessera-ml-")
-    _write(f"{d}/u.user", ["1|24|M|technician|85711", "2|53|F|other|94043", "3|23|M|writer|32067",
+    _write(f"{d}/users.psv", ["1|24|M|technician|85711", "2|53|F|other|94043", "3|23|M|writer|32067",
                             "4|24|M|technician|43537", "5|33|F|other|15213", "6|42|M|executive|T8H1N"])
     rows = []
     for i, (title, date) in enumerate([("Seven (Se7en) (1995)", "01-Jan-1995"), ("Toy Story (1995)", "01-Jan-1995"),
                                        ("A (b c) (1999)", "01-Jan-1999"), ("No Date", ""), ("Heat (1995)", "15-Dec-1995")], start=1):
         flags = ["1" if (g % 5) == (i % 5) or g == i else "0" for g in range(19)]
         rows.append("|".join([str(i), title, date, "", "http://x"] + flags))
-    _write(f"{d}/u.item", rows, encoding="latin-1")
-    _write(f"{d}/u.genre", [f"kind{g}|{g}" for g in range(19)] + [""])
+    _write(f"{d}/items.psv", rows, encoding="latin-1")
+    _write(f"{d}/genres.psv", [f"kind{g}|{g}" for g in range(19)] + [""])
     rnd = random.Random(7)
     ratings = [f"{u}\t{i}\t{rnd.randint(1, 5)}\t{880000000 + 3600 * rnd.randint(0, 48)}" for u in range(1, 7) for i in range(1, 6) if (u + i) % 4]
-    _write(f"{d}/u.data", ratings)
+    _write(f"{d}/ratings.tsv", ratings)
     return d
 
 
 def test_movielens_exploration(spark, movie_files):
-    users = movielens.read_users(spark, f"{movie_files}/u.user")
+    users = movielens.read_users(spark, f"{movie_files}/users.psv")
     o = movielens.user_overview(users).first()
     assert (o.n_users, o.n_genders, o.n_occupations, o.min_age, o.max_age) == (6, 2, 4, 23, 53)
     occ = movielens.occupation_counts(users).collect()
@@ -47,7 +47,7 @@ def test_movielens_exploration(spark, movie_files):
     assert halves[1] == 42855.5 and halves[6] is None
     vec = movielens.occupation_one_hot(users).select("occ_idx_vec").first()[0]
     assert vec.size == 3
-    items = movielens.read_items(spark, f"{movie_files}/u.item")
+    items = movielens.read_items(spark, f"{movie_files}/items.psv")
     years = {r.itemid: (r.year, r.year_filled) for r in movielens.release_years(items).collect()}
     assert years[4][0] == 1900 and years[4][1] == pytest.approx((1995 * 3 + 1999) / 4)
     vocab, bag = movielens.title_terms(items)
@@ -56,9 +56,9 @@ def test_movielens_exploration(spark, movie_files):
 
 
 def test_movielens_ratings_and_genres(spark, movie_files):
-    ratings = movielens.read_ratings(spark, f"{movie_files}/u.data")
-    items = movielens.read_items(spark, f"{movie_files}/u.item")
-    genres = movielens.read_genres(spark, f"{movie_files}/u.genre")
+    ratings = movielens.read_ratings(spark, f"{movie_files}/ratings.tsv")
+    items = movielens.read_items(spark, f"{movie_files}/items.psv")
+    genres = movielens.read_genres(spark, f"{movie_files}/genres.psv")
     assert genres.count() == 19
     ov = movielens.rating_overview(ratings).first()
     vals = [r.rating for r in ratings.collect()]
@@ -72,9 +72,9 @@ def test_movielens_ratings_and_genres(spark, movie_files):
 
 
 def test_movie_clusters(spark, movie_files):
-    ratings = movielens.read_ratings(spark, f"{movie_files}/u.data")
-    items = movielens.read_items(spark, f"{movie_files}/u.item")
-    genres = movielens.read_genres(spark, f"{movie_files}/u.genre")
+    ratings = movielens.read_ratings(spark, f"{movie_files}/ratings.tsv")
+    items = movielens.read_items(spark, f"{movie_files}/items.psv")
+    genres = movielens.read_genres(spark, f"{movie_files}/genres.psv")
     out = movielens.movie_clusters(ratings, items, genres, k=2, seed=1, top=2)
     assert sum(r["size"] for r in out["sizes"].collect()) == items.join(ratings, "itemid", "left_semi").count()
     assert {r.model for r in out["costs"].collect()} == {"kmeans", "bisecting_kmeans"}
@@ -92,8 +92,8 @@ def test_evergreen_compare(spark):
         xs = [("?" if rnd.random() < 0.1 else f"{rnd.gauss(label, 1):.3f}") for _ in range(9)]
         cat = rnd.choice(["business", "sports", "?"])
         lines.append("\t".join(f'"{v}"' for v in [f"http://p{i}", str(i), "{}", cat] + xs + [str(label)]))
-    _write(f"{d}/train.tsv", lines)
-    raw = quoted_tsv(spark, f"{d}/train.tsv")
+    _write(f"{d}/pages.tsv", lines)
+    raw = quoted_tsv(spark, f"{d}/pages.tsv")
     clean = evergreen.clean_table(raw)
     assert dict(clean.dtypes)["x0"] == "double" and clean.where(F.col("x0") < 0).count() == 0
     out = evergreen.compare_classifiers(raw).collect()
@@ -111,8 +111,8 @@ def test_bike_hours_compare(spark):
         cnt = 20 + 10 * (hr in (8, 17, 18)) * 10 + rnd.randint(0, 5)
         casual = cnt // 3
         lines.append(f"{i + 1},2011-01-{1 + i // 24:02d},1,0,1,{hr},0,{(i // 24) % 7},1,{1 + hr % 3},{rnd.random():.2f},{rnd.random():.2f},{rnd.random():.2f},{rnd.random():.2f},{casual},{cnt - casual},{cnt}")
-    _write(f"{d}/hour.csv", lines)
-    hours = csv_with_header(spark, f"{d}/hour.csv", bike_hours.SCHEMA)
+    _write(f"{d}/hours.csv", lines)
+    hours = csv_with_header(spark, f"{d}/hours.csv", bike_hours.SCHEMA)
     prep = bike_hours.prepare(hours)
     assert "casual" not in prep.columns and prep.where(F.col("isWeekend") == 1.0).count() > 0
     out = bike_hours.compare_regressors(hours).collect()

@@ -34,12 +34,12 @@ def test_text_and_delimited(spark):
 
 def test_quoted_tsv_and_csv_header(spark):
     d = tempfile.mkdtemp(prefix="tessera-src-")
-    _write(f"{d}/train.tsv", '"url"\t"alchemy_category"\t"x"\t"label"\n"http://a"\t"business"\t"?"\t"1"\n"http://b"\t"?"\t"0.5"\t"0"\n')
-    t = readers.quoted_tsv(spark, f"{d}/train.tsv")
+    _write(f"{d}/pages.tsv", '"url"\t"alchemy_category"\t"x"\t"label"\n"http://a"\t"business"\t"?"\t"1"\n"http://b"\t"?"\t"0.5"\t"0"\n')
+    t = readers.quoted_tsv(spark, f"{d}/pages.tsv")
     assert t.columns == ["url", "alchemy_category", "x", "label"] and t.count() == 2
     assert sorted(r.x for r in t.collect()) == ["0.5", "?"]
-    _write(f"{d}/hour.csv", "instant,dteday,cnt\n1,2011-01-01,16\n2,2011-01-01,40\n")
-    h = readers.csv_with_header(spark, f"{d}/hour.csv", "instant INT, dteday DATE, cnt INT")
+    _write(f"{d}/hours.csv", "instant,dteday,cnt\n1,2011-01-01,16\n2,2011-01-01,40\n")
+    h = readers.csv_with_header(spark, f"{d}/hours.csv", "instant INT, dteday DATE, cnt INT")
     assert h.agg(F.sum("cnt")).first()[0] == 56
 
 

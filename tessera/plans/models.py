@@ -29,7 +29,7 @@ from tessera.sources.tables import load
 def ratings(spark, sf_dir) -> DataFrame:
     """(user, item, rating 1-5) from orders x lineitem, one row per (customer, part)."""
     o = load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    li = load(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
+    li = load(spark, sf_dir, "lineitem", spread=True).select("l_orderkey", "l_partkey", "l_quantity")
     pairs = li.join(o, li.l_orderkey == o.o_orderkey)
     return pairs.groupBy(F.col("o_custkey").cast("int").alias("user"), F.col("l_partkey").cast("int").alias("item")).agg(
         (F.floor(F.avg("l_quantity") / 10.01) + 1).cast("float").alias("rating")

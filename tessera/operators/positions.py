@@ -109,9 +109,11 @@ def exact_quantile(df: DataFrame, col: str, q: float = 0.5, alias: str | None =
     counts = df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_c"))
     cum = running_total(counts, [col], "_c", "_cum")
     n = cum.agg(F.max("_cum")).scalar()  # from the checkpoint: the data is not read again
-    p = F.lit(q) * (n - 1)
+    # the scalar is attached once as a column, then only the column is referenced
+    with_p = cum.withColumn("_p", F.lit(q) * (n - 1))
+    p = F.col("_p")
     first = F.col("_cum") - F.col("_c")  # 0-based rank of the first copy of this value
-    marked = cum.select(
+    marked = with_p.select(
         F.col(col).cast("double").alias("_v"),
         ((first <= F.floor(p)) & (F.floor(p) < F.col("_cum"))).alias("_is_lo"),
         ((first <= F.ceil(p)) & (F.ceil(p) < F.col("_cum"))).alias("_is_hi"),

@@ -90,25 +90,26 @@ def histogram(df: DataFrame, col: str, bins: int = 20, density: bool = False) ->
         raise ValueError("bins must be >= 1")
     x = F.col(col).cast("double")
     vals = df.select(x.alias("_x")).where(F.col("_x").isNotNull())
-    lo = vals.agg(F.min("_x")).scalar()
-    hi = vals.agg(F.max("_x")).scalar()
-    total = vals.agg(F.count(F.lit(1))).scalar()
+    stats = vals.agg(
+        F.struct(F.min("_x").alias("lo"), F.max("_x").alias("hi"), F.count(F.lit(1)).alias("total")).alias("s")
+    ).scalar()
+    # one scalar subquery, attached once as a column; later expressions use the column
+    framed = vals.withColumn("_s", stats)
+    lo, hi = F.col("_s.lo"), F.col("_s.hi")
     width = (hi - lo) / bins
     raw = F.floor((F.col("_x") - lo) / width).cast("long")
     idx = F.when(width == 0, F.lit(0)).otherwise(F.least(raw, F.lit(bins - 1)))
-    counts = vals.select(idx.alias("bin")).groupBy("bin").agg(F.count(F.lit(1)).alias("n"))
+    counts = framed.select(idx.alias("bin")).groupBy("bin").agg(F.count(F.lit(1)).alias("n"))
     spark = df.sparkSession
-    out = (
-        spark.range(bins)
-        .withColumnRenamed("id", "bin")
-        .join(counts, "bin", "left")
-        .select(
-            "bin",
-            (lo + F.col("bin") * width).alias("lo"),
-            (lo + (F.col("bin") + 1) * width).alias("hi"),
-            F.coalesce(F.col("n"), F.lit(0)).alias("n"),
-        )
+    edges = spark.range(bins).withColumnRenamed("id", "bin").withColumn("_s", stats)
+    out = edges.join(counts, "bin", "left").select(
+        "bin",
+        (lo + F.col("bin") * width).alias("lo"),
+        (lo + (F.col("bin") + 1) * width).alias("hi"),
+        F.coalesce(F.col("n"), F.lit(0)).alias("n"),
+        F.col("_s.total").alias("_total"),
+        width.alias("_width"),
     )
     if density:
-        out = out.withColumn("density", F.try_divide(F.col("n"), total * width))
-    return out
+        out = out.withColumn("density", F.try_divide(F.col("n"), F.col("_total") * F.col("_width")))
+    return out.drop("_total", "_width")

@@ -9,6 +9,7 @@ from tessera.sources.tables import TABLES
 
 SMOKE = "/root/testdata/sf0.001"
 SQL = oracle_sql()
+TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "float": "FLOAT", "string": "VARCHAR", "boolean": "BOOLEAN"}
 HEAVY = {"gbt", "rforest", "regression_compare", "rf_classifier", "word_vectors", "synonyms"}
 
 
@@ -43,6 +44,9 @@ def test_matches_duckdb(spark, duck, name):
     cols = [d[0] for d in res.description]
     want = res.fetchall()
     assert sorted(df.columns) == sorted(cols)
+    rel = duck.sql(SQL[name])
+    duck_types = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    assert {c: TYPES.get(t, t) for c, t in df.dtypes} == duck_types
     assert _rows(df.columns, got) == _rows(cols, want)
 
 

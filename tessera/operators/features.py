@@ -19,7 +19,7 @@ from pyspark.ml.feature import (
     StringIndexer,
     VectorAssembler,
 )
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.strings import split_literal
@@ -113,12 +113,8 @@ def category_stages(cols: Sequence[str], handle_invalid: str = "error") -> list:
     ]
 
 
-def category_pipeline(cols: Sequence[str], numeric: Sequence[str], out: str = "features") -> Pipeline:
+def category_features(cols: Sequence[str], numeric: Sequence[str], out: str = "features") -> Pipeline:
     """M01+M02+M07 as one ML pipeline: categories one-hot, then assembled with numbers."""
     stages = category_stages(cols)
     stages.append(VectorAssembler(inputCols=[c + "_vec" for c in cols] + list(numeric), outputCol=out))
     return Pipeline(stages=stages)
-
-
-def column(c: str | Column) -> Column:
-    return F.col(c) if isinstance(c, str) else c

@@ -165,6 +165,9 @@ def regression_sink(metrics_dir: str, model_dir: str, save_after: int = 100_000,
         if batch.isEmpty():  # ST09
             return
         spark = batch.sparkSession
+        slots = spark.sparkContext.defaultParallelism
+        if batch.rdd.getNumPartitions() < slots:  # a batch from one file: spread the fit's work
+            batch = batch.repartition(slots)
         batch = batch.persist()
         try:
             lr = LinearRegression(maxIter=max_iter, regParam=reg, elasticNetParam=elastic_net)

@@ -160,3 +160,38 @@ def test_vocabulary_and_binary_bag(spark):
     assert {r.term: r.term_id for r in vocab.collect()} == {"bolt": 0, "red": 1, "ring": 2}
     bag = features.binary_bag(df, "k", "t", vocab)
     assert sorted((r.k, r.term_id, r.value) for r in bag.collect()) == [(1, 1, 1.0), (1, 2, 1.0), (2, 0, 1.0), (2, 1, 1.0)]
+
+
+def _skewed(spark, n=3000):
+    # one key holds a third of the rows
+    return spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 97 + 1).alias("k"),
+        ((F.col("id") * 7919) % 1009).cast("double").alias("v"),
+        F.col("id"),
+    ).repartition(9)
+
+
+def test_top_k_per_group_hot_key_matches_brute_force(spark):
+    df = _skewed(spark)
+    got = sorted((r.k, r.id) for r in ordering.top_k_per_group(df, ["k"], [F.desc("v"), "id"], 3).collect())
+    pdf = df.toPandas().sort_values(["k", "v", "id"], ascending=[True, False, True])
+    want = sorted((int(k), int(i)) for k, g in pdf.groupby("k") for i in g["id"].head(3))
+    assert got == want
+
+
+def test_frequency_index_hot_category(spark):
+    df = _skewed(spark)
+    idx = {r.k: r.k_index for r in features.frequency_index_table(df, "k").collect()}
+    assert idx[0] == 0 and sorted(idx.values()) == list(range(len(idx)))
+
+
+def test_exact_median_hot_value(spark):
+    df = _skewed(spark)
+    vals = sorted(r.k for r in df.collect())
+    want = (vals[len(vals) // 2 - 1] + vals[len(vals) // 2]) / 2
+    assert profile.median(df, "k").first()[0] == pytest.approx(want)
+
+
+def test_local_session_enables_skew_join(spark):
+    assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
+    assert spark.conf.get("spark.sql.adaptive.skewJoin.enabled") == "true"

@@ -33,18 +33,27 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/{name}-{uuid.uuid4().hex}"
 
 
-def line_stream(spark: SparkSession, path: str, fmt: str = "text", schema=None, max_files_per_trigger: int | None = None) -> DataFrame:
-    """A stream of new files under ``path``; text files give one ``value`` per line.
-
-    A socket or Kafka source can be used the same way (``spark.readStream.format(...)``); the
-    operators below only need the parsed columns.
+def line_stream(
+    spark: SparkSession,
+    path: str | None = None,
+    fmt: str = "text",
+    schema=None,
+    max_files_per_trigger: int | None = None,
+    **options,
+) -> DataFrame:
+    """A stream of lines: new files under ``path`` (text files give one ``value`` per
+    line), or any other source through ``fmt`` and its ``options``, e.g.
+    ``line_stream(spark, fmt="socket", host=h, port=p)`` or Kafka (then select
+    ``CAST(value AS STRING) AS value``). The operators below only need the ``value`` column.
     """
     reader = spark.readStream.format(fmt)
     if schema is not None:
         reader = reader.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.load(path)
+    for key, value in options.items():
+        reader = reader.option(key, value)
+    return reader.load(path) if path is not None else reader.load()
 
 
 def parse_purchases(lines: DataFrame, col: str = "value") -> DataFrame:

@@ -5,3 +5,11 @@ Structured Streaming query), so Catalyst plans it and it runs wherever the sessi
 """
 
 __version__ = "0.1.0"
+
+# Functions shipped to Python workers (Pandas UDFs, mapInPandas) are pickled by value, so
+# executors need no copy of this package on their path.
+import sys as _sys  # noqa: E402
+
+from pyspark import cloudpickle as _cloudpickle  # noqa: E402
+
+_cloudpickle.register_pickle_by_value(_sys.modules[__name__])

@@ -7,8 +7,6 @@ per token occurrence.
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 _VOWELS = frozenset("aeiou")
 
 # The rule tables of the published algorithm (suffix, replacement), in the
@@ -135,7 +133,6 @@ def _step5(w: str) -> str:
     return w
 
 
-@lru_cache(maxsize=65536)
 def stem(word: str) -> str:
     """Porter stem of a lower-case word; words of one or two letters are returned as is."""
     if word is None:

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from tessera.functions import porter
+from tessera.functions.porter import stem as porter_stem
 from tessera.functions.stopwords import ENGLISH_STOP_WORDS
 from tessera.functions.strings import WORD_PATTERN, tokens
 from tessera.operators.joins import bounded_broadcast, fits
@@ -111,7 +111,9 @@ def drop_terms(
 
 @F.pandas_udf(StringType())
 def _porter_stem(words: pd.Series) -> pd.Series:
-    return words.map(porter.stem)
+    # porter_stem is a plain function of this package: pickled by value with its helpers,
+    # so executors need no installed copy of the package
+    return words.map(porter_stem)
 
 
 def stem_vocabulary(terms: DataFrame, term: str = "term") -> DataFrame:

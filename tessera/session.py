@@ -25,6 +25,30 @@ LOCAL_DEFAULTS = {
 }
 
 
+# Suggested settings for a large cluster (about 100 TB of parquet, ~1000 executors). Passed by
+# the caller when building the session; the library never changes a running session.
+CLUSTER_SETTINGS = {
+    # AQE re-plans joins from real sizes, splits skewed join partitions and merges small ones
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    # start wide (~100 TB / 256 MB would be 400k; AQE coalesces down), scans of 512 MB splits
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.files.maxPartitionBytes": "512m",
+    # static broadcasts only for genuinely small sides; AQE may still broadcast at run time
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    # state of very many keys off-heap, checkpointed as changelogs
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # checkpoints are lineage cuts: remove their files once no plan refers to them
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+}
+
+
 def local_session(cores: int | str = "*", app: str = "tessera", **conf) -> SparkSession:
     """A ``local[cores]`` session with the settings the tests and bench assume."""
     builder = SparkSession.builder.master(f"local[{cores}]").appName(app)

@@ -43,6 +43,11 @@ def positional_folds(df: DataFrame, order: Sequence[str], k: int = 5, fold_col:
     return indexed.withColumn(fold_col, F.floor(F.col("_pos") / block).cast("long")).drop("_pos")
 
 
+def fold_split(folded: DataFrame, i: int, fold_col: str = "fold") -> tuple[DataFrame, DataFrame]:
+    """``(train, test)`` for split ``i``: test is fold ``i``, train is every other fold."""
+    return folded.where(F.col(fold_col) != i), folded.where(F.col(fold_col) == i)
+
+
 def ordinal_within(df: DataFrame, key: str, order: Sequence[str], name: str = "ordinal") -> DataFrame:
     """1-based ordinal of each row inside its ``key`` in ``order`` (skew-safe)."""
     indexed = global_index(df, [key, *order], "_gpos")

@@ -122,6 +122,13 @@ def test_positional_folds(spark):
     assert [r.fold for r in out] == [0, 0, 1, 1, 2, 2, 3, 3, 4, 4]
 
 
+def test_fold_split_partitions_rows(spark):
+    folded = splits.positional_folds(spark.range(10).withColumnRenamed("id", "row"), ["row"], 5)
+    train, test = splits.fold_split(folded, 2)
+    assert sorted(r.row for r in test.collect()) == [4, 5]
+    assert train.count() == 8 and train.join(test, "row", "left_semi").count() == 0
+
+
 def test_holdout_per_key_with_cap(spark):
     rows = [(1, "a"), (2, "a"), (3, "a"), (4, "b"), (5, "b")]
     df = spark.createDataFrame(rows, "pos long, user string")

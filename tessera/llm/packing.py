@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from tessera.llm.stage import kept_by_worker, written
 
 #: A space before white space, or white space beyond ASCII: such a text is tokenized whole.
-_UNSAFE = " [ \t\n\r\x0b\x0c\x1c-\x1f]|[\x85\xa0  -     　]"
+_UNSAFE = " [ \t\n\r\x0b\x0c\x1c-\x1f]|[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 
 
 class Encoder:

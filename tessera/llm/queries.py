@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from tessera.llm import packing
-from tessera.llm.stage import table
+from tessera.llm import packing, warc
+from tessera.llm.stage import shared_folder, table
 
 QUERIES = {}
 SQL = {}
@@ -14,6 +14,28 @@ def query(fn):
     return fn
 
 
+@query
+def op1_warc_dictionary(spark, sf_dir):
+    """Every page written to dictionary-compressed archives and read back."""
+    records = warc.with_record_types(table(spark, sf_dir, "pages"))
+    path = shared_folder(spark, "warc")
+    warc.write_archives(records, path, warc.train_dictionary(records))
+    return warc.read_archives(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+SQL["op1_warc_dictionary"] = """
+with p as (
+  select page_id, strlen(coalesce(html, '')) as payload_bytes, sha256(coalesce(html, '')) as payload_digest from pages
+), r as (
+  select *, case when payload_bytes >= 100 then min(page_id) over (partition by payload_digest) end as least from p
+)
+select page_id, payload_bytes, payload_digest,
+  case when least <> page_id then 'revisit' else 'response' end as record_type,
+  case when least <> page_id then least end as refers_to
+from r
+"""
+
+
 @query
 def op9_nnls_packing(spark, sf_dir):
     """Every document packed into windows of 1024 tokens."""

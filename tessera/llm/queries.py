@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tessera.llm import packing, warc
+from tessera.llm import decontaminate, gam, line_dedup, merkle, ngram_join, packing, suffix_dedup, toxicity, url_filter, warc
 from tessera.llm.stage import shared_folder, table
 
 QUERIES = {}
@@ -36,6 +36,61 @@ from r
 """
 
 
+@query
+def op2_gam_quality(spark, sf_dir):
+    """Every document scored for quality."""
+    docs = table(spark, sf_dir, "documents")
+    return gam.scored(docs, gam.train(docs, table(spark, sf_dir, "labels")))
+
+
+#: The rules of the query's contract.
+RULES = [
+    url_filter.Rule("allow", "org", "/"),
+    url_filter.Rule("block", "example.org", "/es/"),
+    url_filter.Rule("block", "example.org", "/en/1"),
+    url_filter.Rule("allow", "com", "/fr/"),
+    url_filter.Rule("block", "com", "/de/"),
+]
+
+
+@query
+def op3_url_redirects(spark, sf_dir):
+    """Every page's url judged by rules and by its aliases."""
+    return url_filter.judge(table(spark, sf_dir, "pages"), RULES)
+
+
+@query
+def op4_line_dedup(spark, sf_dir):
+    """Every document without the lines that an earlier line repeats, and how many stayed."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.drop_repeated_lines(docs)
+
+
+@query
+def op5_suffix_dedup(spark, sf_dir):
+    """The passages of 50 words and more that documents share."""
+    return suffix_dedup.repeated_passages(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_kn_toxicity(spark, sf_dir):
+    """Every document scored for toxicity."""
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.scored(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
+@query
+def op7_jaccard_join(spark, sf_dir):
+    """Every document's class of near copies and its number of links."""
+    return ngram_join.near_links(table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_merkle_fingerprint(spark, sf_dir):
+    """Every document's fingerprint, that of its edited text, and how like they are."""
+    return merkle.edited_likeness(table(spark, sf_dir, "documents"))
+
+
 @query
 def op9_nnls_packing(spark, sf_dir):
     """Every document packed into windows of 1024 tokens."""
@@ -43,3 +98,9 @@ def op9_nnls_packing(spark, sf_dir):
 
     path = public_tokenizers.path("byte_bpe_50k.json")
     return packing.pack(table(spark, sf_dir, "documents"), path, window=1024, end_id=0)
+
+
+@query
+def op10_lsi_decontamination(spark, sf_dir):
+    """Every document into which a benchmark item leaked, with the item."""
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

@@ -8,9 +8,10 @@
    all documents share is spread over many tasks; runs that touch a task's edge are settled by an
    aggregate.
 3. Where neighbours agree in ``span`` words, those words are a repeated passage. Where they agree
-   in ``key`` words only, or at the ends of a match, the match is extended left and right: every
-   window of ``span`` words around the retained place that is not yet covered is hashed, sorted
-   and compared in the same way.
+   in ``key`` words only, or at the ends of a match, the match is extended left and right: a
+   document asks for the windows of ``span`` words around a matched place that it does not know to
+   be covered; all documents that match there hash the windows that any of them asks for, and
+   these are sorted and compared in the same way.
 
 Every passage of ``span`` words that occurs in two documents is found: it contains a retained
 place with ``key`` words after it, and so its window is compared. The result is the union of those
@@ -85,7 +86,7 @@ def suffixes(docs: DataFrame, span: int, key: int) -> DataFrame:
 
 
 def compare_neighbours(rows: DataFrame) -> DataFrame:
-    """Sorts ``(k, g, d, pos)`` and returns the rows whose k stands in several documents: ``(d,
+    """Sorts ``(k, g, d, pos)`` and returns the rows whose k stands in several documents: ``(k, d,
     pos, first)``, ``first`` the least document with the same k and g, null if there is no other
     or g is 0."""
     dealt = rows.repartitionByRange("k", "g", "d", "pos").sortWithinPartitions("k", "g", "d", "pos")
@@ -122,17 +123,51 @@ def compare_neighbours(rows: DataFrame) -> DataFrame:
         yield from pa.Table.from_arrays([*arrays, first, pa.array(edge[keep])], schema=schema).to_batches(1 << 16)
 
     found = written(dealt.mapInArrow(compare, "k long, g long, d long, pos int, first long, open boolean"), "runs")
-    done = found.where("not open").select("d", "pos", "first")
+    done = found.where("not open").select("k", "d", "pos", "first")
     edge = found.where("open")
     in_k = edge.groupBy("k").agg(F.min("d").alias("a"), F.max("d").alias("b")).where("a <> b").select("k")
     in_g = edge.where("g <> 0").groupBy("k", "g").agg(F.min("d").alias("least"), F.max("d").alias("b")).where("least <> b")
-    settled = edge.join(in_k, "k").join(in_g.drop("b"), ["k", "g"], "left").select("d", "pos", F.col("least").alias("first"))
+    settled = edge.join(in_k, "k").join(in_g.drop("b"), ["k", "g"], "left").select("k", "d", "pos", F.col("least").alias("first"))
     return done.unionByName(settled)
 
 
-def edge_windows(docs: DataFrame, span: int, key: int) -> DataFrame:
-    """``(k, g, d, pos)``: two hashes of every window of ``span`` words around a matched place that
-    the matches of ``span`` words do not cover. ``docs.found``: (pos, whole) of matched places."""
+def asked_windows(matched: DataFrame, span: int, key: int) -> DataFrame:
+    """``(k, asked)``: around places with hash k, which windows of ``span`` words some document does
+    not know to be covered; bit j stands for the window that starts j words before the place."""
+    reach = span - key
+
+    def ask(batches):
+        for batch in batches:
+            codes, bits = [], []
+            for found in batch["found"].to_pylist():
+                place = np.array([p["pos"] for p in found], np.int64)
+                whole = np.array([p["pos"] for p in found if p["whole"]], np.int64)
+                low = int(place.min()) - reach  # all as seen from here; negative places are before the text
+                n = int(place.max()) - low + 2 * span
+                known = np.concatenate([[0], np.cumsum(_covered(whole - low, whole - low + span, n))])
+                open_ = known[span:] - known[:-span] < span
+                open_[: max(0, -low)] = False
+                mask = np.zeros(len(place), np.int64)
+                for j in range(reach + 1):
+                    start = place - j - low
+                    mask |= np.where(open_[start], np.int64(1) << j, 0)
+                ask_ = mask != 0
+                codes.append(np.array([p["k"] for p in found], np.int64)[ask_])
+                bits.append(mask[ask_])
+            none = [np.zeros(0, np.int64)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(codes or none)), pa.array(np.concatenate(bits or none))], ["k", "asked"]
+            )
+
+    places = matched.groupBy("d").agg(
+        F.collect_list(F.struct("pos", "k", F.col("first").isNotNull().alias("whole"))).alias("found")
+    )
+    return places.select("found").mapInArrow(ask, "k long, asked long").groupBy("k").agg(F.bit_or("asked").alias("asked"))
+
+
+def edge_windows(docs: DataFrame, span: int) -> DataFrame:
+    """``(k, g, d, pos)``: two hashes of each window that ``docs.found``, pairs of a place and the
+    windows asked for around it, names."""
 
     def emit(batches):
         hasher = WordHasher()
@@ -150,14 +185,13 @@ def edge_windows(docs: DataFrame, span: int, key: int) -> DataFrame:
                     begin, n = int(words.first[i - low]), int(words.first[i - low + 1] - words.first[i - low])
                     if n < span or not found[i]:
                         continue
-                    place = np.array([p["pos"] for p in found[i] if p["pos"] < n], np.int64)
-                    whole = np.array([p["pos"] for p in found[i] if p["whole"] and p["pos"] + span <= n], np.int64)
-                    asked = _covered(np.maximum(place - (span - key), 0), place + 1, n)
-                    known = np.concatenate([[0], np.cumsum(_covered(whole, whole + span, n))])
-                    asked = asked[: n - span + 1] & (known[span:] - known[: n - span + 1] < span)
-                    at_ = np.flatnonzero(asked)
-                    starts.append(begin + at_)
-                    owner.append(np.full(len(at_), i))
+                    place = np.array([p["pos"] for p in found[i]], np.int64)
+                    asked = np.array([p["asked"] for p in found[i]], np.int64)
+                    some, back = np.nonzero(asked[:, None] >> np.arange(64) & 1)
+                    start = np.unique(place[some] - back)
+                    start = start[(start >= 0) & (start + span <= n)]
+                    starts.append(begin + start)
+                    owner.append(np.full(len(start), i))
                 if not starts:
                     continue
                 s, i = np.concatenate(starts), np.concatenate(owner)
@@ -195,13 +229,15 @@ def repeated_passages(docs: DataFrame, span: int = 50, key: int = 19) -> DataFra
 
     ``key``: words that a retained suffix must share at least; the smaller, the fewer are retained.
     """
+    if span - key > 62:
+        raise ValueError("key must be at least span - 62")
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null")
     matched = compare_neighbours(written(suffixes(source, span, key), "suffixes"))
     matched = written(matched, "matched")
-    places = matched.groupBy("d").agg(
-        F.collect_list(F.struct("pos", F.col("first").isNotNull().alias("whole"))).alias("found")
+    wanted = matched.join(asked_windows(matched, span, key), "k").groupBy("d").agg(
+        F.collect_list(F.struct("pos", "asked")).alias("found")
     )
-    asked = edge_windows(source.withColumnRenamed("doc_id", "d").join(places, "d"), span, key)
+    asked = edge_windows(source.withColumnRenamed("doc_id", "d").join(wanted, "d"), span)
     ends = compare_neighbours(written(asked, "windows"))
     starts = matched.unionByName(ends).where("first is not null")
     by_doc = starts.groupBy("d").agg(

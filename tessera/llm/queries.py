@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from tessera.llm import decontaminate, gam, line_dedup, merkle, ngram_join, packing, suffix_dedup, toxicity, url_filter, warc
+from tessera.llm.oracles import SQL  # noqa: F401
 from tessera.llm.stage import shared_folder, table
 
 QUERIES = {}
-SQL = {}
 
 
 def query(fn):
@@ -23,19 +25,6 @@ def op1_warc_dictionary(spark, sf_dir):
     return warc.read_archives(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
-SQL["op1_warc_dictionary"] = """
-with p as (
-  select page_id, strlen(coalesce(html, '')) as payload_bytes, sha256(coalesce(html, '')) as payload_digest from pages
-), r as (
-  select *, case when payload_bytes >= 100 then min(page_id) over (partition by payload_digest) end as least from p
-)
-select page_id, payload_bytes, payload_digest,
-  case when least <> page_id then 'revisit' else 'response' end as record_type,
-  case when least <> page_id then least end as refers_to
-from r
-"""
-
-
 @query
 def op2_gam_quality(spark, sf_dir):
     """Every document scored for quality."""
@@ -68,8 +57,15 @@ def op4_line_dedup(spark, sf_dir):
 
 @query
 def op5_suffix_dedup(spark, sf_dir):
-    """The passages of 50 words and more that documents share."""
-    return suffix_dedup.repeated_passages(table(spark, sf_dir, "documents"))
+    """The passages of 50 words and more that documents share, each with the number of its words
+    that an earlier document has too."""
+    found = suffix_dedup.repeated_passages(table(spark, sf_dir, "documents"))
+    within = F.expr(
+        "aggregate(filter(later, x -> x.begin >= p.begin and x.end <= p.end), 0L, (n, x) -> n + x.end - x.begin)"
+    )
+    return found.select("doc_id", "later", F.explode("passages").alias("p")).select(
+        "doc_id", F.col("p.begin").alias("first_word"), F.col("p.end").alias("end_word"), within.alias("later_words")
+    )
 
 
 @query

@@ -55,12 +55,13 @@ class Fingerprinter:
         gear = self.gear[b]
         roll = gear.copy()
         for j in range(1, 8):
-            roll[j:] += gear[: n - j] << np.uint32(4 * j)
+            roll[j:] += gear[: max(n - j, 0)] << np.uint32(4 * j)
         stops = roll & np.uint32(0xF8000000) == 0  # one in 32
-        for j in range(7):  # too near a text's start for eight bytes of its own
-            near = edge[:-1] + j
-            stops[near[near < np.minimum(edge[1:], n)]] = False
         feed = b == 10
+        start = np.concatenate([edge[:-1], np.flatnonzero(feed) + 1])
+        for j in range(7):  # too near a paragraph's start for eight bytes of its own
+            near = start + j
+            stops[near[near < n]] = False
         stops |= feed
         last = edge[1:][np.diff(edge) > 0] - 1
         stops[last] = True
@@ -197,7 +198,7 @@ def edited_likeness(docs: DataFrame, buckets_each: int = 4) -> DataFrame:
     named = [t["top"] for t in tops if t["top"] is not None]
     first = rows.where(F.col("doc_id").isin(named) | F.col("doc_id").isNull()) if named else rows
     first = first.groupBy("bucket", "doc_id").agg(F.max("text").alias("text"))
-    turn = F.create_map(*[F.lit(x) for kv in follows.items() for x in kv]) if follows else F.create_map()
+    turn = F.create_map(*[F.lit(x) for kv in (follows or {0: 0}).items() for x in kv])
     heads = first.select("doc_id", "text", turn[F.col("bucket")].alias("bucket"), F.lit(1).alias("head"))
     every = rows.select("doc_id", "text", "bucket", F.lit(0).alias("head")).unionByName(heads)
     order = ["bucket", "head", F.col("doc_id").desc_nulls_last(), F.col("text").desc()]

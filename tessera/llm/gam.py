@@ -188,7 +188,7 @@ def _grid_tree(g: np.ndarray, h: np.ndarray) -> np.ndarray:
 def fit(x: np.ndarray, y: np.ndarray, rounds: int = 150, pairs: int = 6, rate: float = 0.1, bins: int = 32, grid: int = 8) -> Gam:
     """Learns the tables from features ``x`` and labels ``y`` (0, 1)."""
     share = y.mean() if len(y) else 0.5
-    if not 0 < share < 1:
+    if not len(y) or not 0 < share < 1:
         share = min(max(share, 1e-6), 1 - 1e-6)
         n = x.shape[1]
         return Gam(float(np.log(share / (1 - share))), [np.zeros(0)] * n, [np.zeros(1)] * n, [], [], [np.zeros(1, int)] * n)

@@ -5,9 +5,9 @@ Edits are counted in words: a line is near another if inserting, deleting or rep
 five words agree. Shorter lines must be equal in all their words.
 
 1. Every line is hashed once; equal lines meet and the earliest stands for them.
-2. Two lines within one edit agree in their first or in their last q words, q the largest power of
-   two up to half the longer one's length. Lines that share neither key with any other line have
-   no neighbour and go no further; nothing is lost by this.
+2. Two lines within one edit, the longer of m words, agree in their first m // 2 or in their last
+   m - m // 2 words. Lines that share neither half, for the same m, with any other line have no
+   neighbour and go no further; nothing is lost by this.
 3. The others emit their deletion neighbourhood: for every word, the hash of the line without it
    and where it was, and the whole line. Equal variants with equal places differ by one
    replacement; a variant equal to a whole line differs by one insertion. Each member of a group of
@@ -80,18 +80,13 @@ class _Chain:
         return (self.total[high] - self.total[low]) * self.back[low]
 
 
-def _half(n: np.ndarray) -> np.ndarray:
-    """The largest power of two up to n / 2 (n >= 2)."""
-    return np.int64(1) << (np.floor(np.log2(np.maximum(n, 2) + 0.5)).astype(np.int64) - 1)
-
-
 def _hasher() -> WordHasher:
     return WordHasher(SPACE + b"\n")
 
 
 def line_keys(docs: DataFrame, min_words: int) -> DataFrame:
     """``(doc_id, place, h1, h2, keys)`` of every line with words; ``keys``: up to four hashes of
-    its first and last q words, empty below ``min_words``."""
+    its halves, as one of m words and as a shorter partner of one."""
 
     def emit(batches):
         hasher = _hasher()
@@ -104,13 +99,12 @@ def line_keys(docs: DataFrame, min_words: int) -> DataFrame:
                 a, b, n = lines.first[here], lines.stop[here], lines.count[here]
                 one, two = _Chain(lines.words.hash, 1), _Chain(lines.words.hash, 2)
                 h1, h2 = mix64(one.run(a, b)), mix64(two.run(a, b))
-                own, more = _half(n), _half(n + 1)  # for partners as long or shorter; for one longer by one
                 columns = []
-                for q, use in ((own, n >= min_words), (more, (n >= min_words - 1) & ((more != own) | (n < min_words)))):
-                    q = np.minimum(q, n)
-                    for side, (x, y) in enumerate(((a, a + q), (b - q, b))):
-                        key = mix64(one.run(x, y) + mix64((q * 2 + side).astype(np.uint64))).view(np.int64)
-                        columns.append((key, use))
+                for m in (n, n + 1):  # for partners as long or shorter; for one longer by one
+                    head = m // 2
+                    for side, (x, y) in enumerate(((a, a + head), (b - (m - head), b))):
+                        key = mix64(one.run(x, y) + mix64((m * 2 + side).astype(np.uint64))).view(np.int64)
+                        columns.append((key, m >= min_words))
                 keys = np.stack([k for k, _ in columns], 1)
                 use = np.stack([u for _, u in columns], 1)
                 offsets = np.concatenate([[0], np.cumsum(use.sum(1))]).astype(np.int32)

@@ -7,7 +7,8 @@ five words agree. Shorter lines must be equal in all their words.
 1. Every line is hashed once; equal lines meet and the earliest stands for them.
 2. Two lines within one edit, the longer of m words, agree in their first m // 2 or in their last
    m - m // 2 words. Lines that share neither half, for the same m, with any other line have no
-   neighbour and go no further; nothing is lost by this.
+   neighbour and go no further; nothing is lost by this. Which halves are shared is sent to the
+   tasks as a bitmap of ``2**BITS`` bits; a bit set by chance only lets a line go further.
 3. The others emit their deletion neighbourhood: for every word, the hash of the line without it
    and where it was, and the whole line. Equal variants with equal places differ by one
    replacement; a variant equal to a whole line differs by one insertion. Each member of a group of
@@ -35,6 +36,8 @@ from tessera.llm.stage import written
 from tessera.llm.words import Words, WordHasher, chunks, mix64, pieces, seeds
 
 SPACE = b" \t\r\x0b\x0c"
+#: log2 of the bits that say which halves of lines are shared
+BITS = 26
 
 
 class _Lines:
@@ -84,100 +87,118 @@ def _hasher() -> WordHasher:
     return WordHasher(SPACE + b"\n")
 
 
+def _keys(lines: _Lines, min_words: int):
+    """Of the lines with words: their numbers, two hashes, four hashes of halves (as a line of m words
+    and as a shorter partner of one) and which of these count."""
+    here = np.flatnonzero(lines.count > 0)
+    a, b, n = lines.first[here], lines.stop[here], lines.count[here]
+    one, two = _Chain(lines.words.hash, 1), _Chain(lines.words.hash, 2)
+    h1, h2 = mix64(one.run(a, b)).view(np.int64), mix64(two.run(a, b)).view(np.int64)
+    keys, use = np.empty((len(here), 4), np.int64), np.empty((len(here), 4), bool)
+    for j, m in enumerate((n, n + 1)):  # for partners as long or shorter; for one longer by one
+        head = m // 2
+        for side, (x, y) in enumerate(((a, a + head), (b - (m - head), b))):
+            keys[:, 2 * j + side] = mix64(one.run(x, y) + mix64((m * 2 + side).astype(np.uint64))).view(np.int64)
+            use[:, 2 * j + side] = m >= min_words
+    return here, h1, h2, keys, use
+
+
 def line_keys(docs: DataFrame, min_words: int) -> DataFrame:
-    """``(doc_id, place, h1, h2, keys)`` of every line with words; ``keys``: up to four hashes of
-    its halves, as one of m words and as a shorter partner of one."""
+    """``(d, place, h1, h2, keys)`` of every line with words; ``keys``: the hashes of its halves."""
 
     def emit(batches):
         hasher = _hasher()
         for batch in batches:
             data, at = pieces(batch["text"])
-            ids = batch["doc_id"]
             for low, high in chunks(at):
                 lines = _Lines(hasher, data, at[low : high + 1])
-                here = np.flatnonzero(lines.count > 0)
-                a, b, n = lines.first[here], lines.stop[here], lines.count[here]
-                one, two = _Chain(lines.words.hash, 1), _Chain(lines.words.hash, 2)
-                h1, h2 = mix64(one.run(a, b)), mix64(two.run(a, b))
-                columns = []
-                for m in (n, n + 1):  # for partners as long or shorter; for one longer by one
-                    head = m // 2
-                    for side, (x, y) in enumerate(((a, a + head), (b - (m - head), b))):
-                        key = mix64(one.run(x, y) + mix64((m * 2 + side).astype(np.uint64))).view(np.int64)
-                        columns.append((key, m >= min_words))
-                keys = np.stack([k for k, _ in columns], 1)
-                use = np.stack([u for _, u in columns], 1)
+                here, h1, h2, keys, use = _keys(lines, min_words)
                 offsets = np.concatenate([[0], np.cumsum(use.sum(1))]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [ids.take(pa.array(low + lines.text[here])), pa.array(lines.place[here].astype(np.int32)),
-                     pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64)),
-                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys[use]))],
-                    ["doc_id", "place", "h1", "h2", "keys"],
+                    [batch["d"].take(pa.array(low + lines.text[here])), pa.array(lines.place[here].astype(np.int32)),
+                     pa.array(h1), pa.array(h2), pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys[use]))],
+                    ["d", "place", "h1", "h2", "keys"],
                 )
 
-    kinds = "doc_id long, place int, h1 long, h2 long, keys array<long>"
-    return docs.select(F.col("row.doc_id").cast("long").alias("doc_id"), F.col("row.text").alias("text")).mapInArrow(emit, kinds)
-
-
-def _named_lines(batch, hasher):
-    """For each chunk of texts: its lines and, of the lines that ``batch.places`` names, the index
-    and the document's key."""
-    data, at = pieces(batch["row"].field("text"))
-    keys, wanted = batch["d"], batch["places"]
-    for low, high in chunks(at):
-        lines = _Lines(hasher, data, at[low : high + 1])
-        part = wanted.slice(low, high - low)
-        count = np.array([len(x) if x.is_valid else 0 for x in part], np.int64)
-        text = np.repeat(np.arange(high - low), count)
-        place = part.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-        room = np.bincount(lines.text, minlength=high - low)
-        fits = place < room[text]  # rows that repeat an id may have fewer lines
-        text, place = text[fits], place[fits]
-        here = np.searchsorted(lines.text, np.arange(high - low))[text] + place
-        yield data[at[low] : at[high]], lines, here, keys.take(pa.array(low + text)), place
-
-
-def line_variants(docs: DataFrame, min_words: int) -> DataFrame:
-    """The deletion neighbourhoods of the lines that ``places`` names: ``(v, cut, d, place)``,
-    ``cut`` the place of the word left out, -1 for the whole line. Lines below ``min_words`` give
-    the whole line only."""
+    return docs.select("d", F.col("row.text").alias("text")).mapInArrow(
+        emit, "d long, place int, h1 long, h2 long, keys array<long>"
+    )
+
+
+def shared_halves(keyed: DataFrame) -> np.ndarray:
+    """The bitmap of the halves that two different lines share."""
+    halves = keyed.select("h1", F.explode("keys").alias("key"))
+    shared = halves.groupBy("key").agg(F.min("h1").alias("low"), F.max("h1").alias("high")).where("low <> high")
+
+    place = F.shiftrightunsigned("key", 64 - BITS)
+    words = shared.groupBy(F.shiftright(place, 6).alias("word")).agg(
+        F.bit_or(F.expr(f"shiftleft(1L, int(shiftrightunsigned(key, {64 - BITS}) & 63))")).alias("bits")
+    )
+    found = words.toPandas()  # at most 2**BITS / 64 rows
+    out = np.zeros(1 << (BITS - 6), np.int64)
+    out[found["word"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64)
+    return out
+
+
+def _is_set(bitmap: np.ndarray, key: np.ndarray) -> np.ndarray:
+    place = (key.view(np.uint64) >> np.uint64(64 - BITS)).astype(np.int64)
+    return (bitmap[place >> 6] >> (place & 63) & 1).astype(bool)
+
+
+def near_lines(docs: DataFrame, bitmap: np.ndarray, min_words: int) -> DataFrame:
+    """``(h1, h2, d, place, line)`` of the lines with a half in the bitmap."""
+    held = docs.sparkSession.sparkContext.broadcast(bitmap)
 
     def emit(batches):
-        hasher = _hasher()
+        hasher, bits = _hasher(), held.value
         for batch in batches:
-            for _, lines, here, keys, place in _named_lines(batch, hasher):
-                a, b, n = lines.first[here], lines.stop[here], lines.count[here]
-                reps = np.where(n >= min_words, n + 1, 1)
-                row = np.repeat(np.arange(len(here)), reps)
-                cut = np.arange(len(row)) - np.repeat(np.cumsum(reps) - reps, reps) - 1
-                mid = np.where(cut < 0, b[row], a[row] + cut)  # the word left out; the end if none
-                chain = _Chain(lines.words.hash, 1)
-                head = chain.run(a[row], mid)
-                tail = chain.run(np.minimum(mid + 1, b[row]), b[row]) * chain.power[mid - a[row]]
-                size = n[row] - (cut >= 0)
-                code = mix64(head + tail + mix64(size.astype(np.uint64)))
+            data, at = pieces(batch["text"])
+            for low, high in chunks(at):
+                lines = _Lines(hasher, data, at[low : high + 1])
+                here, h1, h2, keys, use = _keys(lines, min_words)
+                hit = _is_set(bits, keys) & use
+                some = np.flatnonzero(hit.any(1))
+                own = here[some]
+                part = data[at[low] : at[high]]
+                text = [bytes(part[lines.begin[i] : lines.end[i]]) for i in own]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(code.view(np.int64)), pa.array(cut.astype(np.int32)), keys.take(pa.array(row)),
-                     pa.array(place[row].astype(np.int32))],
-                    ["v", "cut", "d", "place"],
+                    [pa.array(h1[some]), pa.array(h2[some]), batch["d"].take(pa.array(low + lines.text[own])),
+                     pa.array(lines.place[own].astype(np.int32)), pa.array(text, pa.binary())],
+                    ["h1", "h2", "d", "place", "line"],
                 )
 
-    return docs.mapInArrow(emit, "v long, cut int, d long, place int")
+    return docs.select("d", F.col("row.text").alias("text")).mapInArrow(
+        emit, "h1 long, h2 long, d long, place int, line binary"
+    )
 
 
-def line_texts(docs: DataFrame) -> DataFrame:
-    """The words of the lines that ``places`` names: ``(d, place, words)``."""
+def line_variants(lines: DataFrame, min_words: int) -> DataFrame:
+    """The deletion neighbourhood of every line of ``(at, line)``: ``(v, cut, at)``, ``cut`` the place of
+    the word left out, -1 for the whole line. Lines below ``min_words`` give the whole line only."""
 
     def emit(batches):
         hasher = _hasher()
         for batch in batches:
-            for data, lines, here, keys, place in _named_lines(batch, hasher):
-                text = [bytes(data[lines.begin[i] : lines.end[i]]) for i in here]
+            data, edge = pieces(batch["line"])
+            for low, high in chunks(edge):
+                words = hasher.cut(data, edge[low : high + 1])
+                a, b = words.first[:-1], words.first[1:]
+                n = b - a
+                reps = np.where(n >= min_words, n + 1, 1)
+                row = np.repeat(np.arange(len(n)), reps)
+                cut = np.arange(len(row)) - np.repeat(np.cumsum(reps) - reps, reps) - 1
+                mid = np.where(cut < 0, b[row], a[row] + cut)  # the word left out; the end if none
+                chain = _Chain(words.hash, 1)
+                head = chain.run(a[row], mid)
+                tail = chain.run(np.minimum(mid + 1, b[row]), b[row]) * chain.power[mid - a[row]]
+                size = n[row] - (cut >= 0)
+                code = mix64(head + tail + mix64(size.astype(np.uint64)))
                 yield pa.RecordBatch.from_arrays(
-                    [keys, pa.array(place.astype(np.int32)), pa.array(text, pa.binary())], ["d", "place", "line"]
+                    [pa.array(code.view(np.int64)), pa.array(cut.astype(np.int32)), batch["at"].take(pa.array(low + row))],
+                    ["v", "cut", "at"],
                 )
 
-    return docs.mapInArrow(emit, "d long, place int, line binary")
+    return lines.select("at", "line").mapInArrow(emit, "v long, cut int, at struct<d:long,place:int>")
 
 
 def within_edits(a: bytes, b: bytes) -> bool:
@@ -206,34 +227,22 @@ def _verified(pairs: DataFrame) -> DataFrame:
 
 def _repeats(source: DataFrame, min_words: int) -> DataFrame:
     """``(d, places)`` of the lines that go; ``source`` has ``row`` and its key ``d``."""
-    keyed = written(line_keys(source, min_words).select(_key("doc_id").alias("d"), "place", "h1", "h2", "keys"), "lines")
+    keyed = written(line_keys(source, min_words), "lines")
     spot = F.struct("d", "place")
-    first = keyed.groupBy("h1", "h2").agg(
-        F.min(spot).alias("at"), F.count(F.lit(1)).alias("n"), F.min("keys").alias("keys")
-    )
-    first = written(first, "firsts")
     # equal lines: all but the earliest go
-    many = first.where("n > 1").select("h1", "h2", "at")
+    many = keyed.groupBy("h1", "h2").agg(F.min(spot).alias("at"), F.count(F.lit(1)).alias("n")).where("n > 1")
     equal = keyed.select("h1", "h2", spot.alias("own")).join(many, ["h1", "h2"]).where("own <> at").select("own")
-    # lines that share their first or last words with another line
-    halves = first.select("at", F.explode("keys").alias("key"))
-    shared = halves.groupBy("key").agg(F.min("at").alias("low"), F.max("at").alias("high")).where("low <> high")
-    near = halves.join(shared.select("key"), "key", "left_semi").select("at.d", "at.place")
-    asked = near.groupBy("d").agg(F.sort_array(F.collect_set("place")).alias("places"))
-    named = source.join(asked, "d")
-    variants = line_variants(named, min_words).select("v", "cut", spot.alias("at"))
+    found = near_lines(source, shared_halves(keyed), min_words)
+    lines = written(found.groupBy("h1", "h2").agg(F.min(spot).alias("at"), F.first("line").alias("line")), "near")
+    variants = line_variants(lines, min_words)
     gone = variants.where("cut >= 0")
     whole = variants.where("cut < 0").select("v", F.col("at").alias("other"))
     replaced = gone.groupBy("v", "cut").agg(F.min("at").alias("low"), F.max("at").alias("high")).where("low <> high")
     replaced = gone.join(replaced, ["v", "cut"]).where("at <> low").select(F.col("at").alias("later"), F.col("low").alias("earlier"))
     added = gone.join(whole, "v").select(F.greatest("at", "other").alias("later"), F.least("at", "other").alias("earlier"))
-    pairs = written(replaced.unionByName(added).where("later <> earlier").distinct(), "pairs")
-    # the lines' words, for those in a pair
-    both = pairs.select("later.*").unionByName(pairs.select("earlier.*"))
-    texts = line_texts(source.join(both.groupBy("d").agg(F.sort_array(F.collect_set("place")).alias("places")), "d"))
-    texts = texts.dropDuplicates(["d", "place"]).select(spot.alias("at"), "line")
-    pairs = pairs.join(texts.withColumnRenamed("at", "later"), "later")
-    pairs = pairs.join(texts.select(F.col("at").alias("earlier"), F.col("line").alias("other")), "earlier")
+    pairs = replaced.unionByName(added).where("later <> earlier").distinct()
+    pairs = pairs.join(lines.select(F.col("at").alias("later"), "line"), "later")
+    pairs = pairs.join(lines.select(F.col("at").alias("earlier"), F.col("line").alias("other")), "earlier")
     goes = equal.select("own.*").unionByName(_verified(pairs).select("later.*"))
     # a line equal to one that goes is not the earliest, so it goes already
     return goes.groupBy("d").agg(F.collect_set("place").alias("places"))

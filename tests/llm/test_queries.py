@@ -29,6 +29,7 @@ BOUNDED = {
         "for row in items.toLocalIterator",  # a block of items at a time
     ],
     "gam.py": ["found = measured(some)"],  # at most FIT_ROWS rows
+    "line_dedup.py": ["found = words.toPandas"],  # 2**BITS / 64 rows
     "merkle.py": ["tops = rows.groupBy"],  # one row per range of ids
     "packing.py": ["table = counts.toPandas"],  # window x buckets rows
     "toxicity.py": ["found = best.select", "found = _evidence_of("],  # 2**bits entries; CURVE_ROWS rows

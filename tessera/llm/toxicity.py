@@ -12,7 +12,8 @@ meet in one entry the more frequent stays, and a fingerprint tells others apart)
 
 A text's score comes from its length-normalised log-likelihood difference, over the whole text and
 over the window of ``window`` bytes where it is largest (the whole text is covered), through a
-logistic curve fitted on a fifth of the training documents, which the counts leave out.
+logistic curve fitted on a fifth of the training documents, which the counts leave out. The curve
+also knows the text's length, as the largest of many windows is larger by chance.
 
 Defined results: null and empty texts have no grams and get the curve's value for no evidence;
 without labelled rows of both classes every score is the share of label 1 (0 if there are none);
@@ -210,7 +211,7 @@ def _received(held) -> Model:
 
 
 class Model(NamedTuple):
-    """``grams[k]`` and ``contexts[k]`` by order; the curve's weights: none, mean, peak."""
+    """``grams[k]`` and ``contexts[k]`` by order; the curve's weights: constant, mean, peak, length."""
 
     grams: dict
     contexts: dict
@@ -238,8 +239,9 @@ class Model(NamedTuple):
         return out
 
     def evidence(self, data: np.ndarray, at: np.ndarray) -> np.ndarray:
-        """Per text: the mean ratio and the largest mean over a window."""
-        out = np.zeros((len(at) - 1, 2))
+        """Per text: the mean ratio, the largest mean over a window, and the log of its length."""
+        out = np.zeros((len(at) - 1, 3))
+        out[:, 2] = np.log1p(np.diff(at))
         for low, high in chunks(at):
             found = _texts(data, at[low : high + 1])
             if found is None:
@@ -271,17 +273,16 @@ class Model(NamedTuple):
         return out
 
     def score(self, x: np.ndarray) -> np.ndarray:
-        a, b, c = self.curve
-        return 1 / (1 + np.exp(-np.clip(a + b * x[:, 0] + c * x[:, 1], -30, 30)))
+        return 1 / (1 + np.exp(-np.clip(self.curve[0] + x @ np.array(self.curve[1:]), -30, 30)))
 
 
 def _curve(x: np.ndarray, y: np.ndarray) -> tuple:
     """Logistic regression by Newton steps, lightly penalised."""
     a = np.column_stack([np.ones(len(x)), x])
-    w = np.zeros(3)
+    w = np.zeros(a.shape[1])
     for _ in range(30):
         p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
-        penalty = np.array([0, 1e-2, 1e-2])
+        penalty = np.array([0] + [1e-2] * x.shape[1])
         step = np.linalg.solve((a * (p * (1 - p))[:, None]).T @ a + np.diag(penalty + 1e-6), a.T @ (y - p) - penalty * w)
         w = w + step
         if np.abs(step).max() < 1e-6:
@@ -295,10 +296,10 @@ def _evidence_of(docs: DataFrame, held) -> DataFrame:
         for batch in batches:
             x = model.evidence(*pieces(batch["text"]))
             yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], pa.array(x[:, 0].copy()), pa.array(x[:, 1].copy())], ["doc_id", "mean", "peak"]
+                [batch["doc_id"], *(pa.array(c.copy()) for c in x.T)], ["doc_id", "mean", "peak", "length"]
             )
 
-    return docs.select("doc_id", "text").mapInArrow(emit, "doc_id long, mean double, peak double")
+    return docs.select("doc_id", "text").mapInArrow(emit, "doc_id long, mean double, peak double, length double")
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", window: int = 24, curve_rows: int = CURVE_ROWS) -> Model:
@@ -311,12 +312,12 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", window: int
     aside = F.pmod(F.xxhash64("doc_id", F.lit("curve")), F.lit(5)) == 0
     counted = source.where(~aside).join(known.where(~aside), "doc_id")
     grams = {5: written(count_grams(counted), "grams")}
-    none = Model({}, {}, window, (-30.0, 0.0, 0.0))
+    none = Model({}, {}, window, (-30.0, 0.0, 0.0, 0.0))
     seen = grams[5].agg(F.sum("n_t").alias("t"), F.sum("n_o").alias("o")).first()
     if not seen["t"] or not seen["o"]:
         share = known.agg(F.avg("y").alias("y")).first()["y"]
         share = min(max(share or 0.0, 1e-12), 1 - 1e-12)
-        return none._replace(curve=(float(np.log(share / (1 - share))), 0.0, 0.0))
+        return none._replace(curve=(float(np.log(share / (1 - share))), 0.0, 0.0, 0.0))
     for order in (5, 4):
         grams[order - 1] = written(_shorter(grams[order], order), "grams")
     below = _shared(grams[3])
@@ -326,15 +327,15 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", window: int
         below = written(found, "probabilities")
         tables[order] = _lookup(below.withColumn("ratio", F.log(F.col("p_t") / F.col("p_o"))), BITS[order])
         contexts[order] = _lookup(weights, BITS[order])
-    model = Model(tables, contexts, window, (0.0, 0.0, 0.0))
+    model = Model(tables, contexts, window, (0.0, 0.0, 0.0, 0.0))
     # the curve: at most ``curve_rows`` documents, whose ids are few enough to send to every task
     some = known.where(aside).orderBy(F.xxhash64("doc_id"), "doc_id").limit(curve_rows)
     rest = source.where(aside).join(F.broadcast(some), "doc_id").select("doc_id", "text")
     found = _evidence_of(rest, _sent(docs, model)).join(F.broadcast(some), "doc_id").limit(curve_rows).toPandas()
     y = found["y"].to_numpy(float)
     if not 0 < y.sum() < len(y):
-        return model._replace(curve=(-3.0, 0.0, 6.0))
-    return model._replace(curve=_curve(found[["mean", "peak"]].to_numpy(float), y))
+        return model._replace(curve=(-3.0, 0.0, 6.0, 0.0))
+    return model._replace(curve=_curve(found[["mean", "peak", "length"]].to_numpy(float), y))
 
 
 def scored(docs: DataFrame, model: Model, threshold: float = 0.7) -> DataFrame:
@@ -356,7 +357,7 @@ def scored(docs: DataFrame, model: Model, threshold: float = 0.7) -> DataFrame:
 
 def _score(model: Model, column: pa.Array) -> np.ndarray:
     data, at = pieces(column)
-    return model.score(model.evidence(data, at) if model.grams else np.zeros((len(at) - 1, 2)))
+    return model.score(model.evidence(data, at) if model.grams else np.zeros((len(at) - 1, 3)))
 
 
 def without_toxic(docs: DataFrame, model: Model, threshold: float = 0.7) -> DataFrame:

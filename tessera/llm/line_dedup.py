@@ -130,8 +130,13 @@ def shared_halves(keyed: DataFrame) -> np.ndarray:
     halves = keyed.select("h1", F.explode("keys").alias("key"))
     shared = halves.groupBy("key").agg(F.min("h1").alias("low"), F.max("h1").alias("high")).where("low <> high")
 
+    return _bitmap(shared.select("key"))
+
+
+def _bitmap(keys: DataFrame) -> np.ndarray:
+    """A bitmap of ``2**BITS`` bits, the one that each hash in column ``key`` begins with set."""
     place = F.shiftrightunsigned("key", 64 - BITS)
-    words = shared.groupBy(F.shiftright(place, 6).alias("word")).agg(
+    words = keys.groupBy(F.shiftright(place, 6).alias("word")).agg(
         F.bit_or(F.expr(f"shiftleft(1L, int(shiftrightunsigned(key, {64 - BITS}) & 63))")).alias("bits")
     )
     found = words.toPandas()  # at most 2**BITS / 64 rows
@@ -258,7 +263,17 @@ def drop_repeated_lines(docs: DataFrame, min_words: int = 5) -> DataFrame:
     ``min_words``: lines with fewer words go only if they are equal to an earlier one.
     """
     source = docs.select(F.struct(*docs.columns).alias("row")).withColumn("d", _key("row.doc_id"))
-    goes = _repeats(source, min_words)
+    goes = written(_repeats(source, min_words), "goes")
+    # documents that keep all their lines need not be dealt by id; a bitmap, bounded as above, tells
+    # most of them
+    held = docs.sparkSession.sparkContext.broadcast(_bitmap(goes.select(F.xxhash64("d").alias("key"))))
+
+    @F.pandas_udf("boolean")
+    def loses(keys):
+        import pandas as pd
+
+        return pd.Series(_is_set(held.value, keys.to_numpy(np.int64)))
+
     at = docs.columns.index("text")
 
     def remove(batches):
@@ -274,6 +289,7 @@ def drop_repeated_lines(docs: DataFrame, min_words: int = 5) -> DataFrame:
             row = pa.StructArray.from_arrays(columns, fields=list(row.type))
             yield pa.RecordBatch.from_arrays([row], ["row"])
 
-    joined = source.join(goes, "d", "left").select("row", "places")
+    some = loses(F.xxhash64("d"))
+    joined = source.where(some).join(goes, "d", "left").select("row", "places")
     kind = source.select("row").schema
-    return joined.mapInArrow(remove, kind).select("row.*")
+    return joined.mapInArrow(remove, kind).unionByName(source.where(~some).select("row")).select("row.*")

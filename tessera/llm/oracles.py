@@ -48,12 +48,12 @@ with recursive base as (
       regexp_extract(target, '://[^/?#]*([^#]*)', 1),
       '([?&])(utm_[a-z]*|ref)=[^&]*', '\1', 'g'), '&&+', '&', 'g'), '\?&+', '?', 'g'), '[?&]+$', '', 'g'), '/+(\?|$)', '\1', 'g') as b
   from links where target is not null
-), both as (
+), links_both_ways as (
   select a, b from edges union select b, a from edges
 ), reach as (
-  select a, a as b from both
+  select a, a as b from links_both_ways
   union
-  select r.a, n.b from reach r join both n on r.b = n.a
+  select r.a, n.b from reach r join links_both_ways n on r.b = n.a
 ), said as (
   select r.a as url, min(case when j.rule in ('org/', 'com/fr/') then 'allow' else 'block' end) as verdict
   from reach r join judged j on j.url = r.b
@@ -72,7 +72,7 @@ with lines as (
   from (select doc_id, unnest(string_split(text, chr(10))) as line from documents where text is not null)
 ), worded as (
   select doc_id, place, line, doc_id * 10000000 + place as spot,
-    list_filter(string_split_regex(line, '[ \t\r\x0b\x0c]+'), x -> x <> '') as words
+    list_filter(string_split_regex(line, '[ \t\r\x0b\x0c]+'), lambda x: x <> '') as words
   from lines
 ), keyed as (
   select *, len(words) as n, array_to_string(words, ' ') as code from worded
@@ -99,7 +99,7 @@ from documents d left join kept k using (doc_id)
 
 SQL["op5_suffix_dedup"] = r"""
 with w as (
-  select doc_id, list_filter(string_split_regex(text, '[ \t\n\r\x0b\x0c]+'), x -> x <> '') as words
+  select doc_id, list_filter(string_split_regex(text, '[ \t\n\r\x0b\x0c]+'), lambda x: x <> '') as words
   from documents where doc_id is not null
 ), windows as (
   select doc_id, i - 1 as pos, md5(array_to_string(words[i:i + 49], ' ')) as code
@@ -126,7 +126,7 @@ from ranges r left join late l using (doc_id, island)
 
 SQL["op7_jaccard_join"] = r"""
 with recursive w as (
-  select doc_id, list_filter(string_split_regex(coalesce(text, ''), '[ \t\n\r\x0b\x0c]+'), x -> x <> '') as words
+  select doc_id, list_filter(string_split_regex(coalesce(text, ''), '[ \t\n\r\x0b\x0c]+'), lambda x: x <> '') as words
   from documents where doc_id is not null
 ), shingles as (
   select distinct doc_id, array_to_string(words[i:i + 4], ' ') as s
@@ -134,11 +134,11 @@ with recursive w as (
 ), sizes as (
   select doc_id, count(*) as n from shingles group by doc_id
 ), shared as (
-  select x.doc_id as a, y.doc_id as b, count(*) as both
+  select x.doc_id as a, y.doc_id as b, count(*) as n_shared
   from shingles x join shingles y on x.s = y.s and x.doc_id <> y.doc_id group by all
 ), links as (
   select a, b from shared join sizes p on p.doc_id = a join sizes q on q.doc_id = b
-  where 5 * both >= 4 * (p.n + q.n - both)
+  where 5 * n_shared >= 4 * (p.n + q.n - n_shared)
 ), reach as (
   select a, b from links
   union

@@ -37,8 +37,9 @@ ORDER = 5
 DISCOUNT = 0.75
 #: Rows that the logistic curve is fitted on, at most.
 CURVE_ROWS = 20_000
-#: log2 of the entries of a lookup table, by order
-BITS = {5: 22, 4: 21, 3: 20}
+#: log2 of the entries of the lookup tables of grams and of contexts, by order: 15 MB together
+BITS = {5: 21, 4: 19, 3: 18}
+CONTEXT_BITS = {5: 19, 4: 18, 3: 16}
 
 FOLD = np.arange(256, dtype=np.uint8)
 FOLD[65:91] += 32  # A-Z as a-z
@@ -171,7 +172,7 @@ class Lookup(NamedTuple):
     def find(self, key: np.ndarray) -> np.ndarray:
         code = mix64(key.view(np.uint64) + np.uint64(0x9E3779B97F4A7C15))
         at = (code >> np.uint64(64 - self.bits)).astype(np.int64)
-        out = self.value[at]
+        out = self.value[at].astype(np.float32)
         out[self.mark[at] != (code & np.uint64(0xFFFF)).astype(np.uint16) | np.uint16(1)] = np.nan
         return out
 
@@ -193,9 +194,9 @@ def _lookup(table: DataFrame, bits: int) -> Lookup:
     rows = rows.mapInArrow(place, "at int, mark int, n long, key long, ratio double")
     best = rows.groupBy("at").agg(F.max(F.struct("n", F.negative("key").alias("k"), "mark", "ratio")).alias("b"))
     found = best.select("at", "b.mark", F.col("b.ratio").cast("float").alias("ratio")).toPandas()  # at most 2**bits rows
-    mark, value = np.zeros(1 << bits, np.uint16), np.full(1 << bits, np.nan, np.float32)
+    mark, value = np.zeros(1 << bits, np.uint16), np.full(1 << bits, np.nan, np.float16)
     at = found["at"].to_numpy(np.int64)
-    mark[at], value[at] = found["mark"].to_numpy(np.uint16), found["ratio"].to_numpy(np.float32)
+    mark[at], value[at] = found["mark"].to_numpy(np.uint16), found["ratio"].to_numpy(np.float16)
     return Lookup(bits, mark, value)
 
 
@@ -326,7 +327,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", window: int
         found, weights = _level(grams[order], below, order)
         below = written(found, "probabilities")
         tables[order] = _lookup(below.withColumn("ratio", F.log(F.col("p_t") / F.col("p_o"))), BITS[order])
-        contexts[order] = _lookup(weights, BITS[order])
+        contexts[order] = _lookup(weights, CONTEXT_BITS[order])
     model = Model(tables, contexts, window, (0.0, 0.0, 0.0, 0.0))
     # the curve: at most ``curve_rows`` documents, whose ids are few enough to send to every task
     some = known.where(aside).orderBy(F.xxhash64("doc_id"), "doc_id").limit(curve_rows)

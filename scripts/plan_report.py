@@ -1,6 +1,7 @@
 """Write PLANS.md: the physical-plan shape of every registered query with a SQL twin.
 
-For each query: exchanges (shuffles), partial/final aggregates, broadcast exchanges,
+For each query: the jobs that run while it is built (fits, checkpoints, brackets of a quantile,
+streams; invisible in the final plan), exchanges (shuffles), partial/final aggregates, broadcast exchanges,
 sort-merge joins, window group limits, Python evaluation nodes, and the columns and filters each parquet scan reads. Broadcast choices made from table
 sizes are scale-dependent (small test tables fall under the broadcast threshold); the
 other properties hold at any scale.
@@ -16,7 +17,7 @@ from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
-from __spark_entry__ import oracle_sql, queries  # noqa: E402
+from tessera.plans.catalog import oracle_sql, queries  # noqa: E402
 from tessera.session import local_session  # noqa: E402
 
 COUNTED = {
@@ -48,16 +49,20 @@ def main() -> None:
         "gathers of one-row aggregates excluded); every `HashAggregate` pair is a partial (map-side)",
         "plus final aggregate. Broadcasts chosen from table size depend on the scale: the small test",
         "tables fall below the broadcast threshold, a 100 TB table does not, and AQE re-plans at run",
-        "time. Explicit broadcasts are size-checked (`joins.bounded_broadcast`) or parameter-bounded.",
+        "time. Explicit broadcasts are bounded by a parameter.",
         "",
-        "| query | shuffles | hash aggs | broadcasts | SMJ | group limit | python | scans: pushed filters / read schema |",
-        "| --- | --- | --- | --- | --- | --- | --- | --- |",
+        "`jobs first` are the Spark jobs that run while the query is built, before its final plan.",
+        "",
+        "| query | jobs first | shuffles | hash aggs | broadcasts | SMJ | group limit | python | scans: pushed filters / read schema |",
+        "| --- | --- | --- | --- | --- | --- | --- | --- | --- |",
     ]
     for name in sorted(sqls):
+        spark.sparkContext.setJobGroup(f"build-{name}", name)
         s = shape(qs[name](spark, sf_dir))
+        jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"build-{name}"))
         scans = "<br>".join(f"`{f}` / `{r}`" for f, r in s["scans"])
         lines.append(
-            f"| {name} | {s['Exchange']} | {s['HashAggregate']} | {s['BroadcastExchange']} | {s['SortMergeJoin']} | "
+            f"| {name} | {jobs} | {s['Exchange']} | {s['HashAggregate']} | {s['BroadcastExchange']} | {s['SortMergeJoin']} | "
             f"{s['WindowGroupLimit']} | {s['Python']} | {scans} |"
         )
         print(name, {k: v for k, v in s.items() if k != "scans"}, flush=True)

@@ -56,8 +56,8 @@ def compare_regressors(hours: DataFrame, seed: int = 42) -> DataFrame:
     iterations, reg 0.3, elastic net 0.8) and the tree models with and without one-hot
     categories, plus linear regression on log(label) taken back through exp."""
     data = prepare(hours)
-    data = data.withColumn("_part", hash_split(data, ["instant"], seed=seed)).persist()
-    train, test = data.where(F.col("_part") == "train"), data.where(F.col("_part") == "test")
+    data = data.withColumn("_part", hash_split(data, ["instant"], seed=seed))
+    train, test = data.where(F.col("_part") == "train").persist(), data.where(F.col("_part") == "test")
     fits = [("linear_regression", "onehot", onehot_stages(), models.linear_regression()),
             ("linear_regression", "index", index_stages(), models.linear_regression())]
     for name, est in models.tree_regressors(seed=seed).items():
@@ -65,19 +65,19 @@ def compare_regressors(hours: DataFrame, seed: int = 42) -> DataFrame:
     for name, est in models.tree_regressors(seed=seed).items():
         fits.append((name, "onehot", onehot_stages(), est))
     rows = []
-    for name, fs, stages, est in fits:
-        _, pred = models.fit_and_score(stages + [est], train, test)
-        rows += _scores(name, fs, pred)
-    _, log_pred = models.fit_and_score(
-        onehot_stages() + [models.linear_regression(label="log_label")], models.log_target(train.where(F.col("label") > 0)), test
-    )
-    rows += _scores("linear_regression_log_target", "onehot", models.exp_back(log_pred))
+    try:
+        for name, fs, stages, est in fits:
+            _, pred = models.fit_and_score(stages + [est], train, test)
+            rows.append(_scores(name, fs, pred))
+        _, log_pred = models.fit_and_score(
+            onehot_stages() + [models.linear_regression(label="log_label")], models.log_target(train.where(F.col("label") > 0)), test
+        )
+    finally:
+        train.unpersist()
+    rows.append(_scores("linear_regression_log_target", "onehot", models.exp_back(log_pred)))
     return reduce(DataFrame.unionByName, rows)
 
 
 def _scores(name, fs, pred):
-    clipped = pred.withColumn("prediction", F.greatest("prediction", F.lit(0.0)))
-    out = []
-    for metric, df in (("rmse", models.rmse(pred)), ("rmsle", models.rmsle(clipped))):
-        out.append(df.select(F.lit(name).alias("model"), F.lit(fs).alias("features"), F.lit(metric).alias("metric"), F.col(metric).alias("value")))
-    return out
+    out = models.value_metrics(name, pred).withColumn("features", F.lit(fs))
+    return out.select("model", "features", "metric", "value")

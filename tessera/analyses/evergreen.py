@@ -56,8 +56,8 @@ def compare_classifiers(raw: DataFrame, id_col: str = "urlid", label: str = "lab
     """``(model, features, metric, value)`` for every classifier and feature
     set, on a hash split of ``id_col`` (80 % train)."""
     data = feature_sets(clean_table(raw, label=label), label=label)
-    data = data.withColumn("_part", hash_split(data, [id_col], seed=seed)).persist()
-    train, test = data.where(F.col("_part") == "train"), data.where(F.col("_part") == "test")
+    data = data.withColumn("_part", hash_split(data, [id_col], seed=seed))
+    test = data.where(F.col("_part") == "test")
     candidates = {
         "logistic_regression": (models.logistic_regression, ["f_raw", "f_imputed", "f_scaled", "f_category"]),
         "linear_svc": (models.linear_svc, ["f_raw", "f_imputed", "f_scaled", "f_category"]),
@@ -65,10 +65,12 @@ def compare_classifiers(raw: DataFrame, id_col: str = "urlid", label: str = "lab
         "random_forest": (models.random_forest_classifier, ["f_raw", "f_imputed", "f_scaled", "f_category"]),
     }
     rows = []
-    for name, (make, sets) in candidates.items():
-        for fs in sets:
-            est = make(features=fs, label=label)
-            pred = est.fit(train).transform(test)
-            for metric, df in (("accuracy", models.accuracy(pred, label)), ("weightedRecall", models.weighted_recall(pred, label))):
-                rows.append(df.select(F.lit(name).alias("model"), F.lit(fs).alias("features"), F.lit(metric).alias("metric"), F.col(df.columns[0]).alias("value")))
-    return reduce(DataFrame.unionByName, rows)
+    held = data.where(F.col("_part") == "train").persist()  # read by every fit, released after the last
+    try:
+        for name, (make, sets) in candidates.items():
+            for fs in sets:
+                pred = make(features=fs, label=label).fit(held).transform(test)
+                rows.append(models.class_metrics(name, pred, label).withColumn("features", F.lit(fs)))
+    finally:
+        held.unpersist()
+    return reduce(DataFrame.unionByName, rows).select("model", "features", "metric", "value")

@@ -103,7 +103,7 @@ def genre_names(items: DataFrame, genres: DataFrame, sep: str = ", ") -> DataFra
     table (unpivot the flags, join the names, regroup)."""
     flags = F.array(*[F.struct(F.lit(i).alias("genre_id"), F.col(f"g{i}").alias("flag")) for i in range(N_GENRES)])
     set_flags = items.select("itemid", F.inline(flags)).where(F.col("flag") == 1)
-    named = set_flags.join(joins.bounded_broadcast(genres, 10_000), "genre_id")
+    named = set_flags.join(genres, "genre_id")
     ordered = F.array_sort(F.collect_list(F.struct("genre_id", "name")))
     out = named.groupBy("itemid").agg(F.array_join(F.transform(ordered, lambda s: s["name"]), sep).alias("genres"))
     return items.select("itemid").join(out, "itemid", "left").fillna({"genres": ""})
@@ -168,13 +168,21 @@ def movie_clusters(
     The returned DataFrames are plans; only model parameters (k centres) were collected.
     """
     spark = ratings.sparkSession
-    model = models.als(ratings.select("userid", "itemid", F.col("rating").cast("float")).persist(), "userid", "itemid", "rating")
+    rated = ratings.select("userid", "itemid", F.col("rating").cast("float")).persist()  # read by every iteration
+    try:
+        model = models.als(rated, "userid", "itemid", "rating")
+    finally:
+        rated.unpersist()
     means = models.factor_means(model)
     item_f = model.itemFactors.select(
         F.col("id").alias("itemid"), F.col("features").cast("array<double>").alias("arr")
-    ).withColumn("features", array_to_vector("arr")).persist()
-    km = models.kmeans(item_f, k=k, seed=seed, features="features", prediction="cluster")
-    bk = models.bisecting_kmeans(item_f, k=k, seed=seed, features="features", prediction="bisect_cluster")
+    ).withColumn("features", array_to_vector("arr"))
+    held = item_f.persist()
+    try:
+        km = models.kmeans(held, k=k, seed=seed, features="features", prediction="cluster")
+        bk = models.bisecting_kmeans(held, k=k, seed=seed, features="features", prediction="bisect_cluster")
+    finally:
+        held.unpersist()
     assigned = km.transform(item_f).select("itemid", "arr", F.col("cluster").alias("prediction"))
     dist = models.distance_to_centre(assigned, models.centre_table(km, spark), "arr")
     b_assigned = bk.transform(item_f).select("itemid", "arr", F.col("bisect_cluster").alias("prediction"))

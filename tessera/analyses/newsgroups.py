@@ -47,13 +47,14 @@ def corpus_summary(docs: DataFrame, rare: int = 20) -> dict[str, DataFrame]:
 def without_rare_terms(docs: DataFrame, rare: int = 20, key: str = "path") -> DataFrame:
     """Kept tokens per document once the ``rare`` least frequent terms are removed."""
     table = token_table(docs, key)
-    rarest = text.rarest_terms(text.term_frequency(text.corpus_terms(docs, "text")), rare)
-    out = text.drop_terms(table, "filtered", rarest, key=key)
+    out = text.drop_rarest(table, "filtered", text.term_frequency(text.corpus_terms(docs, "text")), rare)
     return out.withColumn("filteredtokens", F.size("filtered"))
 
 
 def synonyms(docs: DataFrame, word: str, k: int = 10, vector_size: int = 10, min_count: int = 0, seed: int = 42) -> DataFrame:
-    """Word2Vec over the kept tokens; the ``k`` words nearest to ``word``."""
-    table = token_table(docs)
-    model = text.word2vec(table, "filtered", vector_size=vector_size, min_count=min_count, seed=seed)
-    return text.nearest_words(text.word_vectors(model), word, k)
+    """Rare words out, the rest stemmed, Word2Vec over the stems; the ``k`` stems nearest
+    to ``word``'s stem (none for an unknown word)."""
+    stems = text.stem_tokens(without_rare_terms(docs), "path", "filtered")
+    model = text.word2vec(stems, "stemmed", vector_size=vector_size, min_count=min_count, seed=seed)
+    asked = docs.sparkSession.createDataFrame([(word,)], "term string")
+    return text.nearest_words(text.word_vectors(model), text.stem_vocabulary(asked).agg(F.first("stem")).scalar(), k)

@@ -2,10 +2,8 @@
 
 from tessera.functions.arrays import (  # noqa: F401
     array_mean,
-    drop_listed,
     flags_to_names,
     squared_distance,
-    to_vector,
 )
 from tessera.functions.dates import (  # noqa: F401
     hour_of_epoch,

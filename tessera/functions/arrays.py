@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -26,24 +25,6 @@ def squared_distance(a: str | Column, b: str | Column) -> Column:
     return F.aggregate(diffs, F.lit(0.0), lambda acc, d: acc + d)
 
 
-def to_vector(arr: str | Column) -> Column:
-    """array of numbers -> ML dense vector."""
-    return array_to_vector(_col(arr))
-
-
-def from_vector(vec: str | Column) -> Column:
-    """ML vector -> array<double>."""
-    return vector_to_array(_col(vec))
-
-
-def drop_listed(arr: str | Column, listed: Column) -> Column:
-    """F16: keep the elements not in ``listed`` (an array column or literal), repeats kept.
-
-    Unlike ``array_except`` this keeps duplicates and order.
-    """
-    return F.filter(_col(arr), lambda w: ~F.array_contains(listed, w))
-
-
 def flags_to_names(flags: Sequence[tuple[str, Column]], sep: str | None = None) -> Column:
     """Names whose flag is true, in the given order (array, or joined with ``sep``)."""
     arr = F.array_compact(F.array(*[F.when(cond, F.lit(name)) for name, cond in flags]))

@@ -10,6 +10,15 @@ def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+_NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+
+
+def number(c: str | Column) -> Column:
+    """Text as a double, null where it is no number. The pattern keeps failing casts, which are slow,
+    off dirty text; ``inf`` and ``nan`` are not numbers here."""
+    return F.when(_col(c).rlike(_NUMBER), _col(c).try_cast("double"))
+
+
 def clean_numeric(c: str | Column, unknown_marker: str = "?") -> Column:
     """quotes off; text holding ``unknown_marker`` -> 0.0; negative -> 0.0.
 
@@ -17,7 +26,7 @@ def clean_numeric(c: str | Column, unknown_marker: str = "?") -> Column:
     source raised. ``greatest`` is not used because it skips nulls.
     """
     text = F.replace(_col(c).cast("string"), F.lit('"'), F.lit(""))
-    value = F.when(text.contains(unknown_marker), F.lit(0.0)).otherwise(text.try_cast("double"))
+    value = F.when(text.contains(unknown_marker), F.lit(0.0)).otherwise(number(text))
     return F.when(value < 0, F.lit(0.0)).otherwise(value)
 
 
@@ -28,7 +37,7 @@ def rejected(c: str | Column, unknown_marker: str = "?") -> Column:
 
 def safe_half(c: str | Column) -> Column:
     """The value halved, null when the text is not a number (e.g. a postcode ``T8H1N``)."""
-    return _col(c).cast("string").try_cast("double") / 2
+    return number(_col(c).cast("string")) / 2
 
 
 def age_from_year(year: str | Column, base_year: int) -> Column:

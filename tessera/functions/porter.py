@@ -1,13 +1,15 @@
 """Porter's suffix-stripping stemmer (M. F. Porter, "An algorithm for suffix stripping",
-Program 14(3), 1980), as a small per-word helper.
+Program 14(3), 1980) as SQL expressions over a column.
 
-It is applied once per *distinct* term inside a Pandas UDF (see ``operators.text``), never
-per token occurrence.
+Each step is one expression over the word ``w``; consonant and vowel runs are regular
+expressions, with a first ``y`` written as ``Y`` so that it counts as a consonant. The text is
+plain SQL but for the name of the regular-expression predicate, so any engine can run it.
 """
 
 from __future__ import annotations
 
-_VOWELS = frozenset("aeiou")
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 # The rule tables of the published algorithm (suffix, replacement), in the
 # paper's order.
@@ -26,122 +28,71 @@ STEP4_SUFFIXES = (
     "ou", "ism", "ate", "iti", "ous", "ive", "ize",
 )
 
-
-def _is_consonant(w: str, i: int) -> bool:
-    c = w[i]
-    if c in _VOWELS:
-        return False
-    if c == "y":
-        return i == 0 or not _is_consonant(w, i - 1)
-    return True
-
-
-def _measure(stem: str) -> int:
-    """m in [C](VC)^m[V]."""
-    m, i, n = 0, 0, len(stem)
-    while i < n and _is_consonant(stem, i):
-        i += 1
-    while i < n:
-        while i < n and not _is_consonant(stem, i):
-            i += 1
-        if i >= n:
-            break
-        while i < n and _is_consonant(stem, i):
-            i += 1
-        m += 1
-    return m
-
-
-def _has_vowel(stem: str) -> bool:
-    return any(not _is_consonant(stem, i) for i in range(len(stem)))
-
-
-def _double_consonant(w: str) -> bool:
-    return len(w) >= 2 and w[-1] == w[-2] and _is_consonant(w, len(w) - 1)
-
-
-def _cvc(w: str) -> bool:
-    if len(w) < 3:
-        return False
-    i = len(w) - 1
-    return (
-        _is_consonant(w, i - 2) and not _is_consonant(w, i - 1) and _is_consonant(w, i) and w[i] not in "wxy"
-    )
-
-
-def _replace_longest(w: str, rules, min_m: int) -> str:
-    for suffix, repl in sorted(rules, key=lambda r: -len(r[0])):
-        if w.endswith(suffix):
-            stem = w[: -len(suffix)]
-            return stem + repl if _measure(stem) > min_m else w
-    return w
-
-
-def _step1ab(w: str) -> str:
-    if w.endswith("sses"):
-        w = w[:-2]
-    elif w.endswith("ies"):
-        w = w[:-2]
-    elif w.endswith("ss"):
-        pass
-    elif w.endswith("s"):
-        w = w[:-1]
-
-    if w.endswith("eed"):
-        if _measure(w[:-3]) > 0:
-            w = w[:-1]
-        return w
-    for suffix in ("ed", "ing"):
-        if w.endswith(suffix) and _has_vowel(w[: -len(suffix)]):
-            w = w[: -len(suffix)]
-            if w.endswith(("at", "bl", "iz")):
-                return w + "e"
-            if _double_consonant(w) and w[-1] not in "lsz":
-                return w[:-1]
-            if _measure(w) == 1 and _cvc(w):
-                return w + "e"
-            return w
-    return w
-
-
-def _step1c(w: str) -> str:
-    if w.endswith("y") and _has_vowel(w[:-1]):
-        return w[:-1] + "i"
-    return w
-
-
-def _step4(w: str) -> str:
-    for suffix in sorted(STEP4_SUFFIXES, key=len, reverse=True):
-        if w.endswith(suffix):
-            stem = w[: -len(suffix)]
-            if _measure(stem) <= 1:
-                return w
-            if suffix == "ion" and not stem.endswith(("s", "t")):
-                return w
-            return stem
-    return w
-
-
-def _step5(w: str) -> str:
-    if w.endswith("e"):
-        stem = w[:-1]
-        m = _measure(stem)
-        if m > 1 or (m == 1 and not _cvc(stem)):
-            w = stem
-    if _measure(w) > 1 and _double_consonant(w) and w.endswith("l"):
-        w = w[:-1]
-    return w
-
-
-def stem(word: str) -> str:
-    """Porter stem of a lower-case word; words of one or two letters are returned as is."""
-    if word is None:
-        return None
-    if len(word) <= 2 or not word.isascii() or not word.isalpha():
-        return word
-    w = _step1ab(word)
-    w = _step1c(w)
-    w = _replace_longest(w, STEP2_RULES, 0)
-    w = _replace_longest(w, STEP3_RULES, 0)
-    w = _step4(w)
-    return _step5(w)
+_C, _V = "[^aeiou][^aeiouy]*", "[aeiouy][aeiou]*"
+_ONE = f"^({_C})?{_V}{_C}"  # measure of 1 and more
+_JUST_ONE = f"^({_C})?{_V}{_C}({_V})?$"
+_TWO = f"^({_C})?{_V}{_C}{_V}{_C}"  # measure of 2 and more
+_VOWEL = f"^({_C})?[aeiouy]"
+_CVC = f"^{_C}[aeiouy][^aeiouwxy]$"
+
+
+def steps(matches: str = "regexp_like") -> list[str]:
+    """The algorithm's steps, each an expression of ``w`` that gives the next ``w``. ``matches``: the
+    engine's function of (text, pattern)."""
+    rx = lambda text, pattern: f"{matches}({text}, '{pattern}')"
+    stem = lambda n: f"substr(w, 1, length(w) - {n})"
+    ends = lambda suffix: f"right(w, {len(suffix)}) = '{suffix}'"
+
+    def longest_first(rules, measure):
+        cases = [
+            f"WHEN {ends(s)} THEN CASE WHEN {rx(stem(len(s)), measure)} THEN concat({stem(len(s))}, '{r}') ELSE w END"
+            for s, r in sorted(rules, key=lambda rule: -len(rule[0]))
+        ]
+        return f"CASE {' '.join(cases)} ELSE w END"
+
+    def step4():
+        cases = []
+        for s in sorted(STEP4_SUFFIXES, key=lambda x: -len(x)):
+            also = f" AND {rx(stem(len(s)), '[st]$')}" if s == "ion" else ""
+            cases.append(f"WHEN {ends(s)} THEN CASE WHEN {rx(stem(len(s)), _TWO)}{also} THEN {stem(len(s))} ELSE w END")
+        return f"CASE {' '.join(cases)} ELSE w END"
+
+    # after ed or ing has gone, marked by a trailing '-'
+    double = f"right(w, 1) = '-' AND {rx('w', '[^aeiouylsz]-$')} AND substr(w, length(w) - 1, 1) = substr(w, length(w) - 2, 1)"
+    return [
+        "CASE WHEN substr(w, 1, 1) = 'y' THEN concat('Y', substr(w, 2)) ELSE w END",
+        f"CASE WHEN {ends('sses')} OR {ends('ies')} THEN {stem(2)} WHEN {ends('ss')} THEN w WHEN {ends('s')} THEN {stem(1)} ELSE w END",
+        f"CASE WHEN {ends('eed')} THEN CASE WHEN {rx(stem(3), _ONE)} THEN {stem(1)} ELSE w END "
+        f"WHEN {ends('ed')} AND {rx(stem(2), _VOWEL)} THEN concat({stem(2)}, '-') "
+        f"WHEN {ends('ing')} AND {rx(stem(3), _VOWEL)} THEN concat({stem(3)}, '-') ELSE w END",
+        f"CASE WHEN {rx('w', '(at|bl|iz)-$')} THEN concat({stem(1)}, 'e') WHEN {double} THEN {stem(2)} "
+        f"WHEN right(w, 1) = '-' AND {rx(stem(1), _JUST_ONE)} AND {rx(stem(1), '[^aeiou][aeiouy][^aeiouwxy]$')} THEN concat({stem(1)}, 'e') "
+        f"WHEN right(w, 1) = '-' THEN {stem(1)} ELSE w END",
+        f"CASE WHEN {ends('y')} AND {rx(stem(1), _VOWEL)} THEN concat({stem(1)}, 'i') ELSE w END",
+        longest_first(STEP2_RULES, _ONE),
+        longest_first(STEP3_RULES, _ONE),
+        step4(),
+        f"CASE WHEN {ends('e')} AND ({rx(stem(1), _TWO)} OR ({rx(stem(1), _JUST_ONE)} AND NOT {rx(stem(1), _CVC)})) THEN {stem(1)} ELSE w END",
+        f"CASE WHEN {ends('ll')} AND {rx('w', _TWO)} THEN {stem(1)} ELSE w END",
+        "CASE WHEN substr(w, 1, 1) = 'Y' THEN concat('y', substr(w, 2)) ELSE w END",
+    ]
+
+
+#: Words that are stemmed; shorter ones and those with other signs stay as they are.
+STEMMED = "^[a-z]{3,}$"
+
+
+def with_stem(words: DataFrame, word: str, out: str = "stem") -> DataFrame:
+    """``words`` with the Porter stem of the lower-case column ``word``."""
+    df = words.withColumn("w", F.col(word))
+    for step in steps():
+        df = df.withColumn("w", F.expr(step))
+    return df.withColumn(out, F.when(F.col(word).rlike(STEMMED), F.col("w")).otherwise(F.col(word))).drop("w")
+
+
+def stem_sql(source: str, word: str, matches: str) -> str:
+    """The same as a SELECT over the relation ``source``: all its columns and ``stem``."""
+    inner = f"(SELECT *, {word} AS w FROM {source})"
+    for step in steps(matches):
+        inner = f"(SELECT * REPLACE ({step} AS w) FROM {inner})"
+    return f"SELECT * EXCLUDE (w), CASE WHEN {matches}({word}, '{STEMMED}') THEN w ELSE {word} END AS stem FROM {inner}"

@@ -29,8 +29,10 @@ def parent_folder(path: str | Column) -> Column:
 
 
 def year_from_text(c: str | Column, missing: int = 1900) -> Column:
-    """the last four characters as a year; ``missing`` when they are not a number."""
-    return F.coalesce(F.right(_col(c), F.lit(4)).try_cast("int"), F.lit(missing))
+    """the last four characters as a year; ``missing`` when they are not a number (a sign and
+    white space around it are allowed). The pattern keeps failing casts, which are slow, off the rest."""
+    last = F.right(_col(c), F.lit(4))
+    return F.coalesce(F.when(last.rlike(r"^\s*[+-]?[0-9]+\s*$"), last.try_cast("int")), F.lit(missing))
 
 
 def title_without_parenthesis(c: str | Column) -> Column:
@@ -40,7 +42,7 @@ def title_without_parenthesis(c: str | Column) -> Column:
     """
     t = _col(c)
     head = F.regexp_extract(t, r"(?s)^(.*?)" + _ONE_WORD_PAREN, 1)
-    return F.when(t.rlike(_ONE_WORD_PAREN), F.trim(head)).otherwise(t)
+    return F.when(t.rlike(_ONE_WORD_PAREN), F.regexp_replace(head, r"^\s+|\s+$", "")).otherwise(t)
 
 
 def strip_quotes(c: str | Column) -> Column:

@@ -23,13 +23,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.strings import split_literal
-from tessera.operators.joins import bounded_broadcast
 from tessera.operators.positions import global_index
 
-# Mapping tables up to this many rows are broadcast; larger ones are joined by shuffle, where
-# AQE splits a hot key's partition.
-MAX_BROADCAST_MAPPING = 2_000_000
-
 
 def frequency_index_table(df: DataFrame, col: str, index_col: str | None = None) -> DataFrame:
     """``(col, index, n)``: index 0 is the most frequent value, ties alphabetical.
@@ -45,7 +40,7 @@ def frequency_index(df: DataFrame, col: str, index_col: str | None = None) -> Da
     """Add the frequency index of ``col`` to every row (rows with null keep null)."""
     index_col = index_col or f"{col}_index"
     mapping = frequency_index_table(df, col, index_col).select(col, index_col)
-    return df.join(bounded_broadcast(mapping, MAX_BROADCAST_MAPPING), col, "left")
+    return df.join(mapping, col, "left")
 
 
 def one_hot(df: DataFrame, index_cols: Sequence[str], drop_last: bool = True, suffix: str = "_vec") -> DataFrame:
@@ -67,10 +62,11 @@ def binary_bag(
 ) -> DataFrame:
     """The sparse 0/1 term vector of each row as ``(key, term_id, value=1.0)``.
 
-    The vocabulary is joined, not shipped in a closure; it is broadcast only when small.
+    The vocabulary is joined, not shipped in a closure. Repeats go within the row's own array, so
+    rows are not shuffled to drop them; ``key`` identifies a row.
     """
-    pairs = df.select(key, F.explode(split_literal(text_col, sep)).alias("term")).distinct()
-    return pairs.join(bounded_broadcast(vocab, MAX_BROADCAST_MAPPING), "term").select(
+    pairs = df.select(key, F.explode(F.array_distinct(split_literal(text_col, sep))).alias("term"))
+    return pairs.join(vocab, "term").select(
         key, id_col, F.lit(1.0).alias("value")
     )
 
@@ -111,10 +107,3 @@ def category_stages(cols: Sequence[str], handle_invalid: str = "error") -> list:
         StringIndexer(inputCols=list(cols), outputCols=idx, stringOrderType="frequencyDesc", handleInvalid=handle_invalid),
         OneHotEncoder(inputCols=idx, outputCols=[c + "_vec" for c in cols], dropLast=True),
     ]
-
-
-def category_features(cols: Sequence[str], numeric: Sequence[str], out: str = "features") -> Pipeline:
-    """M01+M02+M07 as one ML pipeline: categories one-hot, then assembled with numbers."""
-    stages = category_stages(cols)
-    stages.append(VectorAssembler(inputCols=[c + "_vec" for c in cols] + list(numeric), outputCol=out))
-    return Pipeline(stages=stages)

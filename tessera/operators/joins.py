@@ -1,9 +1,8 @@
-"""Joins (J01-J05) and the size-checked broadcast.
+"""Joins (J01-J05).
 
-Spark picks hash, sort-merge or broadcast joins by itself (with AQE re-planning at run time
-from real shuffle sizes). An explicit broadcast is only placed on a side whose size is
-bounded by construction (k centres, a fixed short word list, one row per partition) or has
-just been checked with :func:`bounded_broadcast`.
+Spark picks hash, sort-merge or broadcast joins by itself, from file statistics and, with AQE,
+from real shuffle sizes. An explicit broadcast is only placed on a side whose size is bounded
+by a parameter (k centres, k listed terms, one row per partition).
 """
 
 from __future__ import annotations
@@ -11,19 +10,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
-
-
-def fits(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows. Reads at most ``max_rows + 1`` rows."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint on ``df`` only if it is small; otherwise leave the choice to Spark/AQE."""
-    return F.broadcast(df) if fits(df, max_rows) else df
 
 
 def join_using(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
@@ -31,12 +17,6 @@ def join_using(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str
     return left.join(right, list(keys), how)
 
 
-def lookup_join(
-    facts: DataFrame,
-    dim: DataFrame,
-    keys: Sequence[str],
-    how: str = "inner",
-    max_dim_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-) -> DataFrame:
-    """A dictionary lookup as a join; the dimension is broadcast when it is small."""
-    return facts.join(bounded_broadcast(dim, max_dim_rows), list(keys), how)
+def lookup_join(facts: DataFrame, dim: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
+    """A dictionary lookup as a join; facts without an entry get nulls."""
+    return facts.join(dim, list(keys), how)

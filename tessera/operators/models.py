@@ -12,7 +12,6 @@ from collections.abc import Sequence
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LinearSVC, LogisticRegression, NaiveBayes, RandomForestClassifier
 from pyspark.ml.clustering import BisectingKMeans, KMeans
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.recommendation import ALS
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame
@@ -20,6 +19,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.arrays import array_mean, squared_distance
 from tessera.functions.numeric import squared_log_error
+from tessera.operators.positions import global_index
 
 # ---- metrics (L17-L19, F13) -------------------------------------------------------------
 
@@ -47,14 +47,6 @@ def rmsle(df: DataFrame, label: str = "label", prediction: str = "prediction") -
     return df.agg(F.sqrt(F.avg(squared_log_error(prediction, label))).alias("rmsle"))
 
 
-def evaluate_classifier(pred: DataFrame, metric: str = "accuracy") -> float:
-    return MulticlassClassificationEvaluator(metricName=metric).evaluate(pred)
-
-
-def evaluate_regressor(pred: DataFrame, metric: str = "rmse") -> float:
-    return RegressionEvaluator(metricName=metric).evaluate(pred)
-
-
 # ---- recommendation (L01, L02) ------------------------------------------------------------
 
 
@@ -67,14 +59,14 @@ def als(
     max_iter: int = 5,
     reg: float = 0.01,
     seed: int = 42,
-    blocks: int | None = None,
+    blocks: int = 10,
 ):
     """Explicit-feedback ALS; unseen users/items are dropped at prediction time.
 
-    User and item blocks default to the session's parallelism (one block per task slot)
-    rather than a fixed 10, so the factor updates spread over the whole cluster.
+    ``blocks``: user and item blocks; raise it on a large cluster. It is not taken from the session,
+    so the factors do not change with the cluster's size. Ids must be ints: index larger ones
+    densely first (``dense_ids``).
     """
-    blocks = blocks or ratings.sparkSession.sparkContext.defaultParallelism
     est = ALS(
         rank=rank, maxIter=max_iter, regParam=reg, userCol=user, itemCol=item, ratingCol=rating,
         coldStartStrategy="drop", seed=seed, numUserBlocks=blocks, numItemBlocks=blocks,
@@ -82,6 +74,11 @@ def als(
     return est.fit(ratings)
 
 
+def dense_ids(df: DataFrame, col: str, out: str) -> DataFrame:
+    """``(col, out)``: the distinct values of ``col`` numbered 0.. in order, as ints, whatever their size."""
+    return global_index(df.select(col).distinct(), [col], out).withColumn(out, F.col(out).cast("int"))
+
+
 def factor_means(model) -> DataFrame:
     """``(kind, id, f_mean)`` mean of each user's and item's factor vector."""
     users = model.userFactors.select(F.lit("user").alias("kind"), "id", array_mean("features").alias("f_mean"))
@@ -166,9 +163,30 @@ def fit_and_score(stages: Sequence, train: DataFrame, test: DataFrame):
     return model, model.transform(test)
 
 
-def metric_row(name: str, metric: str, value_df: DataFrame, value_col: str) -> DataFrame:
-    """``(model, metric, value)`` from a one-row metric DataFrame (stays a plan)."""
-    return value_df.select(F.lit(name).alias("model"), F.lit(metric).alias("metric"), F.col(value_col).alias("value"))
+def class_metrics(name: str, pred: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
+    """``(model, metric, value)`` of accuracy and weighted recall from one pass over the
+    predictions: both are the share of rows whose prediction is right, recall taken per class."""
+    hit = (F.col(label) == F.col(prediction)).cast("double")
+    per_class = pred.groupBy(label).agg(F.count(F.lit(1)).alias("n"), F.sum(hit).alias("tp"))
+    both = per_class.agg(
+        F.try_divide(F.sum("tp"), F.sum("n")).alias("accuracy"),
+        F.try_divide(F.sum(F.col("n") * F.col("tp") / F.col("n")), F.sum("n")).alias("weightedRecall"),
+    )
+    return _stacked(name, both, ["accuracy", "weightedRecall"])
+
+
+def value_metrics(name: str, pred: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
+    """``(model, metric, value)`` of RMSE and RMSLE (negative predictions as 0) from one pass."""
+    both = pred.agg(
+        F.sqrt(F.avg(F.pow(F.col(prediction) - F.col(label), 2))).alias("rmse"),
+        F.sqrt(F.avg(squared_log_error(F.greatest(prediction, F.lit(0.0)), label))).alias("rmsle"),
+    )
+    return _stacked(name, both, ["rmse", "rmsle"])
+
+
+def _stacked(name: str, row: DataFrame, metrics: Sequence[str]) -> DataFrame:
+    pairs = ", ".join(f"'{m}', {m}" for m in metrics)
+    return row.select(F.lit(name).alias("model"), F.expr(f"stack({len(metrics)}, {pairs}) as (metric, value)"))
 
 
 def log_target(df: DataFrame, label: str = "label", out: str = "log_label") -> DataFrame:

@@ -96,32 +96,47 @@ def running_total(
     )
 
 
-def exact_quantile(df: DataFrame, col: str, q: float = 0.5, alias: str | None = None) -> DataFrame:
+def exact_quantile(
+    df: DataFrame, col: str, q: float = 0.5, alias: str | None = None, accuracy: int = 10_000, last_rows: int = 100_000
+) -> DataFrame:
     """One-row DataFrame: the exact ``q`` quantile of ``col`` with linear interpolation.
 
     Same definition as ``percentile``/``median`` (and NumPy's default): position
-    ``q * (n - 1)`` in sorted order. Distinct values are counted first (map-side combine),
-    so only one row per distinct value is sorted, and no task holds a whole group.
+    ``q * (n - 1)`` in sorted order. An approximate percentile brackets the two ranks asked for,
+    the rows below the bracket are counted, and the same is done inside it until at most
+    ``last_rows`` rows (or one value) are left; only those are sorted. Each round is an
+    aggregate over the column that shrinks the bracket by a factor of about ``accuracy / 4``.
     """
     if not 0.0 <= q <= 1.0:
         raise ValueError("q must be in [0, 1]")
     alias = alias or f"q_{col}"
-    counts = df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_c"))
-    cum = running_total(counts, [col], "_c", "_cum")
-    n = cum.agg(F.max("_cum")).scalar()  # from the checkpoint: the data is not read again
-    # the scalar is attached once as a column, then only the column is referenced
-    with_p = cum.withColumn("_p", F.lit(q) * (n - 1))
-    p = F.col("_p")
-    first = F.col("_cum") - F.col("_c")  # 0-based rank of the first copy of this value
-    marked = with_p.select(
-        F.col(col).cast("double").alias("_v"),
-        ((first <= F.floor(p)) & (F.floor(p) < F.col("_cum"))).alias("_is_lo"),
-        ((first <= F.ceil(p)) & (F.ceil(p) < F.col("_cum"))).alias("_is_hi"),
-        (p - F.floor(p)).alias("_frac"),
-    )
-    picked = marked.where(F.col("_is_lo") | F.col("_is_hi")).agg(
-        F.max(F.when(F.col("_is_lo"), F.col("_v"))).alias("_lo"),
-        F.max(F.when(F.col("_is_hi"), F.col("_v"))).alias("_hi"),
-        F.max("_frac").alias("_frac"),
-    )
-    return picked.select((F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("_frac")).alias(alias))
+    x = F.col("_x")
+    rows = df.select(F.col(col).alias("_x")).where(x.isNotNull())
+    inside, below = rows.count(), 0
+    if not inside:
+        return rows.agg(F.max(x).cast("double").alias(alias))
+    at = q * (inside - 1)
+    low, high = int(at), min(int(at) + (at > int(at)), inside - 1)
+    held = rows
+    while inside > last_rows:
+        margin = 2.0 / accuracy
+        shares = [max(0.0, (low - below) / inside - margin), min(1.0, (high + 1 - below) / inside + margin)]
+        a, b = held.agg(F.percentile_approx(x, shares, accuracy).alias("p")).first()["p"]
+        under, upto = held.agg(F.count_if(x < a).alias("u"), F.count_if(x <= b).alias("t")).first()
+        if under > low - below:  # the approximation missed on this side: keep the old bound
+            a, under = held.agg(F.min(x)).first()[0], 0
+        if upto <= high - below:
+            b, upto = held.agg(F.max(x)).first()[0], inside
+        held = rows.where(x.between(a, b))
+        shrunk = upto - under < inside
+        below, inside = below + under, upto - under
+        if a == b or not shrunk:
+            break
+    # few distinct values or few rows are left
+    counts = held.groupBy(x).agg(F.count(F.lit(1)).alias("_c"))
+    upto = F.sum("_c").over(Window.orderBy("_x")) + F.lit(below)
+    ranked = counts.select(x.cast("double").alias("_v"), upto.alias("_t"), F.col("_c"))
+    first = F.col("_t") - F.col("_c")
+    pick = lambda k: F.max(F.when((first <= k) & (F.lit(k) < F.col("_t")), F.col("_v")))
+    lo, hi = pick(low), pick(high)
+    return ranked.agg((lo + (hi - lo) * F.lit(at - low)).alias(alias))

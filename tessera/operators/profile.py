@@ -19,10 +19,11 @@ def _c(c: str | Column) -> Column:
 
 
 def table_counts(df: DataFrame, distinct_cols: Sequence[str], ratio_of: str | None = None) -> DataFrame:
-    """Row count, exact distinct count per column and rows per distinct value."""
-    aggs = [F.count(F.lit(1)).alias("n_rows")]
-    aggs += [F.countDistinct(c).alias(f"n_distinct_{c}") for c in distinct_cols]
-    out = df.agg(*aggs)
+    """Row count, exact distinct count per column and rows per distinct value. One
+    aggregate per column: several distinct counts in one would copy every row for each of them."""
+    out = df.agg(F.count(F.lit(1)).alias("n_rows"))
+    for c in distinct_cols:
+        out = out.withColumn(f"n_distinct_{c}", df.agg(F.countDistinct(c)).scalar())
     if ratio_of is not None:
         out = out.withColumn(f"rows_per_{ratio_of}", F.try_divide(F.col("n_rows"), F.col(f"n_distinct_{ratio_of}")))
     return out
@@ -74,11 +75,6 @@ def median(df: DataFrame, col: str, alias: str | None = None) -> DataFrame:
     return exact_quantile(df, col, 0.5, alias or f"median_{col}")
 
 
-def approx_median(df: DataFrame, col: str, accuracy: int = 10_000) -> DataFrame:
-    """A10 at scale when an approximate answer is enough: one pass, bounded memory."""
-    return df.agg(F.percentile_approx(col, 0.5, accuracy).alias(f"median_{col}"))
-
-
 def histogram(df: DataFrame, col: str, bins: int = 20, density: bool = False) -> DataFrame:
     """Equal-width bins between min and max; the last bin is closed on the right.
 

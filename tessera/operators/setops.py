@@ -10,8 +10,3 @@ from pyspark.sql import DataFrame
 def append_rows(*frames: DataFrame) -> DataFrame:
     """Bag union by position; names come from the first frame."""
     return reduce(DataFrame.union, frames)
-
-
-def distinct_rows(df: DataFrame) -> DataFrame:
-    """U02."""
-    return df.distinct()

@@ -10,29 +10,24 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.operators.joins import bounded_broadcast
 from tessera.operators.positions import global_index
 
-MAX_BROADCAST_KEYS = 2_000_000
-
 
 def hash_split(df: DataFrame, keys: Sequence[str], train_share: int = 8, buckets: int = 10, seed: int = 42) -> Column:
-    """L20, partition-independent: ``'train'`` when ``pmod(xxhash64(seed, keys), buckets) < train_share``.
+    """L20, partition-independent: ``'train'`` when the first 32 bits of ``md5(seed|key|...)``, modulo
+    ``buckets``, are below ``train_share``.
 
-    Unlike ``randomSplit`` the side of a row does not depend on partitioning or task retries.
+    Unlike ``randomSplit`` the side of a row does not depend on partitioning or task retries,
+    and any engine with md5 gives the same sides.
     """
-    h = F.pmod(F.xxhash64(F.lit(seed), *[F.col(k) for k in keys]), F.lit(buckets))
+    text = F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys])
+    h = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long") % buckets
     return F.when(h < train_share, F.lit("train")).otherwise(F.lit("test"))
 
 
-def random_split(df: DataFrame, weights: Sequence[float] = (0.8, 0.2), seed: int = 42) -> list[DataFrame]:
-    """L20 as the source does it (``randomSplit``); stable only for a fixed partitioning."""
-    return df.randomSplit(list(weights), seed)
-
-
 def positional_folds(df: DataFrame, order: Sequence[str], k: int = 5, fold_col: str = "fold") -> DataFrame:
     """Contiguous blocks of ``ceil(n / k)`` rows in ``order``; fold ``i`` is test set ``i``."""
     if k < 1:
@@ -52,10 +47,9 @@ def ordinal_within(df: DataFrame, key: str, order: Sequence[str], name: str = "o
     """1-based ordinal of each row inside its ``key`` in ``order`` (skew-safe)."""
     indexed = global_index(df, [key, *order], "_gpos")
     starts = indexed.groupBy(key).agg(F.min("_gpos").alias("_start"))  # one row per key
-    # A small key table is broadcast, so rows of a hot key are never shuffled by key; a large
-    # one is joined by shuffle, where AQE splits a hot key's partition.
+    # joined by shuffle, AQE splits a hot key's partition
     return (
-        indexed.join(bounded_broadcast(starts, MAX_BROADCAST_KEYS), key)
+        indexed.join(starts, key)
         .withColumn(name, (F.col("_gpos") - F.col("_start") + 1).cast("long"))
         .drop("_gpos", "_start")
     )
@@ -74,17 +68,18 @@ def holdout_per_key(
     """Rows ``start..stop`` (1-based) of each key go to ``test``, but only the first
     ``max_test`` such rows in ``order`` overall (``max_test <= 0``: no cap); the rest ``base``.
 
-    ``order`` is the file order (e.g. an event id) and ``id_col`` must identify a row.
+    ``order`` is the file order (e.g. an event id) and ``id_col`` must identify a row. The rank is
+    limited before the shuffle (``WindowGroupLimit``), so a key with a third of all rows sends
+    at most ``stop`` rows per task; the first ``max_test`` rows overall are a top-k.
     """
-    ranked = ordinal_within(df, key, order, "_k")
-    qualifying = ranked.where(F.col("_k").between(start, stop)).select(id_col, *[c for c in order if c != id_col])
+    rows = df.select(key, id_col, *[c for c in order if c not in (id_col, key)])
+    ranked = rows.withColumn("_k", F.row_number().over(Window.partitionBy(key).orderBy(*order)))
+    qualifying = ranked.where(F.col("_k") <= stop).where(F.col("_k") >= start)
     if max_test > 0:
-        chosen = global_index(qualifying, order, "_q").where(F.col("_q") < max_test).select(id_col)
-    else:
-        chosen = qualifying.select(id_col)
-    chosen = chosen.withColumn("_test", F.lit(True))
+        qualifying = qualifying.orderBy(*order).limit(max_test)
+    chosen = qualifying.select(id_col, F.lit(True).alias("_test"))
     return (
-        ranked.join(chosen, id_col, "left")
+        df.join(chosen, id_col, "left")
         .withColumn(part_col, F.when(F.col("_test"), F.lit("test")).otherwise(F.lit("base")))
-        .drop("_k", "_test")
+        .drop("_test")
     )

@@ -2,25 +2,22 @@
 word vectors and nearest words.
 
 Tokens are built with JVM regex functions; corpus statistics are exploded-token aggregates
-with map-side combining (a hot term costs one row per task, not one per occurrence). The
-one Python step, stemming, runs over the *distinct* vocabulary only and is joined back.
+with map-side combining (a hot term costs one row per task, not one per occurrence). Stems
+are column expressions over the *distinct* vocabulary, joined back.
 """
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.ml.feature import RegexTokenizer, StopWordsRemover, Word2Vec
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.recommendation import ALS
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
-from tessera.functions.porter import stem as porter_stem
+from tessera.functions.porter import with_stem
 from tessera.functions.stopwords import ENGLISH_STOP_WORDS
 from tessera.functions.strings import WORD_PATTERN, tokens
-from tessera.operators.joins import bounded_broadcast, fits
-
-MAX_BROADCAST_VOCAB = 2_000_000
+from tessera.operators.positions import global_index
 
 
 def tokenize(df: DataFrame, text_col: str, out: str = "words") -> DataFrame:
@@ -71,55 +68,37 @@ def rarest_terms(freq: DataFrame, k: int = 20, term: str = "term", name: str = "
     return freq.orderBy(name, term).limit(k)
 
 
-MAX_INLINE_TERMS = 10_000
+def drop_rarest(df: DataFrame, words_col: str, freq: DataFrame, k: int, out: str | None = None) -> DataFrame:
+    """Remove the ``k`` rarest terms of ``freq`` from each token array, order and repeats kept.
 
+    The list has ``k`` terms by construction: a scalar subquery folds it into one array, which is
+    tested per token in the JVM. A null array stays null.
+    """
+    listed = rarest_terms(freq, k).agg(F.collect_list("term")).scalar()
+    with_list = df.withColumn("_listed", listed)  # subqueries may not sit inside a lambda
+    kept = F.filter(F.col(words_col), lambda w: ~F.array_contains(F.col("_listed"), w))
+    return with_list.withColumn(out or words_col, kept).drop("_listed")
 
-def drop_terms(
-    df: DataFrame,
-    words_col: str,
-    terms: DataFrame,
-    term: str = "term",
-    out: str | None = None,
-    key: str | None = None,
-    max_inline: int = MAX_INLINE_TERMS,
-) -> DataFrame:
-    """Remove every occurrence of the listed terms from each token array.
 
-    A short list (checked: at most ``max_inline`` rows, e.g. :func:`rarest_terms`) is folded
-    into one array by a scalar subquery, evaluated once, and tested per token in the JVM.
-    A longer list is applied by an anti-join on the exploded tokens, which are regrouped
-    per ``key`` (a row identifier, required then) in their original order.
-    """
+def drop_terms(df: DataFrame, key: str, words_col: str, terms: DataFrame, term: str = "term", out: str | None = None) -> DataFrame:
+    """As :func:`drop_rarest` for a list of any length: an anti-join on the exploded
+    tokens, regrouped per ``key`` (a row identifier) in their order. A null array stays null."""
     out = out or words_col
-    if fits(terms, max_inline):
-        listed = terms.agg(F.collect_list(term)).scalar()
-        with_list = df.withColumn("_listed", listed)  # subqueries may not sit inside a lambda
-        kept = F.filter(F.col(words_col), lambda w: ~F.array_contains(F.col("_listed"), w))
-        return with_list.withColumn(out, kept).drop("_listed")
-    if key is None:
-        raise ValueError("a term list this long is applied by a join: pass key= (a row id)")
     exploded = df.select(key, F.posexplode(words_col).alias("_pos", "_term"))
-    listed = bounded_broadcast(terms.select(F.col(term).alias("_term")), MAX_BROADCAST_VOCAB)
-    kept = exploded.join(listed, "_term", "left_anti")  # hot terms: broadcast, or AQE skew split
-    regrouped = kept.groupBy(key).agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("_pos", "_term"))), lambda s: s["_term"]).alias("_kept")
-    )
-    empty = F.array().cast("array<string>")
-    joined = df.join(regrouped, key, "left").withColumn("_kept", F.coalesce("_kept", empty))
-    return joined.drop(out).withColumnRenamed("_kept", out) if out in df.columns else joined.withColumnRenamed("_kept", out)
+    kept = exploded.join(terms.select(F.col(term).alias("_term")), "_term", "left_anti")
+    regrouped = _in_order(kept, key, "_pos", "_term", "_kept")
+    empty = F.when(F.col(words_col).isNotNull(), F.array().cast("array<string>"))
+    return df.join(regrouped, key, "left").withColumn(out, F.coalesce("_kept", empty)).drop("_kept")
 
 
-@F.pandas_udf(StringType())
-def _porter_stem(words: pd.Series) -> pd.Series:
-    # porter_stem is a plain function of this package: pickled by value with its helpers,
-    # so executors need no installed copy of the package
-    return words.map(porter_stem)
+def _in_order(tokens_: DataFrame, key: str, pos: str, value: str, out: str) -> DataFrame:
+    pairs = F.array_sort(F.collect_list(F.struct(pos, value)))
+    return tokens_.groupBy(key).agg(F.transform(pairs, lambda s: s[value]).alias(out))
 
 
 def stem_vocabulary(terms: DataFrame, term: str = "term") -> DataFrame:
-    """``(term, stem)`` for each distinct term of :func:`corpus_terms` (stemmed once per
-    term, in Arrow batches)."""
-    return terms.select(term).distinct().select(term, _porter_stem(F.col(term)).alias("stem"))
+    """``(term, stem)`` for each distinct term of :func:`corpus_terms`, by column expressions."""
+    return with_stem(terms.select(term).distinct(), term)
 
 
 def stem_tokens(df: DataFrame, key: str, words_col: str, out: str = "stemmed") -> DataFrame:
@@ -130,23 +109,36 @@ def stem_tokens(df: DataFrame, key: str, words_col: str, out: str = "stemmed") -
     """
     exploded = df.select(key, F.posexplode(words_col).alias("pos", "term"))
     stems = stem_vocabulary(exploded)
-    joined = exploded.join(bounded_broadcast(stems, MAX_BROADCAST_VOCAB), "term")
-    regrouped = joined.groupBy(key).agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("pos", "stem"))), lambda s: s["stem"]).alias(out)
-    )
-    return df.join(regrouped, key, "left").withColumn(out, F.coalesce(F.col(out), F.array().cast("array<string>")))
+    regrouped = _in_order(exploded.join(stems, "term"), key, "pos", "stem", "_stemmed")
+    empty = F.when(F.col(words_col).isNotNull(), F.array().cast("array<string>"))
+    return df.join(regrouped, key, "left").withColumn(out, F.coalesce("_stemmed", empty)).drop("_stemmed")
 
 
-def word2vec(df: DataFrame, words_col: str, vector_size: int = 10, min_count: int = 0, seed: int = 42, partitions: int | None = None):
-    """Fit ``Word2Vec``; training is split over ``partitions`` (default: the session's
-    default parallelism) instead of Spark's single-partition default."""
-    parts = partitions or df.sparkSession.sparkContext.defaultParallelism
+def word2vec(df: DataFrame, words_col: str, vector_size: int = 10, min_count: int = 0, seed: int = 42, partitions: int = 4):
+    """Fit ``Word2Vec``; training is split over ``partitions``, whatever the cluster's size, so
+    the vectors do not change with it. The estimator holds the vocabulary of words seen
+    ``min_count`` times in the driver; for a vocabulary beyond that use :func:`context_factors`."""
     w2v = Word2Vec(
-        vectorSize=vector_size, minCount=min_count, inputCol=words_col, outputCol="doc_vector", seed=seed, numPartitions=parts
+        vectorSize=vector_size, minCount=min_count, inputCol=words_col, outputCol="doc_vector", seed=seed, numPartitions=partitions
     )
     return w2v.fit(df)
 
 
+def context_factors(df: DataFrame, words_col: str, rank: int = 10, window: int = 5, max_iter: int = 5, blocks: int = 10, seed: int = 42) -> DataFrame:
+    """M15/M16 without a vocabulary in the driver: ``(word, features)``, factors of the table of how
+    often two words stand within ``window`` words of each other (implicit-feedback ALS)."""
+    ahead = F.explode(F.expr(f"transform({words_col}, (w, i) -> struct(w as a, slice({words_col}, i + 2, {int(window)}) as bs))"))
+    near = df.select(ahead.alias("s")).select(F.col("s.a").alias("a"), F.explode("s.bs").alias("b"))
+    both = near.unionByName(near.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    counts = both.groupBy("a", "b").agg(F.count(F.lit(1)).cast("float").alias("n"))
+    ids = global_index(counts.select(F.col("a").alias("word")).distinct(), ["word"], "id").withColumn("id", F.col("id").cast("int"))
+    left, right = ids.toDF("a", "i"), ids.toDF("b", "j")
+    table = counts.join(left, "a").join(right, "b").select("i", "j", "n")
+    model = ALS(rank=rank, maxIter=max_iter, implicitPrefs=True, userCol="i", itemCol="j", ratingCol="n", seed=seed,
+                numUserBlocks=blocks, numItemBlocks=blocks).fit(table)
+    return model.userFactors.join(ids, "id").select("word", "features")
+
+
 def word_vectors(model) -> DataFrame:
     """``(word, vector)``."""
     return model.getVectors()
@@ -155,10 +147,11 @@ def word_vectors(model) -> DataFrame:
 def nearest_words(vectors: DataFrame, word: str | Column, k: int = 10) -> DataFrame:
     """The k words most cosine-similar to ``word``, computed over the vector table in
     parallel (not in the driver): ``(word, similarity)``, ``similarity`` formatted to 5
-    places as in the source."""
+    places as in the source. An unknown word gives no rows."""
     v = vectors.select("word", vector_to_array("vector").alias("v"))
     target = v.where(F.col("word") == word).agg(F.first("v")).scalar()
-    v = v.where(F.col("word") != word).withColumn("_t", target)  # subqueries may not sit inside a lambda
+    # subqueries may not sit inside a lambda; an unknown word has no neighbours
+    v = v.where(F.col("word") != word).withColumn("_t", target).where(F.col("_t").isNotNull())
     dot = F.aggregate(F.zip_with("v", "_t", lambda a, b: a * b), F.lit(0.0), lambda acc, x: acc + x)
     norm = lambda a: F.sqrt(F.aggregate(F.transform(a, lambda x: x * x), F.lit(0.0), lambda acc, x: acc + x))
     sims = v.select("word", F.try_divide(dot, norm(F.col("v")) * norm(F.col("_t"))).alias("cos"))

@@ -80,8 +80,8 @@ def impute_mean(spark, sf_dir):
 )
 def standardize(spark, sf_dir):
     """Assemble two columns and scale to mean 0, sample sd 1."""
-    li = load(spark, sf_dir, "lineitem", spread=True).select("l_orderkey", "l_linenumber", "l_quantity", "l_discount")
-    assembled = features.assemble(li, ["l_quantity", "l_discount"], "raw").persist()  # fit + transform passes
+    li = load(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_discount")
+    assembled = features.assemble(li, ["l_quantity", "l_discount"], "raw")
     scaled = features.standardize(assembled, "raw", "z")
     arr = vector_to_array("z")
     return scaled.select("l_orderkey", "l_linenumber", r6(arr[0]).alias("z_quantity"), r6(arr[1]).alias("z_discount"))

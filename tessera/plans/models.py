@@ -29,15 +29,15 @@ from tessera.sources.tables import load
 def ratings(spark, sf_dir) -> DataFrame:
     """(user, item, rating 1-5) from orders x lineitem, one row per (customer, part)."""
     o = load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    li = load(spark, sf_dir, "lineitem", spread=True).select("l_orderkey", "l_partkey", "l_quantity")
+    li = load(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
     pairs = li.join(o, li.l_orderkey == o.o_orderkey)
-    return pairs.groupBy(F.col("o_custkey").cast("int").alias("user"), F.col("l_partkey").cast("int").alias("item")).agg(
+    return pairs.groupBy(F.col("o_custkey").alias("user"), F.col("l_partkey").alias("item")).agg(
         (F.floor(F.avg("l_quantity") / 10.01) + 1).cast("float").alias("rating")
     )
 
 
 _RATINGS_SQL = """
-    r AS (SELECT CAST(o.o_custkey AS INTEGER) AS "user", CAST(l.l_partkey AS INTEGER) AS item,
+    r AS (SELECT o.o_custkey AS "user", l.l_partkey AS item,
                  CAST(floor(avg(l.l_quantity) / 10.01) + 1 AS FLOAT) AS rating
           FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
           GROUP BY o.o_custkey, l.l_partkey)"""
@@ -80,8 +80,37 @@ def ratings_per_user(spark, sf_dir):
 def als_factors(spark, sf_dir):
     """ALS (rank 10, 5 iterations, reg 0.01) and the mean of every user's
     and item's factor vector."""
-    model = models.als(ratings(spark, sf_dir).persist(), "user", "item", "rating")  # P14
-    return models.factor_means(model).select("kind", "id", r6("f_mean").alias("f_mean"))
+    means, users, items = _als(spark, sf_dir)
+    named = means.where("kind = 'user'").join(users.withColumnRenamed("user", "key"), F.col("id") == F.col("u"))
+    other = means.where("kind = 'item'").join(items.withColumnRenamed("item", "key"), F.col("id") == F.col("i"))
+    both = named.select("kind", "key", "f_mean").unionByName(other.select("kind", "key", "f_mean"))
+    return both.select("kind", F.col("key").alias("id"), r6("f_mean").alias("f_mean"))
+
+
+def _als(spark, sf_dir):
+    """Factor means of densely numbered users and items, and the two numberings."""
+    rated = ratings(spark, sf_dir)
+    users, items = models.dense_ids(rated, "user", "u"), models.dense_ids(rated, "item", "i")
+    held = rated.join(users, "user").join(items, "item").select("u", "i", "rating").persist()  # P14
+    try:
+        model = models.als(held, "u", "i", "rating")
+    finally:
+        held.unpersist()
+    return models.factor_means(model), users, items
+
+
+@register(
+    "als_factor_ids",
+    sql=f"""
+    WITH {_RATINGS_SQL}
+    SELECT 'user' AS kind, "user" AS id, 1 AS has_mean FROM (SELECT DISTINCT "user" FROM r)
+    UNION ALL SELECT 'item', item, 1 FROM (SELECT DISTINCT item FROM r)""",
+)
+def als_factor_ids(spark, sf_dir):
+    """Every rated user and item, and no other, gets a factor vector with a finite mean."""
+    found = als_factors(spark, sf_dir)
+    known = F.col("f_mean").isNotNull() & ~F.isnan("f_mean")
+    return found.select("kind", "id", known.cast("int").alias("has_mean"))
 
 
 # ---- clustering ---------------------------------------------------------------------------
@@ -94,9 +123,17 @@ def _embeddings(spark, sf_dir):
     )
 
 
+def _fitted(e, fit):
+    held = e.persist()  # P14: read by every iteration of the fit, released after it
+    try:
+        return fit(held, k=5, seed=1, features="features", prediction="cluster")
+    finally:
+        held.unpersist()
+
+
 def _assign(spark, sf_dir, fit):
-    e = _embeddings(spark, sf_dir).persist()  # P14: read by every k-means iteration
-    model = fit(e, k=5, seed=1, features="features", prediction="cluster")
+    e = _embeddings(spark, sf_dir)
+    model = _fitted(e, fit)
     assigned = model.transform(e).select("vec_id", F.col("cluster").alias("prediction"), "arr")
     centres = models.centre_table(model, spark)
     dist = models.distance_to_centre(assigned, centres, "arr")
@@ -164,7 +201,7 @@ _ROW_KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 
 
 def demand_table(spark, sf_dir) -> DataFrame:
-    li = load(spark, sf_dir, "lineitem", spread=True)
+    li = load(spark, sf_dir, "lineitem")
     return li.select(
         *_ROW_KEYS,
         "l_returnflag",
@@ -194,37 +231,66 @@ def _plain_stages(out="features"):
 
 
 def _score(name, pred, label="label") -> DataFrame:
-    rows = [
-        models.metric_row(name, "rmse", models.rmse(pred, label), "rmse"),
-        models.metric_row(name, "rmsle", models.rmsle(pred.withColumn("prediction", F.greatest("prediction", F.lit(0.0))), label), "rmsle"),
-    ]
-    return reduce(DataFrame.unionByName, rows).select("model", "metric", r6("value").alias("value"))
+    return models.value_metrics(name, pred, label).select("model", "metric", r6("value").alias("value"))
 
 
-def _split(df):
-    df = df.persist()  # P14: read by every fit and every optimizer iteration
+def _sides(df):
     return df.where(F.col("part") == "train"), df.where(F.col("part") == "test")
 
 
+def _scores(df, candidates) -> list[DataFrame]:
+    """Fits each ``(name, stages, adjust)`` on the train side and scores it on the test side. The
+    train side is held (P14) for the fits only."""
+    train, test = _sides(df)
+    held = train.persist()
+    try:
+        fitted = [(name, adjust, models.fit_and_score(stages, prepare(held), test)[1]) for name, stages, prepare, adjust in candidates]
+    finally:
+        held.unpersist()
+    return [_score(name, adjust(pred)) for name, adjust, pred in fitted]
+
+
+def _as_is(df):
+    return df
+
+
 @register("linreg_elasticnet")
 def linreg_elasticnet(spark, sf_dir):
     """Elastic-net linear regression with and without one-hot categories."""
-    train, test = _split(demand_table(spark, sf_dir))
-    out = []
-    for name, stages in (("linreg_onehot", _onehot_stages()), ("linreg_plain", _plain_stages())):
-        _, pred = models.fit_and_score(stages + [models.linear_regression()], train, test)
-        out.append(_score(name, pred))
-    return reduce(DataFrame.unionByName, out)
+    fits = [
+        (name, stages + [models.linear_regression()], _as_is, _as_is)
+        for name, stages in (("linreg_onehot", _onehot_stages()), ("linreg_plain", _plain_stages()))
+    ]
+    return reduce(DataFrame.unionByName, _scores(demand_table(spark, sf_dir), fits))
+
+
+@register(
+    "linreg_elasticnet_1d",
+    sql="""
+    WITH s AS (SELECT avg(l_quantity) AS mx, avg(l_extendedprice) AS my, stddev_samp(l_quantity) AS sx,
+                      stddev_samp(l_extendedprice) AS sy, covar_pop(l_quantity, l_extendedprice) AS cxy,
+                      var_pop(l_quantity) AS vx
+               FROM lineitem),
+    b AS (SELECT *, cxy / (sx * sy) AS corr, vx / (sx * sx) AS one, 0.3 / sy * 0.8 AS l1, 0.3 / sy * 0.2 AS l2 FROM s),
+    w AS (SELECT *, sign(corr) * greatest(abs(corr) - l1, 0) / (one + l2) * sy / sx AS slope FROM b)
+    SELECT round(slope, 4) AS slope, round(my - slope * mx, 4) AS intercept FROM w""",
+)
+def linreg_elasticnet_1d(spark, sf_dir):
+    """Elastic net (reg 0.3, l1 share 0.8) with one feature; the twin is its closed form, a soft
+    threshold on the standardised covariance."""
+    li = load(spark, sf_dir, "lineitem").select("l_quantity", F.col("l_extendedprice").alias("label"))
+    data = VectorAssembler(inputCols=["l_quantity"], outputCol="features").transform(li)
+    model = models.linear_regression(max_iter=200).setTol(1e-12).fit(data)
+    fitted = spark.createDataFrame([(float(model.coefficients[0]), float(model.intercept))], "slope double, intercept double")
+    return fitted.select(F.round("slope", 4).alias("slope"), F.round("intercept", 4).alias("intercept"))
 
 
 def _tree(spark, sf_dir, kind):
-    train, test = _split(demand_table(spark, sf_dir))
-    out = []
-    for suffix, stages in (("plain", _plain_stages()), ("onehot", _onehot_stages())):
-        est = models.tree_regressors()[kind]
-        _, pred = models.fit_and_score(stages + [est], train, test)
-        out.append(_score(f"{kind}_{suffix}", pred))
-    return reduce(DataFrame.unionByName, out)
+    fits = [
+        (f"{kind}_{suffix}", stages + [models.tree_regressors()[kind]], _as_is, _as_is)
+        for suffix, stages in (("plain", _plain_stages()), ("onehot", _onehot_stages()))
+    ]
+    return reduce(DataFrame.unionByName, _scores(demand_table(spark, sf_dir), fits))
 
 
 @register("dtree")
@@ -249,17 +315,12 @@ def gbt(spark, sf_dir):
 def regression_compare(spark, sf_dir):
     """Every regressor on the same split, plus linear regression on log(label)
     with predictions taken back through exp."""
-    train, test = _split(demand_table(spark, sf_dir))
-    out = []
-    candidates = {"linear_regression": models.linear_regression(), **models.tree_regressors()}
-    for name, est in candidates.items():
-        stages = _onehot_stages() if name == "linear_regression" else _plain_stages()
-        _, pred = models.fit_and_score(stages + [est], train, test)
-        out.append(_score(name, pred))
-    log_train = models.log_target(train.where(F.col("label") > 0))
-    _, log_pred = models.fit_and_score(_onehot_stages() + [models.linear_regression(label="log_label")], log_train, test)
-    out.append(_score("linear_regression_log_target", models.exp_back(log_pred)))
-    return reduce(DataFrame.unionByName, out)
+    fits = [("linear_regression", _onehot_stages() + [models.linear_regression()], _as_is, _as_is)]
+    fits += [(name, _plain_stages() + [est], _as_is, _as_is) for name, est in models.tree_regressors().items()]
+    on_log = _onehot_stages() + [models.linear_regression(label="log_label")]
+    log_of = lambda df: models.log_target(df.where(F.col("label") > 0))
+    fits.append(("linear_regression_log_target", on_log, log_of, models.exp_back))
+    return reduce(DataFrame.unionByName, _scores(demand_table(spark, sf_dir), fits))
 
 
 @register(
@@ -273,8 +334,8 @@ def regression_compare(spark, sf_dir):
 )
 def linreg_simple(spark, sf_dir):
     """One-feature least squares (no regularisation) and its in-sample RMSE."""
-    li = load(spark, sf_dir, "lineitem", spread=True).select("l_quantity", F.col("l_extendedprice").alias("label"))
-    data = VectorAssembler(inputCols=["l_quantity"], outputCol="features").transform(li).persist()  # P14
+    li = load(spark, sf_dir, "lineitem").select("l_quantity", F.col("l_extendedprice").alias("label"))
+    data = VectorAssembler(inputCols=["l_quantity"], outputCol="features").transform(li)
     model = models.linear_regression(reg=0.0, elastic_net=0.0, max_iter=100).setSolver("normal").fit(data)
     err = models.rmse(model.transform(data))
     return err.select(
@@ -287,7 +348,7 @@ def linreg_simple(spark, sf_dir):
 # ---- classification -----------------------------------------------------------------------
 
 def page_table(spark, sf_dir) -> DataFrame:
-    d = load(spark, sf_dir, "documents", spread=True).select("doc_id", "text", "source", "n_chars")
+    d = load(spark, sf_dir, "documents").select("doc_id", "text", "source", "n_chars")
     lab = load(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("double").alias("label"))
     words = text.remove_stop_words(d.join(lab, "doc_id").withColumn("words", tokens("text")), "words", "kept")
     return words.select(
@@ -311,14 +372,13 @@ def _page_stages():
 
 
 def _classify(spark, sf_dir, name, est):
-    # The feature table is read by several fits and every optimizer iteration
-    train, test = _split(page_table(spark, sf_dir))
-    _, pred = models.fit_and_score(_page_stages() + [est], train, test)
-    rows = [
-        models.metric_row(name, "accuracy", models.accuracy(pred), "accuracy"),
-        models.metric_row(name, "weightedRecall", models.weighted_recall(pred), "weighted_recall"),
-    ]
-    return reduce(DataFrame.unionByName, rows).select("model", "metric", r6("value").alias("value"))
+    train, test = _sides(page_table(spark, sf_dir))
+    held = train.persist()  # P14: read by several fits and every optimizer iteration
+    try:
+        _, pred = models.fit_and_score(_page_stages() + [est], held, test)
+    finally:
+        held.unpersist()
+    return models.class_metrics(name, pred).select("model", "metric", r6("value").alias("value"))
 
 
 @register("logreg")

@@ -40,13 +40,12 @@ def top_rated_for_key(spark, sf_dir, key=KEY, k=10):
 def lookup_key(spark, sf_dir, key=KEY):
     """All lines of one order, with the part name looked up.
 
-    The filtered lines are the small side: broadcast after a size check, so the part table
-    is streamed, not shuffled.
+    The filter reaches the line scan; Spark chooses the join from sizes.
     """
     lines = load(spark, sf_dir, "lineitem").where(F.col("l_orderkey") == key)
     lines = lines.select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
     part = load(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), "p_name")
-    out = part.join(joins.bounded_broadcast(lines), "l_partkey")
+    out = joins.lookup_join(lines, part, ["l_partkey"], "inner")
     return out.select("l_orderkey", "l_linenumber", "l_partkey", "p_name", "l_quantity")
 
 
@@ -422,12 +421,12 @@ def top_k_per_group(spark, sf_dir):
     "multi_sort_desc",
     sql="""
     SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders
-    ORDER BY o_orderstatus DESC, o_totalprice DESC, o_orderkey LIMIT 20""",
+    ORDER BY o_orderstatus DESC, o_totalprice DESC, o_orderkey""",
 )
 def multi_sort_desc(spark, sf_dir):
-    """Sort by several columns, all descending (key last for a total order), top 20."""
+    """Sort by several columns, all descending (key last for a total order)."""
     o = load(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
-    return ordering.sort_desc(o, ["o_orderstatus", "o_totalprice"], ["o_orderkey"]).limit(20)
+    return ordering.sort_desc(o, ["o_orderstatus", "o_totalprice"], ["o_orderkey"])
 
 
 @register(
@@ -465,9 +464,139 @@ def holdout_per_user(spark, sf_dir):
     return out.select("event_id", "user_id", "part")
 
 
-@register("hash_split_share")
+@register(
+    "hash_split_share",
+    sql="""
+    SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
+           CASE WHEN CAST('0x' || substr(md5(concat_ws('|', '42', l_orderkey, l_linenumber, l_partkey, l_suppkey)), 1, 8) AS BIGINT)
+                % 10 < 8 THEN 'train' ELSE 'test' END AS part
+    FROM lineitem""",
+)
 def hash_split_share(spark, sf_dir):
     """Partition-independent 80/20 split of the lines by a hash of their identity."""
     li = load(spark, sf_dir, "lineitem")
     keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
     return li.select(*keys, splits.hash_split(li, keys).alias("part"))
+
+
+@register(
+    "hour_of_epoch",
+    sql="SELECT event_id, CAST((CAST(floor(epoch(ts)) AS BIGINT) // 3600) % 24 AS INTEGER) AS hour FROM events",
+)
+def hour_of_epoch(spark, sf_dir):
+    """epoch seconds to the hour of the day, whatever the session's time zone."""
+    ev = load(spark, sf_dir, "events")
+    seconds = F.expr("timestampdiff(SECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', cast(ts as timestamp_ntz))")
+    return ev.select("event_id", dates.hour_of_epoch(seconds).alias("hour"))
+
+
+@register(
+    "unmatched_left_join",
+    sql="""
+    SELECT c.c_custkey, o.o_orderkey FROM customer c LEFT JOIN
+      (SELECT * FROM orders WHERE o_orderstatus = 'P') o ON c.c_custkey = o.o_custkey""",
+)
+def unmatched_left_join(spark, sf_dir):
+    """Customers without a pending order keep one row with a null order."""
+    c = load(spark, sf_dir, "customer").select("c_custkey")
+    o = load(spark, sf_dir, "orders").where("o_orderstatus = 'P'").select(F.col("o_custkey").alias("c_custkey"), "o_orderkey")
+    return joins.join_using(c, o, ["c_custkey"], "left")
+
+
+@register(
+    "numeric_two_key_sort",
+    sql="SELECT l_partkey, l_orderkey, l_linenumber FROM lineitem ORDER BY l_partkey, l_orderkey, l_linenumber",
+)
+def numeric_two_key_sort(spark, sf_dir):
+    """The whole table sorted by numeric keys."""
+    li = load(spark, sf_dir, "lineitem").select("l_partkey", "l_orderkey", "l_linenumber")
+    return li.orderBy("l_partkey", "l_orderkey", "l_linenumber")
+
+
+@register(
+    "fold_train_side",
+    sql="""
+    WITH f AS (SELECT o_orderkey, CAST(floor((row_number() OVER (ORDER BY o_orderkey) - 1)
+                      / (SELECT ceil(count(*) / 5.0) FROM orders)) AS BIGINT) AS fold FROM orders)
+    SELECT o_orderkey, fold FROM f WHERE fold <> 2""",
+)
+def fold_train_side(spark, sf_dir):
+    """The train side of split 2."""
+    folded = splits.positional_folds(load(spark, sf_dir, "orders").select("o_orderkey"), ["o_orderkey"], 5)
+    return splits.fold_split(folded, 2)[0]
+
+
+def _holdout_sql(start, stop, cap):
+    capped = f"q.qn <= {cap}" if cap else "TRUE"
+    return f"""
+    WITH r AS (SELECT event_id, user_id,
+                      row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS k FROM events),
+    q AS (SELECT event_id, row_number() OVER (ORDER BY event_id) AS qn FROM r WHERE k BETWEEN {start} AND {stop})
+    SELECT r.event_id, r.user_id, CASE WHEN q.qn IS NOT NULL AND {capped} THEN 'test' ELSE 'base' END AS part
+    FROM r LEFT JOIN q ON r.event_id = q.event_id"""
+
+
+@register("holdout_11_20", sql=_holdout_sql(11, 20, 1000))
+def holdout_11_20(spark, sf_dir):
+    """Events 11-20 of every user, at most 1000 in event order."""
+    ev = load(spark, sf_dir, "events").select("event_id", "user_id")
+    return splits.holdout_per_key(ev, "user_id", ["event_id"], 11, 20, 1000, "event_id").select("event_id", "user_id", "part")
+
+
+@register("holdout_uncapped", sql=_holdout_sql(1, 10, 0))
+def holdout_uncapped(spark, sf_dir):
+    """Events 1-10 of every user, all of them."""
+    ev = load(spark, sf_dir, "events").select("event_id", "user_id")
+    return splits.holdout_per_key(ev, "user_id", ["event_id"], 1, 10, 0, "event_id").select("event_id", "user_id", "part")
+
+
+_DERIVED_HIST_SQL = """
+    WITH x AS (SELECT 'log' AS kind, ln(o_totalprice) AS x FROM orders
+               UNION ALL SELECT 'sqrt', sqrt(o_totalprice) FROM orders),
+    s AS (SELECT kind, min(x) AS lo, max(x) AS hi FROM x GROUP BY kind),
+    c AS (SELECT x.kind, least(CAST(floor((x - s.lo) / ((s.hi - s.lo) / 10)) AS BIGINT), 9) AS bin, count(*) AS n
+          FROM x JOIN s ON x.kind = s.kind GROUP BY 1, 2)
+    SELECT s.kind, g.bin, round(s.lo + g.bin * ((s.hi - s.lo) / 10), 6) AS lo, coalesce(c.n, 0) AS n
+    FROM s CROSS JOIN (SELECT CAST(generate_series AS BIGINT) AS bin FROM generate_series(0, 9)) g
+    LEFT JOIN c ON c.kind = s.kind AND c.bin = g.bin"""
+
+
+@register("derived_histograms", sql=_DERIVED_HIST_SQL)
+def derived_histograms(spark, sf_dir):
+    """Histograms of the logarithm and the square root of a target."""
+    o = load(spark, sf_dir, "orders")
+    out = []
+    for kind, value in (("log", F.log("o_totalprice")), ("sqrt", F.sqrt("o_totalprice"))):
+        h = profile.histogram(o.select(value.alias("x")), "x", 10)
+        out.append(h.select(F.lit(kind).alias("kind"), "bin", r6("lo").alias("lo"), "n"))
+    return setops.append_rows(*out)
+
+
+@register(
+    "age_distribution",
+    sql=f"""
+    SELECT CAST({BASE_YEAR} - year(o_orderdate) AS INTEGER) AS age, count(*) AS n FROM orders GROUP BY 1""",
+)
+def age_distribution(spark, sf_dir):
+    """How many orders of each age, from a base year."""
+    ages = load(spark, sf_dir, "orders").select(numeric.age_from_year(F.year("o_orderdate"), BASE_YEAR).alias("age"))
+    return profile.count_by(ages, ["age"])
+
+
+@register(
+    "array_means",
+    sql="SELECT vec_id, round(list_avg(CAST(embedding AS DOUBLE[])), 6) AS mean FROM embeddings",
+)
+def array_means(spark, sf_dir):
+    """The mean of every vector."""
+    return load(spark, sf_dir, "embeddings").select("vec_id", r6(arrays.array_mean("embedding")).alias("mean"))
+
+
+@register(
+    "formatted_numbers",
+    sql="SELECT l_orderkey, l_linenumber, format('{:,.2f}', l_extendedprice) AS price FROM lineitem",
+)
+def formatted_numbers(spark, sf_dir):
+    """numbers as text with two places and thousands separators."""
+    li = load(spark, sf_dir, "lineitem")
+    return li.select("l_orderkey", "l_linenumber", F.format_number("l_extendedprice", 2).alias("price"))

@@ -39,10 +39,44 @@ def products_by_popularity(spark, sf_dir):
     return streams.products_by_popularity(_purchases(spark, sf_dir))
 
 
-def _event_stream(spark, sf_dir):
+def _event_stream(spark, sf_dir, max_files_per_trigger=None):
+    """The events table as a file stream, whether it is one file or a folder of files."""
     path = f"{sf_dir.rstrip('/')}/events.parquet"
     schema = spark.read.parquet(path).schema
-    return streams.line_stream(spark, streams.exact_file_glob(path), fmt="parquet", schema=schema, max_files_per_trigger=1)
+    folder = is_folder(spark, path)
+    return streams.line_stream(
+        spark, path if folder else streams.exact_file_glob(path), fmt="parquet", schema=schema,
+        max_files_per_trigger=max_files_per_trigger,
+    )
+
+
+def is_folder(spark, path):
+    """Through the file system that Spark uses for the path."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(where).isDirectory()
+
+
+def _run(lines, sink, base):
+    q = (
+        lines.writeStream.option("checkpointLocation", f"{base}/checkpoint").foreachBatch(sink)
+        .trigger(availableNow=True).start()
+    )
+    q.awaitTermination()
+
+
+def purchase_lines(spark, sf_dir, base):
+    """``events`` written as ``user,product,price`` text lines below the shared folder, and streamed
+    back. Every 50th event's line is cut short, as a malformed one."""
+    ev = load(spark, sf_dir, "events")
+    user, price = F.col("user_id").cast("string"), F.col("value").cast("string")
+    line = F.when(F.col("event_id") % 50 == 0, F.concat_ws(",", user, "event_type")).otherwise(
+        F.concat_ws(",", user, "event_type", price)
+    )
+    ev.select(line.alias("value")).write.text(f"{base}/lines")
+    return streams.line_stream(spark, f"{base}/lines")
+
+
+_LINES_SQL = "FROM events WHERE event_id % 50 <> 0"
 
 
 @register(
@@ -51,7 +85,7 @@ def _event_stream(spark, sf_dir):
 )
 def revenue_per_user(spark, sf_dir):
     """ST05 A17 ST01 ST10 S14: running purchases and revenue per user, kept in the state
-    store of a stream over the events file; the result is the state after the last batch."""
+    store of a stream over the events table; the result is the state after the last batch."""
     base = streams.scratch_dir(spark, "revenue_per_user")
     events = _event_stream(spark, sf_dir).select("user_id", "value")
     q = streams.start_running_totals(
@@ -64,51 +98,87 @@ def revenue_per_user(spark, sf_dir):
 
 @register(
     "purchase_metrics_stream",
-    sql="""
-    SELECT CAST(0 AS BIGINT) AS batch_id, count(*) AS n_purchases, count(DISTINCT user_id) AS unique_users,
-           round(sum(value), 6) AS revenue
-    FROM events""",
+    sql=f"""
+    SELECT CAST(count(*) AS BIGINT) AS n_purchases, round(sum(value), 6) AS revenue,
+           (SELECT count(*) FROM events WHERE event_id % 50 = 0) AS n_rejected {_LINES_SQL}""",
 )
 def purchase_metrics_stream(spark, sf_dir):
-    """ST04a-c ST09 S13: per-batch purchase metrics written by ``foreachBatch`` to a table
-    keyed by batch id (the events file arrives as one batch)."""
+    """ST02 ST04a-c ST09 S02 S08 S13: text lines parsed and measured batch by batch, malformed ones
+    counted; added up over all batches, however many files the lines came in."""
     base = streams.scratch_dir(spark, "purchase_metrics")
-    events = _event_stream(spark, sf_dir).select(
-        F.col("user_id").alias("user"), F.col("event_type").alias("product"), F.col("value").alias("price")
-    )
-    q = (
-        events.writeStream.option("checkpointLocation", f"{base}/checkpoint")
-        .foreachBatch(streams.metrics_sink(f"{base}/metrics"))
-        .trigger(availableNow=True)
-        .start()
+    _run(purchase_lines(spark, sf_dir, base), streams.metrics_sink(f"{base}/out"), base)
+    m = spark.read.parquet(f"{base}/out/metrics")
+    return m.agg(
+        F.sum("n_purchases").alias("n_purchases"), r6(F.sum("revenue")).alias("revenue"), F.sum("n_rejected").alias("n_rejected")
     )
-    q.awaitTermination()
-    m = spark.read.parquet(f"{base}/metrics")
-    return m.select(F.col("batch_id").cast("long").alias("batch_id"), "n_purchases", "unique_users", r6("revenue").alias("revenue"))
+
+
+@register(
+    "popularity_stream",
+    sql=f"SELECT event_type AS product, count(*) AS n {_LINES_SQL} GROUP BY event_type",
+)
+def popularity_stream(spark, sf_dir):
+    """ST04d: purchases per product over all batches of the line stream."""
+    base = streams.scratch_dir(spark, "popularity")
+    _run(purchase_lines(spark, sf_dir, base), streams.metrics_sink(f"{base}/out"), base)
+    streams.compact(spark, f"{base}/out/popularity", f"{base}/compact", "product", ["n"])
+    return spark.read.parquet(f"{base}/compact").select("product", F.col("n").cast("long").alias("n"))
+
+
+@register(
+    "user_totals_stream",
+    sql=f"""
+    SELECT CAST(user_id AS VARCHAR) AS "user", count(*) AS n_purchases, round(sum(value), 6) AS revenue {_LINES_SQL}
+    GROUP BY user_id""",
+)
+def user_totals_stream(spark, sf_dir):
+    """ST02 ST05: totals per user over all batches of the line stream, from the same query as the metrics."""
+    base = streams.scratch_dir(spark, "user_totals")
+    _run(purchase_lines(spark, sf_dir, base), streams.metrics_sink(f"{base}/out"), base)
+    totals = streams.merged_counts(spark, f"{base}/out/totals", "user", ["n_purchases", "revenue"])
+    return totals.select("user", "n_purchases", r6("revenue").alias("revenue"))
 
 
 def labelled_lines(events):
-    """``label<TAB>features`` text lines built from events (value ~ hour, minute, k)."""
+    """``label<TAB>features`` text lines built from events (value ~ hour, minute, k); every 40th
+    without a tab, as a malformed one."""
     k = F.get_json_object("props", "$.k")
     feats = F.concat_ws(",", F.hour("ts").cast("string"), F.minute("ts").cast("string"), F.coalesce(k, F.lit("0")))
-    return events.select(F.concat(F.col("value").cast("string"), F.lit("\t"), feats).alias("value"))
+    value = F.col("value").cast("string")
+    line = F.when(F.col("event_id") % 40 == 0, value).otherwise(F.concat(value, F.lit("\t"), feats))
+    return events.select(line.alias("value"))
 
 
-@register("batch_regression")
-def batch_regression(spark, sf_dir):
-    """ST03 ST06-ST09 S12 S13: parse labelled lines from the stream, fit a regression on each
-    batch, log (samples, running total, in-sample RMSE) per batch, save the model once the
-    running total reaches the threshold."""
+def _regression(spark, sf_dir):
     base = streams.scratch_dir(spark, "batch_regression")
-    lines = labelled_lines(_event_stream(spark, sf_dir))
-    parsed = streams.parse_labelled(lines)
+    labelled_lines(load(spark, sf_dir, "events")).write.text(f"{base}/lines")
     sink = streams.regression_sink(f"{base}/metrics", f"{base}/model", save_after=1000)
-    q = (
-        parsed.writeStream.option("checkpointLocation", f"{base}/checkpoint")
-        .foreachBatch(sink)
-        .trigger(availableNow=True)
-        .start()
+    _run(streams.line_stream(spark, f"{base}/lines"), sink, base)
+    return spark.read.parquet(f"{base}/metrics")
+
+
+@register("batch_regression")
+def batch_regression(spark, sf_dir):
+    """ST03 ST06-ST09 S12 S13: labelled lines from the stream, a regression on each batch, its samples,
+    rejects, running total and in-sample RMSE; the model saved once the total reaches the threshold."""
+    m = _regression(spark, sf_dir)
+    return m.select("batch_id", "samples", "rejected", "total_samples", r6("rmse").alias("rmse"), "saved")
+
+
+@register(
+    "batch_regression_totals",
+    sql="""
+    SELECT count(*) FILTER (WHERE event_id % 40 <> 0) AS samples, count(*) FILTER (WHERE event_id % 40 = 0) AS rejected,
+           count(*) FILTER (WHERE event_id % 40 <> 0) AS total_samples,
+           count(*) FILTER (WHERE event_id % 40 <> 0) >= 1000 AS saved, 0 AS bad_rmse
+    FROM events""",
+)
+def batch_regression_totals(spark, sf_dir):
+    """ST03 ST07 ST08 ST09: samples and rejects over all batches, the last running total, whether the
+    model was saved, and how many batches have no finite, positive RMSE."""
+    m = _regression(spark, sf_dir)
+    bad = F.coalesce(F.col("rmse") > 0, F.lit(False))
+    return m.agg(
+        F.sum("samples").alias("samples"), F.sum("rejected").alias("rejected"), F.max("total_samples").alias("total_samples"),
+        F.bool_or("saved").alias("saved"), F.count_if(~bad).cast("int").alias("bad_rmse"),
     )
-    q.awaitTermination()
-    m = spark.read.parquet(f"{base}/metrics")
-    return m.select("batch_id", "samples", "total_samples", r6("rmse").alias("rmse"), "saved")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from tessera.functions.porter import stem_sql
 from tessera.functions.stopwords import sql_list
 from tessera.functions.strings import WORD_PATTERN, parent_folder
 from tessera.operators import text
@@ -20,7 +21,7 @@ _KEPT_TOKENS_SQL = f"""
 
 
 def _docs(spark, sf_dir):
-    return load(spark, sf_dir, "documents", spread=True).select("doc_id", "text")
+    return load(spark, sf_dir, "documents").select("doc_id", "text")
 
 
 def _filtered(spark, sf_dir):
@@ -79,8 +80,7 @@ def rarest_terms(spark, sf_dir):
 def rare_word_filter(spark, sf_dir):
     """Kept words per document once the 20 rarest terms are dropped too."""
     f = _filtered(spark, sf_dir)
-    rare = text.rarest_terms(text.term_frequency(_terms(spark, sf_dir)), 20)
-    out = text.drop_terms(f, "filtered", rare, out="kept")
+    out = text.drop_rarest(f, "filtered", text.term_frequency(_terms(spark, sf_dir)), 20, out="kept")
     return out.select("doc_id", F.size("kept").cast("int").alias("n_kept"))
 
 
@@ -104,36 +104,85 @@ def doc_class_sizes(spark, sf_dir):
     ).orderBy("n", "kind", "doc_class")
 
 
-@register("stem_conflation")
+_STEMS_SQL = f"""
+    WITH {_KEPT_TOKENS_SQL},
+    v AS (SELECT DISTINCT term FROM kept),
+    s AS ({stem_sql('v', 'term', 'regexp_matches')})"""
+
+
+@register("stem_conflation", sql=f"{_STEMS_SQL} SELECT term, stem FROM s")
 def stem_conflation(spark, sf_dir):
     """Each distinct kept term and its Porter stem (the vocabulary shrinks to the
     distinct stems)."""
     return text.stem_vocabulary(_terms(spark, sf_dir))
 
 
-@register("stem_vocab_sizes")
+@register(
+    "stem_vocab_sizes",
+    sql=f"{_STEMS_SQL} SELECT count(*) AS n_terms, count(DISTINCT stem) AS n_stems FROM s",
+)
 def stem_vocab_sizes(spark, sf_dir):
     """Distinct kept terms before and after stemming (the conflation the source reports)."""
     stems = text.stem_vocabulary(_terms(spark, sf_dir))
     return stems.agg(F.count(F.lit(1)).alias("n_terms"), F.countDistinct("stem").alias("n_stems"))
 
 
-def _w2v(spark, sf_dir):
+def _stemmed(spark, sf_dir):
+    """The source's chain: stop words out, the 20 rarest terms out, the rest stemmed, in order."""
     f = _filtered(spark, sf_dir)
-    return text.word2vec(f, "filtered", vector_size=10, min_count=0, seed=42), f
+    kept = text.drop_rarest(f, "filtered", text.term_frequency(_terms(spark, sf_dir)), 20, out="kept")
+    return text.stem_tokens(kept.select("doc_id", "kept"), "doc_id", "kept")
+
+
+_CHAIN_SQL = f"""
+    WITH toks AS (SELECT doc_id, unnest({_TOKENS}) AS term, generate_subscripts({_TOKENS}, 1) AS pos FROM documents),
+    kept AS (SELECT doc_id, term, pos FROM toks WHERE term NOT IN ({_STOP})),
+    rare AS (SELECT term FROM kept GROUP BY term ORDER BY count(*), term LIMIT 20),
+    left_over AS (SELECT * FROM kept WHERE term NOT IN (SELECT term FROM rare)),
+    v AS (SELECT DISTINCT term FROM left_over),
+    s AS ({stem_sql('v', 'term', 'regexp_matches')})"""
+
+
+@register(
+    "stem_tokens",
+    sql=f"""{_CHAIN_SQL}
+    SELECT d.doc_id, coalesce(string_agg(s.stem, ' ' ORDER BY k.pos), '') AS stems
+    FROM documents d LEFT JOIN left_over k ON k.doc_id = d.doc_id LEFT JOIN s ON s.term = k.term
+    GROUP BY d.doc_id""",
+)
+def stem_tokens(spark, sf_dir):
+    """Every document's words after stop words and rare words have gone, stemmed, in order."""
+    return _stemmed(spark, sf_dir).select("doc_id", F.array_join("stemmed", " ").alias("stems"))
+
+
+def _w2v(spark, sf_dir):
+    held = _stemmed(spark, sf_dir).persist()  # read by every pass of the fit
+    try:
+        return text.word2vec(held, "stemmed", vector_size=10, min_count=1, seed=42)
+    finally:
+        held.unpersist()
+
+
+@register(
+    "word_vector_words",
+    sql=f"{_CHAIN_SQL} SELECT DISTINCT stem AS word, CAST(10 AS INTEGER) AS dims FROM s",
+)
+def word_vector_words(spark, sf_dir):
+    """Every stem, and no other word, gets a vector of ten dimensions."""
+    v = text.word_vectors(_w2v(spark, sf_dir))
+    return v.select("word", F.size(vector_to_array("vector")).alias("dims"))
 
 
 @register("word_vectors")
 def word_vectors(spark, sf_dir):
-    """Word2Vec (10 dimensions) over the kept words; ``(word, vector as text)``."""
-    model, _ = _w2v(spark, sf_dir)
-    v = text.word_vectors(model)
+    """Word2Vec (10 dimensions) over the stems; ``(word, vector as text)``."""
+    v = text.word_vectors(_w2v(spark, sf_dir))
     return v.select("word", F.array_join(F.transform(vector_to_array("vector"), lambda x: F.format_number(x, 6)), ",").alias("vector"))
 
 
 @register("synonyms")
 def synonyms(spark, sf_dir):
-    """The ten words nearest (cosine) to the most frequent kept word."""
-    model, _ = _w2v(spark, sf_dir)
-    top_word = text.term_frequency(_terms(spark, sf_dir)).orderBy(F.desc("n"), "term").limit(1).agg(F.first("term")).scalar()
-    return text.nearest_words(text.word_vectors(model), top_word, 10).select("word", "similarity")
+    """The ten stems nearest (cosine) to the most frequent one."""
+    stems = _stemmed(spark, sf_dir).select(F.explode("stemmed").alias("term"))
+    top_word = text.term_frequency(stems).orderBy(F.desc("n"), "term").limit(1).agg(F.first("term")).scalar()
+    return text.nearest_words(text.word_vectors(_w2v(spark, sf_dir)), top_word, 10).select("word", "similarity")

@@ -9,4 +9,4 @@ from tessera.sources.readers import (  # noqa: F401
     csv_with_header,
     whole_files,
 )
-from tessera.sources.tables import TABLES, load, load_all  # noqa: F401
+from tessera.sources.tables import SCAN_PARTITIONS, TABLES, load  # noqa: F401

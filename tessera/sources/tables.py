@@ -10,30 +10,21 @@ TABLES = (
 ).split()
 
 
-def load(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
-    """Lazily scan one table. Column pruning and filters still reach the parquet scan.
-
-    With ``spread``, a scan that yields fewer splits than the session has task slots (one
-    large file with one row group, as in small test data) is dealt round-robin over all
-    slots, so per-row work (tokenizing, model features) does not run in one task. Filters
-    and projections are pushed below that exchange. A table stored as many files or row
-    groups already has enough splits and is read as is.
+#: A job that reads few large row groups may set this to a number of partitions; unset, tables are
+#: read as they lie.
+SCAN_PARTITIONS = "spark.tessera.scanPartitions"
+_KEYS = {"lineitem": ("l_orderkey", "l_linenumber"), "documents": ("doc_id",), "pages": ("page_id",), "events": ("event_id",)}
+
+
+def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Lazily scan one table. Column pruning and filters reach the parquet scan.
+
+    Where the caller has set ``spark.tessera.scanPartitions``, the large tables are dealt by a hash of
+    their key over that many partitions, so per-row work (tokenizing, model features) on a table
+    with few row groups does not run in one task; filters and projections stay below that exchange.
     """
     if name not in TABLES:
         raise KeyError(f"unknown table {name!r}")
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    if spread:
-        slots = spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < slots:
-            df = df.repartition(slots)
-    return df
-
-
-def load_all(spark: SparkSession, sf_dir: str, names=TABLES) -> dict[str, DataFrame]:
-    return {n: load(spark, sf_dir, n) for n in names}
-
-
-def register_views(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
-    """Expose the tables as temp views so the same plans can be written in SQL."""
-    for n in names:
-        load(spark, sf_dir, n).createOrReplaceTempView(n)
+    wanted = spark.conf.get(SCAN_PARTITIONS, None)
+    return df.repartition(int(wanted), *_KEYS[name]) if wanted and name in _KEYS else df

@@ -9,37 +9,28 @@ from pyspark.sql.streaming import StreamingQuery
 from tessera.streaming import streams
 
 
-def purchase_monitor(
-    lines: DataFrame, out_dir: str, checkpoint_dir: str, trigger: dict | None = None
-) -> tuple[StreamingQuery, StreamingQuery]:
-    """ST01/ST02/ST04/ST05/S13/S14: parse ``user,product,price`` lines, write each batch's
-    purchase metrics to ``out_dir/metrics`` and keep the running per-user totals
-    (stateful, ``update`` mode) in ``out_dir/state``. Read the totals with
-    :func:`tessera.streaming.streams.latest_state`."""
-    trigger = trigger or {"processingTime": "10 seconds"}
-    events = streams.parse_purchases(lines)
-    metrics = (
-        events.writeStream.option("checkpointLocation", f"{checkpoint_dir}/metrics")
-        .foreachBatch(streams.metrics_sink(f"{out_dir}/metrics"))
-        .trigger(**trigger)
+def purchase_monitor(lines: DataFrame, out_dir: str, checkpoint_dir: str, trigger: dict | None = None) -> StreamingQuery:
+    """ST01/ST02/ST04/ST05/S13/S14: one query over ``user,product,price`` lines that writes each
+    batch's metrics, popularity and totals per user below ``out_dir`` (see
+    :func:`tessera.streaming.streams.metrics_sink`). Read the running totals with
+    ``merged_counts(spark, out_dir + "/totals", "user", ["n_purchases", "revenue"])``."""
+    return (
+        lines.writeStream.option("checkpointLocation", checkpoint_dir)
+        .foreachBatch(streams.metrics_sink(out_dir))
+        .trigger(**(trigger or {"processingTime": "10 seconds"}))
         .start()
     )
-    totals = streams.start_running_totals(
-        events, "user", "price", f"{out_dir}/state", f"{checkpoint_dir}/state", trigger=trigger
-    )
-    return metrics, totals
 
 
 def regression_monitor(
     lines: DataFrame, out_dir: str, checkpoint_dir: str, save_after: int = 100_000, trigger: dict | None = None
 ) -> StreamingQuery:
-    """ST03/ST06-ST10/S12: parse ``label<TAB>x1,...`` lines, fit a linear regression on each
-    batch, log ``(batch_id, samples, total_samples, rmse, saved)`` to ``out_dir/metrics`` and
-    save the model to ``out_dir/model`` when the running sample count reaches ``save_after``."""
-    parsed = streams.parse_labelled(lines)
+    """ST03/ST06-ST10/S12: fit a linear regression on each batch of ``label<TAB>x1,...`` lines, log
+    ``(batch_id, samples, rejected, total_samples, rmse, saved)`` to ``out_dir/metrics`` and save the
+    model to ``out_dir/model`` when the running sample count reaches ``save_after``."""
     sink = streams.regression_sink(f"{out_dir}/metrics", f"{out_dir}/model", save_after=save_after)
     return (
-        parsed.writeStream.option("checkpointLocation", checkpoint_dir)
+        lines.writeStream.option("checkpointLocation", checkpoint_dir)
         .foreachBatch(sink)
         .trigger(**(trigger or {"processingTime": "10 seconds"}))
         .start()

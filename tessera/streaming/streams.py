@@ -16,10 +16,12 @@ import uuid
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import LinearRegression
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tessera.functions.numeric import number
 from tessera.session import ensure_checkpoint_dir
 
 
@@ -57,31 +59,45 @@ def line_stream(
 
 
 def parse_purchases(lines: DataFrame, col: str = "value") -> DataFrame:
-    """ST02: ``user,product,price`` lines -> typed columns (bad prices become null)."""
+    """ST02: ``user,product,price`` lines -> typed columns. Lines without three fields, or whose price
+    is no number, are dropped; :func:`bad_purchases` has them."""
+    return _purchase_fields(lines, col).where(_WHOLE).select("user", "product", "price")
+
+
+_WHOLE = "product is not null and price is not null"
+
+
+def _purchase_fields(lines: DataFrame, col: str) -> DataFrame:
     parts = F.split(F.col(col), ",", -1)
+    field = lambda i: F.trim(F.get(parts, F.lit(i)))
     return lines.select(
-        F.trim(parts[0]).alias("user"),
-        F.trim(parts[1]).alias("product"),
-        F.trim(parts[2]).try_cast("double").alias("price"),
+        F.col(col).alias("line"), field(0).alias("user"), field(1).alias("product"), number(field(2)).alias("price")
     )
 
 
+def bad_purchases(lines: DataFrame, col: str = "value") -> DataFrame:
+    """ST09: the lines that :func:`parse_purchases` drops, as ``line``."""
+    return _purchase_fields(lines, col).where(f"not ({_WHOLE})").select("line")
+
+
 def parse_labelled(lines: DataFrame, col: str = "value") -> DataFrame:
     """ST03: ``label<TAB>x1,x2,...`` lines -> ``(label, features vector)``; rows whose label or
     any feature does not parse are dropped (count them with ``bad_labelled_rows``)."""
+    return _labelled_fields(lines, col).where(_COMPLETE).select("label", array_to_vector("xs").alias("features"))
+
+
+_COMPLETE = "label is not null and coalesce(forall(xs, x -> x is not null), false)"
+
+
+def _labelled_fields(lines: DataFrame, col: str) -> DataFrame:
     parts = F.split(F.col(col), "\t", 2)
-    xs = F.transform(F.split(parts[1], ",", -1), lambda x: F.trim(x).try_cast("double"))
-    parsed = lines.select(F.trim(parts[0]).try_cast("double").alias("label"), xs.alias("xs"))
-    ok = F.col("label").isNotNull() & F.col("xs").isNotNull() & F.forall("xs", lambda x: x.isNotNull())
-    return parsed.where(ok).select("label", array_to_vector("xs").alias("features"))
+    xs = F.transform(F.split(F.get(parts, F.lit(1)), ",", -1), lambda x: number(F.trim(x)))
+    return lines.select(F.col(col).alias("line"), number(F.trim(F.get(parts, F.lit(0)))).alias("label"), xs.alias("xs"))
 
 
 def bad_labelled_rows(lines: DataFrame, col: str = "value") -> DataFrame:
-    """ST09: lines that :func:`parse_labelled` drops."""
-    parts = F.split(F.col(col), "\t", 2)
-    xs = F.transform(F.split(parts[1], ",", -1), lambda x: F.trim(x).try_cast("double"))
-    bad = F.trim(parts[0]).try_cast("double").isNull() | xs.isNull() | ~F.forall(xs, lambda x: x.isNotNull())
-    return lines.where(bad)
+    """ST09: the lines that :func:`parse_labelled` drops, as ``line``."""
+    return _labelled_fields(lines, col).where(f"not ({_COMPLETE})").select("line")
 
 
 # ---- per-batch metrics (ST04) ---------------------------------------------------------------
@@ -104,18 +120,44 @@ def products_by_popularity(batch: DataFrame, product: str = "product") -> DataFr
     return batch.groupBy(product).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), product)
 
 
-def metrics_sink(out_dir: str, user: str = "user", price: str = "price"):
-    """``foreachBatch`` writer: the batch's ST04 metrics, one folder per batch id."""
+def metrics_sink(out_dir: str, col: str = "value"):
+    """``foreachBatch`` writer over ``user,product,price`` lines: the batch's metrics (ST04a-c, with
+    its rejected lines) below ``metrics``, purchases per product (ST04d) below ``popularity`` and
+    totals per user (ST05) below ``totals``; a folder per batch id, overwritten on replay. One
+    stream, one source: the tables agree batch by batch."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():  # ST09
-            return
-        m = purchase_metrics(batch, user, price).withColumn("batch_id", F.lit(batch_id))
-        m.write.mode("overwrite").parquet(f"{out_dir}/batch_id={batch_id}")
+        held = batch.persist()
+        try:
+            if held.isEmpty():  # ST09
+                return
+            good = parse_purchases(held, col).persist()
+            bad = bad_purchases(held, col).agg(F.count(F.lit(1)).alias("n_rejected")).scalar()
+            tables = {
+                "metrics": purchase_metrics(good).withColumn("n_rejected", bad),
+                "popularity": good.groupBy("product").agg(F.count(F.lit(1)).alias("n")),
+                "totals": running_totals(good, "user", "price"),
+            }
+            for name, table in tables.items():
+                table.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(f"{out_dir}/{name}/batch={batch_id}")
+            good.unpersist()
+        finally:
+            held.unpersist()
 
     return write
 
 
+def merged_counts(spark: SparkSession, path: str, key: str, sums: list[str]) -> DataFrame:
+    """Per-batch tables added up by key: each batch wrote only its own counts."""
+    return spark.read.parquet(path).groupBy(key).agg(*[F.sum(c).alias(c) for c in sums])
+
+
+def compact(spark: SparkSession, path: str, into: str, key: str, sums: list[str]) -> None:
+    """Writes the sums over all batches so far as one table, for readers that should not scan every
+    batch's folder."""
+    merged_counts(spark, path, key, sums).write.mode("overwrite").parquet(into)
+
+
 # ---- running state per key (ST05) -------------------------------------------------------------
 
 
@@ -161,43 +203,52 @@ def latest_state(spark: SparkSession, out_dir: str, key: str) -> DataFrame:
 # ---- per-batch model fits (ST06-ST08, S12, S13) -----------------------------------------------
 
 
-def regression_sink(metrics_dir: str, model_dir: str, save_after: int = 100_000, max_iter: int = 10, reg: float = 0.3, elastic_net: float = 0.8):
-    """``foreachBatch`` writer: fit a linear regression on each batch, write
-    ``(batch_id, samples, total_samples, rmse, saved)`` for it, and save the model once the
-    running sample count first reaches ``save_after`` (threshold crossing, D18).
+def regression_sink(
+    metrics_dir: str, model_dir: str, save_after: int = 100_000, max_iter: int = 10, reg: float = 0.3, elastic_net: float = 0.8,
+    col: str = "value", partitions: int | None = None,
+):
+    """``foreachBatch`` writer over ``label<TAB>x1,...`` lines: fit a linear regression on each batch,
+    write ``(batch_id, samples, rejected, total_samples, rmse, saved)`` for it, and save the model once
+    the running sample count first reaches ``save_after`` (threshold crossing, D18).
 
-    The running count is the sum over earlier batch ids in the metrics table, so it survives a
-    restart and a replayed batch overwrites its own row instead of counting twice (ST07).
+    The running count stands in the row of the last batch before this one, so it survives a restart,
+    a replayed batch overwrites its own row, and no batch reads more than one earlier row (ST07).
+    ``partitions``: deal the batch over so many partitions, by a hash of its lines.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():  # ST09
-            return
-        spark = batch.sparkSession
-        slots = spark.sparkContext.defaultParallelism
-        if batch.rdd.getNumPartitions() < slots:  # a batch from one file: spread the fit's work
-            batch = batch.repartition(slots)
-        batch = batch.persist()
+        lines = batch.repartition(partitions, col) if partitions else batch
+        held = lines.persist()
         try:
-            lr = LinearRegression(maxIter=max_iter, regParam=reg, elasticNetParam=elastic_net)
-            model = lr.fit(batch)
-            rmse = RegressionEvaluator(metricName="rmse").evaluate(model.transform(batch))
-            samples = batch.count()
-            try:
-                earlier = spark.read.parquet(metrics_dir).where(F.col("batch_id") < batch_id)
-                prev = earlier.agg(F.coalesce(F.sum("samples"), F.lit(0)).alias("s"), F.coalesce(F.max(F.col("saved").cast("int")), F.lit(0)).alias("saved")).first()
-                prev_total, already_saved = int(prev["s"]), bool(prev["saved"])
-            except Exception:  # noqa: BLE001 - no earlier batch yet
-                prev_total, already_saved = 0, False
-            total = prev_total + samples
-            save_now = total >= save_after and not already_saved
-            if save_now:  # S12/ST08
-                model.write().overwrite().save(model_dir)
-            row = [(batch_id, samples, total, float(rmse), save_now or already_saved)]
-            spark.createDataFrame(row, "batch_id long, samples long, total_samples long, rmse double, saved boolean").write.mode(
-                "overwrite"
-            ).parquet(f"{metrics_dir}/batch={batch_id}")
+            if held.isEmpty():  # ST09
+                return
+            spark = batch.sparkSession
+            good, rejected = parse_labelled(held, col), bad_labelled_rows(held, col).count()
+            samples = good.count()
+            before, saved = _last_total(spark, metrics_dir, batch_id)
+            total, rmse = before + samples, None
+            save_now = total >= save_after and not saved
+            if samples:
+                model = LinearRegression(maxIter=max_iter, regParam=reg, elasticNetParam=elastic_net).fit(good)
+                rmse = float(RegressionEvaluator(metricName="rmse").evaluate(model.transform(good)))
+                if save_now:  # S12/ST08
+                    model.write().overwrite().save(model_dir)
+            row = [(batch_id, samples, rejected, total, rmse, saved or bool(save_now and samples))]
+            kinds = "batch_id long, samples long, rejected long, total_samples long, rmse double, saved boolean"
+            spark.createDataFrame(row, kinds).write.mode("overwrite").parquet(f"{metrics_dir}/batch={batch_id}")
         finally:
-            batch.unpersist()
+            held.unpersist()
 
     return write
+
+
+def _last_total(spark: SparkSession, metrics_dir: str, batch_id: int) -> tuple[int, bool]:
+    """Running count and saved flag of the last batch before this one; (0, False) before any."""
+    try:
+        rows = spark.read.parquet(metrics_dir)
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):  # no batch yet
+            return 0, False
+        raise
+    last = rows.where(F.col("batch") < batch_id).orderBy(F.desc("batch")).select("total_samples", "saved").head()
+    return (int(last["total_samples"]), bool(last["saved"])) if last else (0, False)

@@ -142,17 +142,16 @@ def test_stream_jobs(spark):
     base = tempfile.mkdtemp(prefix="tessera-jobs-")
     src = f"{base}/purchases"
     _write(f"{src}/b1.txt", ["u,p,5.5", "v,p,1", "u,q,2.25"])
-    m, t = jobs.purchase_monitor(streams.line_stream(spark, src), f"{base}/out", f"{base}/ck", trigger={"availableNow": True})
+    m = jobs.purchase_monitor(streams.line_stream(spark, src), f"{base}/out", f"{base}/ck", trigger={"availableNow": True})
     m.awaitTermination()
-    t.awaitTermination()
     metrics = spark.read.parquet(f"{base}/out/metrics").first()
     assert (metrics.n_purchases, metrics.unique_users, metrics.revenue) == (3, 2, 8.75)
-    state = {r.user: (r.n_purchases, r.revenue) for r in streams.latest_state(spark, f"{base}/out/state", "user").collect()}
+    state = {r.user: (r.n_purchases, r.revenue) for r in streams.merged_counts(spark, f"{base}/out/totals", "user", ["n_purchases", "revenue"]).collect()}
     assert state == {"u": (2, 7.75), "v": (1, 1.0)}
     lab = f"{base}/labelled"
     _write(f"{lab}/b1.txt", [f"{2 * i + 1}.0\t{i},{i % 3}" for i in range(12)] + ["bad\t1,2"])
     q = jobs.regression_monitor(streams.line_stream(spark, lab), f"{base}/reg", f"{base}/reg_ck", save_after=10, trigger={"availableNow": True})
     q.awaitTermination()
     row = spark.read.parquet(f"{base}/reg/metrics").first()
-    assert (row.samples, row.total_samples, row.saved) == (12, 12, True)
+    assert (row.samples, row.rejected, row.total_samples, row.saved) == (12, 1, 12, True)
     assert os.path.isdir(f"{base}/reg/model")

@@ -5,7 +5,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from tessera.functions import arrays, dates, numeric, strings
-from tessera.functions.porter import stem
+from tessera.functions.porter import with_stem
 
 
 def _col(spark, values, fn, typ="string"):
@@ -75,10 +75,9 @@ def test_array_helpers(spark):
     r = df.select(
         arrays.array_mean("a").alias("m"),
         arrays.squared_distance("a", "b").alias("d"),
-        arrays.drop_listed("w", F.array(F.lit("a"))).alias("kept"),
         arrays.flags_to_names([("x", F.lit(True)), ("y", F.lit(False)), ("z", F.lit(True))], ",").alias("names"),
     ).first()
-    assert r.m == 2.0 and r.d == 8.0 and r.kept == ["b", "c"] and r.names == "x,z"
+    assert r.m == 2.0 and r.d == 8.0 and r.names == "x,z"
 
 
 def test_squared_log_error(spark):
@@ -86,7 +85,7 @@ def test_squared_log_error(spark):
     assert got == [0.0]
 
 
-def test_porter_published_examples():
+def test_porter_published_examples(spark):
     pairs = {
         "caresses": "caress", "ponies": "poni", "cats": "cat", "agreed": "agre", "plastered": "plaster",
         "motoring": "motor", "sing": "sing", "hopping": "hop", "filing": "file", "happy": "happi",
@@ -94,5 +93,8 @@ def test_porter_published_examples():
         "electrical": "electr", "adjustment": "adjust", "adoption": "adopt", "controll": "control",
         "roll": "roll", "cease": "ceas", "goodness": "good",
     }
-    assert {w: stem(w) for w in pairs} == pairs
-    assert stem("at") == "at" and stem("été") == "été"
+    pairs |= {"at": "at", "été": "été", "ies": "i", "yes": "ye", "say": "sai", "flies": "fli", "falling": "fall", "fizzed": "fizz"}
+    pairs |= {"conflated": "conflat", "troubled": "troubl", "sized": "size", "feed": "feed", "bled": "bled", "abc1": "abc1"}
+    df = spark.createDataFrame([(w,) for w in pairs] + [(None,)], "w0 string")
+    got = {r.w0: r.stem for r in with_stem(df, "w0").collect()}
+    assert got.pop(None) is None and got == pairs

@@ -153,12 +153,20 @@ def test_hash_split_is_partition_independent(spark):
     assert 0.75 < share < 0.85
 
 
-def test_bounded_broadcast(spark):
-    small = spark.range(10)
-    big = spark.range(100)
-    assert joins.fits(small, 10) and not joins.fits(big, 10)
-    plan = spark.range(1000).join(joins.bounded_broadcast(small, 10), "id")._jdf.queryExecution().optimizedPlan().toString()
-    assert "broadcast" in plan.lower()
+@pytest.mark.parametrize("last_rows", [1, 7, 100_000])
+def test_exact_quantile_narrows_to_the_same_answer(spark, last_rows):
+    rng = np.random.default_rng(3)
+    vals = np.round(rng.normal(0, 100, 4001), 2).tolist() + [5.5] * 900
+    df = spark.createDataFrame([(v,) for v in vals] + [(None,)], "x double").repartition(4)
+    for q in (0.0, 0.31, 0.5, 0.9999, 1.0):
+        got = positions.exact_quantile(df, "x", q, accuracy=100, last_rows=last_rows).first()[0]
+        assert got == pytest.approx(float(np.quantile(vals, q)))
+    assert positions.exact_quantile(df.where("x > 1e9"), "x").first()[0] is None
+
+
+def test_lookup_join_keeps_facts_without_entry(spark):
+    facts, dim = spark.range(3), spark.createDataFrame([(1, "a")], "id long, name string")
+    assert sorted((r.id, r.name or "") for r in joins.lookup_join(facts, dim, ["id"]).collect()) == [(0, ""), (1, "a"), (2, "")]
 
 
 def test_vocabulary_and_binary_bag(spark):

@@ -43,17 +43,54 @@ def test_parse_labelled_and_bad_rows(spark):
 def test_regression_sink_counts_once_and_saves_on_crossing(spark):
     base = tempfile.mkdtemp(prefix="tessera-reg-")
     sink = streams.regression_sink(f"{base}/m", f"{base}/model", save_after=6)
-    lines = spark.createDataFrame([(f"{i}.0\t{i},{i % 3}",) for i in range(4)], "value string")
-    batch = streams.parse_labelled(lines)
-    sink(batch, 0)
-    sink(batch, 0)  # replay of batch 0
-    sink(batch, 1)
-    sink(batch.limit(0), 2)  # empty batch: skipped
+    lines = spark.createDataFrame([(f"{i}.0\t{i},{i % 3}",) for i in range(4)] + [("",), ("1.5",), ("x\t1",)], "value string")
+    sink(lines, 0)
+    sink(lines, 0)  # replay of batch 0
+    sink(lines, 1)
+    sink(lines.limit(0), 2)  # empty batch: skipped
+    sink(lines.where("value = ''"), 3)  # nothing but rejects
     m = spark.read.parquet(f"{base}/m").orderBy("batch_id").collect()
-    assert [(r.batch_id, r.samples, r.total_samples, r.saved) for r in m] == [(0, 4, 4, False), (1, 4, 8, True)]
+    assert [(r.batch_id, r.samples, r.rejected, r.total_samples, r.saved) for r in m] == [
+        (0, 4, 3, 4, False), (1, 4, 3, 8, True), (3, 0, 1, 8, True),
+    ]
     assert os.path.isdir(f"{base}/model")
 
 
+def test_regression_sink_raises_on_a_broken_metrics_table(spark):
+    base = tempfile.mkdtemp(prefix="tessera-reg-")
+    os.makedirs(f"{base}/m/batch=0")
+    _write(f"{base}/m/batch=0", "part-0.parquet", ["not parquet"])
+    lines = spark.createDataFrame([("1\t2",), ("2\t3",)], "value string")
+    with pytest.raises(Exception, match="(?i)parquet"):
+        streams.regression_sink(f"{base}/m", f"{base}/model")(lines, 1)
+
+
+def test_malformed_purchase_lines_are_rejected_not_fatal(spark):
+    lines = spark.createDataFrame([("u,p,1.5",), ("u,p",), ("",), (",,",), ("u,p,x",), (" v , q , 2 ",)], "value string")
+    good = streams.parse_purchases(lines).collect()
+    assert [(r.user, r["product"], r.price) for r in good] == [("u", "p", 1.5), ("v", "q", 2.0)]
+    assert streams.bad_purchases(lines).count() == 4
+    blank = spark.createDataFrame([("",), ("1.5",), ("\t",), ("1\t2,",)], "value string")
+    assert streams.parse_labelled(blank).count() == 0 and streams.bad_labelled_rows(blank).count() == 4
+
+
+def test_one_monitor_query_writes_all_metrics(spark):
+    from tessera.streaming.jobs import purchase_monitor
+
+    base = tempfile.mkdtemp(prefix="tessera-monitor-")
+    os.makedirs(f"{base}/src")
+    _write(f"{base}/src", "a.txt", ["u,p,1", "v,p,2", "bad"])
+    _write(f"{base}/src", "b.txt", ["u,q,3", "", "u,p,4"])
+    lines = streams.line_stream(spark, f"{base}/src", max_files_per_trigger=1)
+    purchase_monitor(lines, f"{base}/out", f"{base}/ck", trigger={"availableNow": True}).awaitTermination()
+    m = spark.read.parquet(f"{base}/out/metrics")
+    assert sorted((r.n_purchases, r.revenue, r.n_rejected) for r in m.collect()) == [(2, 3.0, 1), (2, 7.0, 1)]
+    n = streams.merged_counts(spark, f"{base}/out/popularity", "product", ["n"])
+    assert {r["product"]: r.n for r in n.collect()} == {"p": 3, "q": 1}
+    t = streams.merged_counts(spark, f"{base}/out/totals", "user", ["n_purchases", "revenue"])
+    assert {r.user: (r.n_purchases, r.revenue) for r in t.collect()} == {"u": (3, 8.0), "v": (1, 2.0)}
+
+
 def test_purchase_metrics(spark):
     b = spark.createDataFrame([("u", "p", 5.5), ("u", "q", 2.25), ("v", "p", 1.0)], "user string, product string, price double")
     m = streams.purchase_metrics(b).first()

@@ -38,7 +38,7 @@ def test_rare_terms_and_drop(spark):
     assert dict(tf.collect())["robots"] == 2
     rare = text.rarest_terms(tf, 2)
     assert [r.term for r in rare.collect()] == ["end", "rare"]
-    kept = text.drop_terms(f, "filtered", rare, out="kept")
+    kept = text.drop_rarest(f, "filtered", tf, 2, out="kept")
     assert {r.doc_id: r.kept for r in kept.collect()}[2] == ["word", "zyzzyva"]
 
 
@@ -70,13 +70,28 @@ def test_word2vec_vectors(spark):
     assert v.count() == f.select(F.explode("filtered")).distinct().count()
 
 
-def test_drop_terms_join_path_equals_inline_path(spark):
+def test_drop_terms_and_drop_rarest_agree(spark):
     f = text.remove_stop_words(text.tokenize(_docs(spark), "text"), "words")
-    listed = spark.createDataFrame([("robots",), ("end",)], "term string")
-    inline = {r.doc_id: r.kept for r in text.drop_terms(f, "filtered", listed, out="kept").collect()}
-    joined = {r.doc_id: r.kept for r in text.drop_terms(f, "filtered", listed, out="kept", key="doc_id", max_inline=1).collect()}
-    assert inline == joined
-    assert joined[1] == ["robot", "running", "run"] and joined[3] == []
+    f = f.unionByName(spark.createDataFrame([(4, None, None, None)], f.schema))
+    tf = text.term_frequency(text.corpus_terms(_docs(spark), "text"))
+    by_k = {r.doc_id: r.kept for r in text.drop_rarest(f, "filtered", tf, 2, out="kept").collect()}
+    by_list = {r.doc_id: r.kept for r in text.drop_terms(f, "doc_id", "filtered", text.rarest_terms(tf, 2), out="kept").collect()}
+    assert by_k == by_list and by_k[3] == [] and by_k[4] is None
+    assert by_k[1] == ["robot", "robots", "running", "robots", "run"]
+
+
+def test_unknown_word_has_no_neighbours(spark):
+    from pyspark.ml.linalg import Vectors
+
+    vecs = spark.createDataFrame([("a", Vectors.dense([1.0, 0.0])), ("b", Vectors.dense([1.0, 0.1]))], ["word", "vector"])
+    assert text.nearest_words(vecs, "zzz", 5).count() == 0
+
+
+def test_context_factors_cover_the_words(spark):
+    docs = text.remove_stop_words(text.tokenize(_docs(spark), "text"), "words")
+    found = text.context_factors(docs, "filtered", rank=3, window=2, blocks=2)
+    words = {w for r in docs.collect() for w in r.filtered if len(r.filtered) > 1}
+    assert {r.word for r in found.collect()} == words and all(len(r.features) == 3 for r in found.collect())
 
 
 def test_stop_word_filter_equals_ml_stage(spark):

@@ -311,7 +311,8 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", window: int
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     source = source.where(F.col("doc_id").isNotNull() & ~is_held_out(F.col("doc_id")))
     aside = F.pmod(F.xxhash64("doc_id", F.lit("curve")), F.lit(5)) == 0
-    counted = source.where(~aside).join(known.where(~aside), "doc_id")
+    # by shuffle at every size: labels grow with the documents
+    counted = source.where(~aside).join(known.where(~aside).hint("merge"), "doc_id")
     grams = {5: written(count_grams(counted), "grams")}
     none = Model({}, {}, window, (-30.0, 0.0, 0.0, 0.0))
     seen = grams[5].agg(F.sum("n_t").alias("t"), F.sum("n_o").alias("o")).first()

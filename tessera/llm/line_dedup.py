@@ -13,7 +13,8 @@ five words agree. Shorter lines must be equal in all their words.
    and where it was, and the whole line. Equal variants with equal places differ by one
    replacement; a variant equal to a whole line differs by one insertion. Each member of a group of
    equal variants is paired with the group's earliest line only, found by an aggregate, so the
-   pairs stay linear and Spark can split a hot group's join.
+   pairs stay linear and Spark can split a hot group's join. Variants are dealt once; those that
+   have a partner are emitted again, told by a bitmap.
 4. The pairs are verified by the edit distance of the two lines.
 
 A line goes if an earlier line (by document id, then place) is equal or within the bound.
@@ -29,6 +30,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -177,9 +179,12 @@ def near_lines(docs: DataFrame, bitmap: np.ndarray, min_words: int) -> DataFrame
     )
 
 
-def line_variants(lines: DataFrame, min_words: int) -> DataFrame:
-    """The deletion neighbourhood of every line of ``(at, line)``: ``(v, cut, at)``, ``cut`` the place of
-    the word left out, -1 for the whole line. Lines below ``min_words`` give the whole line only."""
+def line_variants(lines: DataFrame, min_words: int, kind: str, bitmap: np.ndarray | None = None) -> DataFrame:
+    """Hashed keys ``(key, at)`` of the lines ``(at, line)``. ``kind``: ``whole``, the line itself;
+    ``added``, the line without each of its words, equal to the whole of a line without it;
+    ``replaced``, the same with the word's place, equal for lines that differ in that word. Lines
+    below ``min_words`` give the whole only. With a bitmap, only keys whose bit is set."""
+    held = None if bitmap is None else lines.sparkSession.sparkContext.broadcast(bitmap)
 
     def emit(batches):
         hasher = _hasher()
@@ -189,21 +194,25 @@ def line_variants(lines: DataFrame, min_words: int) -> DataFrame:
                 words = hasher.cut(data, edge[low : high + 1])
                 a, b = words.first[:-1], words.first[1:]
                 n = b - a
-                reps = np.where(n >= min_words, n + 1, 1)
-                row = np.repeat(np.arange(len(n)), reps)
-                cut = np.arange(len(row)) - np.repeat(np.cumsum(reps) - reps, reps) - 1
-                mid = np.where(cut < 0, b[row], a[row] + cut)  # the word left out; the end if none
                 chain = _Chain(words.hash, 1)
-                head = chain.run(a[row], mid)
-                tail = chain.run(np.minimum(mid + 1, b[row]), b[row]) * chain.power[mid - a[row]]
-                size = n[row] - (cut >= 0)
-                code = mix64(head + tail + mix64(size.astype(np.uint64)))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(code.view(np.int64)), pa.array(cut.astype(np.int32)), batch["at"].take(pa.array(low + row))],
-                    ["v", "cut", "at"],
-                )
-
-    return lines.select("at", "line").mapInArrow(emit, "v long, cut int, at struct<d:long,place:int>")
+                if kind == "whole":
+                    row, code, size = np.arange(len(n)), chain.run(a, b), n
+                else:
+                    reps = np.where(n >= min_words, n, 0)
+                    row = np.repeat(np.arange(len(n)), reps)
+                    cut = np.arange(len(row)) - np.repeat(np.cumsum(reps) - reps, reps)
+                    mid, size = a[row] + cut, n[row] - 1  # the word left out
+                    code = chain.run(a[row], mid) + chain.run(mid + 1, b[row]) * chain.power[cut]
+                key = mix64(code + mix64(size.astype(np.uint64)))
+                if kind == "replaced":
+                    key = mix64(key + mix64(cut.astype(np.uint64) + np.uint64(1)))
+                key = key.view(np.int64)
+                if held is not None:
+                    some = _is_set(held.value, key)
+                    key, row = key[some], row[some]
+                yield pa.RecordBatch.from_arrays([pa.array(key), batch["at"].take(pa.array(low + row))], ["key", "at"])
+
+    return lines.select("at", "line").mapInArrow(emit, "key long, at struct<d:long,place:int>")
 
 
 def within_edits(a: bytes, b: bytes) -> bool:
@@ -239,12 +248,17 @@ def _repeats(source: DataFrame, min_words: int) -> DataFrame:
     equal = keyed.select("h1", "h2", spot.alias("own")).join(many, ["h1", "h2"]).where("own <> at").select("own")
     found = near_lines(source, shared_halves(keyed), min_words)
     lines = written(found.groupBy("h1", "h2").agg(F.min(spot).alias("at"), F.first("line").alias("line")), "near")
-    variants = line_variants(lines, min_words)
-    gone = variants.where("cut >= 0")
-    whole = variants.where("cut < 0").select("v", F.col("at").alias("other"))
-    replaced = gone.groupBy("v", "cut").agg(F.min("at").alias("low"), F.max("at").alias("high")).where("low <> high")
-    replaced = gone.join(replaced, ["v", "cut"]).where("at <> low").select(F.col("at").alias("later"), F.col("low").alias("earlier"))
-    added = gone.join(whole, "v").select(F.greatest("at", "other").alias("later"), F.least("at", "other").alias("earlier"))
+    # of equal variants the earliest line; then the others, found again with a bitmap of such keys
+    every = line_variants(lines, min_words, "replaced")
+    live = every.groupBy("key").agg(F.min("at").alias("earlier"), F.max("at").alias("last")).where("earlier <> last")
+    live = written(live.select("key", "earlier"), "variants")
+    again = line_variants(lines, min_words, "replaced", _bitmap(live))
+    replaced = again.withColumnRenamed("at", "later").join(live, "key").select("later", "earlier")
+    whole = line_variants(lines, min_words, "whole")
+    longer = line_variants(lines, min_words, "added", _bitmap(whole))
+    added = longer.join(whole.withColumnRenamed("at", "other"), "key").select(
+        F.greatest("at", "other").alias("later"), F.least("at", "other").alias("earlier")
+    )
     pairs = replaced.unionByName(added).where("later <> earlier").distinct()
     pairs = pairs.join(lines.select(F.col("at").alias("later"), "line"), "later")
     pairs = pairs.join(lines.select(F.col("at").alias("earlier"), F.col("line").alias("other")), "earlier")
@@ -278,18 +292,20 @@ def drop_repeated_lines(docs: DataFrame, min_words: int = 5) -> DataFrame:
 
     def remove(batches):
         for batch in batches:
-            row = batch["row"]
-            text = row.field(at).to_pylist()
-            for i, places in enumerate(batch["places"].to_pylist()):
-                if places and text[i] is not None:
-                    out = set(places)
-                    text[i] = "\n".join(x for k, x in enumerate(text[i].split("\n")) if k not in out)
+            row, places = batch["row"], batch["places"]
+            text = row.field(at)
+            asked = places.is_valid().to_numpy(zero_copy_only=False) & text.is_valid().to_numpy(zero_copy_only=False)
+            some = np.flatnonzero(asked)
+            changed = []
+            for i in some.tolist():
+                out = set(places[i].as_py())
+                changed.append("\n".join(x for k, x in enumerate(text[i].as_py().split("\n")) if k not in out))
             columns = row.flatten()
-            columns[at] = pa.array(text, columns[at].type)
+            columns[at] = pc.replace_with_mask(text, pa.array(asked), pa.array(changed, text.type))
             row = pa.StructArray.from_arrays(columns, fields=list(row.type))
             yield pa.RecordBatch.from_arrays([row], ["row"])
 
     some = loses(F.xxhash64("d"))
-    joined = source.where(some).join(goes, "d", "left").select("row", "places")
+    joined = source.where(some).join(goes.hint("merge"), "d", "left").select("row", "places")
     kind = source.select("row").schema
     return joined.mapInArrow(remove, kind).unionByName(source.where(~some).select("row")).select("row.*")

@@ -14,7 +14,7 @@ import pyarrow as pa
 
 MASK = (1 << 64) - 1
 BASE = 0x9E3779B97F4A7C15 | 1
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 
 
 def mix64(x: np.ndarray) -> np.ndarray:

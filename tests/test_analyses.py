@@ -135,7 +135,7 @@ def test_newsgroups(spark):
     assert sizes.n_stems < sizes.n_terms
     cut = newsgroups.without_rare_terms(docs, rare=3)
     assert cut.agg(F.sum("filteredtokens")).first()[0] == tot.kept_tokens - sum(r.n for r in summary["rarest"].collect())
-    assert newsgroups.synonyms(docs, "robots", k=3, vector_size=4).count() == 3
+    assert newsgroups.synonyms(docs, "robots", k=3, vector_size=4, rare=3).count() == 3
 
 
 def test_stream_jobs(spark):

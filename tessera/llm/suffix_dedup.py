@@ -5,8 +5,8 @@
    held as two hashes: of its first ``key`` words and of its first ``span`` words.
 2. The retained suffixes of all documents are sorted; neighbours that agree, from different
    documents, are matches. The sort key ends with document and place, so a passage that a third of
-   all documents share is spread over many tasks; runs that touch a task's edge are settled by an
-   aggregate.
+   all documents share is spread over many tasks; runs that touch a task's edge are settled from
+   what each task reports of its edges.
 3. Where neighbours agree in ``span`` words, those words are a repeated passage. Where they agree
    in ``key`` words only, or at the ends of a match, the match is extended left and right: a
    document asks for the windows of ``span`` words around a matched place that it does not know to
@@ -88,18 +88,18 @@ def suffixes(docs: DataFrame, span: int, key: int) -> DataFrame:
 def compare_neighbours(rows: DataFrame) -> DataFrame:
     """Sorts ``(k, g, d, pos)`` and returns the rows whose k stands in several documents: ``(k, d,
     pos, first)``, ``first`` the least document with the same k and g, null if there is no other
-    or g is 0."""
+    or g is 0.
+
+    A task sees the runs of equal k, and of equal k and g, of its range; its first and last ones may
+    go on in the next ranges. Each task reports these (four rows at most), and a second pass
+    over the rows kept settles them.
+    """
     dealt = rows.repartitionByRange("k", "g", "d", "pos").sortWithinPartitions("k", "g", "d", "pos")
     schema = pa.schema(
-        [("k", pa.int64()), ("g", pa.int64()), ("d", pa.int64()), ("pos", pa.int32()), ("first", pa.int64()),
-         ("open", pa.bool_())]
+        [("kind", pa.int8()), ("k", pa.int64()), ("g", pa.int64()), ("d", pa.int64()), ("pos", pa.int32()),
+         ("first", pa.int64()), ("several", pa.bool_()), ("open", pa.bool_()), ("last", pa.int64())]
     )
 
-    def runs(changes):
-        start = np.flatnonzero(changes)
-        number = np.cumsum(changes) - 1
-        return start, number
-
     def compare(batches):
         parts = [b for b in batches if b.num_rows]
         if not parts:
@@ -111,24 +111,52 @@ def compare_neighbours(rows: DataFrame) -> DataFrame:
         new_k[1:] = k[1:] != k[:-1]
         new_g = new_k.copy()
         new_g[1:] |= g[1:] != g[:-1]
-        at_k, of_k = runs(new_k)
-        at_g, of_g = runs(new_g)
-        several = np.minimum.reduceat(d, at_k) != np.maximum.reduceat(d, at_k)
-        least, most = np.minimum.reduceat(d, at_g), np.maximum.reduceat(d, at_g)
-        shared = (least != most)[of_g] & (g != 0)
-        edge = (of_k == 0) | (of_k == of_k[-1])
-        keep = edge | several[of_k]
-        first = pa.array(least[of_g][keep], mask=~shared[keep])
-        arrays = [pa.array(x[keep]) for x in (k, g, d, pos)]
-        yield from pa.Table.from_arrays([*arrays, first, pa.array(edge[keep])], schema=schema).to_batches(1 << 16)
-
-    found = written(dealt.mapInArrow(compare, "k long, g long, d long, pos int, first long, open boolean"), "runs")
-    done = found.where("not open").select("k", "d", "pos", "first")
-    edge = found.where("open")
-    in_k = edge.groupBy("k").agg(F.min("d").alias("a"), F.max("d").alias("b")).where("a <> b").select("k")
-    in_g = edge.where("g <> 0").groupBy("k", "g").agg(F.min("d").alias("least"), F.max("d").alias("b")).where("least <> b")
-    settled = edge.join(in_k, "k").join(in_g.drop("b"), ["k", "g"], "left").select("k", "d", "pos", F.col("least").alias("first"))
-    return done.unionByName(settled)
+        at_k, of_k = np.flatnonzero(new_k), np.cumsum(new_k) - 1
+        at_g, of_g = np.flatnonzero(new_g), np.cumsum(new_g) - 1
+        low_k, high_k = np.minimum.reduceat(d, at_k), np.maximum.reduceat(d, at_k)
+        low_g, high_g = np.minimum.reduceat(d, at_g), np.maximum.reduceat(d, at_g)
+        several = (low_k != high_k)[of_k]
+        first = pa.array(low_g[of_g], mask=~((low_g != high_g)[of_g] & (g != 0)))
+        open_k = (of_k == 0) | (of_k == of_k[-1])
+        open_g = ((of_g == 0) | (of_g == of_g[-1])) & (g != 0)
+        keep = pa.array(several | open_k)
+        nothing = pa.nulls(n, pa.int64())
+        data = [pa.array(np.zeros(n, np.int8)), *map(pa.array, (k, g, d, pos)), first, pa.array(several), pa.array(open_g), nothing]
+        yield from pa.Table.from_arrays(data, schema=schema).filter(keep).to_batches(1 << 16)
+        ends = [(1, k[at_k[i]], 0, low_k[i], high_k[i]) for i in {0, len(at_k) - 1}]
+        ends += [(2, k[at_g[i]], g[at_g[i]], low_g[i], high_g[i]) for i in {0, len(at_g) - 1} if g[at_g[i]]]
+        yield pa.RecordBatch.from_pylist(
+            [{"kind": a, "k": int(b), "g": int(c), "d": int(x), "last": int(y)} for a, b, c, x, y in ends], schema=schema
+        )
+
+    kinds = "kind byte, k long, g long, d long, pos int, first long, several boolean, open boolean, last long"
+    found = written(dealt.mapInArrow(compare, kinds), "runs")
+    ends = found.where("kind > 0").groupBy("kind", "k", "g").agg(F.min("d").alias("d"), F.max("last").alias("last"))
+    ends = ends.where("d <> last").toPandas()  # at most four rows per range
+    in_k = np.sort(ends[ends.kind == 1].k.to_numpy(np.int64))
+    in_g = {(k, g): d for k, g, d in ends[ends.kind == 2][["k", "g", "d"]].itertuples(index=False)}
+
+    def settle(batches):
+        for batch in batches:
+            k, first = batch["k"].to_numpy(), batch["first"]
+            open_ = batch["open"].to_numpy(zero_copy_only=False)
+            if open_.any():
+                least = first.to_pylist()
+                g = batch["g"].to_numpy()
+                for i in np.flatnonzero(open_).tolist():
+                    least[i] = in_g.get((int(k[i]), int(g[i])), least[i])
+                first = pa.array(least, pa.int64())
+            keep = batch["several"].to_numpy(zero_copy_only=False) | np.isin(k, in_k)
+            out = pa.RecordBatch.from_arrays([batch["k"], batch["d"], batch["pos"], first], ["k", "d", "pos", "first"])
+            yield out.filter(pa.array(keep))
+
+    return found.where("kind = 0").mapInArrow(settle, "k long, d long, pos int, first long")
+
+
+def _grouped(column: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """Bounds of each row's list, and the structs of all lists."""
+    size = np.array(column.value_lengths().fill_null(0), np.int64)
+    return np.concatenate([[0], np.cumsum(size)]), column.flatten()
 
 
 def asked_windows(matched: DataFrame, span: int, key: int) -> DataFrame:
@@ -138,26 +166,25 @@ def asked_windows(matched: DataFrame, span: int, key: int) -> DataFrame:
 
     def ask(batches):
         for batch in batches:
-            codes, bits = [], []
-            for found in batch["found"].to_pylist():
-                place = np.array([p["pos"] for p in found], np.int64)
-                whole = np.array([p["pos"] for p in found if p["whole"]], np.int64)
+            bounds, found = _grouped(batch["found"])
+            every, code = found.field("pos").to_numpy().astype(np.int64), found.field("k").to_numpy()
+            known_ = found.field("whole").to_numpy(zero_copy_only=False)
+            bits = np.zeros(len(every), np.int64)
+            for i in range(len(bounds) - 1):
+                part = slice(bounds[i], bounds[i + 1])
+                place = every[part]
+                if not len(place):
+                    continue
+                whole = place[known_[part]]
                 low = int(place.min()) - reach  # all as seen from here; negative places are before the text
                 n = int(place.max()) - low + 2 * span
                 known = np.concatenate([[0], np.cumsum(_covered(whole - low, whole - low + span, n))])
                 open_ = known[span:] - known[:-span] < span
                 open_[: max(0, -low)] = False
-                mask = np.zeros(len(place), np.int64)
-                for j in range(reach + 1):
-                    start = place - j - low
-                    mask |= np.where(open_[start], np.int64(1) << j, 0)
-                ask_ = mask != 0
-                codes.append(np.array([p["k"] for p in found], np.int64)[ask_])
-                bits.append(mask[ask_])
-            none = [np.zeros(0, np.int64)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(codes or none)), pa.array(np.concatenate(bits or none))], ["k", "asked"]
-            )
+                ahead = open_[(place - low)[:, None] - np.arange(reach + 1)]
+                bits[part] = (ahead.astype(np.int64) << np.arange(reach + 1)).sum(1)
+            some = bits != 0
+            yield pa.RecordBatch.from_arrays([pa.array(code[some]), pa.array(bits[some])], ["k", "asked"])
 
     places = matched.groupBy("d").agg(
         F.collect_list(F.struct("pos", "k", F.col("first").isNotNull().alias("whole"))).alias("found")
@@ -174,7 +201,8 @@ def edge_windows(docs: DataFrame, span: int) -> DataFrame:
         for batch in batches:
             data, at = pieces(batch["text"])
             ids = batch["d"].to_numpy()
-            found = batch["found"].to_pylist()
+            bounds, found = _grouped(batch["found"])
+            place_, asked_ = found.field("pos").to_numpy().astype(np.int64), found.field("asked").to_numpy()
             for low, high in chunks(at):
                 words = hasher.cut(data, at[low : high + 1])
                 if len(words.hash) < span:
@@ -183,10 +211,9 @@ def edge_windows(docs: DataFrame, span: int) -> DataFrame:
                 starts, owner = [], []
                 for i in range(low, high):
                     begin, n = int(words.first[i - low]), int(words.first[i - low + 1] - words.first[i - low])
-                    if n < span or not found[i]:
+                    place, asked = place_[bounds[i] : bounds[i + 1]], asked_[bounds[i] : bounds[i + 1]]
+                    if n < span or not len(place):
                         continue
-                    place = np.array([p["pos"] for p in found[i]], np.int64)
-                    asked = np.array([p["asked"] for p in found[i]], np.int64)
                     some, back = np.nonzero(asked[:, None] >> np.arange(64) & 1)
                     start = np.unique(place[some] - back)
                     start = start[(start >= 0) & (start + span <= n)]

@@ -32,6 +32,7 @@ BOUNDED = {
     "line_dedup.py": ["found = words.toPandas"],  # 2**BITS / 64 rows
     "merkle.py": ["tops = rows.groupBy"],  # one row per range of ids
     "packing.py": ["table = counts.toPandas"],  # window x buckets rows
+    "suffix_dedup.py": ["ends = ends.where"],  # four rows per range
     "toxicity.py": ["found = best.select", "found = _evidence_of("],  # 2**bits entries; CURVE_ROWS rows
     "warc.py": ["samples = [bytes", "found = frames.where"],  # 400 parts of 16 KiB; max_dictionaries
 }

@@ -68,8 +68,8 @@ from judged j left join said s on s.url = j.url
 
 SQL["op4_line_dedup"] = r"""
 with lines as (
-  select doc_id, row_number() over (partition by doc_id) - 1 as place, line
-  from (select doc_id, unnest(string_split(text, chr(10))) as line from documents where text is not null)
+  select doc_id, unnest(list) as line, generate_subscripts(list, 1) - 1 as place
+  from (select doc_id, string_split(text, chr(10)) as list from documents where text is not null)
 ), worded as (
   select doc_id, place, line, doc_id * 10000000 + place as spot,
     list_filter(string_split_regex(line, '[ \t\r\x0b\x0c]+'), lambda x: x <> '') as words

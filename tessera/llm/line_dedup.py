@@ -34,7 +34,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.stage import written
+from tessera.llm.stage import columns_of, written
 from tessera.llm.words import Words, WordHasher, chunks, mix64, pieces, seeds
 
 SPACE = b" \t\r\x0b\x0c"
@@ -141,9 +141,9 @@ def _bitmap(keys: DataFrame) -> np.ndarray:
     words = keys.groupBy(F.shiftright(place, 6).alias("word")).agg(
         F.bit_or(F.expr(f"shiftleft(1L, int(shiftrightunsigned(key, {64 - BITS}) & 63))")).alias("bits")
     )
-    found = words.toPandas()  # at most 2**BITS / 64 rows
+    found = columns_of(words)  # at most 2**BITS / 64 rows
     out = np.zeros(1 << (BITS - 6), np.int64)
-    out[found["word"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64)
+    out[found["word"]] = found["bits"]
     return out
 
 

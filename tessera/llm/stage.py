@@ -25,6 +25,19 @@ def written(df: DataFrame, what: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def columns_of(df: DataFrame) -> dict:
+    """The columns of a result of bounded size as numpy arrays, by way of Arrow; what the way took is
+    given back."""
+    import numpy as np
+    import pyarrow as pa
+
+    found = df.toArrow()
+    out = {name: np.array(found[name].to_numpy()) for name in found.column_names}
+    del found
+    pa.default_memory_pool().release_unused()
+    return out
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.stage import written
+from tessera.llm.stage import columns_of, written
 from tessera.llm.words import chunks, mix64, pieces
 
 ORDER = 5
@@ -193,10 +193,9 @@ def _lookup(table: DataFrame, bits: int) -> Lookup:
     rows = table.select("key", F.col("n").cast("long").alias("n"), F.col("ratio").cast("double").alias("ratio"))
     rows = rows.mapInArrow(place, "at int, mark int, n long, key long, ratio double")
     best = rows.groupBy("at").agg(F.max(F.struct("n", F.negative("key").alias("k"), "mark", "ratio")).alias("b"))
-    found = best.select("at", "b.mark", F.col("b.ratio").cast("float").alias("ratio")).toPandas()  # at most 2**bits rows
+    found = columns_of(best.select("at", "b.mark", F.col("b.ratio").cast("float").alias("ratio")))  # at most 2**bits rows
     mark, value = np.zeros(1 << bits, np.uint16), np.full(1 << bits, np.nan, np.float16)
-    at = found["at"].to_numpy(np.int64)
-    mark[at], value[at] = found["mark"].to_numpy(np.uint16), found["ratio"].to_numpy(np.float16)
+    mark[found["at"]], value[found["at"]] = found["mark"], found["ratio"]
     return Lookup(bits, mark, value)
 
 
@@ -333,11 +332,13 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", window: int
     # the curve: at most ``curve_rows`` documents, whose ids are few enough to send to every task
     some = known.where(aside).orderBy(F.xxhash64("doc_id"), "doc_id").limit(curve_rows)
     rest = source.where(aside).join(F.broadcast(some), "doc_id").select("doc_id", "text")
-    found = _evidence_of(rest, _sent(docs, model)).join(F.broadcast(some), "doc_id").limit(curve_rows).toPandas()
-    y = found["y"].to_numpy(float)
+    held = _sent(docs, model)
+    found = columns_of(_evidence_of(rest, held).join(F.broadcast(some), "doc_id").limit(curve_rows))
+    held.destroy()
+    y = found["y"].astype(float)
     if not 0 < y.sum() < len(y):
         return model._replace(curve=(-3.0, 0.0, 6.0, 0.0))
-    return model._replace(curve=_curve(found[["mean", "peak", "length"]].to_numpy(float), y))
+    return model._replace(curve=_curve(np.column_stack([found["mean"], found["peak"], found["length"]]), y))
 
 
 def scored(docs: DataFrame, model: Model, threshold: float = 0.7) -> DataFrame:

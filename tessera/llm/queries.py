@@ -19,9 +19,9 @@ def query(fn):
 @query
 def op1_warc_dictionary(spark, sf_dir):
     """Every page written to dictionary-compressed archives and read back."""
-    records = warc.with_record_types(table(spark, sf_dir, "pages"))
+    pages = table(spark, sf_dir, "pages")
     path = shared_folder(spark, "warc")
-    warc.write_archives(records, path, warc.train_dictionary(records))
+    warc.write_archives(warc.with_record_types(pages), path, warc.train_dictionary(warc.payloads(pages)))
     return warc.read_archives(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 

@@ -39,12 +39,17 @@ READ_SCHEMA = (
 )
 
 
-def with_record_types(pages: DataFrame, revisit_bytes: int = 100) -> DataFrame:
-    """``page_id, url, payload, payload_bytes, payload_digest, record_type, refers_to``."""
+def payloads(pages: DataFrame) -> DataFrame:
+    """``page_id, url, payload, payload_bytes, payload_digest``."""
     payload = F.encode(F.coalesce("html", F.lit("")), "UTF-8")
-    rows = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), payload.alias("payload")).select(
+    return pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), payload.alias("payload")).select(
         "*", F.octet_length("payload").cast("long").alias("payload_bytes"), F.sha2("payload", 256).alias("payload_digest")
     )
+
+
+def with_record_types(pages: DataFrame, revisit_bytes: int = 100) -> DataFrame:
+    """``payloads`` with ``record_type`` and ``refers_to``."""
+    rows = payloads(pages)
     first = (
         rows.where(F.col("payload_bytes") >= revisit_bytes)
         .groupBy("payload_digest")
@@ -62,15 +67,16 @@ def with_record_types(pages: DataFrame, revisit_bytes: int = 100) -> DataFrame:
 
 def train_dictionary(records: DataFrame, size: int = 64 << 10, rows: int = 400, row_bytes: int = 16 << 10) -> bytes:
     """A dictionary trained on the first ``row_bytes`` bytes of at most ``rows`` payloads, those
-    with the least hashes: about 6 MB at any table size. Empty if there is too little to train on.
+    with the least hashes: about 6 MB at any table size, as the hashes are chosen first. Empty if
+    there is too little to train on.
     """
     import zstandard
 
-    some = (
-        records.where("payload_bytes > 0")
-        .select(F.xxhash64("page_id").alias("h"), F.expr(f"substring(payload, 1, {int(row_bytes)})").alias("part"))
-        .orderBy("h").limit(rows)
-    )
+    full = records.where("payload_bytes > 0").withColumn("h", F.xxhash64("page_id", "payload_digest"))
+    last = full.select("h").orderBy("h").limit(rows).agg(F.max("h").alias("h")).first()["h"]
+    if last is None:
+        return b""
+    some = full.where(F.col("h") <= last).select(F.expr(f"substring(payload, 1, {int(row_bytes)})").alias("part")).limit(rows)
     samples = [bytes(r["part"]) for r in some.collect()]
     try:
         return zstandard.train_dictionary(size, samples, k=512, d=8).as_bytes()

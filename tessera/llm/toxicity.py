@@ -6,9 +6,10 @@ counts); below them both classes share one bigram model of pooled continuation c
 neither class has seen falls through to the shared model and says nothing, so rare expressions
 are not taken for toxic ones.
 
-For every gram seen in either class the log-likelihood ratio is computed as a DataFrame; the
-tables that tasks look up are of bounded size (``2**bits`` entries per order; where two grams
-meet in one entry the more frequent stays, and a fingerprint tells others apart).
+For every gram seen in either class the log-likelihood ratio is computed as a DataFrame. Tasks look
+up all of them: the tables are cut by hash into parts of about ``PART`` grams, as many as the grams
+need, and a task goes through the parts one after another with the distinct grams of ``SWEEP``
+bytes of texts, so that it holds one part of a table at a time.
 
 A text's score comes from its length-normalised log-likelihood difference, over the whole text and
 over the window of ``window`` bytes where it is largest (the whole text is covered), through a
@@ -30,16 +31,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.stage import columns_of, written
+from tessera.llm.stage import columns_of, shared_folder, written
 from tessera.llm.words import chunks, mix64, pieces
 
 ORDER = 5
 DISCOUNT = 0.75
 #: Rows that the logistic curve is fitted on, at most.
 CURVE_ROWS = 20_000
-#: log2 of the entries of the lookup tables of grams and of contexts, by order: 15 MB together
-BITS = {5: 21, 4: 19, 3: 18}
-CONTEXT_BITS = {5: 19, 4: 18, 3: 16}
+#: Grams in a part of a lookup table, about: 12 MB.
+PART = 1 << 20
+#: Bytes of texts that a task looks up together, about.
+SWEEP = 1 << 24
 
 FOLD = np.arange(256, dtype=np.uint8)
 FOLD[65:91] += 32  # A-Z as a-z
@@ -135,7 +137,7 @@ def _shared(grams3: DataFrame) -> DataFrame:
 
 
 def _level(grams: DataFrame, lower: DataFrame, order: int) -> tuple[DataFrame, DataFrame]:
-    """One order of both classes: ``key, n, p_t, p_o`` of its grams and ``key, n, ratio`` of its
+    """One order of both classes: ``key, p_t, p_o`` of its grams and ``key, ratio`` of its
     contexts, the log ratio of the weights they give to the lower order."""
     h = F.shiftright("key", 8).alias("h")
     one = lambda c: F.sum((F.col(c) > 0).cast("long"))
@@ -155,59 +157,67 @@ def _level(grams: DataFrame, lower: DataFrame, order: int) -> tuple[DataFrame, D
         F.when(F.col(f"all_{c}") > 0, F.greatest(F.col(f"n_{c}") - DISCOUNT, F.lit(0.0)) / F.col(f"all_{c}")).otherwise(0.0)
         + F.col(f"rest_{c}") * F.col(f"below_{c}")
     )
-    probabilities = joined.select("key", (F.col("n_t") + F.col("n_o")).alias("n"), p("t").alias("p_t"), p("o").alias("p_o"))
-    weights = contexts.select(
-        F.col("h").alias("key"), (F.col("all_t") + F.col("all_o")).alias("n"), F.log(F.col("rest_t") / F.col("rest_o")).alias("ratio")
-    )
+    probabilities = joined.select("key", p("t").alias("p_t"), p("o").alias("p_o"))
+    weights = contexts.select(F.col("h").alias("key"), F.log(F.col("rest_t") / F.col("rest_o")).alias("ratio"))
     return probabilities, weights
 
 
+def _codes(key: np.ndarray) -> np.ndarray:
+    """Grams as numbers spread evenly, each gram its own."""
+    return mix64(key.astype(np.int64).view(np.uint64) + np.uint64(0x9E3779B97F4A7C15))
+
+
 class Lookup(NamedTuple):
-    """Values by gram: an entry holds a fingerprint and a value; unknown grams give NaN."""
+    """Values by gram, in ``2**bits`` parts by the first bits of the grams' codes: broadcasts of
+    sorted codes and their values. Unknown grams give NaN."""
 
     bits: int
-    mark: np.ndarray
-    value: np.ndarray
+    parts: tuple
 
     def find(self, key: np.ndarray) -> np.ndarray:
-        code = mix64(key.view(np.uint64) + np.uint64(0x9E3779B97F4A7C15))
-        at = (code >> np.uint64(64 - self.bits)).astype(np.int64)
-        out = self.value[at].astype(np.float32)
-        out[self.mark[at] != (code & np.uint64(0xFFFF)).astype(np.uint16) | np.uint16(1)] = np.nan
-        return out
-
-
-def _lookup(table: DataFrame, bits: int) -> Lookup:
-    """The bounded table of ``key, n, ratio``: of the grams that meet in an entry, the most
-    frequent (then the least) stays."""
+        code = _codes(key)
+        order = np.argsort(code)
+        code = code[order]
+        out = np.full(len(code), np.nan, np.float32)
+        edge = [0, *np.searchsorted(code, [np.uint64(p << (64 - self.bits)) for p in range(1, len(self.parts))]).tolist(), len(code)]
+        for part, low, high in zip(self.parts, edge[:-1], edge[1:], strict=True):
+            if low == high:
+                continue
+            known, value = part.value
+            at = np.searchsorted(known, code[low:high])
+            at[at == len(known)] = 0
+            good = np.flatnonzero(known[at] == code[low:high]) if len(known) else at[:0]
+            out[low + good] = value[at[good]]
+            if self.bits:
+                part.__dict__.pop("_value", None)  # read again from its file when asked again
+        found = np.empty_like(out)
+        found[order] = out
+        return found
+
+
+def _lookup(table: DataFrame) -> Lookup:
+    """All of ``key, ratio``; the driver holds one part at a time. ``table`` is written."""
+    spark = table.sparkSession
+    bits = (max(table.count() - 1, 0) // PART).bit_length()
 
     def place(batches):
         for batch in batches:
-            code = mix64(batch["key"].to_numpy().view(np.uint64) + np.uint64(0x9E3779B97F4A7C15))
-            at = (code >> np.uint64(64 - bits)).astype(np.int32)
-            mark = ((code & np.uint64(0xFFFF)).astype(np.uint16) | np.uint16(1)).astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(at), pa.array(mark), batch["n"], batch["key"], batch["ratio"]], ["at", "mark", "n", "key", "ratio"]
-            )
-
-    rows = table.select("key", F.col("n").cast("long").alias("n"), F.col("ratio").cast("double").alias("ratio"))
-    rows = rows.mapInArrow(place, "at int, mark int, n long, key long, ratio double")
-    best = rows.groupBy("at").agg(F.max(F.struct("n", F.negative("key").alias("k"), "mark", "ratio")).alias("b"))
-    found = columns_of(best.select("at", "b.mark", F.col("b.ratio").cast("float").alias("ratio")))  # at most 2**bits rows
-    mark, value = np.zeros(1 << bits, np.uint16), np.full(1 << bits, np.nan, np.float16)
-    mark[found["at"]], value[found["at"]] = found["mark"], found["ratio"]
-    return Lookup(bits, mark, value)
-
-
-def _sent(docs: DataFrame, model: Model):
-    """The model as a broadcast of plain arrays: executors need no copy of this package."""
-    tables = [{k: tuple(v) for k, v in part.items()} for part in (model.grams, model.contexts)]
-    return docs.sparkSession.sparkContext.broadcast((*tables, model.window, model.curve))
-
-
-def _received(held) -> Model:
-    grams, contexts, window, curve = held.value
-    return Model({k: Lookup(*v) for k, v in grams.items()}, {k: Lookup(*v) for k, v in contexts.items()}, window, curve)
+            code = _codes(batch["key"].to_numpy())
+            part = (code >> np.uint64(64 - bits)).astype(np.int32) if bits else np.zeros(len(code), np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(code.view(np.int64)), batch["ratio"], pa.array(part)], ["code", "ratio", "part"])
+
+    kind = "code long, ratio float, part int"
+    rows = table.select("key", F.col("ratio").cast("float").alias("ratio")).mapInArrow(place, kind)
+    path = shared_folder(spark, "lookup")
+    rows.repartition("part").write.partitionBy("part").parquet(path)
+    rows = spark.read.schema(kind).parquet(path)
+    parts = []
+    for p in range(1 << bits):
+        found = columns_of(rows.where(F.col("part") == p).select("code", "ratio"))
+        code = found["code"].astype(np.int64).view(np.uint64)
+        order = np.argsort(code)
+        parts.append(spark.sparkContext.broadcast((code[order], found["ratio"].astype(np.float32)[order])))
+    return Lookup(bits, tuple(parts))
 
 
 class Model(NamedTuple):
@@ -238,8 +248,29 @@ class Model(NamedTuple):
         out[left] = sums
         return out
 
-    def evidence(self, data: np.ndarray, at: np.ndarray) -> np.ndarray:
-        """Per text: the mean ratio, the largest mean over a window, and the log of its length."""
+    def evidence(self, columns: list) -> list[np.ndarray]:
+        """Of each column, per text: the mean ratio, the largest mean over a window, and the log of
+        its length. The distinct grams of all columns are looked up together."""
+        held = [pieces(column) for column in columns]
+        every, fresh, rows = np.zeros(0, np.int64), [], 0
+
+        def settle():
+            nonlocal every, fresh, rows
+            every, fresh, rows = np.unique(np.concatenate([every, *fresh])), [], 0
+
+        for data, at in held:
+            for low, high in chunks(at):
+                found = _texts(data, at[low : high + 1])
+                if found is not None:
+                    fresh.append(np.unique(found[0][found[2]]))
+                    rows += len(fresh[-1])
+                    if rows > 1_000_000:
+                        settle()
+        settle()
+        value = self.ratios(every)
+        return [self._evidence(data, at, every, value) for data, at in held]
+
+    def _evidence(self, data: np.ndarray, at: np.ndarray, every: np.ndarray, value: np.ndarray) -> np.ndarray:
         out = np.zeros((len(at) - 1, 3))
         out[:, 2] = np.log1p(np.diff(at))
         for low, high in chunks(at):
@@ -248,7 +279,7 @@ class Model(NamedTuple):
                 continue
             key, text, whole = found
             ratio = np.zeros(len(key), np.float64)
-            ratio[whole] = self.ratios(key[whole])
+            ratio[whole] = value[np.searchsorted(every, key[whole])]
             edge = at[low : high + 1] - at[low]
             n = np.diff(edge) - (ORDER - 1)
             have = np.flatnonzero(n > 0)
@@ -290,14 +321,28 @@ def _curve(x: np.ndarray, y: np.ndarray) -> tuple:
     return tuple(w)
 
 
-def _evidence_of(docs: DataFrame, held) -> DataFrame:
+def _sweeps(batches, texts):
+    """Batches of about ``SWEEP`` bytes of texts together."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        _, at = pieces(texts(batch))
+        size += int(at[-1] - at[0])
+        if size >= SWEEP:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
+def _evidence_of(docs: DataFrame, model: Model) -> DataFrame:
     def emit(batches):
-        model = _received(held)
-        for batch in batches:
-            x = model.evidence(*pieces(batch["text"]))
-            yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], *(pa.array(c.copy()) for c in x.T)], ["doc_id", "mean", "peak", "length"]
-            )
+        text = lambda batch: batch["text"]
+        for some in _sweeps(batches, text):
+            for batch, x in zip(some, model.evidence([text(b) for b in some]), strict=True):
+                yield pa.RecordBatch.from_arrays(
+                    [batch["doc_id"], *(pa.array(c.copy()) for c in x.T)], ["doc_id", "mean", "peak", "length"]
+                )
 
     return docs.select("doc_id", "text").mapInArrow(emit, "doc_id long, mean double, peak double, length double")
 
@@ -326,15 +371,13 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", window: int
     for order in (3, 4, 5):
         found, weights = _level(grams[order], below, order)
         below = written(found, "probabilities")
-        tables[order] = _lookup(below.withColumn("ratio", F.log(F.col("p_t") / F.col("p_o"))), BITS[order])
-        contexts[order] = _lookup(weights, CONTEXT_BITS[order])
+        tables[order] = _lookup(below.withColumn("ratio", F.log(F.col("p_t") / F.col("p_o"))))
+        contexts[order] = _lookup(written(weights, "weights"))
     model = Model(tables, contexts, window, (0.0, 0.0, 0.0, 0.0))
     # the curve: at most ``curve_rows`` documents, whose ids are few enough to send to every task
     some = known.where(aside).orderBy(F.xxhash64("doc_id"), "doc_id").limit(curve_rows)
     rest = source.where(aside).join(F.broadcast(some), "doc_id").select("doc_id", "text")
-    held = _sent(docs, model)
-    found = columns_of(_evidence_of(rest, held).join(F.broadcast(some), "doc_id").limit(curve_rows))
-    held.destroy()
+    found = columns_of(_evidence_of(rest, model).join(F.broadcast(some), "doc_id").limit(curve_rows))
     y = found["y"].astype(float)
     if not 0 < y.sum() < len(y):
         return model._replace(curve=(-3.0, 0.0, 6.0, 0.0))
@@ -343,13 +386,10 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", window: int
 
 def scored(docs: DataFrame, model: Model, threshold: float = 0.7) -> DataFrame:
     """``doc_id, held_out, score, predicted`` of every document."""
-    held = _sent(docs, model)
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
 
     def emit(batches):
-        model = _received(held)
-        for batch in batches:
-            score = _score(model, batch["text"])
+        for batch, score in _score(model, batches, lambda batch: batch["text"]):
             yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(score)], ["doc_id", "score"])
 
     return source.mapInArrow(emit, "doc_id long, score double").select(
@@ -358,21 +398,21 @@ def scored(docs: DataFrame, model: Model, threshold: float = 0.7) -> DataFrame:
     )
 
 
-def _score(model: Model, column: pa.Array) -> np.ndarray:
-    data, at = pieces(column)
-    return model.score(model.evidence(data, at) if model.grams else np.zeros((len(at) - 1, 3)))
+def _score(model: Model, batches, texts):
+    """Every batch with the scores of its ``texts``."""
+    for some in _sweeps(batches, texts):
+        columns = [texts(batch) for batch in some]
+        found = model.evidence(columns) if model.grams else [np.zeros((len(c), 3)) for c in columns]
+        yield from ((batch, model.score(x)) for batch, x in zip(some, found, strict=True))
 
 
 def without_toxic(docs: DataFrame, model: Model, threshold: float = 0.7) -> DataFrame:
     """The documents that score below the threshold, with all their columns."""
-    held = _sent(docs, model)
     at = docs.columns.index("text")
     rows = docs.select(F.struct(*docs.columns).alias("row"))
 
     def keep(batches):
-        model = _received(held)
-        for batch in batches:
-            score = _score(model, batch["row"].field(at))
+        for batch, score in _score(model, batches, lambda batch: batch["row"].field(at)):
             yield batch.filter(pa.array(score < threshold))
 
     return rows.mapInArrow(keep, rows.schema).select("row.*")

@@ -114,6 +114,39 @@ def test_class_models_sum_to_one(spark):
     assert found.where("p_t <= 0 or p_t >= 1 or p_o <= 0 or p_o >= 1").count() == 0
 
 
+def test_every_gram_and_context_is_looked_up(spark, documents, monkeypatch):
+    monkeypatch.setattr(toxicity, "PART", 20_000, raising=False)
+    rng = random.Random(1)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rows = [(i, "".join(rng.choice(letters) for _ in range(200))) for i in range(600)]
+    labels = spark.createDataFrame([(i, 1, i % 2, 0.5) for i, _ in rows], LABELS)
+    docs = documents(rows)
+    model = toxicity.train(docs, labels)
+    grams = {}
+    keys = np.unique(np.concatenate([toxicity._keys(np.frombuffer(t.encode(), np.uint8), 5) for _, t in rows]))
+    # the same without tables: the documents that the counts are of, gram by gram
+    learned = docs.join(labels, "doc_id").where(~toxicity.is_held_out(docs.doc_id)).where("pmod(xxhash64(doc_id, 'curve'), 5) <> 0")
+    grams[5] = toxicity.count_grams(learned.selectExpr("text", "toxic as y"))
+    for order in (5, 4):
+        grams[order - 1] = toxicity._shorter(grams[order], order)
+    below, ratio, weight = toxicity._shared(grams[3]), {}, {}
+    for order in (3, 4, 5):
+        below, contexts = toxicity._level(grams[order], below, order)
+        ratio[order] = {r["key"]: r["r"] for r in below.selectExpr("key", "ln(p_t / p_o) as r").collect()}
+        weight[order] = {r["key"]: r["ratio"] for r in contexts.collect()}
+    want = []
+    for key in keys.tolist():
+        total = 0.0
+        for order in (5, 4, 3):
+            key &= (1 << 8 * order) - 1
+            if key in ratio[order]:
+                total += ratio[order][key]
+                break
+            total += weight[order].get(key >> 8, 0.0)
+        want.append(total)
+    assert len(ratio[5]) > 40_000 and np.abs(model.ratios(keys) - want).max() < 0.01
+
+
 def test_gam_lookup_tables_learn_an_interaction():
     rng = np.random.default_rng(0)
     x = rng.random((4000, 3))

@@ -1,6 +1,7 @@
 """Toxicity by class-conditional Kneser-Ney models over bytes.
 
-From all labelled training documents, toxic and ordinary 5-byte grams are counted exactly. Orders
+From all labelled training documents but those of the curve (below), toxic and ordinary 5-byte
+grams are counted exactly. Orders
 5, 4 and 3 are interpolated Kneser-Ney models of each class (the lower two over continuation
 counts); below them both classes share one bigram model of pooled continuation counts. What
 neither class has seen falls through to the shared model and says nothing, so rare expressions
@@ -13,8 +14,8 @@ bytes of texts, so that it holds one part of a table at a time.
 
 A text's score comes from its length-normalised log-likelihood difference, over the whole text and
 over the window of ``window`` bytes where it is largest (the whole text is covered), through a
-logistic curve fitted on a fifth of the training documents, which the counts leave out. The curve
-also knows the text's length, as the largest of many windows is larger by chance.
+logistic curve fitted on a fifth of the training documents, ``CURVE_ROWS`` at most, which the
+counts leave out. The curve also knows the text's length, as the largest of many windows is larger by chance.
 
 Defined results: null and empty texts have no grams and get the curve's value for no evidence;
 without labelled rows of both classes every score is the share of label 1 (0 if there are none);
@@ -355,8 +356,13 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", window: int
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     source = source.where(F.col("doc_id").isNotNull() & ~is_held_out(F.col("doc_id")))
     aside = F.pmod(F.xxhash64("doc_id", F.lit("curve")), F.lit(5)) == 0
+    # the curve: at most ``curve_rows`` documents, whose ids are few enough to send to every task
+    some = written(known.where(aside).orderBy(F.xxhash64("doc_id"), "doc_id").limit(curve_rows), "curve")
+    spared = F.broadcast(some.select("doc_id"))
     # by shuffle at every size: labels grow with the documents
-    counted = source.where(~aside).join(known.where(~aside).hint("merge"), "doc_id")
+    counted = source.join(spared, "doc_id", "left_anti").join(
+        known.join(spared, "doc_id", "left_anti").hint("merge"), "doc_id"
+    )
     grams = {5: written(count_grams(counted), "grams")}
     none = Model({}, {}, window, (-30.0, 0.0, 0.0, 0.0))
     seen = grams[5].agg(F.sum("n_t").alias("t"), F.sum("n_o").alias("o")).first()
@@ -374,8 +380,6 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", window: int
         tables[order] = _lookup(below.withColumn("ratio", F.log(F.col("p_t") / F.col("p_o"))))
         contexts[order] = _lookup(written(weights, "weights"))
     model = Model(tables, contexts, window, (0.0, 0.0, 0.0, 0.0))
-    # the curve: at most ``curve_rows`` documents, whose ids are few enough to send to every task
-    some = known.where(aside).orderBy(F.xxhash64("doc_id"), "doc_id").limit(curve_rows)
     rest = source.where(aside).join(F.broadcast(some), "doc_id").select("doc_id", "text")
     found = columns_of(_evidence_of(rest, model).join(F.broadcast(some), "doc_id").limit(curve_rows))
     y = found["y"].astype(float)

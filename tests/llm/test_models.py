@@ -147,6 +147,15 @@ def test_every_gram_and_context_is_looked_up(spark, documents, monkeypatch):
     assert len(ratio[5]) > 40_000 and np.abs(model.ratios(keys) - want).max() < 0.01
 
 
+def test_all_but_the_rows_of_the_curve_are_counted(spark, documents):
+    words = ["".join(chr(97 + i // 26**k % 26) for k in range(5)) for i in range(300)]
+    labels = spark.createDataFrame([(i, 1, i % 2, 0.5) for i in range(300)], LABELS)
+    model = toxicity.train(documents(list(enumerate(words))), labels, curve_rows=4)
+    known = [i for i in range(300) if not _held_out(i)]
+    keys = np.array([int.from_bytes(words[i].encode(), "big") for i in known])
+    assert np.isnan(model.grams[5].find(keys)).sum() == 4
+
+
 def test_gam_lookup_tables_learn_an_interaction():
     rng = np.random.default_rng(0)
     x = rng.random((4000, 3))

@@ -61,6 +61,24 @@ def test_archives_round_trip(spark):
     assert urls[200] is None and urls[202] == "http://a%20b%0D%0Ac" and urls[203] == "é://ü"
 
 
+def test_aliases_in_any_spelling(spark):
+    target = "http://a.com/de/9"
+    tags = [
+        f'<link href="{target}" rel="canonical">', f"<link rel=canonical href={target}>", f"<LINK REL='x Canonical'\nHREF='{target}' />",
+        f"""<meta http-equiv="refresh" content="0;url='{target}'">""", f'<meta content="5; URL = {target}" http-equiv=Refresh>',
+        f'<meta http-equiv="refresh" content="0;{target}">', '<link title="a > b" rel="canonical" href="//a.com/de/9">',
+        '<link rel="canonical" href="../de/9">', f'<link rel="icon" href="/i.png"><link rel="canonical" href="{target}">',
+        '<base href="http://a.com/de/x/"><link rel="canonical" href="../9">', '<link rel="canonical" href="/en/../de/./9">',
+    ]
+    others = [f'<link rel="alternate" href="{target}">', f'<link title="rel=canonical" href="{target}">', '<link rel="canonical" href="#x">', "", None]
+    rows = [(i, f"http://a.com/x{i}/page", f"<html>{tag}<p>") for i, tag in enumerate(tags + others)] + [(100, target, "")]
+    rows[7] = (7, "http://a.com/x7/page?q=/z/", rows[7][2])
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r["verdict"] for r in url_filter.judge(pages, [url_filter.Rule("block", "com", "/de/")]).collect()}
+    assert [i for i in got if got[i] == "block" and i < 100] and got[100] == "block"
+    assert sorted(i for i in got if got[i] == "block") == [*range(len(tags)), 100]
+
+
 def test_archive_files_are_zstandard_with_the_dictionary_first(spark):
     import glob
 

@@ -237,6 +237,16 @@ def test_candidate_recall_against_comparing_everything(spark, documents):
     assert len(want) > 100 and got <= want and len(got) >= 0.9 * len(want)
 
 
+def test_recall_of_short_items_in_a_full_block(spark, documents):
+    items = [(i, " ".join(pseudo_words(15 + i % 5, 20_000 + i, 6000))) for i in range(512)]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    rows = [(i, " ".join([*pseudo_words(20, i, 6000), text, *pseudo_words(20, 900 + i, 6000)])) for i, text in items]
+    rows += [(1000 + i, " ".join(pseudo_words(100, 5000 + i, 6000))) for i in range(2000)]  # most of what the space is fitted on
+    found = decontaminate.leaks(documents(rows), benchmark, items_per_block=512).collect()
+    got = {r["doc_id"] for r in found if r["doc_id"] == r["item_id"]}
+    assert len(got) >= 0.97 * len(items), len(got)
+
+
 def test_empty_tables(spark, documents):
     _, benchmark = _benchmark(spark)
     assert decontaminate.leaks(documents([]), benchmark).count() == 0

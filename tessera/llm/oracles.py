@@ -151,3 +151,26 @@ with recursive w as (
 select w.doc_id, least(w.doc_id, coalesce(c.low, w.doc_id)) as class_id, cast(coalesce(k.n, 0) as bigint) as n_links
 from w left join classes c on c.a = w.doc_id left join counted k on k.a = w.doc_id
 """
+
+SQL["op13_fill_in_middle"] = r"""
+with d as (
+  select doc_id, coalesce(text, '') as t,
+         regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') as u,
+         sha256('7:' || coalesce(cast(doc_id as varchar), '')) as h
+  from documents),
+k as (
+  select *, len(u) as n, cast('0x' || h[1:8] as bigint) % (len(u) + 1) as x,
+         cast('0x' || h[9:16] as bigint) % (len(u) + 1) as y, cast('0x' || h[25:32] as bigint) % 100 < 50 as spm,
+         t = '' or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>') as plain
+  from d),
+c as (
+  select *, array_to_string(u[1:least(x, y)], '') as p, array_to_string(u[least(x, y) + 1:greatest(x, y)], '') as m,
+         array_to_string(u[greatest(x, y) + 1:], '') as s
+  from k)
+select doc_id, n, case when plain then 'plain' when spm then 'spm' else 'psm' end as form,
+       case when not plain then length(p) end as prefix_chars, case when not plain then length(m) end as middle_chars,
+       sha256(case when plain then t when spm then '<S>' || s || '<P>' || p || '<M>' || m
+                   else '<P>' || p || '<S>' || s || '<M>' || m end) as output_sha256,
+       sha256(t) as restored_sha256
+from c
+"""

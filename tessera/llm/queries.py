@@ -4,7 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tessera.llm import decontaminate, gam, line_dedup, merkle, ngram_join, packing, suffix_dedup, toxicity, url_filter, warc
+from tessera.llm import (
+    conversations,
+    decontaminate,
+    fim,
+    gam,
+    line_dedup,
+    merkle,
+    ngram_join,
+    packing,
+    pii,
+    suffix_dedup,
+    toxicity,
+    url_filter,
+    warc,
+)
 from tessera.llm.oracles import SQL  # noqa: F401
 from tessera.llm.stage import shared_folder, table
 
@@ -100,3 +114,21 @@ def op9_nnls_packing(spark, sf_dir):
 def op10_lsi_decontamination(spark, sf_dir):
     """Every document into which a benchmark item leaked, with the item."""
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op11_conversation_repair(spark, sf_dir):
+    """Every conversation damaged by rule and mended by the cheapest edits."""
+    return conversations.damaged_and_repaired(table(spark, sf_dir, "conversations"))
+
+
+@query
+def op12_personal_data(spark, sf_dir):
+    """Every document's spans of personal data."""
+    return pii.digests(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_fill_in_middle(spark, sf_dir):
+    """Every document cut into prefix, middle and suffix, and put together again."""
+    return fim.digests(table(spark, sf_dir, "documents"), rate=100, spm=50, seed=7)

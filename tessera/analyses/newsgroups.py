@@ -54,7 +54,7 @@ def without_rare_terms(docs: DataFrame, rare: int = 20, key: str = "path") -> Da
 def synonyms(docs: DataFrame, word: str, k: int = 10, vector_size: int = 10, min_count: int = 0, seed: int = 42, rare: int = 20) -> DataFrame:
     """Rare words out, the rest stemmed, Word2Vec over the stems; the ``k`` stems nearest
     to ``word``'s stem (none for an unknown word)."""
-    stems = text.stem_tokens(without_rare_terms(docs, rare), "path", "filtered")
+    stems = text.stem_tokens(without_rare_terms(docs, rare), "filtered")
     model = text.word2vec(stems, "stemmed", vector_size=vector_size, min_count=min_count, seed=seed)
     asked = docs.sparkSession.createDataFrame([(word,)], "term string")
     return text.nearest_words(text.word_vectors(model), text.stem_vocabulary(asked).agg(F.first("stem")).scalar(), k)

@@ -8,7 +8,7 @@ plain SQL but for the name of the regular-expression predicate, so any engine ca
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # The rule tables of the published algorithm (suffix, replacement), in the
@@ -36,12 +36,12 @@ _VOWEL = f"^({_C})?[aeiouy]"
 _CVC = f"^{_C}[aeiouy][^aeiouwxy]$"
 
 
-def steps(matches: str = "regexp_like") -> list[str]:
-    """The algorithm's steps, each an expression of ``w`` that gives the next ``w``. ``matches``: the
-    engine's function of (text, pattern)."""
+def steps(matches: str = "regexp_like", ends_with: str = "endswith") -> list[str]:
+    """The algorithm's steps, each an expression of ``w`` that gives the next ``w``. ``matches`` and
+    ``ends_with``: the engine's functions of (text, pattern) and (text, ending)."""
     rx = lambda text, pattern: f"{matches}({text}, '{pattern}')"
     stem = lambda n: f"substr(w, 1, length(w) - {n})"
-    ends = lambda suffix: f"right(w, {len(suffix)}) = '{suffix}'"
+    ends = lambda suffix: f"{ends_with}(w, '{suffix}')"
 
     def longest_first(rules, measure):
         cases = [
@@ -58,16 +58,17 @@ def steps(matches: str = "regexp_like") -> list[str]:
         return f"CASE {' '.join(cases)} ELSE w END"
 
     # after ed or ing has gone, marked by a trailing '-'
-    double = f"right(w, 1) = '-' AND {rx('w', '[^aeiouylsz]-$')} AND substr(w, length(w) - 1, 1) = substr(w, length(w) - 2, 1)"
+    marked = ends("-")
+    double = f"{marked} AND {rx('w', '[^aeiouylsz]-$')} AND substr(w, length(w) - 1, 1) = substr(w, length(w) - 2, 1)"
     return [
         "CASE WHEN substr(w, 1, 1) = 'y' THEN concat('Y', substr(w, 2)) ELSE w END",
         f"CASE WHEN {ends('sses')} OR {ends('ies')} THEN {stem(2)} WHEN {ends('ss')} THEN w WHEN {ends('s')} THEN {stem(1)} ELSE w END",
         f"CASE WHEN {ends('eed')} THEN CASE WHEN {rx(stem(3), _ONE)} THEN {stem(1)} ELSE w END "
         f"WHEN {ends('ed')} AND {rx(stem(2), _VOWEL)} THEN concat({stem(2)}, '-') "
         f"WHEN {ends('ing')} AND {rx(stem(3), _VOWEL)} THEN concat({stem(3)}, '-') ELSE w END",
-        f"CASE WHEN {rx('w', '(at|bl|iz)-$')} THEN concat({stem(1)}, 'e') WHEN {double} THEN {stem(2)} "
-        f"WHEN right(w, 1) = '-' AND {rx(stem(1), _JUST_ONE)} AND {rx(stem(1), '[^aeiou][aeiouy][^aeiouwxy]$')} THEN concat({stem(1)}, 'e') "
-        f"WHEN right(w, 1) = '-' THEN {stem(1)} ELSE w END",
+        f"CASE WHEN {marked} AND {rx('w', '(at|bl|iz)-$')} THEN concat({stem(1)}, 'e') WHEN {double} THEN {stem(2)} "
+        f"WHEN {marked} AND {rx(stem(1), _JUST_ONE)} AND {rx(stem(1), '[^aeiou][aeiouy][^aeiouwxy]$')} THEN concat({stem(1)}, 'e') "
+        f"WHEN {marked} THEN {stem(1)} ELSE w END",
         f"CASE WHEN {ends('y')} AND {rx(stem(1), _VOWEL)} THEN concat({stem(1)}, 'i') ELSE w END",
         longest_first(STEP2_RULES, _ONE),
         longest_first(STEP3_RULES, _ONE),
@@ -90,9 +91,22 @@ def with_stem(words: DataFrame, word: str, out: str = "stem") -> DataFrame:
     return df.withColumn(out, F.when(F.col(word).rlike(STEMMED), F.col("w")).otherwise(F.col(word))).drop("w")
 
 
+def stems_of(words: str) -> Column:
+    """The Porter stems of an array of lower-case words, in their places: every step runs over the row's own
+    array, so no word leaves its row. A null array or word stays null."""
+    # words that are not stemmed carry a sign that no rule's ending has, and lose it at the end
+    out = f"transform({words}, w -> CASE WHEN w RLIKE '{STEMMED}' THEN w ELSE concat(w, '#') END)"
+    for step in steps():
+        out = f"transform({out}, w -> {step})"
+    return F.expr(f"transform({out}, w -> CASE WHEN endswith(w, '#') THEN {_LESS_ONE} ELSE w END)")
+
+
+_LESS_ONE = "substr(w, 1, length(w) - 1)"
+
+
 def stem_sql(source: str, word: str, matches: str) -> str:
     """The same as a SELECT over the relation ``source``: all its columns and ``stem``."""
     inner = f"(SELECT *, {word} AS w FROM {source})"
-    for step in steps(matches):
+    for step in steps(matches, "ends_with"):
         inner = f"(SELECT * REPLACE ({step} AS w) FROM {inner})"
     return f"SELECT * EXCLUDE (w), CASE WHEN {matches}({word}, '{STEMMED}') THEN w ELSE {word} END AS stem FROM {inner}"

@@ -14,7 +14,7 @@ from pyspark.ml.recommendation import ALS
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.porter import with_stem
+from tessera.functions.porter import stems_of, with_stem
 from tessera.functions.stopwords import ENGLISH_STOP_WORDS
 from tessera.functions.strings import WORD_PATTERN, tokens
 from tessera.operators.positions import global_index
@@ -101,20 +101,13 @@ def stem_vocabulary(terms: DataFrame, term: str = "term") -> DataFrame:
     return with_stem(terms.select(term).distinct(), term)
 
 
-def stem_tokens(df: DataFrame, key: str, words_col: str, out: str = "stemmed") -> DataFrame:
-    """Replace each token by its stem, keeping token order, via the vocabulary table.
-
-    Tokens are exploded with their position, joined to ``(term, stem)`` and regrouped by
-    ``key`` in position order. ``key`` must identify a row.
-    """
-    exploded = df.select(key, F.posexplode(words_col).alias("pos", "term"))
-    stems = stem_vocabulary(exploded)
-    regrouped = _in_order(exploded.join(stems, "term"), key, "pos", "stem", "_stemmed")
-    empty = F.when(F.col(words_col).isNotNull(), F.array().cast("array<string>"))
-    return df.join(regrouped, key, "left").withColumn(out, F.coalesce("_stemmed", empty)).drop("_stemmed")
+def stem_tokens(df: DataFrame, words_col: str, out: str = "stemmed") -> DataFrame:
+    """Replace each token by its stem, keeping token order. Every row's tokens stay where they are:
+    nothing is shuffled. A null array stays null."""
+    return df.withColumn(out, stems_of(f"`{words_col}`"))
 
 
-def word2vec(df: DataFrame, words_col: str, vector_size: int = 10, min_count: int = 0, seed: int = 42, partitions: int = 4):
+def word2vec(df: DataFrame, words_col: str, vector_size: int = 10, min_count: int = 0, seed: int = 42, partitions: int = 8):
     """Fit ``Word2Vec``; training is split over ``partitions``, whatever the cluster's size, so
     the vectors do not change with it. The estimator holds the vocabulary of words seen
     ``min_count`` times in the driver; for a vocabulary beyond that use :func:`context_factors`."""
@@ -124,19 +117,29 @@ def word2vec(df: DataFrame, words_col: str, vector_size: int = 10, min_count: in
     return w2v.fit(df)
 
 
-def context_factors(df: DataFrame, words_col: str, rank: int = 10, window: int = 5, max_iter: int = 5, blocks: int = 10, seed: int = 42) -> DataFrame:
-    """M15/M16 without a vocabulary in the driver: ``(word, features)``, factors of the table of how
-    often two words stand within ``window`` words of each other (implicit-feedback ALS)."""
+def context_counts(df: DataFrame, words_col: str, window: int = 5) -> DataFrame:
+    """``(a, b, n)``: how often ``b`` stands within ``window`` words before or after ``a``, over all rows.
+
+    Each row gives its pairs once, in order of the text; the partial aggregate adds them up before
+    the shuffle, and the other direction is the same count.
+    """
     ahead = F.explode(F.expr(f"transform({words_col}, (w, i) -> struct(w as a, slice({words_col}, i + 2, {int(window)}) as bs))"))
     near = df.select(ahead.alias("s")).select(F.col("s.a").alias("a"), F.explode("s.bs").alias("b"))
-    both = near.unionByName(near.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    counts = both.groupBy("a", "b").agg(F.count(F.lit(1)).cast("float").alias("n"))
+    counts = near.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"))
+    both = counts.unionByName(counts.select(F.col("b").alias("a"), F.col("a").alias("b"), "n"))
+    return both.groupBy("a", "b").agg(F.sum("n").alias("n"))
+
+
+def context_factors(df: DataFrame, words_col: str, rank: int = 10, window: int = 5, max_iter: int = 5, blocks: int = 10, seed: int = 42) -> DataFrame:
+    """M15/M16 without a vocabulary in the driver: ``(id, word, features)``, factors of
+    :func:`context_counts` (implicit-feedback ALS); ``id`` numbers the words in order."""
+    counts = context_counts(df, words_col, window).checkpoint()  # read by the numbering and by the fit
     ids = global_index(counts.select(F.col("a").alias("word")).distinct(), ["word"], "id").withColumn("id", F.col("id").cast("int"))
     left, right = ids.toDF("a", "i"), ids.toDF("b", "j")
-    table = counts.join(left, "a").join(right, "b").select("i", "j", "n")
+    table = counts.join(left, "a").join(right, "b").select("i", "j", F.col("n").cast("float").alias("n"))
     model = ALS(rank=rank, maxIter=max_iter, implicitPrefs=True, userCol="i", itemCol="j", ratingCol="n", seed=seed,
                 numUserBlocks=blocks, numItemBlocks=blocks).fit(table)
-    return model.userFactors.join(ids, "id").select("word", "features")
+    return model.userFactors.join(ids, "id").select("id", "word", "features")
 
 
 def word_vectors(model) -> DataFrame:
@@ -145,8 +148,8 @@ def word_vectors(model) -> DataFrame:
 
 
 def nearest_words(vectors: DataFrame, word: str | Column, k: int = 10) -> DataFrame:
-    """The k words most cosine-similar to ``word``, computed over the vector table in
-    parallel (not in the driver): ``(word, similarity)``, ``similarity`` formatted to 5
+    """M17 for one word (for all words: :mod:`tessera.operators.neighbours`): the k words most
+    cosine-similar to ``word``, computed over the vector table in parallel (not in the driver): ``(word, similarity)``, ``similarity`` formatted to 5
     places as in the source. An unknown word gives no rows."""
     v = vectors.select("word", vector_to_array("vector").alias("v"))
     target = v.where(F.col("word") == word).agg(F.first("v")).scalar()

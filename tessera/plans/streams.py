@@ -160,7 +160,7 @@ def user_totals_stream(spark, sf_dir):
     """ST02 ST05: totals per user as state of one's own (a value state per user) over four batches of the line
     stream, read from the state store after the last."""
     base = streams.scratch_dir(spark, "user_totals")
-    own = streams.stateful_session(spark)
+    own = streams.stateful_session(spark, partitions=8)
 
     def start():
         events = streams.parse_purchases(streams.line_stream(own, f"{base}/in"))

@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from tessera.functions.porter import stem_sql
 from tessera.functions.stopwords import sql_list
 from tessera.functions.strings import WORD_PATTERN, parent_folder
-from tessera.operators import text
+from tessera.operators import neighbours, text
 from tessera.plans.registry import register
+from tessera.session import ensure_checkpoint_dir
 from tessera.sources.tables import load
 
 _TOKENS = f"regexp_extract_all(lower(text), '{WORD_PATTERN}')"
@@ -131,7 +132,7 @@ def _stemmed(spark, sf_dir):
     """The source's chain: stop words out, the 20 rarest terms out, the rest stemmed, in order."""
     f = _filtered(spark, sf_dir)
     kept = text.drop_rarest(f, "filtered", text.term_frequency(_terms(spark, sf_dir)), 20, out="kept")
-    return text.stem_tokens(kept.select("doc_id", "kept"), "doc_id", "kept")
+    return text.stem_tokens(kept.select("doc_id", "kept"), "kept")
 
 
 _CHAIN_SQL = f"""
@@ -155,12 +156,29 @@ def stem_tokens(spark, sf_dir):
     return _stemmed(spark, sf_dir).select("doc_id", F.array_join("stemmed", " ").alias("stems"))
 
 
-def _w2v(spark, sf_dir):
-    held = _stemmed(spark, sf_dir).persist()  # read by every pass of the fit
-    try:
-        return text.word2vec(held, "stemmed", vector_size=10, min_count=1, seed=42)
-    finally:
-        held.unpersist()
+def _stemmed_once(spark, sf_dir):
+    """The chain's result, written once for all that read it."""
+    return _stemmed(spark, sf_dir).select("doc_id", "stemmed").checkpoint()
+
+
+@register(
+    "context_counts",
+    sql=f"""{_CHAIN_SQL},
+    seq AS (SELECT k.doc_id, s.stem, row_number() OVER (PARTITION BY k.doc_id ORDER BY k.pos) AS i
+            FROM left_over k JOIN s ON s.term = k.term)
+    SELECT x.stem AS a, y.stem AS b, count(*) AS n
+    FROM seq x JOIN seq y ON x.doc_id = y.doc_id AND x.i <> y.i AND abs(x.i - y.i) <= 2
+    GROUP BY x.stem, y.stem""",
+)
+def context_counts(spark, sf_dir):
+    """How often two stems stand within two words of each other, over all documents."""
+    ensure_checkpoint_dir(spark)
+    counts = text.context_counts(_stemmed_once(spark, sf_dir), "stemmed", 2)
+    return counts.select("a", "b", F.col("n").cast("long").alias("n"))
+
+
+def _w2v(stems):
+    return text.word2vec(stems, "stemmed", vector_size=10, min_count=1, seed=42)
 
 
 @register(
@@ -169,20 +187,67 @@ def _w2v(spark, sf_dir):
 )
 def word_vector_words(spark, sf_dir):
     """Every stem, and no other word, gets a vector of ten dimensions."""
-    v = text.word_vectors(_w2v(spark, sf_dir))
+    ensure_checkpoint_dir(spark)
+    v = text.word_vectors(_w2v(_stemmed_once(spark, sf_dir)))
     return v.select("word", F.size(vector_to_array("vector")).alias("dims"))
 
 
 @register("word_vectors")
 def word_vectors(spark, sf_dir):
     """Word2Vec (10 dimensions) over the stems; ``(word, vector as text)``."""
-    v = text.word_vectors(_w2v(spark, sf_dir))
+    ensure_checkpoint_dir(spark)
+    v = text.word_vectors(_w2v(_stemmed_once(spark, sf_dir)))
     return v.select("word", F.array_join(F.transform(vector_to_array("vector"), lambda x: F.format_number(x, 6)), ",").alias("vector"))
 
 
 @register("synonyms")
 def synonyms(spark, sf_dir):
     """The ten stems nearest (cosine) to the most frequent one."""
-    stems = _stemmed(spark, sf_dir).select(F.explode("stemmed").alias("term"))
+    ensure_checkpoint_dir(spark)
+    stemmed = _stemmed_once(spark, sf_dir)
+    stems = stemmed.select(F.explode("stemmed").alias("term"))
     top_word = text.term_frequency(stems).orderBy(F.desc("n"), "term").limit(1).agg(F.first("term")).scalar()
-    return text.nearest_words(text.word_vectors(_w2v(spark, sf_dir)), top_word, 10).select("word", "similarity")
+    return text.nearest_words(text.word_vectors(_w2v(stemmed)), top_word, 10).select("word", "similarity")
+
+
+@register("context_neighbours")
+def context_neighbours(spark, sf_dir):
+    """M15-M17 for vocabularies beyond the driver: factors of the co-occurrence table for every stem, and
+    every stem's five nearest by the index."""
+    ensure_checkpoint_dir(spark)
+    factors = text.context_factors(_stemmed_once(spark, sf_dir), "stemmed", window=2).checkpoint()
+    near = neighbours.nearest_by_index(factors, "id", "features", 5, tables=8, bucket=512)
+    names = lambda c, out: factors.select(F.col("id").alias(c), F.col("word").alias(out))
+    named = near.join(names("id", "word"), "id").join(names("neighbour", "near"), "neighbour")
+    return named.select("word", "rank", "near", F.round("similarity", 5).alias("similarity"))
+
+
+_DOTS = "list_dot_product(CAST({0} AS DOUBLE[]), CAST({1} AS DOUBLE[]))"
+
+
+@register(
+    "nearest_vectors",
+    sql=f"""
+    WITH p AS (
+      SELECT q.vec_id, e.vec_id AS neighbour,
+             {_DOTS.format("q.embedding", "e.embedding")}
+             / (sqrt({_DOTS.format("q.embedding", "q.embedding")}) * sqrt({_DOTS.format("e.embedding", "e.embedding")})) AS cos
+      FROM embeddings q, embeddings e WHERE q.vec_id % 100 = 0 AND q.vec_id <> e.vec_id),
+    r AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY cos DESC, neighbour) AS rnk FROM p)
+    SELECT vec_id, CAST(rnk AS INTEGER) AS rank, neighbour, round(cos, 6) AS similarity FROM r WHERE rnk <= 10""",
+)
+def nearest_vectors(spark, sf_dir):
+    """The ten rows nearest by cosine, among all, to every row whose id is divisible by 100."""
+    ensure_checkpoint_dir(spark)
+    e = load(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    out = neighbours.nearest_exact(e, e.where("vec_id % 100 = 0"), "vec_id", "embedding", 10)
+    return out.select("vec_id", "rank", "neighbour", F.round("similarity", 6).alias("similarity"))
+
+
+@register("nearest_vectors_index")
+def nearest_vectors_index(spark, sf_dir):
+    """For every row the ten nearest by cosine that the hyperplane index finds."""
+    ensure_checkpoint_dir(spark)
+    e = load(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    out = neighbours.nearest_by_index(e, "vec_id", "embedding", 10)
+    return out.select("vec_id", "rank", "neighbour", F.round("similarity", 6).alias("similarity"))

@@ -13,15 +13,16 @@ TABLES = (
 #: A job that reads few large row groups may set this to a number of partitions; unset, tables are
 #: read as they lie.
 SCAN_PARTITIONS = "spark.tessera.scanPartitions"
-_KEYS = {"lineitem": ("l_orderkey", "l_linenumber"), "documents": ("doc_id",), "pages": ("page_id",), "events": ("event_id",)}
+#: Tables whose rows are texts, so that work on a row costs more than moving it.
+_KEYS = {"documents": ("doc_id",), "pages": ("page_id",)}
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Lazily scan one table. Column pruning and filters reach the parquet scan.
 
-    Where the caller has set ``spark.tessera.scanPartitions``, the large tables are dealt by a hash of
-    their key over that many partitions, so per-row work (tokenizing, model features) on a table
-    with few row groups does not run in one task; filters and projections stay below that exchange.
+    Where the caller has set ``spark.tessera.scanPartitions``, the tables of texts are dealt by a hash of
+    their key over that many partitions, so per-row work (tokenizing, stemming) on a table with few
+    row groups does not run in one task; filters and projections stay below that exchange.
     """
     if name not in TABLES:
         raise KeyError(f"unknown table {name!r}")

@@ -229,13 +229,16 @@ def last_totals(spark: SparkSession, checkpoint: str) -> DataFrame:
     return rows.select(key, F.col(n).alias("n_purchases"), F.col(revenue).alias("revenue"))
 
 
-def stateful_session(spark: SparkSession) -> SparkSession:
+def stateful_session(spark: SparkSession, partitions: int | None = None) -> SparkSession:
     """A session beside the caller's, on the same cluster, whose streams keep state in RocksDB (off the
-    heap, checkpointed as changelogs), which :func:`running_state` needs. The caller's own settings
-    stay as they are."""
+    heap, checkpointed as changelogs), which :func:`running_state` needs. ``partitions``: of the state,
+    for the life of a stream (the caller's shuffle partitions otherwise). The caller's own settings stay
+    as they are."""
     own = spark.newSession()
     for key in ("spark.sql.shuffle.partitions", "spark.sql.session.timeZone"):
         own.conf.set(key, spark.conf.get(key))
+    if partitions:
+        own.conf.set("spark.sql.shuffle.partitions", str(partitions))
     own.conf.set("spark.sql.streaming.stateStore.providerClass", _ROCKS_DB)
     own.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
     return own

@@ -47,7 +47,7 @@ def test_stems_conflate_vocabulary(spark):
     stems = {r.term: r.stem for r in text.stem_vocabulary(text.corpus_terms(_docs(spark), "text")).collect()}
     assert stems["robots"] == "robot" and stems["running"] == "run"
     assert len(set(stems.values())) < len(stems)
-    out = text.stem_tokens(f, "doc_id", "filtered")
+    out = text.stem_tokens(f, "filtered")
     assert {r.doc_id: r.stemmed for r in out.collect()}[1] == ["robot", "robot", "run", "robot", "run"]
 
 
@@ -99,3 +99,24 @@ def test_stop_word_filter_equals_ml_stage(spark):
     ours = text.remove_stop_words(docs, "words").first().filtered
     ml = text.stop_words_stage("words").transform(docs).first().filtered
     assert ours == ml == ["robot", "robots"]
+
+
+def test_stems_in_place_equal_the_vocabulary_s(spark):
+    words = ["robots", "running", "yearly", "syzygy", "été", "x1s", "abc#", "at", "hopping", "sky", "relational", "feed", "caresses", ""]
+    df = spark.createDataFrame([(1, words), (2, None), (3, []), (4, [None, "cats"])], "doc_id long, words array<string>")
+    got = {r.doc_id: r.stemmed for r in text.stem_tokens(df, "words").collect()}
+    stems = {r.term: r.stem for r in text.stem_vocabulary(df.select(F.explode("words").alias("term"))).collect()}
+    assert got[1] == [stems[w] for w in words] and got[2] is None and got[3] == [] and got[4] == [None, "cat"]
+    assert "Exchange" not in text.stem_tokens(df, "words")._jdf.queryExecution().toString()
+
+
+def test_context_counts_by_force(spark):
+    rows = [(1, "a b a c b".split()), (2, ["a"]), (3, []), (4, None), (5, ["b", "b", "b"])]
+    want = {}
+    for _, words in rows:
+        for i, a in enumerate(words or []):
+            for j, b in enumerate(words):
+                if i != j and abs(i - j) <= 2:
+                    want[a, b] = want.get((a, b), 0) + 1
+    got = text.context_counts(spark.createDataFrame(rows, "doc_id long, words array<string>"), "words", 2)
+    assert {(r.a, r.b): r.n for r in got.collect()} == want

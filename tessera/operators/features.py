@@ -98,12 +98,3 @@ def standardize(df: DataFrame, vec_col: str, out: str = "scaled", with_mean: boo
     """``StandardScaler`` with the sample standard deviation."""
     scaler = StandardScaler(inputCol=vec_col, outputCol=out, withMean=with_mean, withStd=True)
     return scaler.fit(df).transform(df)
-
-
-def category_stages(cols: Sequence[str], handle_invalid: str = "error") -> list:
-    """Indexer + encoder stages for many columns in one pass each (not one fit per column)."""
-    idx = [c + "_idx" for c in cols]
-    return [
-        StringIndexer(inputCols=list(cols), outputCols=idx, stringOrderType="frequencyDesc", handleInvalid=handle_invalid),
-        OneHotEncoder(inputCols=idx, outputCols=[c + "_vec" for c in cols], dropLast=True),
-    ]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tessera.plans import features, invariants, models, readers, relational, streams, text  # noqa: F401
+from tessera.plans import exact_models, features, invariants, models, readers, relational, streams, text  # noqa: F401
 from tessera.plans.registry import QUERIES, SQL
 
 

@@ -61,20 +61,43 @@ def read_quoted_tsv(spark, sf_dir):
     return readers.quoted_tsv(spark, path)
 
 
-@register("read_csv_header", sql="SELECT n_nationkey, n_name, n_regionkey FROM nation")
+@register("read_csv_header", sql="SELECT o_orderkey, o_orderstatus, round(o_totalprice, 6) AS o_totalprice FROM orders")
 def read_csv_header(spark, sf_dir):
     """Comma-separated with a header."""
-    n = load(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    o = load(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", F.round("o_totalprice", 6).alias("o_totalprice"))
     path = scratch_dir(spark, "layout-csv")
-    n.write.option("header", True).csv(path)
-    return readers.csv_with_header(spark, path, n.schema)
+    o.write.option("header", True).csv(path)
+    return readers.csv_with_header(spark, path, o.schema)
 
 
-@register("read_whole_files", sql="SELECT 'nation=' || n_nationkey AS folder, n_name || chr(10) AS text FROM nation")
+@register(
+    "read_whole_files",
+    sql="""
+    SELECT 'month=' || strftime(o_orderdate, '%Y-%m') AS folder,
+           string_agg(CAST(o_orderkey AS VARCHAR) || chr(10), '' ORDER BY o_orderkey) AS text
+    FROM orders GROUP BY 1""",
+)
 def read_whole_files(spark, sf_dir):
-    """One row per file, the class from its folder."""
-    n = load(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("nation"), F.col("n_name").alias("value"))
+    """One row per file, the class from its folder: the orders of each month, one key a line."""
+    o = load(spark, sf_dir, "orders").select(F.date_format("o_orderdate", "yyyy-MM").alias("month"), "o_orderkey")
     path = scratch_dir(spark, "layout-files")
-    n.write.partitionBy("nation").text(path)
+    lines = o.repartition("month").sortWithinPartitions("month", "o_orderkey")  # one file a month, in order
+    lines.select("month", F.col("o_orderkey").cast("string").alias("value")).write.partitionBy("month").text(path)
     files = readers.whole_files(spark, f"{path}/*/*.txt")
     return files.select(F.element_at(F.split("path", "/"), -2).alias("folder"), "text")
+
+
+@register(
+    "inline_dimension",
+    sql="""
+    WITH d AS (SELECT * FROM (VALUES ('F', 'finished', 2), ('O', 'open', 0), ('P', 'partial', 1)) v(status, name, place))
+    SELECT coalesce(d.name, 'unknown') AS name, d.place, count(*) AS n, round(sum(o.o_totalprice), 2) AS total
+    FROM orders o LEFT JOIN d ON d.status = o.o_orderstatus GROUP BY 1, 2""",
+)
+def inline_dimension(spark, sf_dir):
+    """A small table given as rows, joined to the orders."""
+    names = readers.inline_rows(spark, [("F", "finished", 2), ("O", "open", 0), ("P", "partial", 1)], "status string, name string, place int")
+    o = load(spark, sf_dir, "orders").join(names, F.col("o_orderstatus") == F.col("status"), "left")
+    return o.groupBy(F.coalesce("name", F.lit("unknown")).alias("name"), "place").agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total")
+    )

@@ -85,6 +85,24 @@ def rare_word_filter(spark, sf_dir):
     return out.select("doc_id", F.size("kept").cast("int").alias("n_kept"))
 
 
+@register(
+    "rare_list_filter",
+    sql=f"""
+    WITH {_KEPT_TOKENS_SQL},
+    rare AS (SELECT term FROM tf WHERE n <= 2)
+    SELECT d.doc_id,
+           CAST(count(k.term) FILTER (WHERE k.term NOT IN (SELECT term FROM rare)) AS INTEGER) AS n_kept
+    FROM documents d LEFT JOIN kept k ON d.doc_id = k.doc_id
+    GROUP BY d.doc_id""",
+)
+def rare_list_filter(spark, sf_dir):
+    """Kept words per document once all terms that occur at most twice are dropped, a list that grows
+    with the corpus: an anti-join."""
+    rare = text.term_frequency(_terms(spark, sf_dir)).where("n <= 2")
+    out = text.drop_terms(_filtered(spark, sf_dir).select("doc_id", "filtered"), "doc_id", "filtered", rare, out="kept")
+    return out.select("doc_id", F.size("kept").cast("int").alias("n_kept"))
+
+
 @register(
     "doc_class_sizes",
     sql="""

@@ -184,12 +184,6 @@ def running_totals(events: DataFrame, key: str, price: str) -> DataFrame:
     return events.groupBy(key).agg(F.count(F.lit(1)).alias("n_purchases"), F.sum(price).alias("revenue"))
 
 
-def running_unique(events: DataFrame, col: str, rsd: float = 0.01) -> DataFrame:
-    """A03 for an unbounded stream: distinct ``col`` values seen so far, approximately
-    (HyperLogLog++, bounded state); exact distinct counts stay per batch (:func:`purchase_metrics`)."""
-    return events.agg(F.approx_count_distinct(col, rsd).alias(f"approx_unique_{col}"))
-
-
 def batch_upsert_sink(out_dir: str):
     """``foreachBatch`` writer for ``update`` mode: changed keys of each batch, by batch id."""
 

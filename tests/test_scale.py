@@ -13,6 +13,8 @@ PKG = Path(__file__).resolve().parents[1] / "tessera"
 
 # The only place that brings anything but scalars to the driver: k model centres.
 ALLOWED = {("operators/models.py", "model.clusterCenters()")}
+#: Results whose size is a parameter: a row for each pair of features; a block of queries.
+BOUNDED = {("operators/moments.py", "rows = table.collect()"), ("operators/neighbours.py", "some = asked.where(")}
 
 
 def test_no_collect_or_topandas_in_library():
@@ -23,7 +25,9 @@ def test_no_collect_or_topandas_in_library():
             continue
         for line in path.read_text().splitlines():
             code = line.split("#")[0]
-            if re.search(r"\.(collect|toPandas|collectAsMap|toLocalIterator)\(", code):
+            if any(rel == a and code.strip().startswith(b) for a, b in BOUNDED):
+                continue
+            if re.search(r"\.(collect|toPandas|toArrow|collectAsMap|toLocalIterator)\(", code):
                 offenders.append((rel, line.strip()))
             if ".rdd." in code and not any(rel == a and b in code for a, b in ALLOWED):
                 offenders.append((rel, line.strip()))
@@ -66,12 +70,12 @@ def test_dealt_scan_keeps_pushdown(spark):
 
     spark.conf.set(SCAN_PARTITIONS, "4")
     try:
-        df = load(spark, SMOKE, "lineitem").where(F.col("l_partkey") == 7).select("l_orderkey")
+        df = load(spark, SMOKE, "documents").where(F.col("lang") == "en").select("doc_id")
     finally:
         spark.conf.unset(SCAN_PARTITIONS)
     plan = _plan(df)
-    assert "EqualTo(l_partkey,7)" in plan and "hashpartitioning" in plan
-    assert "l_extendedprice" not in plan.split("ReadSchema")[1]
+    assert "EqualTo(lang,en)" in plan and "hashpartitioning" in plan
+    assert "n_chars" not in plan.split("ReadSchema")[1]
     assert "Exchange" not in _plan(load(spark, SMOKE, "lineitem").select("l_orderkey"))
 
 

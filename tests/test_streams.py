@@ -100,24 +100,6 @@ def test_purchase_metrics(spark):
     assert [(r["product"], r.n) for r in streams.products_by_popularity(b).collect()] == [("p", 2), ("q", 1)]
 
 
-def test_running_unique_users_stream(spark):
-    base = tempfile.mkdtemp(prefix="tessera-uniq-")
-    src = os.path.join(base, "src")
-    os.makedirs(src)
-    _write(src, "b1.txt", [f"u{i},p,1" for i in range(50)])
-    _write(src, "b2.txt", [f"u{i},p,1" for i in range(25, 80)])
-    events = streams.parse_purchases(streams.line_stream(spark, src, max_files_per_trigger=1))
-    out = os.path.join(base, "out")
-    q = (
-        streams.running_unique(events, "user").writeStream.outputMode("update")
-        .option("checkpointLocation", os.path.join(base, "ck"))
-        .foreachBatch(streams.batch_upsert_sink(out)).trigger(availableNow=True).start()
-    )
-    q.awaitTermination()
-    last = spark.read.parquet(out).orderBy(F.desc("batch_id")).first()
-    assert abs(last.approx_unique_user - 80) <= 2
-
-
 def _bytes_read(spark):
     return sum(x.getBytesRead() for x in spark._jvm.org.apache.hadoop.fs.FileSystem.getAllStatistics() if x.getScheme() == "file")
 

@@ -1,7 +1,7 @@
 """Line deduplication by a deletion-neighbourhood join.
 
 Edits are counted in words: a line is near another if inserting, deleting or replacing one word
-(``max_edits``) makes them equal and it has at least ``min_words`` words, so that at least four of
+makes them equal and it has at least ``min_words`` words, so that at least four of
 five words agree. Shorter lines must be equal in all their words.
 
 1. Every line is hashed once; equal lines meet and the earliest stands for them.
@@ -21,9 +21,10 @@ A line goes if an earlier line (by document id, then place) is equal or within t
 
 Defined results: lines are cut at line feeds; lines without a word always stay; equality and edits
 look at words only, not at the white space between them; a null text stays null, a text that loses
-all its lines becomes empty, and no document is dropped; rows that repeat an id are one document
-to this operator: each keeps the lines at the places that stay; a null id is earlier than any
-other; an empty table gives no rows; other columns pass unchanged.
+all its lines becomes empty, and no document is dropped; rows that repeat an id are documents
+of their own if their texts differ, in the order of a hash of the text, and one document if not (each
+keeps its lines); a null id is earlier than any other; an empty table gives no rows; other columns,
+whatever their names, pass unchanged.
 """
 
 from __future__ import annotations
@@ -123,7 +124,7 @@ def line_keys(docs: DataFrame, min_words: int) -> DataFrame:
                 )
 
     return docs.select("d", F.col("row.text").alias("text")).mapInArrow(
-        emit, "d long, place int, h1 long, h2 long, keys array<long>"
+        emit, "d struct<id:long,t:long>, place int, h1 long, h2 long, keys array<long>"
     )
 
 
@@ -175,7 +176,7 @@ def near_lines(docs: DataFrame, bitmap: np.ndarray, min_words: int) -> DataFrame
                 )
 
     return docs.select("d", F.col("row.text").alias("text")).mapInArrow(
-        emit, "h1 long, h2 long, d long, place int, line binary"
+        emit, "h1 long, h2 long, d struct<id:long,t:long>, place int, line binary"
     )
 
 
@@ -212,7 +213,7 @@ def line_variants(lines: DataFrame, min_words: int, kind: str, bitmap: np.ndarra
                     key, row = key[some], row[some]
                 yield pa.RecordBatch.from_arrays([pa.array(key), batch["at"].take(pa.array(low + row))], ["key", "at"])
 
-    return lines.select("at", "line").mapInArrow(emit, "key long, at struct<d:long,place:int>")
+    return lines.select("at", "line").mapInArrow(emit, "key long, at struct<d:struct<id:long,t:long>,place:int>")
 
 
 def within_edits(a: bytes, b: bytes) -> bool:
@@ -236,7 +237,7 @@ def _verified(pairs: DataFrame) -> DataFrame:
             good = [within_edits(a, b) for a, b in zip(batch["line"].to_pylist(), batch["other"].to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([batch["later"]], ["later"]).filter(pa.array(good, pa.bool_()))
 
-    return pairs.select("later", "line", "other").mapInArrow(check, "later struct<d:long,place:int>").distinct()
+    return pairs.select("later", "line", "other").mapInArrow(check, "later struct<d:struct<id:long,t:long>,place:int>").distinct()
 
 
 def _repeats(source: DataFrame, min_words: int) -> DataFrame:
@@ -267,8 +268,10 @@ def _repeats(source: DataFrame, min_words: int) -> DataFrame:
     return goes.groupBy("d").agg(F.collect_set("place").alias("places"))
 
 
-def _key(name: str):
-    return F.coalesce(F.col(name).cast("long"), F.lit(-(1 << 63)))
+def _key(doc_id: str, text: str):
+    """Documents by id, null ids first, and by a hash of the text: rows that share an id, or have none, are
+    documents of their own if their texts differ."""
+    return F.struct(F.coalesce(F.col(doc_id).cast("long"), F.lit(-(1 << 63))).alias("id"), F.xxhash64(text).alias("t"))
 
 
 def drop_repeated_lines(docs: DataFrame, min_words: int = 5) -> DataFrame:
@@ -276,7 +279,8 @@ def drop_repeated_lines(docs: DataFrame, min_words: int = 5) -> DataFrame:
 
     ``min_words``: lines with fewer words go only if they are equal to an earlier one.
     """
-    source = docs.select(F.struct(*docs.columns).alias("row")).withColumn("d", _key("row.doc_id"))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    source = docs.select(F.struct(*columns).alias("row")).withColumn("d", _key("row.doc_id", "row.text"))
     goes = written(_repeats(source, min_words), "goes")
     # documents that keep all their lines need not be dealt by id; a bitmap, bounded as above, tells
     # most of them

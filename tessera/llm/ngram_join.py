@@ -318,4 +318,4 @@ def one_of_each(docs: DataFrame, **options) -> DataFrame:
     repeat that id stay once. Documents without an id stay."""
     first = near_links(docs, **options).where("doc_id = class_id").select("doc_id").distinct()
     with_id = docs.where("doc_id is not null").join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return with_id.select(*docs.columns).unionByName(docs.where("doc_id is null"))
+    return with_id.select(*[f"`{c}`" for c in docs.columns]).unionByName(docs.where("doc_id is null"))

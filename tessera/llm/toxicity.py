@@ -413,7 +413,7 @@ def _score(model: Model, batches, texts):
 def without_toxic(docs: DataFrame, model: Model, threshold: float = 0.7) -> DataFrame:
     """The documents that score below the threshold, with all their columns."""
     at = docs.columns.index("text")
-    rows = docs.select(F.struct(*docs.columns).alias("row"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
 
     def keep(batches):
         for batch, score in _score(model, batches, lambda batch: batch["row"].field(at)):

@@ -28,7 +28,7 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     if "n_chars" in docs.columns:
         size = F.length("text").cast(docs.schema["n_chars"].dataType)
         out = out.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(size))
-    return out.select(*docs.columns)
+    return out.select(*[f"`{c}`" for c in docs.columns])
 
 
 def one_near_copy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import sys
 import types
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from tessera.session import ensure_checkpoint_dir
@@ -29,15 +32,24 @@ def columns_of(df: DataFrame) -> dict:
     """The columns of a result of bounded size as numpy arrays, by way of Arrow; what the way took is
     given back."""
     import numpy as np
-    import pyarrow as pa
 
     found = df.toArrow()
     out = {name: np.array(found[name].to_numpy()) for name in found.column_names}
     del found
-    pa.default_memory_pool().release_unused()
+    give_back()
     return out
 
 
+def give_back() -> None:
+    """Memory that arrays have left goes back to the machine: Arrow's pool and, where the C library
+    has it, the heap's free pages."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

@@ -209,7 +209,7 @@ def test_leaks_are_found_and_clean_documents_left(spark, documents):
     want |= {(302, 3), (None, 1)}
     docs = documents(rows, extra=True).repartition(3)
     for block in (512, 4):
-        got = {(r["doc_id"], r["item_id"]) for r in decontaminate.leaks(docs, benchmark, items_per_block=block).collect()}
+        got = {(r["doc_id"], r["item_id"]) for r in decontaminate.leaks(docs, benchmark, parts_per_block=block).collect()}
         assert got == want
     kept = decontaminate.without_leaks(docs, benchmark)
     assert kept.columns == docs.columns
@@ -242,11 +242,65 @@ def test_recall_of_short_items_in_a_full_block(spark, documents):
     benchmark = spark.createDataFrame(items, "item_id long, text string")
     rows = [(i, " ".join([*pseudo_words(20, i, 6000), text, *pseudo_words(20, 900 + i, 6000)])) for i, text in items]
     rows += [(1000 + i, " ".join(pseudo_words(100, 5000 + i, 6000))) for i in range(2000)]  # most of what the space is fitted on
-    found = decontaminate.leaks(documents(rows), benchmark, items_per_block=512).collect()
+    found = decontaminate.leaks(documents(rows), benchmark, parts_per_block=512).collect()
     got = {r["doc_id"] for r in found if r["doc_id"] == r["item_id"]}
     assert len(got) >= 0.97 * len(items), len(got)
 
 
+def test_long_items_are_found_by_their_parts(spark, documents):
+    sizes = [15, 64, 65, 100, 200, 400, 800, 1600]
+    items = [(i, " ".join(pseudo_words(n, 31_000 + i, 9000))) for i, n in enumerate(sizes)]
+    benchmark = spark.createDataFrame(items + [(50, " ".join(pseudo_words(40, 77, 9000)))], "item_id long, text string")
+    rows = [(i, " ".join([*pseudo_words(37 + i, i, 9000), text, *pseudo_words(50, 90 + i, 9000)])) for i, text in items]
+    half = [(100 + i, " ".join([*pseudo_words(9, i, 9000), *text.split()[: len(text.split()) // 2]])) for i, text in items[3:]]
+    found = decontaminate.leaks(documents([*rows, *half]), benchmark).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in found} == {(i, i) for i, _ in items}
+    assert all(r["overlap"] == 1.0 for r in found)
+
+
+def _topic(t, kind, n, seed):
+    """``n`` words of a topic's vocabulary: 12 names, each under two spellings."""
+    pick = random.Random(seed)
+    return [f"t{t}n{pick.randrange(12)}{kind if kind else pick.choice('ab')}" for _ in range(n)]
+
+
+def test_the_space_finds_what_the_terms_alone_do_not(spark, documents):
+    """Passages use both spellings of a topic's words together, so they share dimensions: a document in the
+    other spelling is near an item in the space, though the two have hardly a word in common."""
+    items = [(t, " ".join(_topic(t, "a", 24, t))) for t in range(40)] + [(100 + t, " ".join(_topic(t, "b", 24, 500 + t))) for t in range(40)]
+    docs = documents([(d, " ".join(_topic(d % 40, "", 64, 1000 + d))) for d in range(800)])
+    space = decontaminate.latent_space(docs, items, 32, 128)
+    assert space.basis.shape[1] == 40 < len(items)
+    hasher = decontaminate._word_hasher()
+    raw_hits = latent_hits = 0
+    for t in range(40):
+        other = " ".join([*_topic(t, "b", 20, 3000 + t), *items[t][1].split()[:3]]).encode()
+        words = hasher.cut(np.frombuffer(other, np.uint8), np.array([0, len(other)]))
+        here, number = space.terms.find(words.hash)
+        vector = np.bincount(number, minlength=len(space.weight)) * space.weight
+        own = np.zeros(len(space.weight))
+        for c in space.items[t].words:
+            own[np.searchsorted(space.terms.codes, np.uint64(c))] += 1
+        own *= space.weight
+        raw_hits += vector @ own / np.linalg.norm(vector) / np.linalg.norm(own) >= 0.45
+        size = np.array([np.linalg.norm(vector)])
+        _, parts = space.near((vector @ space.basis)[None, :], size, 0.45)
+        latent_hits += t in space.item_of[parts]
+    assert latent_hits >= 38 and raw_hits <= 8, (latent_hits, raw_hits)
+
+
+def test_reworded_items_come_through_the_space_and_are_judged_by_their_words(spark, documents):
+    """Two thirds of an item's words in order, the rest in the other spelling, among other words of the block."""
+    items = [(t, " ".join(_topic(t, "a", 24, t))) for t in range(40)]
+    benchmark = spark.createDataFrame(items + [(100 + t, " ".join(_topic(t, "b", 24, 500 + t))) for t in range(40)], "item_id long, text string")
+    rows = [(d, " ".join(_topic(d % 40, "", 64, 1000 + d))) for d in range(400)]
+    for t, text in items:
+        words = [w[:-1] + "b" if k % 3 == 1 else w for k, w in enumerate(text.split())]
+        rows.append((1000 + t, " ".join([*_topic((t + 7) % 40, "b", 20, 90 + t), *words, *_topic((t + 11) % 40, "a", 20, 190 + t)])))
+    found = {(r["doc_id"], r["item_id"]) for r in decontaminate.leaks(documents(rows), benchmark).collect()}
+    assert len(found & {(1000 + t, t) for t in range(40)}) >= 36
+
+
 def test_empty_tables(spark, documents):
     _, benchmark = _benchmark(spark)
     assert decontaminate.leaks(documents([]), benchmark).count() == 0

@@ -243,10 +243,11 @@ def measured(docs: DataFrame) -> DataFrame:
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", rows: int = FIT_ROWS) -> Gam:
-    """Fits the model on at most ``rows`` labelled documents that are not held out."""
+    """Fits the model on at most ``rows`` labelled documents that are not held out. An id with
+    labels of both kinds counts as 0."""
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("y"))
     known = known.where(F.col("doc_id").isNotNull() & F.col("y").isin(0, 1) & ~is_held_out(F.col("doc_id")))
-    known = known.dropDuplicates(["doc_id"]).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
+    known = known.groupBy("doc_id").agg(F.min("y").alias("y")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     some = source.join(F.broadcast(known.select("doc_id")), "doc_id", "left_semi")  # at most ``rows`` ids
     found = measured(some).join(F.broadcast(known), "doc_id").select("x", "y").limit(rows).toPandas()

@@ -80,6 +80,16 @@ def test_models_without_labels_of_both_classes(spark, documents, module):
     assert module.scored(none, module.train(none, spark.createDataFrame([], LABELS))).count() == 0
 
 
+@pytest.mark.parametrize("module", [gam, toxicity])
+def test_labels_of_both_kinds_do_not_depend_on_their_order(spark, documents, module):
+    rows, labels = _corpus()
+    docs = documents(rows)
+    labels = labels + [(d, 1 - q, 1 - t, m) for d, q, t, m in labels[:40] if q is not None]
+    both = [module.scored(docs, module.train(docs, spark.createDataFrame(x, LABELS).coalesce(1))) for x in (labels, labels[::-1])]
+    one, two = (sorted((r["doc_id"] or -1, round(r["score"], 9)) for r in x.collect()) for x in both)
+    assert one == two
+
+
 def test_without_toxic_keeps_all_columns(spark, documents):
     rows, labels = _corpus()
     docs = documents(rows, extra=True)

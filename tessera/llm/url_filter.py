@@ -1,6 +1,6 @@
 """URL filters by redirect equivalence, with DataFrame operations only.
 
-Rules judge the urls they fit; the longest fitting rule wins. Other urls take the decision of
+Rules judge the urls they fit; the longest fitting rule wins (of equally long ones, one that allows). Other urls take the decision of
 their aliases: urls are nodes of a graph, edges lead from a url to its canonical form, to the
 canonical link that its page declares and to where the page's refresh redirects. Distributed
 connected components group the aliases (all canonical links and refreshes of a page count, in any spelling of
@@ -62,15 +62,19 @@ def canonical(url: Column) -> Column:
 
 
 def own_rule(rules: list[Rule], host: Column, path: Column) -> Column:
-    """The longest rule that fits, as a struct (size, rule, verdict); null if none does."""
+    """The longest rule that fits, as a struct (size, allows, rule, verdict); null if none does. Of
+    rules of one length, those that allow come first, then the greatest host and path."""
     fitting = [
         F.when(
             ((host == r.host) | host.endswith("." + r.host)) & path.startswith(r.path),
-            F.struct(F.lit(len(r.host + r.path)).alias("size"), F.lit(r.host + r.path).alias("rule"), F.lit(r.verdict).alias("verdict")),
-        )
+            F.struct(
+                F.lit(len(r.host + r.path)).alias("size"), F.lit(r.verdict == "allow").alias("allows"),
+                F.lit(r.host + r.path).alias("rule"), F.lit(r.verdict).alias("verdict"),
+            ),
+        )
         for r in rules
     ]
-    return F.array_max(F.array(*fitting)) if fitting else F.lit(None).cast("struct<size:int,rule:string,verdict:string>")
+    return F.array_max(F.array(*fitting)) if fitting else F.lit(None).cast("struct<size:int,allows:boolean,rule:string,verdict:string>")
 
 
 def attribute(tag: Column, name: str) -> Column:

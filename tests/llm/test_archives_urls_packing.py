@@ -151,6 +151,15 @@ def test_urls_are_judged_by_rules_then_by_aliases(spark):
     assert url_filter.judge(pages.limit(0), RULES).count() == 0
 
 
+def test_of_equally_long_rules_one_that_allows_wins(spark):
+    pages = spark.createDataFrame([(1, "http://a.com/b/1", None), (2, "http://x.a.com/c/1", None)], "page_id long, url string, html string")
+    rules = [url_filter.Rule(v, h, p) for v, h, p in (
+        ("allow", "a.com", "/b"), ("block", "a.com", "/b"), ("allow", "a.com", "/c/"), ("block", "x.a.com", "/"))]
+    for some in (rules, rules[::-1]):
+        got = {r["page_id"]: (r["rule"], r["verdict"]) for r in url_filter.judge(pages, some).collect()}
+        assert got == {1: ("a.com/b", "allow"), 2: ("a.com/c/", "allow")}
+
+
 def test_url_filter_plan_has_no_python(spark):
     pages = spark.createDataFrame([(1, "http://a.com/de/9", None)], "page_id long, url string, html string")
     plan = url_filter.judge(pages, RULES)._jdf.queryExecution().toString()

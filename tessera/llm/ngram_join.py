@@ -314,8 +314,19 @@ def _compare(cells: DataFrame, need: np.ndarray, step: int, threshold: float) ->
 
 
 def one_of_each(docs: DataFrame, **options) -> DataFrame:
-    """The documents that are the least id of their class, with all their columns; rows that
-    repeat that id stay once. Documents without an id stay."""
-    first = near_links(docs, **options).where("doc_id = class_id").select("doc_id").distinct()
-    with_id = docs.where("doc_id is not null").join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return with_id.select(*[f"`{c}`" for c in docs.columns]).unionByName(docs.where("doc_id is null"))
+    """One row of each class, with all its columns: that of the least id (null ids last), then of the
+    least hash of the text. Classes are formed of rows, whatever ids they share or lack; rows without
+    a word stay."""
+    held = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    # rows get numbers of their own, written once so that they hold for all that follows
+    held = written(held.withColumn("number", F.monotonically_increasing_id()), "rows")
+    classes = near_links(held.select(F.col("number").alias("doc_id"), F.col("row.text").alias("text")), **options)
+    rank = held.select(
+        F.col("number").alias("doc_id"),
+        F.struct(
+            F.col("row.doc_id").isNull().alias("unknown"), F.col("row.doc_id").cast("long").alias("id"),
+            F.xxhash64("row.text").alias("text"), "number",
+        ).alias("rank"),
+    )
+    first = classes.join(rank, "doc_id").groupBy("class_id").agg(F.min("rank").alias("rank"))
+    return held.join(first.select("rank.number"), "number", "left_semi").select("row.*")

@@ -185,14 +185,25 @@ def test_near_links_equal_brute_force(spark, documents):
 
 def test_one_document_of_each_class_stays(spark, documents):
     rows = _near_rows()
-    want = _links_by_force(rows)
+    want = _links_by_force(rows)  # the null id's text is a copy of 93's
     docs = documents(rows + [rows[0]], extra=True)
     got = ngram_join.one_of_each(docs)
-    assert got.columns == docs.columns
-    assert Counter(r["doc_id"] for r in got.collect()) == Counter([d for d, (c, _) in want.items() if c == d] + [None])
+    assert got.columns == docs.columns and got.schema == docs.schema
+    assert Counter(r["doc_id"] for r in got.collect()) == Counter(d for d, (c, _) in want.items() if c == d)
     assert ngram_join.near_links(documents([])).count() == 0
 
 
+def test_classes_are_of_rows_and_not_of_ids(spark, documents):
+    texts = [" ".join(pseudo_words(60, s)) for s in range(5)]
+    near = texts[3].replace(texts[3].split()[0], "other", 1)
+    rows = [(1, texts[0]), (1, texts[1]), (2, texts[2]), (None, texts[3]), (None, near), (None, texts[4]), (9, texts[4])]
+    rows += [(5, None), (5, ""), (None, None), (1, texts[1])]
+    got = Counter((r["doc_id"], r["text"]) for r in ngram_join.one_of_each(documents(rows, extra=True).repartition(3)).collect())
+    either = [(None, t) for t in (texts[3], near) if got[None, t]]
+    assert len(either) == 1
+    assert got == Counter([(1, texts[0]), (1, texts[1]), (2, texts[2]), (9, texts[4]), (5, None), (5, ""), (None, None), *either])
+
+
 def test_bayes_bounds():
     need = ngram_join.needed_matches(0.8, 160, 1e-6)
     assert need[0] == 0 and (need[1:] >= need[:-1]).all()

@@ -10,7 +10,7 @@
 4. A cell returns, for each text, its number of links and the least text it hangs together with in
    that cell; a second run of components over these stars gives the classes.
 
-No pair leaves a cell, so rows stay linear in the input also for large groups of near copies.
+No pair leaves a cell. A text is copied once per block of its component.
 
 A pair at the threshold misses all ``bands`` with probability (1 - threshold^rows)^bands: 3e-6 at
 0.8 with 32 bands of 5; the tolerance adds at most as much per comparison step.

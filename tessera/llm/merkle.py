@@ -22,10 +22,11 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.stage import kept_by_worker
+from tessera.llm.stage import kept_by_worker, written
 from tessera.llm.words import WordHasher, chunks, mix64, seeds
 
 _TREE = re.compile(r"([0-9a-f]{8})\(([^)]*)\)")
@@ -168,66 +169,90 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     return docs.withColumn("fingerprint", of(F.coalesce("text", F.lit(""))))
 
 
-def edited_likeness(docs: DataFrame, buckets_each: int = 4) -> DataFrame:
+_EDITED = (
+    "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
+    "near_edited double, near_next double"
+)
+
+
+def _pairs(pairs: list[tuple], maker: Fingerprinter) -> pa.RecordBatch:
+    """Rows of ``_EDITED`` for ``((id, text, fingerprint), (next text, its fingerprint))``."""
+    edited = [(t[: len(t) - len(t) // 3] + after[: len(t) // 3]).encode() for (_, t, _), (after, _) in pairs]
+    out = [
+        (d, len(t), hashlib.sha256(e).hexdigest(), own, f, likeness(own, f), likeness(own, then))
+        for ((d, t, own), (_, then)), e, f in zip(pairs, edited, maker.of(edited), strict=True)
+    ]
+    columns = list(zip(*out, strict=True)) if out else [()] * 7
+    types = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
+    names = [x.split()[0] for x in _EDITED.split(", ")]
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
+
+
+def edited_likeness(docs: DataFrame) -> DataFrame:
     """For every document its fingerprint, that of an edited text, and how like they are.
 
     The edited text's last ``n_chars // 3`` code points are the first as many (or all) of the next
     document; documents follow each other by descending id (then text), null ids last, and after
-    the last comes the first. One pass over ranges of ids: a range's last document needs the first
-    one of the next range, which is added to the range, so texts are shuffled once.
+    the last comes the first. Texts are shuffled once, into Spark's own ranges of (id, text), so
+    null ids and rows that share an id spread over ranges by their texts. Within a range each row
+    meets the next one; a range's first and last rows are written with the result and joined
+    afterwards, one pair per range, by the ranges' numbers (all that the driver sees).
     """
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    parts = buckets_each * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    shares = [i / parts for i in range(1, parts)]
-    cuts = rows.agg(F.percentile_approx("doc_id", F.array(*map(F.lit, shares)), 100 * parts).alias("c")).first()["c"]
-    bounds = np.array(sorted(set(cuts or [])), np.int64)
-
-    @F.pandas_udf("int")
-    def bucket_of(ids):
-        import pandas as pd
+    order = [F.col("doc_id").desc_nulls_last(), F.col("text").desc()]
+    dealt = rows.repartitionByRange(*order).sortWithinPartitions(*order)
 
-        known = ids.notna().to_numpy()
-        out = np.full(len(ids), -1, np.int32)
-        out[known] = np.searchsorted(bounds, ids[known].to_numpy(np.int64), "right")
-        return pd.Series(out)
-
-    rows = rows.withColumn("bucket", bucket_of("doc_id"))
-    tops = rows.groupBy("bucket").agg(F.max("doc_id").alias("top")).orderBy(F.desc("bucket")).collect()  # one per range
-    follows = {tops[i]["bucket"]: tops[i - 1]["bucket"] for i in range(len(tops))}
-    named = [t["top"] for t in tops if t["top"] is not None]
-    first = rows.where(F.col("doc_id").isin(named) | F.col("doc_id").isNull()) if named else rows
-    first = first.groupBy("bucket", "doc_id").agg(F.max("text").alias("text"))
-    turn = F.create_map(*[F.lit(x) for kv in (follows or {0: 0}).items() for x in kv])
-    heads = first.select("doc_id", "text", turn[F.col("bucket")].alias("bucket"), F.lit(1).alias("head"))
-    every = rows.select("doc_id", "text", "bucket", F.lit(0).alias("head")).unionByName(heads)
-    order = ["bucket", "head", F.col("doc_id").desc_nulls_last(), F.col("text").desc()]
-    dealt = every.repartition("bucket").sortWithinPartitions(*order)
-    names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
-    kinds = (
-        "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
-        "near_edited double, near_next double"
+    def walk(batches):
+        maker = Fingerprinter()
+        part = TaskContext.get().partitionId()
+        last = None  # its next one is not read yet
+
+        def marked(found, kind, text):
+            n = found.num_rows
+            columns = [*found.columns, pa.array([part] * n, pa.int32()), pa.array([kind] * n, pa.int8())]
+            names = [*found.schema.names, "part", "kind", "text"]
+            return pa.RecordBatch.from_arrays([*columns, pa.array([text] * n, pa.string())], names)
+
+        def edge(row, kind):
+            d, text, own = row
+            values = [d, len(text), None, own, None, None, None]
+            found = [pa.array([v], f.type) for v, f in zip(values, empty.schema, strict=True)]
+            return marked(pa.RecordBatch.from_arrays(found, empty.schema.names), kind, text)
+
+        empty = _pairs([], maker)
+        for batch in batches:
+            ids, texts = batch["doc_id"].to_pylist(), batch["text"].to_pylist()
+            here = list(zip(ids, texts, maker.of([t.encode() for t in texts]), strict=True))
+            if not here:
+                continue
+            if last is None:
+                yield edge(here[0], 1)
+            here = here if last is None else [last, *here]
+            yield marked(_pairs([(x, y[1:]) for x, y in zip(here, here[1:], strict=False)], maker), 0, None)
+            last = here[-1]
+        if last is not None:
+            yield edge(last, 2)
+
+    # both fingerprints in one column: the edited one mostly repeats the other, and is packed so
+    both = F.concat_ws("|", "fingerprint", "edited_fingerprint")
+    found = dealt.mapInArrow(walk, f"{_EDITED}, part int, kind byte, text string").withColumn("fingerprint", both)
+    found = written(found.drop("edited_fingerprint"), "likeness")
+    parts = sorted(r["part"] for r in found.where("kind = 1").select("part").collect())  # one per range
+    turn = spark.createDataFrame(list(zip(parts, parts[1:] + parts[:1], strict=True)), "part int, turn int")
+    firsts = found.where("kind = 1").select(
+        F.col("part").alias("turn"), F.col("text").alias("next_text"), F.col("fingerprint").alias("next_fingerprint")
     )
+    lasts = found.where("kind = 2").select("part", "doc_id", "text", "fingerprint").join(turn, "part").join(firsts, "turn")
 
-    def walk(batches):
+    def meet(batches):
         maker = Fingerprinter()
-        carried: list[tuple] = []  # the last row, its next one not read yet
         for batch in batches:
-            rows_ = list(zip(*(batch[c].to_pylist() for c in ("bucket", "head", "doc_id", "text")), strict=True))
-            prints = maker.of([r[3].encode() for r in rows_])
-            rows_ = carried + [(*r, f) for r, f in zip(rows_, prints, strict=True)]
-            here = [(a, b) for a, b in zip(rows_, rows_[1:], strict=False) if not a[1] and a[0] == b[0]]
-            carried = rows_[-1:]
-            edited = []
-            for a, b in here:
-                text, n = a[3], len(a[3])
-                edited.append((text[: n - n // 3] + b[3][: n // 3]).encode())
-            out = [
-                (a[2], len(a[3]), hashlib.sha256(e).hexdigest(), a[4], f, likeness(a[4], f), likeness(a[4], b[4]))
-                for (a, b), e, f in zip(here, edited, maker.of(edited), strict=True)
-            ]
-            columns = list(zip(*out, strict=True)) if out else [()] * 7
-            types = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
-
-    return dealt.mapInArrow(walk, kinds)
+            own = zip(*(batch[c].to_pylist() for c in ("doc_id", "text", "fingerprint")), strict=True)
+            after = zip(*(batch[c].to_pylist() for c in ("next_text", "next_fingerprint")), strict=True)
+            yield _pairs(list(zip(own, after, strict=True)), maker)
+
+    inner = found.where("kind = 0").withColumns(
+        {"fingerprint": F.split("fingerprint", r"\|")[0], "edited_fingerprint": F.split("fingerprint", r"\|")[1]}
+    ).select(*(x.split()[0] for x in _EDITED.split(", ")))
+    return inner.unionByName(lasts.mapInArrow(meet, _EDITED))

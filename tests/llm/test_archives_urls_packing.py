@@ -188,6 +188,24 @@ def test_edited_fingerprints_equal_brute_force(spark, documents):
     assert merkle.edited_likeness(documents({5: "abc"})).first()["near_next"] == 1.0
 
 
+def test_edited_fingerprints_of_shared_and_null_ids(spark, documents):
+    """Rows without an id, and rows that share one, follow each other by text and spread over ranges."""
+    rows = [(None, " ".join(pseudo_words(40, i))) for i in range(120)] + [(7, " ".join(pseudo_words(40, 500 + i))) for i in range(120)]
+    rows += [(7, rows[130][1]), (9, "x y z")]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = merkle.edited_likeness(documents(rows).repartition(4)).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    order = sorted(((d if d is not None else -1, t) for d, t in rows), reverse=True)
+    want = []
+    for k, (d, text) in enumerate(order):
+        after = order[(k + 1) % len(order)][1]
+        edited = text[: len(text) - len(text) // 3] + after[: len(text) // 3]
+        want.append((d, hashlib.sha256(edited.encode()).hexdigest()))
+    assert sorted((r["doc_id"] if r["doc_id"] is not None else -1, r["edited_sha256"]) for r in got) == sorted(want)
+
+
 def test_fingerprints_do_not_depend_on_neighbours_and_locate_edits(spark, documents):
     text = "\n".join(" ".join(pseudo_words(25, s)) for s in range(30))
     changed = text.split("\n")

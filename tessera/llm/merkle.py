@@ -193,15 +193,18 @@ def edited_likeness(docs: DataFrame) -> DataFrame:
 
     The edited text's last ``n_chars // 3`` code points are the first as many (or all) of the next
     document; documents follow each other by descending id (then text), null ids last, and after
-    the last comes the first. Texts are shuffled once, into Spark's own ranges of (id, text), so
-    null ids and rows that share an id spread over ranges by their texts. Within a range each row
+    the last comes the first. Texts are shuffled once, into Spark's own ranges of (id, opening of
+    the text), so null ids and rows that share an id spread over ranges by their texts; only rows
+    alike in both share one, sorted on disk and read once. Within a range each row
     meets the next one; a range's first and last rows are written with the result and joined
     afterwards, one pair per range, by the ranges' numbers (all that the driver sees).
     """
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     order = [F.col("doc_id").desc_nulls_last(), F.col("text").desc()]
-    dealt = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    # ranges are found from a sample that the driver sorts, so their key is short; it orders as the text does
+    opening = F.substring("text", 1, 32).desc()
+    dealt = rows.repartitionByRange(order[0], opening).sortWithinPartitions(*order)
 
     def walk(batches):
         maker = Fingerprinter()

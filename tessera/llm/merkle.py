@@ -23,7 +23,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.stage import kept_by_worker, written
@@ -197,9 +197,8 @@ def edited_likeness(docs: DataFrame) -> DataFrame:
     the text), so null ids and rows that share an id spread over ranges by their texts; only rows
     alike in both share one, sorted on disk and read once. Within a range each row
     meets the next one; a range's first and last rows are written with the result and joined
-    afterwards, one pair per range, by the ranges' numbers (all that the driver sees).
+    afterwards, one pair per range, by the ranges' numbers; nothing comes to the driver.
     """
-    spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     order = [F.col("doc_id").desc_nulls_last(), F.col("text").desc()]
     # ranges are found from a sample that the driver sorts, so their key is short; it orders as the text does
@@ -241,8 +240,11 @@ def edited_likeness(docs: DataFrame) -> DataFrame:
     both = F.concat_ws("|", "fingerprint", "edited_fingerprint")
     found = dealt.mapInArrow(walk, f"{_EDITED}, part int, kind byte, text string").withColumn("fingerprint", both)
     found = written(found.drop("edited_fingerprint"), "likeness")
-    parts = sorted(r["part"] for r in found.where("kind = 1").select("part").collect())  # one per range
-    turn = spark.createDataFrame(list(zip(parts, parts[1:] + parts[:1], strict=True)), "part int, turn int")
+    in_turn = Window.orderBy("part")  # one number per range
+    turn = found.where("kind = 1").select(
+        "part",
+        F.coalesce(F.lead("part").over(in_turn), F.first("part").over(in_turn)).alias("turn"),
+    )
     firsts = found.where("kind = 1").select(
         F.col("part").alias("turn"), F.col("text").alias("next_text"), F.col("fingerprint").alias("next_fingerprint")
     )

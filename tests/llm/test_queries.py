@@ -30,8 +30,7 @@ BOUNDED = {
     ],
     "gam.py": ["found = measured(some)"],  # at most FIT_ROWS rows
     "line_dedup.py": ["found = columns_of(words)"],  # 2**BITS / 64 rows
-    "merkle.py": ["tops = rows.groupBy"],  # one row per range of ids
-    "packing.py": ["table = counts.toPandas"],  # window x buckets rows
+    "packing.py": ["table = counts.toPandas"],  # window x buckets + whole_buckets rows
     "stage.py": ["found = df.toArrow", "gc.collect()"],  # of callers named here; Python's own
     "suffix_dedup.py": ["ends = ends.where"],  # four rows per range
     "toxicity.py": ["found = columns_of(best", "found = columns_of(_evidence_of("],  # 2**bits entries; CURVE_ROWS rows

@@ -227,28 +227,33 @@ def plan(histogram: np.ndarray, window: int = 1024) -> Plan:
     return Plan(*rows.T)
 
 
-def pack(docs: DataFrame, tokenizer_path: str, window: int = 1024, end_id: int = 0, buckets: int = 256) -> DataFrame:
+def pack(
+    docs: DataFrame, tokenizer_path: str, window: int = 1024, end_id: int = 0, buckets: int = 256, whole_buckets: int = 16384
+) -> DataFrame:
     """Packs every document of ``docs`` (``doc_id``, ``text``); one row per piece:
     ``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset``.
 
-    ``buckets``: parts into which the pieces of one length are split to be numbered.
+    ``buckets``: parts into which the pieces of one length are split to be numbered;
+    ``whole_buckets``: those of whole windows, about half of all pieces.
     """
     cut = written(pieces_of(docs, tokenizer_path, window, end_id), "pieces")
-    cut = cut.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(buckets)).cast("int"))
+    most = max(buckets, whole_buckets)
+    split = F.when(F.col("length") == window, whole_buckets).otherwise(buckets)
+    cut = cut.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), split).cast("int"))
     counts = cut.groupBy("length", "bucket").agg(F.count(F.lit(1)).alias("n"))
-    table = counts.toPandas().sort_values(["length", "bucket"])  # at most window x buckets rows
+    table = counts.toPandas().sort_values(["length", "bucket"])  # at most window x buckets + whole_buckets rows
     histogram = np.zeros(window + 1, np.int64)
     np.add.at(histogram, table["length"].to_numpy(np.int64), table["n"].to_numpy(np.int64))
     runs = plan(histogram, window)
     before = table.groupby("length")["n"].cumsum().to_numpy(np.int64) - table["n"].to_numpy(np.int64)
-    key = table["length"].to_numpy(np.int64) * buckets + table["bucket"].to_numpy(np.int64)
+    key = table["length"].to_numpy(np.int64) * most + table["bucket"].to_numpy(np.int64)
 
     @F.pandas_udf("struct<sequence_id:long,offset:long>")
     def place(length, bucket, number):
         import pandas as pd
 
         size = length.to_numpy(np.int64)
-        k = number.to_numpy(np.int64) - 1 + before[np.searchsorted(key, size * buckets + bucket.to_numpy(np.int64))]
+        k = number.to_numpy(np.int64) - 1 + before[np.searchsorted(key, size * most + bucket.to_numpy(np.int64))]
         span = np.int64(1) << 42
         at = np.searchsorted(runs.length * span + runs.low, size * span + k, "right") - 1
         inner = k - runs.low[at]

@@ -12,9 +12,13 @@ least page id is a ``response``, the others are ``revisit`` records without payl
 it. Hot payloads: the least id is combined before the shuffle, and the join back is one that Spark
 splits.
 
+Every record has a ``WARC-Record-ID`` of its own: a uuid made from the writer's run and, for a
+response that revisits refer to, its page id and digest, else the task and the place in it. The
+``WARC-Date`` is the time of writing, as pages carry no time of capture.
+
 Defined results: null html is an empty payload; a null url leaves out the target; control
 characters in a url are percent-encoded; rows that repeat a page id with an equal payload are all
-responses if that id is the least; a null page id is larger than any other (its record has no page
+responses if that id is the least (those that others refer to then share a record id); a null page id is larger than any other (its record has no page
 number, and if no copy has an id all of them are responses); no pages: no files and no rows.
 """
 
@@ -23,8 +27,12 @@ from __future__ import annotations
 import hashlib
 import re
 import struct
+import uuid
+from datetime import datetime, timezone
+from functools import partial
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,7 +56,7 @@ def payloads(pages: DataFrame) -> DataFrame:
 
 
 def with_record_types(pages: DataFrame, revisit_bytes: int = 100) -> DataFrame:
-    """``payloads`` with ``record_type`` and ``refers_to``."""
+    """``payloads`` with ``record_type``, ``refers_to`` and ``referred_to`` (whether revisits refer to the row)."""
     rows = payloads(pages)
     first = (
         rows.where(F.col("payload_bytes") >= revisit_bytes)
@@ -58,10 +66,11 @@ def with_record_types(pages: DataFrame, revisit_bytes: int = 100) -> DataFrame:
         .select("payload_digest", "least")
     )
     again = F.col("least").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("least"))
+    named = F.col("least").isNotNull() & F.col("page_id").eqNullSafe(F.col("least"))
     return rows.join(first, "payload_digest", "left").select(
         "page_id", "url", "payload", "payload_bytes", "payload_digest",
         F.when(again, "revisit").otherwise("response").alias("record_type"),
-        F.when(again, F.col("least")).alias("refers_to"),
+        F.when(again, F.col("least")).alias("refers_to"), named.alias("referred_to"),
     )
 
 
@@ -84,13 +93,17 @@ def train_dictionary(records: DataFrame, size: int = 64 << 10, rows: int = 400,
         return b""
 
 
-def _urn(page_id) -> str:
-    return f"<urn:page:{page_id}>"
+def _urn(run: uuid.UUID, *key) -> str:
+    return f"<{uuid.uuid5(run, ':'.join(map(str, key))).urn}>"
 
 
-def _record(page_id, url, payload: bytes, size: int, digest: str, kind: str, refers_to) -> bytes:
-    head = ["WARC/1.1", f"WARC-Type: {kind}"]
-    head.append(f"WARC-Record-ID: {_urn(page_id) if page_id is not None else '<urn:page>'}")
+def _record(
+    run, date: str, place, page_id, url, payload: bytes, size: int, digest: str, kind: str, refers_to, named
+) -> bytes:
+    head = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Date: {date}"]
+    head.append(f"WARC-Record-ID: {_urn(run, 'page', page_id, digest) if named else _urn(run, 'place', *place)}")
+    if page_id is not None:
+        head.append(f"Page-ID: {page_id}")
     if url is not None:
         target = re.sub(r"[\x00-\x20\x7f]", lambda m: f"%{ord(m[0]):02X}", url)
         head.append(f"WARC-Target-URI: {target}")
@@ -99,7 +112,8 @@ def _record(page_id, url, payload: bytes, size: int, digest: str, kind: str, ref
     block = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
     if kind == "revisit":
         head.append("WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")
-        head.append(f"WARC-Refers-To: {_urn(refers_to)}")
+        head.append(f"WARC-Refers-To: {_urn(run, 'page', refers_to, digest)}")
+        head.append(f"Page-Refers-To: {refers_to}")
     else:
         block += payload
     head.append("Content-Type: application/http; msgtype=response")
@@ -109,6 +123,7 @@ def _record(page_id, url, payload: bytes, size: int, digest: str, kind: str, ref
 
 def write_archives(records: DataFrame, path: str, dictionary: bytes, level: int = 3) -> None:
     """Writes ``with_record_types`` rows as archive files below ``path``, one per task."""
+    run, date = uuid.uuid4(), datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
 
     def frames(batches):
         import zstandard
@@ -124,6 +139,7 @@ def write_archives(records: DataFrame, path: str, dictionary: bytes, level: int
                     return code
             raise ValueError("a compressed record holds the separator")
 
+        task, row = TaskContext.get().partitionId(), 0
         started = False
         for batch in batches:
             out = []
@@ -135,17 +151,20 @@ def write_archives(records: DataFrame, path: str, dictionary: bytes, level: int
                     out.append(SKIP_DICTIONARY + struct.pack("<I", len(dictionary)) + dictionary)
                 info = b"software: tessera\r\nformat: WARC File Format 1.1\r\n"
                 out.append(frame(
-                    b"WARC/1.1\r\nWARC-Type: warcinfo\r\nWARC-Record-ID: <urn:warcinfo>\r\n"
-                    b"Content-Type: application/warc-fields\r\nContent-Length: %d\r\n\r\n%b\r\n\r\n" % (len(info), info)
+                    b"WARC/1.1\r\nWARC-Type: warcinfo\r\nWARC-Date: %b\r\nWARC-Record-ID: %b\r\n"
+                    b"Content-Type: application/warc-fields\r\nContent-Length: %d\r\n\r\n%b\r\n\r\n"
+                    % (date.encode(), _urn(run, "info", task).encode(), len(info), info)
                 ))
             columns = [batch[c].to_pylist() for c in
-                       ("page_id", "url", "payload", "payload_bytes", "payload_digest", "record_type", "refers_to")]
-            out.extend(frame(_record(*row)) for row in zip(*columns, strict=True))
+                       ("page_id", "url", "payload", "payload_bytes", "payload_digest", "record_type", "refers_to", "referred_to")]
+            for row, values in enumerate(zip(*columns, strict=True), row):
+                out.append(frame(_record(run, date, (task, row), *values)))
+            row += batch.num_rows > 0
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["value"])
 
     rows = records.select(
         "page_id", "url", F.when(F.col("record_type") == "response", F.col("payload")).alias("payload"), "payload_bytes",
-        "payload_digest", "record_type", "refers_to",
+        "payload_digest", "record_type", "refers_to", "referred_to",
     )
     lines = rows.mapInArrow(frames, "value binary").select(F.col("value").cast("string"))
     lines.write.option("lineSep", SEPARATOR.decode("latin-1")).text(path)
@@ -154,39 +173,41 @@ def write_archives(records: DataFrame, path: str, dictionary: bytes, level: int
 def read_archives(spark: SparkSession, path: str, max_dictionaries: int = 64) -> DataFrame:
     """One row per response or revisit record below ``path``, as ``READ_SCHEMA``.
 
-    A response's payload is checked against its digest and length. The files' dictionaries are
-    read first: the distinct ones, of which a folder may have ``max_dictionaries`` (one writer
-    run makes one); beyond that the read fails and parts of the folder are to be read.
+    A response's payload is checked against its digest and length. The files' distinct dictionaries
+    (one writer run makes one) are read first, ``max_dictionaries`` at a time: beyond that number the
+    frames are read once per block of dictionaries, each frame unpacked with its own.
     """
     lines = spark.read.option("lineSep", SEPARATOR.decode("latin-1")).text(path)
     frames = lines.select(F.col("value").cast("binary").alias("frame"))
     is_dictionary = F.substring("frame", 1, 4) == F.lit(SKIP_DICTIONARY)
-    found = frames.where(is_dictionary).distinct().limit(max_dictionaries + 1).collect()
-    if len(found) > max_dictionaries:
-        raise ValueError(f"more than {max_dictionaries} dictionaries below {path}")
-    dictionaries = [bytes(r["frame"])[8:] for r in found]
+    found = frames.where(is_dictionary).distinct().collect()  # one per writer run, 64 KiB each
+    dictionaries = sorted(bytes(r["frame"])[8:] for r in found)
+    identity = [struct.unpack_from("<I", code, 4)[0] for code in dictionaries]  # after the magic number
     schema = pa.schema(
         [("page_id", pa.int64()), ("url", pa.string()), ("record_type", pa.string()), ("payload_bytes", pa.int64()),
          ("payload_digest", pa.string()), ("refers_to", pa.int64()), ("payload", pa.binary())]
     )
 
-    def number(urn: str | None):
-        found = re.fullmatch(r"<urn:page:(-?\d+)>", urn or "")
-        return int(found[1]) if found else None
+    def number(text: str | None):
+        return None if text is None else int(text)
 
-    def records(batches):
+    def records(batches, block, elsewhere):
         import zstandard
 
         known = {}
-        for code in dictionaries:
+        for code in block:
             embedded = zstandard.ZstdCompressionDict(code)
             known[embedded.dict_id()] = zstandard.ZstdDecompressor(dict_data=embedded)
-        known[0] = zstandard.ZstdDecompressor()
+        if 0 not in elsewhere:
+            known[0] = zstandard.ZstdDecompressor()
         for batch in batches:
             rows = []
             for frame in batch["frame"]:
                 code = frame.as_py()
-                text = known[zstandard.get_frame_parameters(code).dict_id].decompress(code)
+                packed_with = zstandard.get_frame_parameters(code).dict_id
+                if packed_with in elsewhere:
+                    continue
+                text = known[packed_with].decompress(code)
                 head, _, rest = text.partition(b"\r\n\r\n")
                 fields = dict(x.split(": ", 1) for x in head.decode().split("\r\n")[1:])
                 kind = fields["WARC-Type"]
@@ -198,11 +219,18 @@ def read_archives(spark: SparkSession, path: str, max_dictionaries: int = 64) ->
                     payload = rest[: int(fields["Content-Length"])].partition(b"\r\n\r\n")[2]
                     if len(payload) != size or hashlib.sha256(payload).hexdigest() != digest:
                         raise ValueError(f"damaged record {fields['WARC-Record-ID']}")
-                rows.append((number(fields["WARC-Record-ID"]), fields.get("WARC-Target-URI"), kind, size, digest,
-                             number(fields.get("WARC-Refers-To")), payload))
+                rows.append((number(fields.get("Page-ID")), fields.get("WARC-Target-URI"), kind, size, digest,
+                             number(fields.get("Page-Refers-To")), payload))
             columns = list(zip(*rows, strict=True)) if rows else [()] * 7
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema
             )
 
-    return frames.where(~is_dictionary & (F.octet_length("frame") > 0)).mapInArrow(records, READ_SCHEMA)
+    packed = frames.where(~is_dictionary & (F.octet_length("frame") > 0))
+    out = None
+    for low in range(0, max(len(dictionaries), 1), max_dictionaries):
+        high = low + max_dictionaries
+        elsewhere = {*identity[:low], *identity[high:]} | ({0} if low else set())  # frames without one: first block
+        some = packed.mapInArrow(partial(records, block=dictionaries[low:high], elsewhere=elsewhere), READ_SCHEMA)
+        out = some if out is None else out.unionByName(some)
+    return out

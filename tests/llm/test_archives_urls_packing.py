@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import json
+import re
 import zlib
 
 import numpy as np
@@ -102,6 +103,48 @@ def test_archive_files_are_zstandard_with_the_dictionary_first(spark):
     assert found == len(rows)
 
 
+def test_record_ids_dates_and_references(spark):
+    import glob
+
+    import zstandard
+
+    pages, rows = _pages(spark)
+    records = warc.with_record_types(pages.repartition(4))
+    path = shared_folder(spark, "warc-test")
+    dictionary = warc.train_dictionary(records)
+    warc.write_archives(records, path, dictionary)
+    heads = []
+    for name in glob.glob(path.removeprefix("file:") + "/part-*"):
+        unpack = zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(dictionary))
+        for frame in open(name, "rb").read().split(warc.SEPARATOR):
+            if frame and frame[:4] != warc.SKIP_DICTIONARY:
+                head = unpack.decompress(frame).partition(b"\r\n\r\n")[0].decode()
+                heads.append(dict(x.split(": ", 1) for x in head.split("\r\n")[1:]))
+    assert all(re.fullmatch(r"\d{4}-\d\d-\d\dT\d\d:\d\d:\d\dZ", h["WARC-Date"]) for h in heads)
+    assert all(re.fullmatch(r"<urn:uuid:[0-9a-f-]{36}>", h["WARC-Record-ID"]) for h in heads)
+    pages_of = [h for h in heads if h["WARC-Type"] != "warcinfo"]
+    assert len(pages_of) == len(rows) and len({h["WARC-Record-ID"] for h in heads}) == len(heads)
+    by_id = {h["WARC-Record-ID"]: h for h in pages_of}
+    revisits = [h for h in pages_of if h["WARC-Type"] == "revisit"]
+    assert len(revisits) > 30
+    for h in revisits:
+        named = by_id[h["WARC-Refers-To"]]
+        assert named["WARC-Type"] == "response" and named["Page-ID"] == h["Page-Refers-To"]
+        assert named["WARC-Payload-Digest"] == h["WARC-Payload-Digest"]
+
+
+def test_archives_of_more_dictionaries_than_a_block(spark):
+    base, want = shared_folder(spark, "warc-test"), []
+    for run in range(5):
+        rows = [(run * 100 + i, f"u{i}", " ".join(pseudo_words(60 + run, run * 100 + i)), "x") for i in range(60)]
+        records = warc.with_record_types(spark.createDataFrame(rows, PAGES).repartition(2))
+        warc.write_archives(records, f"{base}/{run}", warc.train_dictionary(records) if run else b"")
+        want += [(r[0], r[2].encode()) for r in rows]
+    for block in (1, 2, 64):
+        got = warc.read_archives(spark, f"{base}/*", block).collect()
+        assert sorted((r["page_id"], bytes(r["payload"])) for r in got) == sorted(want)
+
+
 def test_archives_without_dictionary_or_pages(spark):
     few = spark.createDataFrame([(1, "u", "a", "x")], PAGES)
     records = warc.with_record_types(few)

@@ -15,7 +15,6 @@ empty table gives no rows; other columns are left out.
 
 from __future__ import annotations
 
-import re
 import zlib
 from typing import NamedTuple
 
@@ -26,25 +25,15 @@ from pyspark.sql import functions as F
 
 from tessera.llm.stage import kept_by_worker, written
 
-#: A space before white space, or white space beyond ASCII: such a text is tokenized whole.
-_UNSAFE = " [ \t\n\r\x0b\x0c\x1c-\x1f]|[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
-
 
 class Encoder:
-    """Token ids of texts as the ``tokenizers`` library gives them, without special tokens added.
-
-    Byte-level BPE never merges across the space before a word, so a text is cut there and a word
-    met before is looked up; ``kept`` bounds the words remembered.
-    """
+    """Token ids of texts as the ``tokenizers`` library gives them, without special tokens added."""
 
-    def __init__(self, path: str, kept: int = 400_000):
+    def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.unsafe = re.compile(_UNSAFE)
-        self.kept = kept
-        self.words: dict[str, bytes] = {}
         self.fast = self._ranks()
 
     def _ranks(self):
@@ -71,30 +60,15 @@ class Encoder:
         pattern = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
         return tiktoken.Encoding("merges", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
-    def whole(self, text: str) -> bytes:
-        if self.fast is not None and not any(s in text for s in self.special):
-            ids = self.fast.encode_ordinary(text)
-        else:
-            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        return np.array(ids, "<u4").tobytes()
-
     def encode(self, text: str) -> bytes:
-        """Ids as little-endian unsigned 32-bit numbers."""
+        """Ids as little-endian unsigned 32-bit numbers. A text goes through its tokenizer in one call."""
         if not text:
             return b""
-        if self.fast is None or self.unsafe.search(text) or any(s in text for s in self.special):
-            return self.whole(text)
-        head, *parts = text.split(" ")
-        out = [self.whole(head) if head else b""]
-        words = self.words
-        if len(words) > self.kept:
-            words.clear()
-        for part in parts:
-            code = words.get(part)
-            if code is None:
-                code = words[part] = self.whole(" " + part)
-            out.append(code)
-        return b"".join(out)
+        if self.fast is not None and not any(s in text for s in self.special):
+            ids = self.fast.encode_to_numpy(text, disallowed_special=())
+        else:
+            ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids)
+        return ids.astype("<u4", copy=False).tobytes()
 
 
 def pieces_of(docs: DataFrame, tokenizer_path: str, window: int = 1024, end_id: int = 0) -> DataFrame:

@@ -329,3 +329,18 @@ def test_vocabularies_agree(tokenizer_path):
     )
     assert packing.Encoder(tokenizer_path).fast._mergeable_ranks == ranks
     assert json.load(open(tokenizer_path))["model"]["type"] == "BPE"
+
+
+def test_a_text_is_tokenized_in_one_call(tokenizer_path):
+    encoder = packing.Encoder(tokenizer_path)
+    calls = []
+
+    class Counted:
+        def __getattr__(self, name):
+            calls.append(name)
+            return getattr(fast, name)
+
+    fast, encoder.fast = encoder.fast, Counted()
+    text = " ".join(pseudo_words(500, 3, 100_000))
+    want = Tokenizer.from_file(tokenizer_path).encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(encoder.encode(text), "<u4").tolist() == want and len(calls) == 1

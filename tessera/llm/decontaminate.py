@@ -3,13 +3,14 @@
 An item of more words than a passage is cut into overlapping parts as passages are. The benchmark is
 taken in blocks of about ``parts_per_block`` parts; for each block:
 
-1. The words of its items are the terms; in how many documents each occurs is counted over all
-   documents. Passages are runs of ``2 * half`` words, each starting ``half`` words after the last.
-2. A randomised SVD of TF-IDF passages gives the latent space: the parts, and the passages of a
-   bounded sample of documents (``FIT_DOCUMENTS``, those with the least hashes of their ids), as
-   rows of a distributed matrix; tasks multiply their rows, the driver sees sums of bounded size.
-   The parts carry half of the matrix's weight. The rank is half the number of parts, and ``rank`` at
-   most, so that words which go together share dimensions.
+1. The words of its items are the terms. One pass over all documents counts in how many each term occurs
+   and how often any two stand in one passage (runs of ``2 * half`` words, one after another): whole
+   numbers, so the sums do not depend on how the documents lie.
+2. A randomised SVD of TF-IDF passages gives the latent space: the parts, and the passages of all
+   documents. What it needs of the latter are the products of their columns, the sums of step 1 times
+   both terms' weights. (A block of more than ``MOST_TERMS`` terms, from an item that long, has the passages
+   written as rows, and tasks multiply them instead.) The parts carry half of the matrix's weight. The rank is
+   half the number of parts, and ``rank`` at most, so that words which go together share dimensions.
 3. Every passage of every document is projected into that space and compared with every part by the
    cosine there. Pairs from ``cosine`` on are candidates. All of this happens where the document is
    read: nothing is shuffled.
@@ -33,7 +34,10 @@ from pyspark.sql import functions as F
 
 from tessera.llm.words import WordHasher, chunks, pieces, seeds
 
-FIT_DOCUMENTS = 2000
+#: Up to so many terms of a block, how often two stand together is held as a table: 268 MB in a task then.
+MOST_TERMS = 8192
+#: Rows of that table that leave a task together, and in how many groups the tasks' strips are added first.
+STRIP, LANES = 4, 8
 #: Bytes that separate words: all ASCII but letters and digits.
 BETWEEN = bytes(b for b in range(128) if not chr(b).isalnum())
 
@@ -129,32 +133,104 @@ def item_words(texts: list, hasher: WordHasher | None = None) -> list[np.ndarray
     return out
 
 
-def document_counts(docs: DataFrame, terms: Terms) -> tuple[np.ndarray, int]:
-    """In how many documents each term occurs, and how many documents there are."""
+def document_counts(docs: DataFrame, terms: Terms, half: int) -> tuple[np.ndarray, int, np.ndarray | None]:
+    """In how many documents each term occurs, how many documents there are, and how often any two terms stand
+    together in a passage (the lesser number first, each as often as it occurs there; None beyond ``MOST_TERMS``).
+
+    That table does not grow with the documents. It leaves the tasks in strips of rows, and Spark adds
+    each strip up over the tasks.
+    """
+    size = len(terms.codes)
+    paired = size <= MOST_TERMS
+    most = (1 << 31) // (2 * half) ** 2  # passages whose products a number of 32 bits can add up
 
     def count(batches):
+        from pyspark import TaskContext
+
         hasher = _word_hasher()
-        total, n = np.zeros(len(terms.codes), np.int64), 0
+        lane = TaskContext.get().partitionId() % LANES
+        total, n, passages = np.zeros(size, np.int64), 0, 0
+        together = np.zeros((size, size) if paired else (0, 0), np.int32)
         for batch in batches:
             data, at = pieces(batch["text"])
             n += len(at) - 1
             for low, high in chunks(at):
                 words = hasher.cut(data, at[low : high + 1])
                 here, number = terms.find(words.hash)
-                pairs = np.unique(words.texts()[here] * len(terms.codes) + number)
-                total += np.bincount(pairs % len(terms.codes), minlength=len(terms.codes))
-        have = np.flatnonzero(total)
-        number = np.append(have, -1).astype(np.int32)
-        yield pa.RecordBatch.from_arrays([pa.array(number), pa.array(np.append(total[have], n))], ["term", "n"])
-
-    found = docs.select("text").mapInArrow(count, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).toPandas()
-    out, every = np.zeros(len(terms.codes), np.int64), 0
-    for term, n in zip(found["term"], found["n"], strict=True):
-        if term < 0:
-            every = int(n)
+                text = words.texts()[here]
+                pairs = np.unique(text * size + number)
+                total += np.bincount(pairs % size, minlength=size)
+                if not paired or not len(here):
+                    continue
+                before = np.concatenate([[0], np.cumsum(np.diff(words.first) // (2 * half) + 1)])
+                passage = before[text] + (here - words.first[text]) // (2 * half)
+                for k in range(0, int(before[-1]), most):
+                    some = slice(*np.searchsorted(passage, [k, k + most]))
+                    met = min(most, int(before[-1]) - k)
+                    if passages + met > most:
+                        yield from _strips(together, lane)
+                        together[:], passages = 0, 0
+                    passages += met
+                    _add_pairs(together, passage[some], number[some])
+        yield from _strips(together, lane)
+        yield _strip_rows([(-1, np.append(total, n))], lane)
+
+    found = docs.select("text").mapInArrow(count, _STRIP).transform(_added_up).toPandas()
+    out, every, table = np.zeros(size, np.int64), 0, np.zeros((size, size), np.float32) if paired else None
+    for first, part in zip(found["strip"].tolist(), found["part"], strict=True):
+        if first < 0:
+            numbers = np.frombuffer(part, np.int64)
+            out, every = numbers[:-1].copy(), int(numbers[-1])
         else:
-            out[term] = n
-    return out, every
+            table[first : first + STRIP, first:] = np.frombuffer(part, np.float32).reshape(-1, size - first)
+    return out, every, table
+
+
+def _add_pairs(together: np.ndarray, passage: np.ndarray, number: np.ndarray) -> None:
+    """Adds to ``together`` how often the terms ``number`` of each passage stand with each other, and alone."""
+    size = len(together)
+    pair, times = np.unique(passage * size + number, return_counts=True)
+    passage, number, times = pair // size, pair % size, times.astype(np.int32)
+    table = together.reshape(-1)
+    np.add.at(table, number * (size + 1), times * times)
+    for apart in range(1, len(pair)):
+        a = np.flatnonzero(passage[apart:] == passage[:-apart])
+        if not len(a):
+            break
+        np.add.at(table, number[a] * size + number[a + apart], times[a] * times[a + apart])
+
+
+_STRIP = "strip int, lane int, part binary"
+
+
+def _strip_rows(rows: list[tuple], lane: int) -> pa.RecordBatch:
+    columns = [pa.array([r[0] for r in rows], pa.int32()), pa.array([lane] * len(rows), pa.int32()), pa.array([r[1].tobytes() for r in rows], pa.binary())]
+    return pa.RecordBatch.from_arrays(columns, ["strip", "lane", "part"])
+
+
+def _strips(together: np.ndarray, lane: int):
+    """The table's strips that are not empty, some at a time."""
+    for low in range(0, len(together), 64 * STRIP):
+        rows = [(r, together[r : r + STRIP, r:]) for r in range(low, min(low + 64 * STRIP, len(together)), STRIP)]
+        yield _strip_rows([r for r in rows if r[1].any()], lane)
+
+
+def _added_up(strips: DataFrame) -> DataFrame:
+    """One row for each strip: first those of the tasks of a lane are added, then those of the lanes."""
+
+    def add(take, give):
+        def run(rows: pa.Table) -> pa.Table:
+            strip = rows["strip"][0].as_py()
+            kind, out = (np.int64, np.int64) if strip < 0 else (take, give)
+            total: np.ndarray = np.int64(0)
+            for part in rows["part"]:
+                total = total + np.frombuffer(part.as_buffer(), kind)
+            return pa.Table.from_batches([_strip_rows([(strip, total.astype(out))], 0)])
+
+        return run
+
+    lanes = strips.groupBy("strip", "lane").applyInArrow(add(np.int32, np.int64), _STRIP)
+    return lanes.groupBy("strip").applyInArrow(add(np.int64, np.float32), _STRIP)
 
 
 def _products(rows: DataFrame, q: np.ndarray, size: int) -> np.ndarray:
@@ -172,18 +248,15 @@ def _products(rows: DataFrame, q: np.ndarray, size: int) -> np.ndarray:
     return sum(np.frombuffer(bytes(p["part"]), np.float32).reshape(size, -1) for p in parts).astype(np.float64)
 
 
-def _fit_rows(docs: DataFrame, terms: Terms, weight: np.ndarray, half: int, documents: int, partitions: int = 2) -> DataFrame:
-    """Unit TF-IDF rows ``(terms, values)`` of the passages of at most ``documents`` documents."""
-    chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id is not null")
-    chosen = chosen.distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(documents)
-    some = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id", "left_semi")
+def _fit_rows(docs: DataFrame, terms: Terms, weight: np.ndarray, half: int, partitions: int = 16) -> DataFrame:
+    """TF-IDF rows ``(terms, values)`` of the passages of all documents."""
 
     def rows(batches):
         hasher = _word_hasher()
         for batch in batches:
             data, at = pieces(batch["text"])
-            names, values = [], []
             for low, high in chunks(at):
+                names, values = [], []
                 words = hasher.cut(data, at[low : high + 1])
                 here, number = terms.find(words.hash)
                 text = words.texts()[here]
@@ -192,16 +265,13 @@ def _fit_rows(docs: DataFrame, terms: Terms, weight: np.ndarray, half: int, docu
                 for group in np.split(number, cut):
                     if len(group):
                         term, times = np.unique(group, return_counts=True)
-                        value = times * weight[term]
-                        norm = np.linalg.norm(value)
-                        if norm > 0:
-                            names.append(term.tolist())
-                            values.append((value / norm).tolist())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(names, pa.list_(pa.int32())), pa.array(values, pa.list_(pa.float32()))], ["terms", "values"]
-            )
+                        names.append(term.tolist())
+                        values.append((times * weight[term]).tolist())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(names, pa.list_(pa.int32())), pa.array(values, pa.list_(pa.float32()))], ["terms", "values"]
+                )
 
-    return some.mapInArrow(rows, "terms array<int>, values array<float>").repartition(partitions)
+    return docs.select("text").mapInArrow(rows, "terms array<int>, values array<float>").repartition(partitions)
 
 
 class _Rows(NamedTuple):
@@ -246,8 +316,8 @@ def _part_rows(parts: list[np.ndarray], terms: Terms, weight: np.ndarray) -> _Ro
     return _Rows(np.concatenate(rows), np.concatenate(names), np.concatenate(values), len(parts))
 
 
-def latent_space(docs: DataFrame, items: list[tuple], half: int, rank: int, documents: int = FIT_DOCUMENTS) -> Space:
-    """Fits the space of one block of items."""
+def latent_space(docs: DataFrame, items: list[tuple], half: int, rank: int) -> Space:
+    """Fits the space of one block of items on its parts and on all documents."""
     from tessera.llm.stage import give_back, written
 
     coded = item_words([t for _, t in items])
@@ -256,23 +326,31 @@ def latent_space(docs: DataFrame, items: list[tuple], half: int, rank: int, docu
     item_of = np.repeat(np.arange(len(kept)), [len(p) for p in cut])
     parts = [p for ps in cut for p in ps]
     terms = Terms(np.concatenate([c for _, c in kept]))
-    counts, n = document_counts(docs, terms)
+    counts, n, together = document_counts(docs, terms, half)
     weight = np.log((n + 1) / (counts + 1)) + 1e-3
     own = _part_rows(parts, terms, weight)
-    rows = written(_fit_rows(docs, terms, weight, half, documents), "passages")
-    share = np.sqrt(max(rows.count(), 1) / len(parts))  # the parts weigh as much as the sample
     size = len(terms.codes)
+    if together is not None:
+        together *= (weight[:, None] * weight).astype(np.float32)
+        alone = together.diagonal().copy()
+        mass = float(alone.sum())
+        passages = lambda q: (together @ q + together.T @ q - alone[:, None] * q).astype(np.float64)
+    else:
+        rows = written(_fit_rows(docs, terms, weight, half), "passages")
+        mass = rows.agg(F.sum(F.expr("aggregate(values, 0D, (s, x) -> s + x * x)"))).first()[0] or 0.0
+        passages = lambda q: _products(rows, q, size)
+    share = (mass or 1.0) / len(parts)  # the parts, of length 1 each, weigh as much as all passages
     rank = max(1, min(rank, len(parts) // 2))
     width = min(rank + 10, size)
     q = np.random.default_rng(7).standard_normal((size, width))
     for _ in range(3):
-        q, _ = np.linalg.qr(_products(rows, q.astype(np.float32), size) + share**2 * own.gram(q))
-    small = q.T @ (_products(rows, q.astype(np.float32), size) + share**2 * own.gram(q))
+        q, _ = np.linalg.qr(passages(q.astype(np.float32)) + share * own.gram(q))
+    small = q.T @ (passages(q.astype(np.float32)) + share * own.gram(q))
     value, vector = np.linalg.eigh((small + small.T) / 2)
     basis = (q @ vector[:, np.argsort(-value)[:rank]]).astype(np.float32)
     flat = own.times(basis)
     flat /= np.maximum(np.linalg.norm(flat, axis=1, keepdims=True), 1e-12)
-    del q
+    del q, passages, together
     give_back()
     known = [Item(i, tuple(c.tolist()), *np.unique(np.searchsorted(terms.codes, c), return_counts=True)) for i, c in kept]
     return Space(terms, weight.astype(np.float32), basis, flat.astype(np.float32), item_of, known)
@@ -405,19 +483,23 @@ def leaks(
     spark = docs.sparkSession
     out = spark.createDataFrame([], "doc_id long, item_id long, overlap double")
     block: list[tuple] = []
-    parts = 0
+    parts, terms, hasher = 0, np.zeros(0, np.uint64), _word_hasher()
 
     def settle():
-        nonlocal out, block, parts
+        nonlocal out, block, parts, terms
         if parts:
             space = latent_space(docs, block, half, rank)
             out = out.unionByName(search(docs, space, half, cosine, verbatim, paraphrase))
-        block, parts = [], 0
+        block, parts, terms = [], 0, terms[:0]
 
     items = benchmark.select(F.col("item_id").cast("long"), "text").orderBy("item_id")
     for row in items.toLocalIterator():  # a block of items at a time
+        words = item_words([row["text"]], hasher)[0]
+        if len(np.union1d(terms, words)) > MOST_TERMS:
+            settle()
+        terms = np.union1d(terms, words)
         block.append((row["item_id"], row["text"]))
-        parts += len(item_parts(item_words([row["text"]])[0], half))
+        parts += len(item_parts(words, half))
         if parts >= parts_per_block:
             settle()
     settle()

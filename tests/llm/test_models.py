@@ -328,3 +328,32 @@ def test_lcs_equals_the_table():
             for j in range(len(b)):
                 t[i + 1][j + 1] = t[i][j] + 1 if a[i] == b[j] else max(t[i][j + 1], t[i + 1][j])
         assert decontaminate.lcs(a, decontaminate.places(a), b) == t[-1][-1]
+
+
+def test_the_space_is_fitted_on_every_document(spark, documents, monkeypatch):
+    items, _ = _benchmark(spark)
+    terms = decontaminate.Terms(np.concatenate(decontaminate.item_words([t for _, t in items])))
+    size, half = len(terms.codes), 4
+    rows = [(d, " ".join(pseudo_words(5 + d % 40, 7000 + d, 3000))) for d in range(2300)] + [(None, items[0][1]), (7, None)]
+    counts, every, together = np.zeros(size, np.int64), 0, np.zeros((size, size), np.int64)
+    for code in decontaminate.item_words([t for _, t in rows]):
+        every += 1
+        counts[np.isin(terms.codes, code)] += 1
+        for k in range(0, len(code), 2 * half):
+            at, number = terms.find(code[k : k + 2 * half])
+            times = np.bincount(number, minlength=size)
+            together += np.outer(times, times)
+    docs = documents(rows).repartition(5)
+    got = decontaminate.document_counts(docs, terms, half)
+    assert got[1] == every and (got[0] == counts).all() and (got[2] == np.triu(together)).all()
+    # a block with too many terms for the table: the same products from the passages as rows
+    weight = np.ones(size)
+    q = np.random.default_rng(1).normal(size=(size, 3)).astype(np.float32)
+    by_rows = decontaminate._products(decontaminate._fit_rows(docs, terms, weight, half), q, size)
+    assert by_rows == pytest.approx(together @ q.astype(float), rel=1e-3, abs=1e-2)
+    table = decontaminate.latent_space(docs, items, half, 16)
+    monkeypatch.setattr(decontaminate, "MOST_TERMS", 1)
+    assert decontaminate.document_counts(docs, terms, half)[2] is None
+    listed = decontaminate.latent_space(docs, items, half, 16)
+    inside = np.linalg.svd(table.basis.T @ listed.basis)[1]
+    assert inside.min() > 0.98

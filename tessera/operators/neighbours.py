@@ -52,7 +52,8 @@ def nearest_exact(vectors: DataFrame, queries: DataFrame, key: str, vec: str, k:
     stands once. A vector of length 0 has cosine 0 with all.
 
     The queries go to all tasks a block of ``block`` at a time; every task keeps the best ``k`` of its rows
-    for each, so per block and task ``k`` rows a query are shuffled.
+    for each, so per block and task ``k`` rows a query are shuffled. A task holds the cosines of ``ASKED``
+    queries with ``HELD`` rows at a time, whatever the block and the batch.
     """
     spark = vectors.sparkSession
     rows = vectors.select(F.col(key).cast("long").alias("key"), F.col(vec).cast("array<double>").alias("vec")).where("vec is not null")
@@ -70,26 +71,32 @@ def nearest_exact(vectors: DataFrame, queries: DataFrame, key: str, vec: str, k:
     return ranked.select(F.col("key").alias(key), "rank", "neighbour", "similarity")
 
 
+#: Queries and rows that a task compares by one matrix product.
+ASKED, HELD = 256, 2048
+
+
 def _against(held, k):
     def search(batches):
         ids, q = held.value
-        top_s, top_k = np.full((len(ids), 0), 0.0), np.zeros((len(ids), 0), np.int64)
+        blocks = [(ids[low : low + ASKED], q[low : low + ASKED]) for low in range(0, len(ids), ASKED)]
+        best = [(np.zeros((len(own), 0)), np.zeros((len(own), 0), np.int64)) for own, _ in blocks]
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            keys = batch["key"].to_numpy()
-            sims = q @ _unit(batch, "vec").T
-            sims[ids[:, None] == keys[None, :]] = -np.inf
-            sims = np.concatenate([top_s, sims], axis=1)
-            every = np.concatenate([top_k, np.broadcast_to(keys, (len(ids), len(keys)))], axis=1)
-            at = _best(sims, every, k)
-            top_s, top_k = np.take_along_axis(sims, at, 1), np.take_along_axis(every, at, 1)
-        if top_s.size:
-            row = np.repeat(ids, top_s.shape[1])
+            for some in (batch.slice(low, HELD) for low in range(0, batch.num_rows, HELD)):
+                keys, v = some["key"].to_numpy(), _unit(some, "vec")
+                for b, (own, asked) in enumerate(blocks):
+                    sims = asked @ v.T
+                    sims[own[:, None] == keys[None, :]] = -np.inf
+                    sims = np.concatenate([best[b][0], sims], axis=1)
+                    every = np.concatenate([best[b][1], np.broadcast_to(keys, (len(own), len(keys)))], axis=1)
+                    at = _best(sims, every, k)
+                    best[b] = np.take_along_axis(sims, at, 1), np.take_along_axis(every, at, 1)
+        for (own, _), (top_s, top_k) in zip(blocks, best, strict=True):
+            row = np.repeat(own, top_s.shape[1])
             real = np.isfinite(top_s.ravel())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(row[real]), pa.array(top_k.ravel()[real]), pa.array(top_s.ravel()[real])], ["key", "neighbour", "similarity"]
-            )
+            if real.any():
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(row[real]), pa.array(top_k.ravel()[real]), pa.array(top_s.ravel()[real])], ["key", "neighbour", "similarity"]
+                )
 
     return search
 

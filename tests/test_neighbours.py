@@ -89,3 +89,28 @@ def test_odd_vectors(spark):
     assert neighbours.nearest_exact(empty, empty, "id", "vec", 2).count() == 0
     one = df.where(F.col("id") == 1)
     assert neighbours.nearest_by_index(one, "id", "vec", 2).count() == 0
+
+
+def test_a_task_holds_few_cosines_at_a_time():
+    import tracemalloc
+    from types import SimpleNamespace
+
+    import pyarrow as pa
+
+    rng = np.random.default_rng(3)
+    v = rng.normal(size=(9000, 4))
+    batch = pa.RecordBatch.from_arrays([pa.array(np.arange(9000)), pa.array(list(v), pa.list_(pa.float64()))], ["key", "vec"])
+    unit = v / np.linalg.norm(v, axis=1, keepdims=True)
+    held = SimpleNamespace(value=(np.arange(1000), unit[:1000]))
+    tracemalloc.start()
+    out = list(neighbours._against(held, 3)([batch]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60e6  # all cosines at once are 72 MB, and several copies were made
+    got = {}
+    for b in out:
+        for key, near in zip(b["key"].to_pylist(), b["neighbour"].to_pylist(), strict=True):
+            got.setdefault(key, []).append(near)
+    sims = unit[:1000] @ unit.T
+    sims[np.arange(1000), np.arange(1000)] = -np.inf
+    assert all(set(got[i]) == set(np.argsort(-sims[i])[:3]) for i in range(1000))

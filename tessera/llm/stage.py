@@ -6,26 +6,11 @@ import ctypes
 import gc
 import sys
 import types
-import uuid
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.session import ensure_checkpoint_dir
-
-
-def shared_folder(spark: SparkSession, what: str) -> str:
-    """A new path below the session's checkpoint folder."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{what}-{uuid.uuid4().hex}"
-
-
-def written(df: DataFrame, what: str) -> DataFrame:
-    """``df`` as a Parquet table in the shared folder: later steps reread it, so a lost executor
-    costs a task of the last step only, and nothing upstream runs twice."""
-    spark = df.sparkSession
-    path = shared_folder(spark, what)
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+from tessera.session import shared_folder, written  # noqa: F401 - used by the operators
 
 
 def columns_of(df: DataFrame) -> dict:

@@ -21,6 +21,7 @@ from tessera.functions import dates
 from tessera.functions.strings import tokens
 from tessera.operators import clusters, models, profile, splits, text
 from tessera.plans.registry import r6, register
+from tessera.session import written
 from tessera.sources.tables import load
 
 # ---- recommendation -----------------------------------------------------------------------
@@ -68,7 +69,7 @@ def rating_distribution(spark, sf_dir):
 )
 def ratings_per_user(spark, sf_dir):
     """Ratings per user (no group kept), then their min, max, exact median, mean."""
-    per_user = ratings(spark, sf_dir).groupBy("user").agg(F.count(F.lit(1)).alias("n"))
+    per_user = written(ratings(spark, sf_dir).groupBy("user").agg(F.count(F.lit(1)).alias("n")), "users")  # read by every step below
     median_n = profile.median(per_user, "n", "median_n").select(r6("median_n")).scalar()
     stats = per_user.agg(
         F.count(F.lit(1)).alias("n_users"), F.min("n").alias("min_n"), F.max("n").alias("max_n"), r6(F.avg("n")).alias("mean_n")
@@ -89,14 +90,16 @@ def als_factors(spark, sf_dir):
 
 def _als(spark, sf_dir):
     """Factor means of densely numbered users and items, and the two numberings."""
-    rated = ratings(spark, sf_dir)
+    held, users, items = numbered_ratings(spark, sf_dir)
+    return models.factor_means(models.als(held, "u", "i", "rating")), users, items
+
+
+def numbered_ratings(spark, sf_dir):
+    """The ratings by dense numbers ``(u, i, rating)`` and the numberings ``(user, u)``, ``(item, i)``. The ratings
+    are written, and so are they with their numbers: what reads them does not join the tables again."""
+    rated = written(ratings(spark, sf_dir), "ratings")
     users, items = models.dense_ids(rated, "user", "u"), models.dense_ids(rated, "item", "i")
-    held = rated.join(users, "user").join(items, "item").select("u", "i", "rating").persist()  # P14
-    try:
-        model = models.als(held, "u", "i", "rating")
-    finally:
-        held.unpersist()
-    return models.factor_means(model), users, items
+    return written(rated.join(users, "user").join(items, "item").select("u", "i", "rating"), "numbered"), users, items
 
 
 @register(

@@ -66,3 +66,11 @@ def test_naive_bayes_gets_non_negative_features(spark):
     out = model_plans.naive_bayes(spark, SMOKE).collect()
     assert {r.metric for r in out} == {"accuracy", "weightedRecall"}
     assert all(0.0 <= r.value <= 1.0 for r in out)
+
+
+def test_ratings_are_made_once(spark):
+    from __spark_entry__ import queries
+
+    for name in ("ratings_per_user", "als_solves", "als_factors"):
+        plan = queries()[name](spark, SMOKE)._jdf.queryExecution().toString()
+        assert "l_orderkey" not in plan  # what follows reads the written ratings

@@ -18,12 +18,13 @@ from pyspark.sql import functions as F
 def half_step(ratings: DataFrame, key: str, other: str, rating: str, factors: DataFrame, rank: int, reg: float) -> DataFrame:
     """``(key, features)``: the factors of every ``key`` that solve its regularised normal equations given the
     ``factors`` (``id``, ``features``) of the other side: a half-step of ALS, and the way to give factors to
-    users or items that came after the fit. The sums of outer products are one aggregate per key.
+    users or items that came after the fit. The sums of outer products are one aggregate per key, made where
+    the key's rows lie: a row (``rank`` numbers) is shuffled, not sums (``rank`` squared) of a few rows.
     """
-    v = [F.col("_v")[i] for i in range(rank)]
+    v = [F.col("_v")[i].cast("double") for i in range(rank)]
     joined = ratings.select(key, F.col(other).alias("id"), F.col(rating).cast("double").alias("_r")).join(
-        factors.select("id", F.col("features").cast("array<double>").alias("_v")), "id"
-    )
+        factors.select("id", F.col("features").alias("_v")), "id"
+    ).repartition(key)
     pairs = [(i, j) for i in range(rank) for j in range(i, rank)]
     sums = joined.groupBy(key).agg(
         F.array(*[F.sum(v[i] * v[j]) for i, j in pairs]).alias("outer"),
@@ -49,10 +50,10 @@ def half_step(ratings: DataFrame, key: str, other: str, rating: str, factors: Da
 def residuals(ratings: DataFrame, key: str, other: str, rating: str, own: DataFrame, factors: DataFrame, rank: int, reg: float) -> DataFrame:
     """``(key, residual)``: how far each key's factors (``own``: ``id``, ``features``) are from solving its normal
     equations: the greatest entry of ``sum (v.u - r) v + reg n u``, over that of ``sum |r v|``."""
-    arr = lambda c: F.col(c).cast("array<double>")
+    arr = lambda c: F.col(c).cast("array<double>").alias(c)
     rows = ratings.select(key, F.col(other).alias("_other"), F.col(rating).cast("double").alias("_r"))
-    rows = rows.join(factors.select(F.col("id").alias("_other"), arr("features").alias("_v")), "_other")
-    rows = rows.join(own.select(F.col("id").alias(key), arr("features").alias("_u")), key)
+    rows = rows.join(factors.select(F.col("id").alias("_other"), F.col("features").alias("_v")), "_other")
+    rows = rows.join(own.select(F.col("id").alias(key), F.col("features").alias("_u")), key).select(key, "_r", arr("_v"), arr("_u"))
     dot = sum((F.col("_v")[i] * F.col("_u")[i] for i in range(rank)), F.lit(0.0))
     rows = rows.select(key, "_v", "_u", "_r", (dot - F.col("_r")).alias("_e"))
     sums = rows.groupBy(key).agg(

@@ -39,14 +39,8 @@ def als_solves(spark, sf_dir):
     """After ALS's last half-step every user's factors solve the user's normal equations given the item
     factors; a further half-step for the items solves theirs given the users'; and a half-step for the
     users gives the fit's own factors again. Counted are keys that miss by more than a thousandth."""
-    rated = plans.ratings(spark, sf_dir)
-    users, items = models.dense_ids(rated, "user", "u"), models.dense_ids(rated, "item", "i")
-    held = rated.join(users, "user").join(items, "item").select("u", "i", "rating").persist()  # P14
-    try:
-        model = models.als(held, "u", "i", "rating", rank=_RANK, reg=_REG)
-    finally:
-        held.unpersist()
-    table = held.select("u", "i", "rating")
+    table = plans.numbered_ratings(spark, sf_dir)[0]
+    model = models.als(table, "u", "i", "rating", rank=_RANK, reg=_REG)
     uf, vf = model.userFactors, model.itemFactors
     item_step = certificates.half_step(table, "i", "u", "rating", uf, _RANK, _REG).withColumnRenamed("i", "id")
     user_step = certificates.half_step(table, "u", "i", "rating", vf, _RANK, _REG)

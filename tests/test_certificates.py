@@ -91,3 +91,10 @@ def test_cuts_by_force(spark):
     assert not got
     best = c.best_cut(c.cut_gains(df, ["x", "z"], "y")).first()
     assert best.feature == "x"
+
+
+def test_half_step_shuffles_rows_not_sums(spark):
+    table, _, frame, _ = _ratings(spark)
+    plan = c.half_step(table, "u", "i", "rating", frame, 3, 0.1)._jdf.queryExecution().executedPlan().toString()
+    above = plan.split("Exchange hashpartitioning(u#")[0]
+    assert above.count("HashAggregate") + above.count("ObjectHashAggregate") >= 2  # partial and final, after the shuffle

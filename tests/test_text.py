@@ -120,3 +120,22 @@ def test_context_counts_by_force(spark):
                     want[a, b] = want.get((a, b), 0) + 1
     got = text.context_counts(spark.createDataFrame(rows, "doc_id long, words array<string>"), "words", 2)
     assert {(r.a, r.b): r.n for r in got.collect()} == want
+
+
+def test_stems_in_tasks_equal_the_columns_s(spark):
+    from tessera.functions.porter import STEP2_RULES, STEP3_RULES, STEP4_SUFFIXES, stem_of, with_stem
+
+    bases = ["", "t", "fe", "hop", "fall", "sky", "yell", "rel", "conflat", "siz", "tann", "controll", "trou", "y", "oat", "ss", "adopt", "cr", "été", "a1"]
+    ends = [s for s, _ in (*STEP2_RULES, *STEP3_RULES)] + [*STEP4_SUFFIXES, "s", "sses", "ies", "eed", "ed", "ing", "y", "e", "ll", "ings", "edly", "", "#", "A"]
+    words = sorted({a + b + e for a in bases for b in ends for e in ("", "s", "ed", "ing", "ly")})
+    df = spark.createDataFrame([(w,) for w in words], "w0 string")
+    want = {r.w0: r.stem for r in with_stem(df, "w0").collect()}
+    assert {w: stem_of(w) for w in words} == want
+
+
+def test_a_pair_is_shuffled_once(spark):
+    rows = [(1, ["b", "a", None, "b", "b"])]
+    df = spark.createDataFrame(rows, "doc_id long, words array<string>")
+    got = {(r.a, r.b): r.n for r in text.context_counts(df, "words", 1).collect()}
+    assert got == {("a", "b"): 1, ("b", "a"): 1, ("a", None): 1, (None, "a"): 1, (None, "b"): 1, ("b", None): 1, ("b", "b"): 2}
+    assert text.context_counts(df, "words", 1)._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1

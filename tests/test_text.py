@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tessera.operators import text
+from tessera.operators import skipgram, text
 
 
 def _docs(spark):
@@ -139,3 +139,36 @@ def test_a_pair_is_shuffled_once(spark):
     got = {(r.a, r.b): r.n for r in text.context_counts(df, "words", 1).collect()}
     assert got == {("a", "b"): 1, ("b", "a"): 1, ("a", None): 1, (None, "a"): 1, (None, "b"): 1, ("b", None): 1, ("b", "b"): 2}
     assert text.context_counts(df, "words", 1)._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+
+
+def _topics(spark, rows=400):
+    import random
+
+    pick = random.Random(3)
+    docs = [(d, [f"t{d % 2}n{pick.randrange(20)}" for _ in range(60)]) for d in range(rows)]
+    return spark.createDataFrame([*docs, (rows, None), (rows + 1, []), (rows + 2, ["alone"]), (rows + 3, [None, "t0n0"])], "d long, words array<string>")
+
+
+def test_skip_gram_beyond_the_driver(spark, monkeypatch):
+    import numpy as np
+
+    def never(*args, **kwargs):
+        raise AssertionError("the vocabulary is held by the driver")
+
+    docs = _topics(spark)
+    small = text.vectors_of_words(docs.where("d < 400"), "words", driver_words=1000)
+    assert small.count() == 40  # by Spark's estimator
+    monkeypatch.setattr(text, "word2vec", never)
+    got = {r.word: r.vector.toArray() for r in text.vectors_of_words(docs, "words", driver_words=10).collect()}
+    assert set(got) == {f"t{t}n{n}" for t in (0, 1) for n in range(20)} | {"alone"}
+    assert all(len(v) == 10 and np.isfinite(v).all() for v in got.values())
+    unit = {w: v / np.linalg.norm(v) for w, v in got.items()}
+    near = lambda a, b: np.mean([unit[f"t{a}n{i}"] @ unit[f"t{b}n{j}"] for i in range(20) for j in range(20) if (a, i) != (b, j)])
+    assert min(near(0, 0), near(1, 1)) > near(0, 1) + 0.3
+    many = _topics(spark, 2000)  # three shards
+    shards = {r.word: r.vector.toArray() for r in skipgram.skip_gram_vectors(many, "words", shard_words=40_000).collect()}
+    assert set(shards) == set(got)
+    unit = {w: v / np.linalg.norm(v) for w, v in shards.items()}
+    assert min(near(0, 0), near(1, 1)) > near(0, 1) + 0.3
+    often = text.vectors_of_words(docs, "words", min_count=2, driver_words=10)
+    assert {r.word for r in often.collect()} == set(got) - {"alone"}

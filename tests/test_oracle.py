@@ -83,6 +83,19 @@ def test_word_queries(spark):
     assert len(near) == 10 and all(-1 <= float(r.similarity) <= 1 for r in near)
 
 
+def test_index_queries(spark):
+    n = spark.read.parquet(f"{SMOKE}/embeddings.parquet").count()
+    near = queries()["nearest_vectors_index"](spark, SMOKE).collect()
+    assert len({(r.vec_id, r.rank) for r in near}) == len(near) == 10 * n and all(r.vec_id != r.neighbour for r in near)
+    words = {r.word for r in queries()["word_vector_words"](spark, SMOKE).collect()}
+    near = queries()["context_neighbours"](spark, SMOKE).collect()
+    assert len({(r.word, r.rank) for r in near}) == len(near) and all(r.word != r.near for r in near)
+    assert {r.rank for r in near} == set(range(1, 6)) and {r.near for r in near} <= {r.word for r in near} <= words
+
+
+INDEXES = {"nearest_vectors_index", "context_neighbours"}
+
+
 def test_factor_and_stream_queries(spark):
     factors = queries()["als_factors"](spark, SMOKE).collect()
     ids = {(r.kind, r.id) for r in queries()["ratings_table"](spark, SMOKE).selectExpr(
@@ -93,7 +106,7 @@ def test_factor_and_stream_queries(spark):
 
 
 def test_every_query_is_checked():
-    covered = set(METRICS) | {"kmeans_assign", "bisecting_assign", "cluster_cost", "word_vectors", "synonyms", "als_factors", "batch_regression"}
+    covered = set(METRICS) | {"kmeans_assign", "bisecting_assign", "cluster_cost", "word_vectors", "synonyms", "als_factors", "batch_regression"} | INDEXES
     assert set(catalog.queries()) - set(SQL) == covered
 
 

@@ -288,12 +288,24 @@ def linreg_elasticnet_1d(spark, sf_dir):
     return fitted.select(F.round("slope", 4).alias("slope"), F.round("intercept", 4).alias("intercept"))
 
 
+def _demand_sides(spark, sf_dir):
+    """Train and test side of the demand table, written once (P14) with what the fits read: no pass draws the
+    split again, and no rows are held in memory beside those that a learner holds."""
+    return _sides(written(demand_table(spark, sf_dir).select(*_CATS, *_NUMS, "label", "part"), "demand"))
+
+
+def _predictions(stages, makers, train, test) -> dict:
+    """``{name: predictions on test}`` of every ``{name: estimator}`` on the same features, made once."""
+    made = models.prepared(stages, train, test)
+    return {name: models.fit_and_score([est], *made)[1] for name, est in makers.items()}
+
+
 def _tree(spark, sf_dir, kind):
-    fits = [
-        (f"{kind}_{suffix}", stages + [models.tree_regressors()[kind]], _as_is, _as_is)
-        for suffix, stages in (("plain", _plain_stages()), ("onehot", _onehot_stages()))
-    ]
-    return reduce(DataFrame.unionByName, _scores(demand_table(spark, sf_dir), fits))
+    train, test = _demand_sides(spark, sf_dir)
+    preds = {}
+    for suffix, stages in (("plain", _plain_stages()), ("onehot", _onehot_stages())):
+        preds |= _predictions(stages, {f"{kind}_{suffix}": models.tree_regressors()[kind]}, train, test)
+    return reduce(DataFrame.unionByName, [_score(name, pred) for name, pred in preds.items()])
 
 
 @register("dtree")

@@ -330,12 +330,13 @@ def gbt(spark, sf_dir):
 def regression_compare(spark, sf_dir):
     """Every regressor on the same split, plus linear regression on log(label)
     with predictions taken back through exp."""
-    fits = [("linear_regression", _onehot_stages() + [models.linear_regression()], _as_is, _as_is)]
-    fits += [(name, _plain_stages() + [est], _as_is, _as_is) for name, est in models.tree_regressors().items()]
+    train, test = _demand_sides(spark, sf_dir)
+    _, linear = models.fit_and_score(_onehot_stages() + [models.linear_regression()], train, test)
     on_log = _onehot_stages() + [models.linear_regression(label="log_label")]
-    log_of = lambda df: models.log_target(df.where(F.col("label") > 0))
-    fits.append(("linear_regression_log_target", on_log, log_of, models.exp_back))
-    return reduce(DataFrame.unionByName, _scores(demand_table(spark, sf_dir), fits))
+    _, log_pred = models.fit_and_score(on_log, models.log_target(train.where(F.col("label") > 0)), test)
+    preds = {"linear_regression": linear, **_predictions(_plain_stages(), models.tree_regressors(), train, test)}
+    preds["linear_regression_log_target"] = models.exp_back(log_pred)
+    return reduce(DataFrame.unionByName, [_score(name, pred) for name, pred in preds.items()])
 
 
 @register(

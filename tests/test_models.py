@@ -2,6 +2,7 @@
 
 import pytest
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
+from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.sql import functions as F
 
 from tessera.operators import clusters, models
@@ -74,3 +75,36 @@ def test_ratings_are_made_once(spark):
     for name in ("ratings_per_user", "als_solves", "als_factors"):
         plan = queries()[name](spark, SMOKE)._jdf.queryExecution().toString()
         assert "l_orderkey" not in plan  # what follows reads the written ratings
+
+
+def test_tree_fits_read_features_made_once(spark, monkeypatch):
+    from tessera.plans import invariants
+
+    seen = []
+
+    def recorded(stages, train, test):
+        seen.append((type(stages[-1]).__name__, len(stages), train, test))
+        return None, test.withColumn("prediction", F.lit(1.0))
+
+    monkeypatch.setattr(models, "fit_and_score", recorded)
+    for query in (model_plans.rforest, model_plans.gbt, model_plans.regression_compare, invariants.regressor_invariants):
+        query(spark, SMOKE)
+    assert len(seen) == 2 + 2 + 5 + 4
+    for name, stages, train, test in seen:
+        assert not any("lineitem" in f for f in train.inputFiles() + test.inputFiles())  # the split is not drawn again
+        if name != "LinearRegression":
+            assert stages == 1 and train.columns == ["features", "label"]
+            attrs = train.schema["features"].metadata["ml_attr"]["attrs"]
+            assert len(attrs.get("nominal", [])) == 5 or len(attrs["binary"]) > 5  # still categories to the trees
+
+
+def test_prepared_features_give_the_same_trees(spark):
+    rows = [(f"c{i % 7}", float(i % 5), float((i * 37) % 11 + 10 * (i % 7 in (1, 4)))) for i in range(200)]
+    df = spark.createDataFrame(rows, "c string, x double, label double").coalesce(1)
+    stages = [StringIndexer(inputCol="c", outputCol="i"), VectorAssembler(inputCols=["i", "x"], outputCol="features")]
+    made = models.prepared(stages, df, df)
+    for est in models.tree_regressors().values():
+        _, old = models.fit_and_score([*stages, est], df, df)
+        _, new = models.fit_and_score([est], *made)
+        count = lambda p: sorted(p.groupBy("label", "prediction").count().collect())
+        assert count(old) == count(new)

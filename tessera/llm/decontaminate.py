@@ -47,19 +47,25 @@ def _word_hasher() -> WordHasher:
 
 
 class Terms:
-    """Numbers of known words: sorted hashes behind a table of their first 16 bits."""
+    """Numbers of known words: sorted hashes behind a table of their first bits, four places and more for each."""
 
     def __init__(self, codes: np.ndarray):
         self.codes = np.unique(codes)
-        self.some = np.zeros(1 << 16, bool)
-        self.some[self.codes >> np.uint64(48)] = True
+        bits = max(16, len(self.codes).bit_length() + 2)
+        self.shift = np.uint64(64 - bits)
+        self.first = np.searchsorted(self.codes >> self.shift, np.arange(1 << bits, dtype=np.uint64)).astype(np.int32)
+        held = np.diff(self.first, append=np.int32(len(self.codes)))
+        self.some, self.most = held > 0, int(held.max())
 
     def find(self, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Which of the words are known, and their numbers."""
-        at = np.flatnonzero(self.some[code >> np.uint64(48)])
-        number = np.searchsorted(self.codes, code[at])
-        number[number == len(self.codes)] = 0
-        good = self.codes[number] == code[at]
+        at = np.flatnonzero(self.some[code >> self.shift])
+        code = code[at]
+        number = self.first[code >> self.shift].astype(np.int64)
+        for _ in range(self.most - 1):
+            number += self.codes[number] < code
+            number[number == len(self.codes)] = 0
+        good = self.codes[number] == code
         return at[good], number[good]
 
 
@@ -81,7 +87,7 @@ def _passages(words, at: np.ndarray, number: np.ndarray, half: int, weight: np.n
         high = max(low + 1, int(np.searchsorted(stop, start[low] + (1 << 15), "right")))
         top = min(high + 1, len(have))
         terms = slice(start[low], stop[top - 1])
-        sums = np.add.reduceat(basis[number[terms]] * value[terms, None], start[low:top] - start[low], axis=0)
+        sums = _projected(number[terms], value[terms], start[low:top] - start[low], stop[low:top] - start[low], basis)
         squares = np.add.reduceat(value[terms] ** 2, start[low:top] - start[low])
         follows = np.flatnonzero(have[low + 1 : top] == have[low : top - 1] + 1)
         total, size = sums.copy(), squares.copy()
@@ -92,6 +98,22 @@ def _passages(words, at: np.ndarray, number: np.ndarray, half: int, weight: np.n
         low = high
 
 
+def _projected(number: np.ndarray, value: np.ndarray, start: np.ndarray, stop: np.ndarray, basis: np.ndarray) -> np.ndarray:
+    """The sums of ``basis[number] * value`` from each ``start`` to its ``stop``: runs of one length are multiplied
+    together, about 4096 terms at a time."""
+    out = np.zeros((len(start), basis.shape[1]), np.float32)
+    length = stop - start
+    order = np.argsort(length, kind="stable")
+    for same in np.split(order, np.flatnonzero(np.diff(length[order])) + 1):
+        n = int(length[same[0]])
+        step = max(1, 4096 // n)
+        for k in range(0, len(same), step):
+            some = same[k : k + step]
+            at = start[some, None] + np.arange(n)
+            out[some] = (value[at][:, None] @ basis[number[at]])[:, 0]
+    return out
+
+
 class Item(NamedTuple):
     item_id: int
     words: tuple
@@ -395,30 +417,45 @@ def is_leak(item: tuple, words: list, verbatim: float, paraphrase: float, masks:
     return 0.0
 
 
+class Earlier:
+    """Where each of the words ``number`` stood before."""
+
+    def __init__(self, number: np.ndarray):
+        self.order = np.argsort(number, kind="stable")
+        self.place = np.empty_like(self.order)
+        self.place[self.order] = np.arange(len(number))
+        first = np.flatnonzero(np.diff(number[self.order], prepend=-1))
+        self.seen = np.empty_like(self.order)  # how often before
+        self.seen[self.order] = np.arange(len(number)) - np.repeat(first, np.diff(first, append=len(number)))
+
+    def since(self, at: np.ndarray, times: np.ndarray) -> np.ndarray:
+        """Where the word at each of the places ``at`` stood that many times before; -1: it did not."""
+        return np.where(self.seen[at] < times, -1, self.order[np.maximum(self.place[at] - times, 0)])
+
+
 class Holdings:
-    """Which terms the items of a block hold, and how often: items and terms as one sorted number each."""
+    """How often each item of a block holds each term: a table of mostly one byte for each item and term."""
 
     def __init__(self, items: list, terms: int):
-        self.terms = terms
-        self.pairs = np.concatenate([i * terms + item.held for i, item in enumerate(items)])
-        self.times = np.concatenate([item.times for item in items])
+        most = max((int(item.times.max()) for item in items), default=0)
+        self.times = np.zeros((len(items), terms), np.min_scalar_type(most))
+        for i, item in enumerate(items):
+            self.times[i, item.held] = item.times
 
-    def shared(self, number: np.ndarray, begin: np.ndarray, end: np.ndarray, item: np.ndarray) -> np.ndarray:
+    def shared(self, number: np.ndarray, earlier: Earlier, begin: np.ndarray, end: np.ndarray, item: np.ndarray) -> np.ndarray:
         """How many of the terms ``number[begin:end]`` the item holds too, each as often as both have it:
-        no common subsequence is longer."""
+        no common subsequence is longer. A word counts unless it stood there before as often as in the item."""
         out = np.zeros(len(begin), np.int64)
+        table, terms = self.times.reshape(-1), self.times.shape[1]
         for low in range(0, len(begin), 512):
             some = slice(low, low + 512)
             n = (end - begin)[some]
-            owner = np.repeat(np.arange(len(n)), n)
-            at = np.arange(len(owner)) + (begin[some] - np.cumsum(n) + n)[owner]
-            key = item[some][owner] * self.terms + number[at]
-            found = np.searchsorted(self.pairs, key)
-            found[found == len(self.pairs)] = 0
-            good = self.pairs[found] == key
-            both, times = np.unique(owner[good] * len(self.pairs) + found[good], return_counts=True)
-            least = np.minimum(times, self.times[both % len(self.pairs)])
-            out[some] = np.bincount(both // len(self.pairs), least, len(n)).astype(np.int64)
+            at = np.arange(n.sum()) + np.repeat(begin[some] - np.cumsum(n) + n, n)
+            times = table[np.repeat(item[some] * terms, n) + number[at]]
+            held = np.flatnonzero(times > 0)
+            owner = np.repeat(np.arange(len(n)), n)[held]
+            new = earlier.since(at[held], times[held].astype(np.int64)) < begin[some][owner]
+            out[some] = np.bincount(owner[new], minlength=len(n))
         return out
 
 
@@ -442,15 +479,16 @@ def search(docs: DataFrame, space: Space, half: int, cosine: float, verbatim: fl
                 if not len(here):
                     continue
                 best: dict = {}
+                earlier = Earlier(number)
                 for projected, size, text, start in _passages(words, here, number, half, space.weight, space.basis):
                     hit, part = space.near(projected, size, cosine)
-                    passage, item = np.unique(np.stack([hit, space.item_of[part]]), axis=1)
+                    passage, item = np.divmod(np.unique(hit * len(space.items) + space.item_of[part]), len(space.items))
                     # the words around: as many on each side as the item has; unknown ones are in no item
                     owner, margin = text[passage], size_of[item]
                     first = words.first[owner] + start[passage]
                     begin = np.searchsorted(here, np.maximum(words.first[owner], first - margin))
                     end = np.searchsorted(here, np.minimum(words.first[owner + 1], first + 2 * half + margin))
-                    stays = np.flatnonzero(holdings.shared(number, begin, end, item) / margin >= least)
+                    stays = np.flatnonzero(holdings.shared(number, earlier, begin, end, item) / margin >= least)
                     columns = (c[stays].tolist() for c in (owner, item, begin, end))
                     for t, i, x, y in zip(*columns, strict=True):
                         wanted, around = space.items[i], number[x:y]

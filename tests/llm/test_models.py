@@ -1,6 +1,7 @@
 """Quality model, toxicity model and decontamination."""
 
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -357,3 +358,48 @@ def test_the_space_is_fitted_on_every_document(spark, documents, monkeypatch):
     listed = decontaminate.latent_space(docs, items, half, 16)
     inside = np.linalg.svd(table.basis.T @ listed.basis)[1]
     assert inside.min() > 0.98
+
+
+def test_words_are_found_by_their_first_bits():
+    rng = np.random.default_rng(5)
+    top = np.uint64(0xFFFF << 48)
+    codes = np.concatenate([rng.integers(0, 1 << 63, 300).astype(np.uint64) * np.uint64(2), rng.integers(0, 50, 20).astype(np.uint64), top + rng.integers(0, 50, 20).astype(np.uint64)])
+    words = np.concatenate([codes, codes + np.uint64(1), top + np.arange(60, dtype=np.uint64), np.arange(60, dtype=np.uint64)])
+    terms = decontaminate.Terms(codes)
+    place = {c: i for i, c in enumerate(sorted(set(codes.tolist())))}
+    at, number = terms.find(words)
+    assert list(zip(at.tolist(), number.tolist(), strict=True)) == [(k, place[c]) for k, c in enumerate(words.tolist()) if c in place]
+    assert [len(x) for x in decontaminate.Terms(codes[:0]).find(words)] == [0, 0]
+
+
+def _not_here(*_, **__):
+    raise AssertionError("sorts or searches for every candidate")
+
+
+def test_what_an_item_and_a_window_share_is_counted_without_sorting_the_window(monkeypatch):
+    rng = np.random.default_rng(3)
+    held = [np.unique(rng.integers(0, 40, n), return_counts=True) for n in (1, 5, 30, 300)] + [(np.array([7]), np.array([300]))]
+    items = [decontaminate.Item(i, (), *h) for i, h in enumerate(held)]
+    number = rng.integers(0, 40, 700)
+    number[200:600] = np.where(rng.random(400) < 0.9, 7, number[200:600])
+    begin = rng.integers(0, 700, 900)
+    end = np.minimum(begin + rng.integers(0, 500, 900), 700)
+    item = rng.integers(0, len(items), 900)
+    holdings, earlier = decontaminate.Holdings(items, 40), decontaminate.Earlier(number)
+    with monkeypatch.context() as m:
+        m.setattr(np, "unique", _not_here)
+        m.setattr(np, "searchsorted", _not_here)
+        got = holdings.shared(number, earlier, begin, end, item)
+    of_item = [Counter(dict(zip(h[0].tolist(), h[1].tolist(), strict=True))) for h in held]
+    want = [(Counter(number[b:e].tolist()) & of_item[i]).total() for b, e, i in zip(begin, end, item, strict=True)]
+    assert got.tolist() == want and max(want) > 255
+
+
+def test_passages_are_projected_in_runs_of_one_length():
+    rng = np.random.default_rng(4)
+    stop = np.cumsum(np.concatenate([rng.integers(1, 33, 400), [9000, 1], rng.integers(1, 33, 400)]))
+    start = np.append(0, stop[:-1])
+    basis = rng.standard_normal((50, 8)).astype(np.float32)
+    number, value = rng.integers(0, 50, stop[-1]), rng.random(stop[-1]).astype(np.float32)
+    want = [value[a:b].astype(float) @ basis[number[a:b]] for a, b in zip(start, stop, strict=True)]
+    np.testing.assert_allclose(decontaminate._projected(number, value, start, stop, basis), want, rtol=1e-4, atol=1e-3)

@@ -50,6 +50,15 @@ def rmsle(df: DataFrame, label: str = "label", prediction: str = "prediction") -
 
 # ---- recommendation (L01, L02) ------------------------------------------------------------
 
+#: Ratings that a block of a factorisation holds, about: a task has one block in memory, and the factors it meets.
+BLOCK_ROWS = 1_000_000
+
+
+def als_blocks(rows: int, least: int = 10) -> int:
+    """Blocks of a factorisation of so many ratings: ``least``, and beyond that as many as keep a block's size. They
+    follow from the data alone, so the factors do not change with the cluster's size."""
+    return max(least, -(-rows // BLOCK_ROWS))
+
 
 def als(
     ratings: DataFrame,

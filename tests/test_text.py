@@ -94,6 +94,20 @@ def test_context_factors_cover_the_words(spark):
     assert {r.word for r in found.collect()} == words and all(len(r.features) == 3 for r in found.collect())
 
 
+def test_blocks_of_the_factorisation_grow_with_the_pairs(spark, monkeypatch):
+    from tessera.operators import models
+
+    seen = []
+    real = text.ALS
+    monkeypatch.setattr(text, "ALS", lambda **kw: seen.append((kw["numUserBlocks"], kw["numItemBlocks"])) or real(**kw))
+    docs = spark.createDataFrame([(1, [f"w{i}" for i in range(30)])], "doc_id long, words array<string>")
+    text.context_factors(docs, "words", rank=2, window=1, max_iter=1, blocks=2)
+    monkeypatch.setattr(models, "BLOCK_ROWS", 10)  # 29 pairs, 58 with both directions
+    found = text.context_factors(docs, "words", rank=2, window=1, max_iter=1, blocks=2)
+    assert seen == [(2, 2), (6, 6)]
+    assert {r.word for r in found.collect()} == {f"w{i}" for i in range(30)}
+
+
 def test_stop_word_filter_equals_ml_stage(spark):
     docs = spark.createDataFrame([(1, ["The", "robot", "and", "THE", "robots", "it's"])], "doc_id long, words array<string>")
     ours = text.remove_stop_words(docs, "words").first().filtered

@@ -51,7 +51,7 @@ def rmsle(df: DataFrame, label: str = "label", prediction: str = "prediction") -
 # ---- recommendation (L01, L02) ------------------------------------------------------------
 
 #: Ratings that a block of a factorisation holds, about: a task has one block in memory, and the factors it meets.
-BLOCK_ROWS = 1_000_000
+BLOCK_ROWS = 2_000_000
 
 
 def als_blocks(rows: int, least: int = 10) -> int:
@@ -73,13 +73,14 @@ def als(
 ):
     """Explicit-feedback ALS; unseen users/items are dropped at prediction time.
 
-    ``blocks``: user and item blocks; raise it on a large cluster. It is not taken from the session,
-    so the factors do not change with the cluster's size. Ids must be ints: index larger ones
-    densely first (``dense_ids``).
+    ``blocks``: user and item blocks, at least; more ratings have more (:func:`als_blocks`). It is not taken
+    from the session, so the factors do not change with the cluster's size. Ids must be ints: index
+    larger ones densely first (``dense_ids``).
     """
+    blocks = als_blocks(ratings.count(), blocks)
     est = ALS(
         rank=rank, maxIter=max_iter, regParam=reg, userCol=user, itemCol=item, ratingCol=rating,
-        coldStartStrategy="drop", seed=seed, numUserBlocks=blocks, numItemBlocks=blocks,
+        coldStartStrategy="drop", seed=seed, numUserBlocks=blocks, numItemBlocks=blocks, checkpointInterval=1,  # frees shuffles
     )
     return est.fit(ratings)
 

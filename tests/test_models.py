@@ -63,6 +63,16 @@ def test_als_factor_means(spark):
     assert 1.0 <= lo <= hi <= 5.0
 
 
+def test_blocks_of_als_grow_with_the_ratings(spark, monkeypatch):
+    table = spark.createDataFrame([(u, i, float(1 + (u + i) % 5)) for u in range(8) for i in range(8)], "u int, i int, rating float")
+    parts = lambda m: (m.userFactors.rdd.getNumPartitions(), m.itemFactors.rdd.getNumPartitions())
+    few = models.als(table, "u", "i", "rating", rank=2, max_iter=1, blocks=3)
+    monkeypatch.setattr(models, "BLOCK_ROWS", 10)
+    many = models.als(table, "u", "i", "rating", rank=2, max_iter=1, blocks=3)
+    assert parts(few) == (3, 3) and parts(many) == (7, 7)
+    assert few.userFactors.count() == many.userFactors.count() == 8
+
+
 def test_naive_bayes_gets_non_negative_features(spark):
     out = model_plans.naive_bayes(spark, SMOKE).collect()
     assert {r.metric for r in out} == {"accuracy", "weightedRecall"}

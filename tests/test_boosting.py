@@ -85,3 +85,27 @@ def test_odd_tables(spark):
             est.fit(table(rows))
     with pytest.raises(Exception):  # noqa: B017 - Spark's own
         est.fit(table([(1.0, 1.0)]).where("x > 1"))
+
+
+def _boosted_in(spark, query, monkeypatch):
+    seen = []
+
+    def recorded(stages, train, test):
+        seen.append(stages[-1])
+        return None, test.withColumn("prediction", F.lit(1.0))
+
+    monkeypatch.setattr(models, "fit_and_score", recorded)
+    query(spark, "/root/testdata/sf0.001")
+    return [type(est) is boosting.BoostedTrees for est in seen]
+
+
+def test_regressor_invariants_boosts_by_chunks(spark, monkeypatch):
+    from tessera.plans import invariants
+
+    assert sum(_boosted_in(spark, invariants.regressor_invariants, monkeypatch)) == 1
+
+
+def test_regression_compare_boosts_by_chunks(spark, monkeypatch):
+    from tessera.plans import models as plans
+
+    assert sum(_boosted_in(spark, plans.regression_compare, monkeypatch)) == 1
